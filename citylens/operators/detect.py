@@ -151,13 +151,16 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
     first = (nodes.groupBy(*keys).agg(F.min(F.struct("__t", "__id")).alias("__f"))
              .select(*keys, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id")))
     chain = first.checkpoint()
+    known = chain.count()
     for _ in range(max_rounds):
+        # chain_{r+1} = chain_r + jump_r(chain_r): the next 2^r links of every chain
         hop = (chain.join(jump, node_cols, "inner").filter(F.col("__jump").isNotNull())
-               .select(*keys, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id"))
-               .checkpoint())
-        if hop.isEmpty():
-            break
+               .select(*keys, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id")))
         chain = chain.unionByName(hop).checkpoint()
+        grown = chain.count()  # a scan of the checkpoint files
+        if grown == known:
+            break
+        known = grown
         # jump_{r+1}(b) = jump_r(jump_r(b))
         j2 = jump.select(*[F.col(k).alias(f"__k2_{i}") for i, k in enumerate(keys)],
                          F.col("__t").alias("__t2"), F.col("__id").alias("__id2"),

@@ -97,7 +97,7 @@ BUS_GPS_SQL = """bus_gps AS (
 
 
 # -- one mixed raw stream of all four topics (for the DLQ validator) ---------------
-# topic by event type; payload = the topic's fields as JSON, NULLs omitted; every
+# topic by event type; payload = the topic's fields as JSON text, NULLs omitted; every
 # 53rd message is broken text.  Field values are chosen so that each rule fires
 # on some rows and the boundary values of the box occur.
 TOPIC_OF_TYPE = {"click": "bus_gps", "view": "smart_meters", "error": "air_quality",
@@ -108,30 +108,27 @@ def raw_mixed(ev: DataFrame) -> DataFrame:
     et, eid, uid, v = F.col("event_type"), F.col("event_id"), F.col("user_id"), F.col("value")
     topic = F.when(et == "click", "bus_gps").when(et == "view", "smart_meters") \
         .when(et == "error", "air_quality").otherwise("traffic_signals")
-    is_t = lambda t: topic == F.lit(t)
-    fields = F.struct(
-        # air quality
-        F.when(is_t("air_quality"), F.concat(F.lit("AQ-"), uid.cast("string"))).alias("sensor_id"),
-        F.when(is_t("air_quality") & (eid % 20 != 0), (v * 2).cast("int")).alias("aqi"),
-        F.when(is_t("air_quality"), F.round(v - 2, 2)).alias("pm25"),
-        F.when(is_t("air_quality"), F.round(v - 1, 2)).alias("pm10"),
-        # bus gps
-        F.when(is_t("bus_gps"), F.concat(F.lit("BUS-"), uid.cast("string"))).alias("bus_id"),
-        F.when(is_t("bus_gps"), (F.lit(1286) + eid % 28).cast("double") / 100).alias("lat"),
-        F.when(is_t("bus_gps"), (F.lit(7746) + eid % 31).cast("double") / 100).alias("lon"),
-        F.when(is_t("bus_gps"), F.round(v - 5, 2)).alias("speed_kmh"),
-        # traffic
-        F.when(is_t("traffic_signals") & (uid % 30 != 0),
-               F.concat(F.lit("JUNC-"), uid.cast("string"))).alias("junction_id"),
-        F.when(is_t("traffic_signals"), F.floor(v).cast("int") - 3).alias("avg_wait_sec"),
-        F.when(is_t("traffic_signals"), (eid % 50 - 2).cast("int")).alias("vehicle_count"),
-        # meters
-        F.when(is_t("smart_meters") & (uid % 25 != 0),
-               F.concat(F.lit("MTR-"), uid.cast("string"))).alias("meter_id"),
-        F.when(is_t("smart_meters"), (F.lit(1950) + eid % 700).cast("double") / 10).alias("voltage"),
-        F.when(is_t("smart_meters"), (eid % 105).cast("double") / 100).alias("power_factor"),
-    )
-    payload = F.when(eid % 53 == 0, F.lit("{broken")).otherwise(F.to_json(fields))
+    dbl = lambda c: c.cast("string")  # noqa: E731  (shortest round-trip text)
+    aq = F.format_string('{"sensor_id":"AQ-%d",%s"pm25":%s,"pm10":%s}', uid,
+                         F.when(eid % 20 != 0, F.format_string('"aqi":%d,', (v * 2).cast("int")))
+                         .otherwise(F.lit("")),
+                         dbl(F.round(v - 2, 2)), dbl(F.round(v - 1, 2)))
+    bus = F.format_string('{"bus_id":"BUS-%d","lat":%s,"lon":%s,"speed_kmh":%s}', uid,
+                          dbl((F.lit(1286) + eid % 28).cast("double") / 100),
+                          dbl((F.lit(7746) + eid % 31).cast("double") / 100),
+                          dbl(F.round(v - 5, 2)))
+    tr = F.format_string('{%s"avg_wait_sec":%d,"vehicle_count":%d}',
+                         F.when(uid % 30 != 0, F.format_string('"junction_id":"JUNC-%d",', uid))
+                         .otherwise(F.lit("")),
+                         F.floor(v).cast("int") - 3, (eid % 50 - 2).cast("int"))
+    mt = F.format_string('{%s"voltage":%s,"power_factor":%s}',
+                         F.when(uid % 25 != 0, F.format_string('"meter_id":"MTR-%d",', uid))
+                         .otherwise(F.lit("")),
+                         dbl((F.lit(1950) + eid % 700).cast("double") / 10),
+                         dbl((eid % 105).cast("double") / 100))
+    body = (F.when(topic == "air_quality", aq).when(topic == "bus_gps", bus)
+            .when(topic == "traffic_signals", tr).otherwise(mt))
+    payload = F.when(eid % 53 == 0, F.lit("{broken")).otherwise(body)
     return ev.select("event_id", F.col("ts").alias("timestamp"), topic.alias("topic"),
                      payload.alias("payload"))
 
