@@ -242,6 +242,12 @@ SELECT b.event_id, a.aqi,
 FROM bus_gps b JOIN air_quality a ON a.event_id = b.event_id"""
 
 ORACLE: dict[str, str] = {
+    # streaming forms answer the same questions as their batch forms
+    "stream_ward_energy": WARD_ENERGY,
+    "stream_zone_advisory": ZONE_ADVISORY,
+    "stream_alerts_cooldown": ALERTS_COOLDOWN,
+    "stream_alerts_consecutive": ALERTS_CONSECUTIVE,
+    "stream_enrich_lookup": ENRICH_LOOKUP,
     "ward_energy_15m": WARD_ENERGY,
     "zone_avg_10m": ZONE_AVG,
     "rolling_avg_slide": ROLLING_SLIDE,
