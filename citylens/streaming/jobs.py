@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.codec import decode
 from ..functions.scalar import advisory_level, advisory_text
-from ..operators import detect, enrich, quality, windows
+from ..operators import enrich, quality, windows
 from ..schemas import AIR_QUALITY, BUS_GPS, SMART_METERS, TRAFFIC_SIGNALS
 from ..sinks import writers
 from . import stateful
@@ -137,12 +137,14 @@ def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_r
 
 
 # ------------------------------------------------------------------ incidents (E3)
-def incidents_stream(aq: DataFrame, traffic: DataFrame, bus: DataFrame, lateness: str = "30 seconds",
-                     aqi_above: int = 300, cooldown: str = "120 seconds", wait_above: float = 180,
-                     n: int = 3, within: str = "300 seconds", distance_m: float = 200.0,
-                     gap: str = "60 seconds", duration: str = "300 seconds") -> DataFrame:
-    """Three decoded streams -> the three stateful detectors -> one incident
-    stream (missing columns NULL), keyed later by incident type."""
+def incidents_streams(aq: DataFrame, traffic: DataFrame, bus: DataFrame, lateness: str = "30 seconds",
+                      aqi_above: int = 300, cooldown: str = "120 seconds", wait_above: float = 180,
+                      n: int = 3, within: str = "300 seconds", distance_m: float = 200.0,
+                      gap: str = "60 seconds", duration: str = "300 seconds") -> dict[str, DataFrame]:
+    """Three decoded streams -> the three stateful detectors, each already in
+    the common incident shape (``detect.INCIDENT_COLUMNS``; missing columns
+    NULL).  Spark runs one keyed-state operator per streaming query, so the
+    three are separate queries writing to one incident output."""
     a = stateful.cooldown_alerts_stream(aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp",
                                         F.col("aqi") > aqi_above, cooldown)
     a = a.select(F.lit("AQI_EMERGENCY").alias("incident_type"), F.col("sensor_id").alias("entity_id"),
@@ -163,16 +165,25 @@ def incidents_stream(aq: DataFrame, traffic: DataFrame, bus: DataFrame, lateness
                  F.format_string("BUNCHING on route %s: buses %s & %s within %.0fm for %.1f min",
                                  "route_id", "bus_1", "bus_2", "distance_m",
                                  F.col("duration_sec") / 60).alias("message"), "event_time")
-    return detect.union_incidents(a, g, b)
+    shape = ["incident_type", "entity_id", "zone", "route_id", "bus_1", "bus_2", "metric", "message",
+             "event_time"]
+
+    def fill(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in shape])
+
+    return {"AQI_EMERGENCY": fill(a), "TRAFFIC_GRIDLOCK": fill(g), "BUS_BUNCHING": fill(b)}
 
 
 def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame, out_json: str | None,
                   checkpoint_root: str, trigger: str | None = "5 seconds", kafka: dict | None = None,
-                  **kw) -> StreamingQuery:
-    inc = incidents_stream(decode(raw_aq, AIR_QUALITY), decode(raw_traffic, TRAFFIC_SIGNALS),
-                           decode(raw_bus, BUS_GPS), **kw)
-    return writers.start_keyed_json(inc, "incident_type", _ck(checkpoint_root, "incidents"), "append",
-                                    trigger, out_json, kafka)
+                  **kw) -> list[StreamingQuery]:
+    """The three detectors to one incident output keyed by incident type
+    (one Kafka topic, or one JSON folder per type)."""
+    streams = incidents_streams(decode(raw_aq, AIR_QUALITY), decode(raw_traffic, TRAFFIC_SIGNALS),
+                                decode(raw_bus, BUS_GPS), **kw)
+    return [writers.start_keyed_json(df, "incident_type", _ck(checkpoint_root, f"incidents_{t.lower()}"),
+                                     "append", trigger, None if out_json is None else f"{out_json}/{t}", kafka)
+            for t, df in streams.items()]
 
 
 # ------------------------------------------------------------------ independent consumers (T13)

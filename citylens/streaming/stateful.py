@@ -41,6 +41,12 @@ def _sorted(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(["__tus", "__id"], kind="stable")
 
 
+def _expire_at(state: GroupState, micros_ts: int) -> None:
+    """Event-time timeout at ``micros_ts`` (never before the watermark, which
+    is global and may already be past a quiet key's horizon)."""
+    state.setTimeoutTimestamp(max(int(micros_ts) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+
 def _out_schema(df: DataFrame, extra: Sequence[T.StructField] = ()) -> T.StructType:
     fields = [f for f in df.schema.fields if f.name not in ("__tus", "__id")]
     return T.StructType(fields + list(extra))
@@ -71,7 +77,7 @@ def cooldown_alerts_stream(df: DataFrame, key: str, ts: str, condition, cooldown
                 fire[i] = True
                 last = int(t)
         state.update((last,))
-        state.setTimeoutTimestamp((last + cool) // 1000 + 1)
+        _expire_at(state, last + cool)
         out = pdf.loc[fire, cols]
         if len(out):
             yield out
@@ -113,7 +119,7 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
         sel = fire[m:]
         keep = max(0, len(t) - (n - 1))
         state.update(([int(x) for x in t[keep:]], [float(x) for x in v[keep:]]))
-        state.setTimeoutTimestamp(int(t[-1] + span) // 1000 + 1)
+        _expire_at(state, int(t[-1]) + span)
         if sel.any():
             out = pdf.loc[sel, cols].copy()
             out["avg_last_n"] = avg[m:][sel]
@@ -197,7 +203,7 @@ def bunching_stream(df: DataFrame, route: str = "route_id", bus: str = "bus_id",
         newest = max([v[0] for v in pos.values()] + [int(pdf["__tus"].max())])
         state.update((list(pos), [v[0] for v in pos.values()], [v[1] for v in pos.values()],
                       [v[2] for v in pos.values()], list(clocks), list(clocks.values())))
-        state.setTimeoutTimestamp((newest + gap + 2 * dur) // 1000 + 1)
+        _expire_at(state, newest + gap + 2 * dur)
         if out:
             yield pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
 
