@@ -196,42 +196,43 @@ def _offsets(v: Column, cell: float, reach: float) -> tuple[Column, Column]:
 
 def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon: str,
                     max_distance_m: float = 200.0, max_gap="60 seconds", id_col: str = "event_id",
-                    cell_factor: float = 4.0, keep: Sequence[str] = ()) -> DataFrame:
+                    cell_factor: float = 2.0, keep: Sequence[str] = ()) -> DataFrame:
     """All pairs of sightings of two *different* entities on the same key
     (route) at most ``max_gap`` apart in time and ``max_distance_m`` apart
     (haversine).  One row per unordered pair, ``entity_1 < entity_2``.
 
     Scale: a spatio-temporal grid join.  Each sighting has a home cell
-    ``(key, x, y, z, t)`` on a grid of earth-centred coordinates (side
-    ``cell_factor * max_distance``) and time (``cell_factor * max_gap``);
-    the probe side also visits the neighbour cells it lies close to
-    (expected ~1.5 per axis), the build side only its home cell.  The
-    equi-join therefore compares sightings only with nearby ones -- a route
-    crowded in time does not produce all pairs of its sightings -- and
-    exact time and distance filters finish the job.
+    ``(key, x, y, z, t)``: earth-centred coordinates on a grid of side
+    ``cell_factor * max_distance`` and time buckets of ``max_gap``.  A pair
+    is probed from its earlier sighting only, so the probe side visits its
+    own and the next time bucket, and on each space axis the neighbour cell
+    it lies within ``max_distance`` of (expected 1 + 2/cell_factor cells per
+    axis); the build side sits in its home cell only.  The equi-join thus
+    compares a sighting with nearby, later ones -- a route crowded in time
+    does not produce all pairs of its sightings -- and exact time and
+    distance filters finish the job.
     """
     gap_us = micros(max_gap)
     d = max_distance_m
-    cell, tcell = d * cell_factor, int(gap_us * cell_factor)
+    cell = d * cell_factor
     eps = 1e-3  # metres: slack for rounding in the coordinates
     x, y, z = unit_xyz(lat, lon)
     t = epoch_micros(ts)
     ix, ox = _offsets(x, cell, d + eps)
     iy, oy = _offsets(y, cell, d + eps)
     iz, oz = _offsets(z, cell, d + eps)
-    it, ot = _offsets(t, tcell, gap_us)
+    it = F.floor(t / F.lit(gap_us))
     base = df.select(F.col(key).alias("__k"), F.col(entity).alias("__e"), F.col(ts).alias("__ts"),
                      F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), F.col(id_col).alias("__id"),
                      *[F.col(c).alias(f"__keep_{c}") for c in keep],
                      ix.alias("__ix"), iy.alias("__iy"), iz.alias("__iz"), it.alias("__it"),
-                     ox.alias("__ox"), oy.alias("__oy"), oz.alias("__oz"), ot.alias("__ot"),
-                     t.alias("__tus"))
+                     ox.alias("__ox"), oy.alias("__oy"), oz.alias("__oz"), t.alias("__tus"))
     cells = F.flatten(F.transform(F.col("__ox"), lambda a: F.flatten(F.transform(
         F.col("__oy"), lambda b: F.flatten(F.transform(
             F.col("__oz"), lambda c: F.transform(
-                F.col("__ot"), lambda e: F.struct(a.alias("dx"), b.alias("dy"), c.alias("dz"),
-                                                  e.alias("dt")))))))))
-    cols = [c for c in base.columns if c not in ("__ox", "__oy", "__oz", "__ot")]
+                F.array(F.lit(0), F.lit(1)), lambda e: F.struct(a.alias("dx"), b.alias("dy"),
+                                                                 c.alias("dz"), e.alias("dt")))))))))
+    cols = [c for c in base.columns if c not in ("__ox", "__oy", "__oz")]
     probe = (base.select(*cols, F.explode(cells).alias("__o"))
              .select(*[F.col(c).alias("p" + c) for c in cols],
                      (F.col("__ix") + F.col("__o.dx")).alias("__jx"),
@@ -242,19 +243,27 @@ def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon
     j = probe.join(build, (F.col("p__k") == F.col("q__k")) & (F.col("__jx") == F.col("q__ix"))
                    & (F.col("__jy") == F.col("q__iy")) & (F.col("__jz") == F.col("q__iz"))
                    & (F.col("__jt") == F.col("q__it")), "inner")
-    gap = F.abs(F.col("p__tus") - F.col("q__tus"))
-    j = (j.filter((F.col("p__e") < F.col("q__e")) & (gap <= F.lit(gap_us)))
+    later = (F.col("q__tus") > F.col("p__tus")) | (
+        (F.col("q__tus") == F.col("p__tus")) & (F.col("q__id") > F.col("p__id")))
+    gap = F.col("q__tus") - F.col("p__tus")
+    j = (j.filter(later & (gap <= F.lit(gap_us)) & (F.col("p__e") != F.col("q__e")))
           .withColumn("distance_m", haversine_m("p__lat", "p__lon", "q__lat", "q__lon"))
           .filter(F.col("distance_m") <= d))
+    first = F.col("p__e") < F.col("q__e")
+
+    def pick(c: str, one: bool) -> Column:
+        a, b = F.col(f"p{c}"), F.col(f"q{c}")
+        return F.when(first, a if one else b).otherwise(b if one else a)
+
     return j.select(F.col("p__k").alias(key),
-                    F.col("p__e").alias(f"{entity}_1"), F.col("q__e").alias(f"{entity}_2"),
-                    F.col("p__id").alias(f"{id_col}_1"), F.col("q__id").alias(f"{id_col}_2"),
-                    F.col("p__ts").alias("ts_1"), F.col("q__ts").alias("ts_2"),
-                    F.greatest("p__ts", "q__ts").alias("pair_time"),
+                    pick("__e", True).alias(f"{entity}_1"), pick("__e", False).alias(f"{entity}_2"),
+                    pick("__id", True).alias(f"{id_col}_1"), pick("__id", False).alias(f"{id_col}_2"),
+                    pick("__ts", True).alias("ts_1"), pick("__ts", False).alias("ts_2"),
+                    F.col("q__ts").alias("pair_time"),
                     "distance_m",
                     (gap / F.lit(1_000_000.0)).alias("gap_sec"),
-                    *[F.col(f"p__keep_{c}").alias(f"{c}_1") for c in keep],
-                    *[F.col(f"q__keep_{c}").alias(f"{c}_2") for c in keep])
+                    *[pick(f"__keep_{c}", True).alias(f"{c}_1") for c in keep],
+                    *[pick(f"__keep_{c}", False).alias(f"{c}_2") for c in keep])
 
 
 def proximity_incidents(pairs: DataFrame, key: str, entity: str, min_duration="300 seconds",
