@@ -178,6 +178,14 @@ def dlq_error_types(spark, sf):
     return quality.error_distribution(_checked(spark, sf), by_type=True)
 
 
+def dlq_top_errors(spark, sf):
+    """The ten most frequent errors (a top-k report: the limit is the
+    feature)."""
+    from ..operators.reports import top_k
+    d = quality.error_distribution(_checked(spark, sf))
+    return top_k(d, [F.desc("count"), "topic", "error"], 10)
+
+
 def dlq_envelope(spark, sf):
     chk = _checked(spark, sf)
     env = quality.dlq_envelope(chk, "topic", F.col("payload"), now=F.col("timestamp"))
@@ -304,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dlq_summary": dlq_summary,
     "dlq_error_distribution": dlq_error_distribution,
     "dlq_error_types": dlq_error_types,
+    "dlq_top_errors": dlq_top_errors,
     "dlq_envelope": dlq_envelope,
     "dlq_replay": dlq_replay,
     "alerts_cooldown": alerts_cooldown,

@@ -149,12 +149,29 @@ RAW_FIELDS_SQL = """raw AS (
          CAST(event_id % 50 - 2 AS INTEGER) AS vehicle_count,
          CASE WHEN user_id % 25 <> 0 THEN 'MTR-' || CAST(user_id AS VARCHAR) END AS meter_id,
          CAST(1950 + event_id % 700 AS DOUBLE) / 10 AS voltage,
-         CAST(event_id % 105 AS DOUBLE) / 100 AS power_factor
+         CAST(event_id % 105 AS DOUBLE) / 100 AS power_factor,
+         CASE WHEN event_id % 53 = 0 THEN '{broken'
+              WHEN event_type = 'error' THEN '{"sensor_id":"AQ-' || CAST(user_id AS VARCHAR) || '",'
+                || CASE WHEN event_id % 20 <> 0 THEN '"aqi":' || CAST(CAST(TRUNC(value * 2) AS INTEGER) AS VARCHAR) || ',' ELSE '' END
+                || '"pm25":' || CAST(round(value - 2, 2) AS VARCHAR) || ',"pm10":' || CAST(round(value - 1, 2) AS VARCHAR) || '}'
+              WHEN event_type = 'click' THEN '{"bus_id":"BUS-' || CAST(user_id AS VARCHAR) || '","lat":'
+                || CAST(CAST(1286 + event_id % 28 AS DOUBLE) / 100 AS VARCHAR) || ',"lon":'
+                || CAST(CAST(7746 + event_id % 31 AS DOUBLE) / 100 AS VARCHAR) || ',"speed_kmh":'
+                || CAST(round(value - 5, 2) AS VARCHAR) || '}'
+              WHEN event_type = 'view' THEN '{'
+                || CASE WHEN user_id % 25 <> 0 THEN '"meter_id":"MTR-' || CAST(user_id AS VARCHAR) || '",' ELSE '' END
+                || '"voltage":' || CAST(CAST(1950 + event_id % 700 AS DOUBLE) / 10 AS VARCHAR)
+                || ',"power_factor":' || CAST(CAST(event_id % 105 AS DOUBLE) / 100 AS VARCHAR) || '}'
+              ELSE '{'
+                || CASE WHEN user_id % 30 <> 0 THEN '"junction_id":"JUNC-' || CAST(user_id AS VARCHAR) || '",' ELSE '' END
+                || '"avg_wait_sec":' || CAST(CAST(FLOOR(value) AS INTEGER) - 3 AS VARCHAR)
+                || ',"vehicle_count":' || CAST(CAST(event_id % 50 - 2 AS INTEGER) AS VARCHAR) || '}'
+         END AS payload
   FROM events)"""
 
 # Per-topic error lists, in rule order (DuckDB list_filter drops the NULLs).
 ERRORS_SQL = """checked AS (
-  SELECT event_id, "timestamp", topic,
+  SELECT event_id, "timestamp", topic, payload,
     CASE WHEN broken THEN ['json_parse_error:payload is not a JSON object']
     ELSE list_filter(CASE topic
       WHEN 'air_quality' THEN [

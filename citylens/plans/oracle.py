@@ -135,10 +135,14 @@ DLQ_TYPES = _CHECKED + """
 SELECT topic, split_part(error, ':', 1) AS error, COUNT(*) AS count
 FROM (SELECT topic, unnest(errors) AS error FROM checked) GROUP BY 1, 2"""
 
+DLQ_TOP = _CHECKED + """
+SELECT topic, error, COUNT(*) AS count FROM (SELECT topic, unnest(errors) AS error FROM checked)
+GROUP BY topic, error ORDER BY count DESC, topic, error LIMIT 10"""
+
 DLQ_ENVELOPE = _CHECKED + """
 SELECT topic AS key, topic AS original_topic, errors[1] AS error_reason,
        CAST(len(errors) AS INTEGER) AS n_errors, array_to_string(errors, '|') AS all_errors,
-       NULL AS original_data
+       payload AS original_data
 FROM checked WHERE len(errors) > 0"""
 
 DLQ_REPLAY = _CHECKED + """
@@ -269,6 +273,9 @@ ORACLE: dict[str, str] = {
     "dlq_error_distribution": DLQ_DIST,
     "dlq_error_types": DLQ_TYPES,
     "dlq_replay": DLQ_REPLAY,
+    "dlq_top_errors": DLQ_TOP,
+    "dlq_envelope": DLQ_ENVELOPE,
+    "stream_dlq_summary": DLQ_SUMMARY,
     "alerts_cooldown": ALERTS_COOLDOWN,
     "alerts_consecutive": ALERTS_CONSECUTIVE,
     "proximity_pairs": PROXIMITY_PAIRS,

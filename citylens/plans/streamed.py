@@ -101,7 +101,28 @@ def stream_enrich_lookup(spark, sf):
     return run_to_table(spark, j, "stream_enrich_lookup")
 
 
+def stream_dlq_summary(spark, sf):
+    """Running per-topic DLQ counters (complete mode: every trigger
+    rewrites the totals; the last version is the answer)."""
+    from ..operators import quality
+    raw = M.raw_mixed(_events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    chk = quality.validate_payloads(raw, "topic", "payload")
+    summ = quality.dlq_summary(chk)
+    return run_to_table(spark, summ, "stream_dlq_summary", "complete", ["topic"])
+
+
+def stream_bunching_clock(spark, sf):
+    """Clock-mode bunching alerts per route (stateful; checked on rows --
+    the clock rule has no set-based SQL form; see the tests' model)."""
+    bus = M.bus_gps(_events_stream(spark, sf)).withWatermark("timestamp", "30 minutes")
+    b = stateful.bunching_stream(bus, max_distance_m=C.BUNCH_DISTANCE_M, max_gap=C.BUNCH_GAP,
+                                 duration=C.BUNCH_MIN_DURATION)
+    return _ntz(run_to_table(spark, b, "stream_bunching_clock"), "event_time")
+
+
 STREAM_QUERIES = {
+    "stream_dlq_summary": stream_dlq_summary,
+    "stream_bunching_clock": stream_bunching_clock,
     "stream_ward_energy": stream_ward_energy,
     "stream_zone_advisory": stream_zone_advisory,
     "stream_alerts_cooldown": stream_alerts_cooldown,

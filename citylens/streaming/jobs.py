@@ -186,6 +186,23 @@ def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame,
             for t, df in streams.items()]
 
 
+# ------------------------------------------------------------------ AQI history archive
+def aqi_history_job(raw: DataFrame, out_parquet: str, checkpoint_root: str,
+                    trigger: str | None = "5 seconds", decoded: bool = False) -> StreamingQuery:
+    """Decoded air-quality readings appended to Parquet partitioned by zone
+    and date (the archive later reports and re-runs read)."""
+    from ..operators.reports import aqi_history
+    ev = raw if decoded else decode(raw, AIR_QUALITY)
+    return writers.start_parquet(aqi_history(ev), out_parquet, _ck(checkpoint_root, "aqi_history"),
+                                 ["zone", "date"], trigger)
+
+
+def run_until_stopped(spark: SparkSession) -> None:
+    """Block until any query stops; re-raise its failure (the caller's
+    supervisor restarts the job, which resumes from the checkpoints)."""
+    spark.streams.awaitAnyTermination()
+
+
 # ------------------------------------------------------------------ independent consumers (T13)
 def independent_consumers(fast: DataFrame, slow: DataFrame, fast_out: str, slow_out: str,
                           checkpoint_root: str, trigger: str | None = None) -> list[StreamingQuery]:
