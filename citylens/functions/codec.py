@@ -21,10 +21,11 @@ def is_json_object(text) -> Column:
     """True when ``text`` parses as JSON *and* is an object.
 
     ``from_json`` turns ``[1]`` or ``"x"`` into a struct of nulls instead of
-    NULL, so validity is decided on the variant type of the parsed text.
+    NULL, so validity is checked separately: the text parses, and valid JSON
+    whose first non-blank character is ``{`` is an object.
     """
-    v = F.try_parse_json(_c(text))
-    return v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")
+    t = _c(text)
+    return F.try_parse_json(t).isNotNull() & t.rlike(r"^\s*\{")
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value",

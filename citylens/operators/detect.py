@@ -9,6 +9,7 @@ key's history is ever gathered into one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,9 +138,10 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
     where ``next(b)`` is the first breach at or after ``b + cooldown``.
     ``next`` is found by an as-of lookup per cooldown bucket; the chain is
     then followed by pointer doubling: round ``r`` extends the known prefix
-    of every chain by ``2^r`` links with one join, so a key with ``m``
-    alerts needs ``log2(m)`` rounds and no key is ever handled by a single
-    task.  Each round is checkpointed to the shared checkpoint folder.
+    of every chain by ``2^r`` links with one join, so ``log2`` of the
+    longest possible chain (bounded up front by breaches and time span per
+    key) rounds suffice and no key is ever handled by a single task.  Each
+    round is checkpointed to the shared checkpoint folder.
     """
     keys = _seq(key)
     cool_us = micros(cooldown)
@@ -150,17 +152,23 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
     node_cols = [*keys, "__t", "__id"]
     first = (nodes.groupBy(*keys).agg(F.min(F.struct("__t", "__id")).alias("__f"))
              .select(*keys, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id")))
+    # Alerts of a key are at least one cooldown apart, so a chain has at most
+    # min(breaches, span / cooldown + 1) links: that many rounds suffice.
+    bound = (nodes.groupBy(*keys)
+             .agg(F.least(F.count(F.lit(1)),
+                          F.floor((F.max("__t") - F.min("__t")) / F.lit(cool_us)) + 1).alias("__m"))
+             .agg(F.max("__m")).first()[0]) or 0
+    rounds = max(0, math.ceil(math.log2(bound))) if bound > 1 else 0
+    if rounds > max_rounds:
+        raise RuntimeError("cooldown chain longer than 2^max_rounds alerts")
     chain = first.checkpoint()
-    known = chain.count()
-    for _ in range(max_rounds):
+    for r in range(rounds):
         # chain_{r+1} = chain_r + jump_r(chain_r): the next 2^r links of every chain
         hop = (chain.join(jump, node_cols, "inner").filter(F.col("__jump").isNotNull())
                .select(*keys, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id")))
         chain = chain.unionByName(hop).checkpoint()
-        grown = chain.count()  # a scan of the checkpoint files
-        if grown == known:
+        if r == rounds - 1:
             break
-        known = grown
         # jump_{r+1}(b) = jump_r(jump_r(b))
         j2 = jump.select(*[F.col(k).alias(f"__k2_{i}") for i, k in enumerate(keys)],
                          F.col("__t").alias("__t2"), F.col("__id").alias("__id2"),
@@ -171,8 +179,6 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
         jump = (jump.join(j2, cond, "left")
                 .select(*keys, "__t", "__id", F.col("__jump2").alias("__jump"))
                 .checkpoint())
-    else:
-        raise RuntimeError("cooldown chain longer than 2^max_rounds alerts")
 
     marked = breaches.withColumn("__t", epoch_micros(ts)).withColumn("__id", F.col(id_col).cast("long"))
     return marked.join(chain, node_cols, "left_semi").drop("__t", "__id")

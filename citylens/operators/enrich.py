@@ -1,12 +1,13 @@
 """Stream-to-dimension enrichment joins.
 
 Broadcast policy: a dimension is broadcast only behind a size check.
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the dimension
-(a limit, so the check itself is bounded work) and hints a broadcast only when
-the dimension fits; otherwise the join is left to the planner -- a shuffle
-join whose strategy AQE may still switch to broadcast from *measured* shuffle
-sizes.  A dimension that grows with the data is therefore never shipped to
-every executor on faith.
+``bounded_broadcast`` turns a byte budget into a row budget (row width
+estimated from the schema), counts at most ``rows + 1`` rows of the
+dimension (a limit, so the check itself is bounded work) and hints a
+broadcast only when the dimension fits; otherwise the join is left to the
+planner -- a shuffle join whose strategy AQE may still switch to broadcast
+from *measured* shuffle sizes.  A dimension that grows with the data is
+therefore never shipped to every executor on faith.
 """
 
 from __future__ import annotations
@@ -15,16 +16,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``."""
+from pyspark.sql import types as T
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+
+def _width(t: T.DataType) -> int:
+    if isinstance(t, T.StructType):
+        return sum(_width(f.dataType) for f in t.fields)
+    if isinstance(t, (T.ArrayType, T.MapType)):
+        return 64
+    if isinstance(t, (T.StringType, T.BinaryType, T.VariantType)):
+        return 32
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the column types (strings 32 bytes)."""
+    return max(1, _width(df.schema))
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(dim)`` if it has at most ``max_rows`` rows and about
+    ``max_bytes`` bytes, else ``dim`` (left to the planner)."""
     if dim.isStreaming:
         return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    rows = min(max_rows, max_bytes // row_width(dim))
+    n = dim.limit(rows + 1).count()
+    return F.broadcast(dim) if n <= rows else dim
 
 
 def _on(on: str | Sequence[str]) -> list[str]:

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.codec import is_json_object
+
 # Fixed values of the validation contract.
 LAT_MIN, LAT_MAX = 12.88, 13.12
 LON_MIN, LON_MAX = 77.48, 77.75
@@ -137,8 +139,7 @@ def validate_payloads(df: DataFrame, topic_col: str = "topic", value_col: str =
     # of the wrong type reads as missing); validity -- parses, and is an
     # object -- is a second, cheap parse plus the leading brace.
     union = ", ".join(f"{f} {t}" for f, t in sorted(types.items()))
-    parsed = df.select("*", (F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{")).alias("__obj"),
-                       F.from_json(text, union).alias("__s"))
+    parsed = df.select("*", is_json_object(text).alias("__obj"), F.from_json(text, union).alias("__s"))
     is_obj = F.col("__obj")
 
     def getter(rule_set: str) -> Getter:
