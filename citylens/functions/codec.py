@@ -29,18 +29,24 @@ def is_json_object(text) -> Column:
 
 
 def decode(df: DataFrame, schema: T.StructType, value: str = "value",
-           keep: tuple[str, ...] = (), drop_invalid: bool = True) -> DataFrame:
+           keep: tuple[str, ...] = (), drop_invalid: bool = True,
+           require: tuple[str, ...] = ()) -> DataFrame:
     """Decode a JSON payload column into the typed, flattened columns of
     ``schema``.  Undecodable or non-object payloads are dropped (or kept with
     null fields when ``drop_invalid`` is false).  Columns in ``keep`` (e.g.
-    ``topic``, ``offset``) are carried along."""
+    ``topic``, ``offset``) are carried along.  Rows where a ``require``d
+    field is missing or unparsable (e.g. an event time that is not ISO-8601)
+    are skipped."""
     text = payload_text(value)
     out = df.select(*[F.col(k) for k in keep], text.alias("__txt"))
     if drop_invalid:
         out = out.filter(is_json_object(F.col("__txt")))
     out = out.select(*[F.col(k) for k in keep],
                      F.from_json(F.col("__txt"), schema).alias("__d"))
-    return out.select(*[F.col(k) for k in keep], "__d.*")
+    out = out.select(*[F.col(k) for k in keep], "__d.*")
+    for r in require:
+        out = out.filter(F.col(r).isNotNull())
+    return out
 
 
 def encode(df: DataFrame, key: str | None, ignore_null_fields: bool = True) -> DataFrame:

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode
 from ..functions.geo import haversine_m
 from ..functions.scalar import (advisory_level, advisory_text, bucket_label, epoch_seconds,
-                                fixed_avg, fixed_sum, parse_iso_ts)
+                                fixed_sum, parse_iso_ts)
 from ..operators import detect, enrich, quality, windows
 from ..session import prepare
 from . import mapping as M
@@ -99,7 +99,6 @@ def weekly_ward_report(spark, sf):
 
 
 def monthly_aqi_trend(spark, sf):
-    from pyspark.sql import Window
     aq = M.air_quality(_ev(spark, sf)).filter(F.col("aqi").isNotNull())
     m = (aq.groupBy("zone", F.date_trunc("month", "timestamp").alias("month"))
            .agg((F.sum(F.col("aqi").cast("long")) / F.count("aqi")).alias("avg_aqi"),

@@ -23,6 +23,9 @@ REQUIRED_CONF = {
 }
 
 RECOMMENDED_CONF = {
+    # keyed streaming state off-heap (large state does not load the JVM heap)
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

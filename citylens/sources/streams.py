@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import stream_key
 
-TOPIC_PREFIX = "urbanpulse."
+TOPIC_PREFIX = "city."
 
 
 def kafka_options(bootstrap: str, topics: str | list[str], starting: str = "latest",
@@ -34,9 +34,18 @@ def kafka_options(bootstrap: str, topics: str | list[str], starting: str = "late
     return opts
 
 
-def read_kafka(spark: SparkSession, bootstrap: str, topics: str | list[str], **kw) -> DataFrame:
-    """Kafka source (needs the spark-sql-kafka connector on the classpath)."""
-    return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topics, **kw)).load()
+def read_kafka(spark: SparkSession, bootstrap: str, topics: str | list[str], stream: bool = True,
+               **kw) -> DataFrame:
+    """Kafka source (needs the spark-sql-kafka connector on the classpath).
+    ``stream=False`` reads a bounded range as a batch (replays, backfills:
+    ``starting="earliest"`` or ``startingTimestamp=...``, ``endingOffsets``)."""
+    opts = kafka_options(bootstrap, topics, **kw)
+    if not stream:
+        opts.pop("maxOffsetsPerTrigger", None)
+        if opts.get("startingOffsets") == "latest":
+            opts["startingOffsets"] = "earliest"
+        return spark.read.format("kafka").options(**opts).load()
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 def read_topic_files(spark: SparkSession, path: str, topic: str, stream: bool = True,
@@ -71,7 +80,7 @@ def fan_in(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def short_topic(col="topic") -> F.Column:
-    """``urbanpulse.bus_gps`` -> ``bus_gps``."""
+    """``city.bus_gps`` -> ``bus_gps``."""
     c = F.col(col) if isinstance(col, str) else col
     return F.regexp_replace(c, r"^.*\.", "")
 

@@ -19,6 +19,11 @@ from ..sinks import writers
 from . import stateful
 
 
+# windows, watermarks and detectors need an event time: a message whose
+# timestamp is missing or unparsable is skipped
+EVENT_TIME = ("timestamp",)
+
+
 def _ck(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -32,7 +37,7 @@ def ward_energy_job(raw: DataFrame, out_parquet: str, out_json: str | None, chec
     JSON/Kafka sink in update mode and to Parquet partitioned by
     ``ward_id, date`` in append mode (finalised windows only).  Two queries,
     two state copies: their output modes differ."""
-    ev = raw if decoded else decode(raw, SMART_METERS)
+    ev = raw if decoded else decode(raw, SMART_METERS, require=EVENT_TIME)
     agg = windows.ward_energy(ev.withWatermark("timestamp", watermark), every=every)
     qs = []
     if out_json is not None or kafka is not None:
@@ -48,7 +53,7 @@ def ward_energy_upsert_job(raw: DataFrame, out_parquet: str, checkpoint_root: st
                            decoded: bool = False) -> StreamingQuery:
     """Update-mode ward energy kept as one current row per window in the
     Parquet folder (idempotent per-window files)."""
-    ev = raw if decoded else decode(raw, SMART_METERS)
+    ev = raw if decoded else decode(raw, SMART_METERS, require=EVENT_TIME)
     agg = windows.ward_energy(ev.withWatermark("timestamp", watermark))
     return (agg.writeStream.outputMode("update")
             .option("checkpointLocation", _ck(checkpoint_root, "ward_energy_upsert"))
@@ -65,7 +70,7 @@ def advisory_stream(spark: SparkSession, raw: DataFrame, profile: DataFrame, thr
     """Air-quality stream -> 10-min average AQI per zone (SQL text over a
     streaming view) -> left join with the zone profile -> above threshold,
     with advisory level and text."""
-    ev = raw if decoded else decode(raw, AIR_QUALITY)
+    ev = raw if decoded else decode(raw, AIR_QUALITY, require=EVENT_TIME)
     ev = ev.filter(F.col("aqi").isNotNull()).withWatermark("timestamp", watermark)
     ev.createOrReplaceTempView(view)
     avg = windows.zone_aqi_sql(spark, view)
@@ -94,7 +99,7 @@ def enrichment_job(raw: DataFrame, routes: DataFrame, out_json: str | None, unma
     """GPS stream joined to the route table (stream-static, broadcast after a
     size check); matches go to the enriched topic keyed by route, the rest
     to an unmatched output.  Joined / unmatched counts are observed metrics."""
-    ev = raw if decoded else decode(raw, BUS_GPS)
+    ev = raw if decoded else decode(raw, BUS_GPS, require=EVENT_TIME)
     d = enrich.bounded_broadcast(routes)
     flagged = ev.join(d.withColumn("__hit", F.lit(True)), "route_id", "left")
     flagged = flagged.observe("enrichment", F.count_if(F.col("__hit").isNotNull()).alias("joined"),
@@ -179,8 +184,9 @@ def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame,
                   **kw) -> list[StreamingQuery]:
     """The three detectors to one incident output keyed by incident type
     (one Kafka topic, or one JSON folder per type)."""
-    streams = incidents_streams(decode(raw_aq, AIR_QUALITY), decode(raw_traffic, TRAFFIC_SIGNALS),
-                                decode(raw_bus, BUS_GPS), **kw)
+    streams = incidents_streams(decode(raw_aq, AIR_QUALITY, require=EVENT_TIME),
+                                decode(raw_traffic, TRAFFIC_SIGNALS, require=EVENT_TIME),
+                                decode(raw_bus, BUS_GPS, require=EVENT_TIME), **kw)
     return [writers.start_keyed_json(df, "incident_type", _ck(checkpoint_root, f"incidents_{t.lower()}"),
                                      "append", trigger, None if out_json is None else f"{out_json}/{t}", kafka)
             for t, df in streams.items()]
@@ -192,7 +198,7 @@ def aqi_history_job(raw: DataFrame, out_parquet: str, checkpoint_root: str,
     """Decoded air-quality readings appended to Parquet partitioned by zone
     and date (the archive later reports and re-runs read)."""
     from ..operators.reports import aqi_history
-    ev = raw if decoded else decode(raw, AIR_QUALITY)
+    ev = raw if decoded else decode(raw, AIR_QUALITY, require=EVENT_TIME)
     return writers.start_parquet(aqi_history(ev), out_parquet, _ck(checkpoint_root, "aqi_history"),
                                  ["zone", "date"], trigger)
 

@@ -56,6 +56,7 @@ def test_decode_typed_drops_undecodable(spark):
     out = decode(df, AIR_QUALITY).collect()
     assert [r.sensor_id for r in out] == ["AQ-1", "AQ-2"]
     assert out[0].aqi == 12 and out[1].timestamp is None
+    assert [r.sensor_id for r in decode(df, AIR_QUALITY, require=("timestamp",)).collect()] == ["AQ-1"]
 
 
 def test_error_report_counts_messages_not_errors(spark):

@@ -54,10 +54,10 @@ def test_bounded_broadcast_checks_size(spark):
 
 
 def test_option_builders():
-    o = kafka_options("b:9092", ["urbanpulse.bus_gps", "urbanpulse.air_quality"], "earliest",
+    o = kafka_options("b:9092", ["city.bus_gps", "city.air_quality"], "earliest",
                       max_offsets_per_trigger=1000)
-    assert o["subscribe"] == "urbanpulse.bus_gps,urbanpulse.air_quality" and o["maxOffsetsPerTrigger"] == "1000"
-    k = kafka_sink_options("b:9092", "urbanpulse.incidents")
+    assert o["subscribe"] == "city.bus_gps,city.air_quality" and o["maxOffsetsPerTrigger"] == "1000"
+    k = kafka_sink_options("b:9092", "city.incidents")
     assert k["kafka.acks"] == "all" and k["kafka.compression.type"] == "lz4"
     assert trigger_args("5 seconds") == {"processingTime": "5 seconds"}
     assert trigger_args("available_now") == {"availableNow": True}

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from citylens.functions import decode
-from citylens.operators import detect, quality, windows
+from citylens.operators import detect, windows
 from citylens.plans import mapping as M
-from citylens.schemas import AIR_QUALITY, BUS_GPS, ROUTE_SCHEDULE, SMART_METERS, TRAFFIC_SIGNALS
+from citylens.schemas import AIR_QUALITY, BUS_GPS, SMART_METERS, TRAFFIC_SIGNALS
 from citylens.sinks import upsert_partitions
 from citylens.sources import read_topic_files
 from citylens.streaming import jobs, metrics, stateful
@@ -194,7 +194,7 @@ def test_dlq_job(spark, tmp_path):
     os.makedirs(f"{tmp_path}/aq")
     with open(f"{tmp_path}/aq/a.json", "w") as f:
         f.write('{"aqi": 10}\n{"aqi": 501, "pm25": -1}\n{bad\n[1]\n{"pm25": 3}\n')
-    raw = read_topic_files(spark, f"{tmp_path}/aq", "urbanpulse.air_quality")
+    raw = read_topic_files(spark, f"{tmp_path}/aq", "city.air_quality")
     qs = jobs.dlq_job(raw, f"{tmp_path}/dlq", f"{tmp_path}/report", f"{tmp_path}/ck", trigger="available_now")
     for q in qs:
         q.awaitTermination()
