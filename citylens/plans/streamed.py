@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrich, windows
-from ..session import prepare, scratch_path
+from ..session import parallelism, prepare, scratch_path
 from ..sinks.writers import versioned_append
 from ..sources.streams import event_time, table_stream
 from ..streaming import jobs, stateful
@@ -29,8 +29,15 @@ def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "app
     """Drain a streaming DataFrame into Parquet (versioned by micro-batch)
     and read it back; update-mode results are collapsed per ``keys``."""
     out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck)
-         .trigger(availableNow=True).foreachBatch(versioned_append(out)).start())
+    # a query's state partitions are fixed at its first start: one per task slot
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(parallelism(spark)))
+    try:
+        q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck)
+             .trigger(availableNow=True).foreachBatch(versioned_append(out)).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -67,7 +67,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (or the context's current checkpoint
     dir).  Only when neither is set -- local tests -- a scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -78,6 +81,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    """Task slots of the cluster (``defaultParallelism``)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return default
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir (for streaming
     checkpoints and materialised intermediate tables)."""

@@ -70,7 +70,7 @@ def test_error_report_counts_messages_not_errors(spark):
 
 
 def test_enrich_unknown_route(spark):
-    routes = spark.createDataFrame([("R001", "Airport", "T1", "06:00", "15")], ROUTE_SCHEDULE)
+    routes = spark.createDataFrame([("R001", "Harbour Line", "T1", "06:00", "15")], ROUTE_SCHEDULE)
     gps = spark.createDataFrame([("B1", "R001"), ("B2", "R999")], "bus_id string, route_id string")
     assert [r.bus_id for r in enrich.enrich(gps, routes, "route_id").collect()] == ["B1"]
     assert [r.bus_id for r in enrich.unmatched(gps, routes, "route_id").collect()] == ["B2"]

@@ -164,7 +164,7 @@ def test_enrichment_job_and_counters(spark, tmp_path):
     os.makedirs(f"{tmp_path}/gps")
     with open(f"{tmp_path}/routes.csv", "w") as f:
         f.write("route_id,route_name,terminal,scheduled_arrival_time,frequency_min\n"
-                "R001,Airport Express,T1,06:00,15\nR002,Local,T2,06:15,20\n")
+                "R001,Harbour Line,T1,06:00,15\nR002,Local,T2,06:15,20\n")
     with open(f"{tmp_path}/gps/a.json", "w") as f:
         for i, r in enumerate(["R001", "R002", "R999", "R001"]):
             f.write(json.dumps({"bus_id": f"B{i}", "route_id": r, "lat": 12.9, "lon": 77.6, "speed_kmh": 10.0,
@@ -181,7 +181,7 @@ def test_enrichment_job_and_counters(spark, tmp_path):
     enr = spark.read.json(f"{tmp_path}/enr")
     vals = [json.loads(r.value) for r in enr.collect()]
     assert sorted(v["bus_id"] for v in vals) == ["B0", "B1", "B3"]
-    assert {v["route_name"] for v in vals} == {"Airport Express", "Local"}
+    assert {v["route_name"] for v in vals} == {"Harbour Line", "Local"}
     miss = [json.loads(r.value)["bus_id"] for r in spark.read.json(f"{tmp_path}/miss").collect()]
     assert miss == ["B2"]
     rep = metrics.lag_report(spark, qs)
