@@ -73,13 +73,15 @@ def consecutive_breach(df: DataFrame, key: str | Sequence[str], ts: str, value:
     h = with_halo(df, ts, span, chunk_s)
     w = chunk_window(keys, order)
     last_n = w.rowsBetween(-(n - 1), 0)
+    # a missing reading counts as not above the threshold (it breaks the run)
+    above = F.coalesce(F.col(value) > threshold, F.lit(False)).cast("int")
     h = (h.withColumn("__first_t", F.lag("__t", n - 1).over(w))
-          .withColumn("__min_v", F.min(value).over(last_n))
+          .withColumn("__all_above", F.min(above).over(last_n))
           .withColumn("avg_last_n", F.avg(F.col(value).cast("double")).over(last_n)))
     fire = (F.col("__home") & F.col("__first_t").isNotNull()
-            & (F.col("__first_t") >= F.col("__t") - F.lit(micros(span))) & (F.col("__min_v") > threshold))
+            & (F.col("__first_t") >= F.col("__t") - F.lit(micros(span))) & (F.col("__all_above") == 1))
     return (h.filter(fire).withColumn("consecutive_readings", F.lit(n))
-             .drop("__t", "__chunk", "__home", "__first_t", "__min_v"))
+             .drop("__t", "__chunk", "__home", "__first_t", "__all_above"))
 
 
 # ---------------------------------------------------------------------------

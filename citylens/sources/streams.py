@@ -86,9 +86,11 @@ def short_topic(col="topic") -> F.Column:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema=None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = 64) -> DataFrame:
     """One of the generated tables read as a file stream (the folder holds
-    several tables, so the file is picked with ``pathGlobFilter``)."""
+    several tables, so the file is picked with ``pathGlobFilter``).  At most
+    ``max_files_per_trigger`` files per micro-batch: a backfill over a large
+    archive proceeds in bounded batches (bounded state-operator input)."""
     if schema is None:
         schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")

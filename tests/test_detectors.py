@@ -78,6 +78,11 @@ def test_consecutive_boundaries(spark):
     assert _consec(spark, rows) == [5, 6, 9]
 
 
+def test_consecutive_missing_reading_breaks_run(spark):
+    rows = [("a", 0, 181), ("a", 10, None), ("a", 20, 181), ("a", 30, 181), ("a", 40, 181)]
+    assert _consec(spark, rows) == [4]
+
+
 def _consec_model(rows, within, n=3, thr=180):
     by = {}
     for i, (k, t, w) in enumerate(rows):
