@@ -254,21 +254,14 @@ def late_events(spark, sf):
 
 
 def incidents_union(spark, sf):
-    a = alerts_cooldown(spark, sf).select(
-        "incident_type", F.col("sensor_id").alias("entity_id"), "zone",
-        F.col("aqi").cast("double").alias("metric"), "message", "event_time")
-    g = alerts_consecutive(spark, sf).select(
-        "incident_type", F.col("junction_id").alias("entity_id"), "zone",
-        F.col("avg_wait_sec").alias("metric"), "message", "event_time")
-    b = proximity_incidents(spark, sf).select(
-        F.lit("BUS_BUNCHING").alias("incident_type"), "route_id",
-        F.col("bus_id_1").alias("bus_1"), F.col("bus_id_2").alias("bus_2"),
-        F.col("min_distance_m").alias("metric"),
-        F.format_string("BUNCHING on route %s: buses %s & %s within %.0fm for %.1f min",
-                        "route_id", "bus_id_1", "bus_id_2", "min_distance_m",
-                        F.col("duration_sec") / 60).alias("message"),
-        F.col("end_time").alias("event_time"))
-    return detect.union_incidents(a, g, b)
+    """The incident job as a batch run: late drop per stream, the three
+    detectors, one incident shape."""
+    ev = _ev(spark, sf)
+    return detect.incidents(M.air_quality(ev), M.traffic_signals(ev), M.bus_gps(ev), arrival="event_id",
+                            lateness="30 seconds", aqi_above=AQI_ALERT_ABOVE, cooldown=AQI_COOLDOWN,
+                            wait_above=WAIT_ABOVE, n=WAIT_N, within=WAIT_WITHIN,
+                            distance_m=BUNCH_DISTANCE_M, gap=BUNCH_GAP, island_gap=BUNCH_ISLAND_GAP,
+                            duration=BUNCH_MIN_DURATION)
 
 
 def incident_counts(spark, sf):

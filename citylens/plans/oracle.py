@@ -219,13 +219,13 @@ SELECT event_id, event_type, event_time FROM w WHERE event_time < mx - INTERVAL
 INCIDENTS_UNION = f"""
 WITH a AS ({ALERTS_COOLDOWN}),
 g AS ({ALERTS_CONSECUTIVE}),
-b AS ({PROXIMITY_INCIDENTS})
+b AS ({PROXIMITY_INCIDENTS.replace("round(MIN(distance_m), 3) AS min_distance_m", "MIN(distance_m) AS min_distance_m")})
 SELECT incident_type, sensor_id AS entity_id, zone, CAST(aqi AS DOUBLE) AS metric, message, event_time,
        NULL::VARCHAR AS route_id, NULL::VARCHAR AS bus_1, NULL::VARCHAR AS bus_2 FROM a
 UNION ALL
 SELECT incident_type, junction_id, zone, avg_wait_sec, message, event_time, NULL, NULL, NULL FROM g
 UNION ALL
-SELECT 'BUS_BUNCHING', NULL, NULL, min_distance_m,
+SELECT 'BUS_BUNCHING', NULL, NULL, round(min_distance_m, 1),
        'BUNCHING on route ' || route_id || ': buses ' || bus_id_1 || ' & ' || bus_id_2 || ' within '
          || printf('%.0f', min_distance_m) || 'm for ' || printf('%.1f', duration_sec / 60) || ' min',
        end_time, route_id, bus_id_1, bus_id_2 FROM b"""

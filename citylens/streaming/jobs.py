@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.codec import decode
 from ..functions.scalar import advisory_level, advisory_text
-from ..operators import enrich, quality, windows
+from ..operators import detect, enrich, quality, windows
 from ..schemas import AIR_QUALITY, BUS_GPS, SMART_METERS, TRAFFIC_SIGNALS
 from ..sinks import writers
 from . import stateful
@@ -150,28 +150,14 @@ def incidents_streams(aq: DataFrame, traffic: DataFrame, bus: DataFrame, latenes
     the common incident shape (``detect.INCIDENT_COLUMNS``; missing columns
     NULL).  Spark runs one keyed-state operator per streaming query, so the
     three are separate queries writing to one incident output."""
-    a = stateful.cooldown_alerts_stream(aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp",
-                                        F.col("aqi") > aqi_above, cooldown)
-    a = a.select(F.lit("AQI_EMERGENCY").alias("incident_type"), F.col("sensor_id").alias("entity_id"),
-                 "zone", F.col("aqi").cast("double").alias("metric"),
-                 F.format_string("HAZARDOUS AQI %d at sensor %s zone %s", "aqi", "sensor_id", "zone")
-                 .alias("message"), F.col("timestamp").alias("event_time"))
-    g = stateful.consecutive_breach_stream(traffic.withWatermark("timestamp", lateness), "junction_id",
-                                           "timestamp", "avg_wait_sec", wait_above, n, within)
-    g = g.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), F.col("junction_id").alias("entity_id"),
-                 "zone", F.round("avg_last_n", 1).alias("metric"),
-                 F.format_string("GRIDLOCK at %s zone %s — avg wait %.0fs for %d cycles", "junction_id",
-                                 "zone", "avg_last_n", "consecutive_readings").alias("message"),
-                 F.col("timestamp").alias("event_time"))
-    b = stateful.bunching_stream(bus.withWatermark("timestamp", lateness), max_distance_m=distance_m,
-                                 max_gap=gap, duration=duration)
-    b = b.select(F.lit("BUS_BUNCHING").alias("incident_type"), "route_id", "bus_1", "bus_2",
-                 F.col("distance_m").alias("metric"),
-                 F.format_string("BUNCHING on route %s: buses %s & %s within %.0fm for %.1f min",
-                                 "route_id", "bus_1", "bus_2", "distance_m",
-                                 F.col("duration_sec") / 60).alias("message"), "event_time")
-    shape = ["incident_type", "entity_id", "zone", "route_id", "bus_1", "bus_2", "metric", "message",
-             "event_time"]
+    a = detect.aqi_incident(stateful.cooldown_alerts_stream(
+        aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp", F.col("aqi") > aqi_above, cooldown))
+    g = detect.gridlock_incident(stateful.consecutive_breach_stream(
+        traffic.withWatermark("timestamp", lateness), "junction_id", "timestamp", "avg_wait_sec", wait_above,
+        n, within))
+    b = detect.bunching_incident(stateful.bunching_stream(
+        bus.withWatermark("timestamp", lateness), max_distance_m=distance_m, max_gap=gap, duration=duration))
+    shape = detect.INCIDENT_COLUMNS
 
     def fill(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in shape])
