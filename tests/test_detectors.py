@@ -209,3 +209,21 @@ def test_late_random_small_blocks(spark):
             want.append(i)
         mx[tp] = max(mx.get(tp, t), t)
     assert got == want
+
+
+def test_incident_job_drops_late_events_first(spark):
+    t = lambda s: at(s)
+    aq = spark.createDataFrame([
+        (0, "AQ-1", "N", 350, t(1000)),   # alert
+        (1, "AQ-1", "N", 10, t(2000)),    # watermark -> 1970
+        (2, "AQ-2", "N", 400, t(1900)),   # late (70 s behind the max): dropped, no alert
+        (3, "AQ-2", "N", 400, t(1975)),   # within 30 s: kept, alert
+    ], "arrival long, sensor_id string, zone string, aqi int, timestamp timestamp_ntz")
+    tr = spark.createDataFrame([], "arrival long, junction_id string, zone string, avg_wait_sec int, "
+                                   "timestamp timestamp_ntz")
+    bus = spark.createDataFrame([], "arrival long, route_id string, bus_id string, lat double, lon double, "
+                                    "timestamp timestamp_ntz")
+    inc = detect.incidents(aq, tr, bus, arrival="arrival", lateness=30).collect()
+    assert sorted((r.incident_type, r.entity_id, r.metric) for r in inc) == [
+        ("AQI_EMERGENCY", "AQ-1", 350.0), ("AQI_EMERGENCY", "AQ-2", 400.0)]
+    assert all(r.message.startswith("HAZARDOUS AQI") for r in inc)
