@@ -138,6 +138,10 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
 
     The alerts of a key form the chain ``first breach, next(first), ...``
     where ``next(b)`` is the first breach at or after ``b + cooldown``.
+    Breaches a full cooldown after their predecessor always fire and split
+    the chain into independent segments (found with the chunked
+    gaps-and-islands scan); segments shorter than the cooldown alert at
+    their start only.
     ``next`` is found by an as-of lookup per cooldown bucket; the chain is
     then followed by pointer doubling: round ``r`` extends the known prefix
     of every chain by ``2^r`` links with one join, so ``log2`` of the
@@ -148,42 +152,53 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
     keys = _seq(key)
     cool_us = micros(cooldown)
     breaches = df.filter(F.coalesce(condition, F.lit(False)))
-    nodes = breaches.select(*keys, epoch_micros(ts).alias("__t"), F.col(id_col).cast("long").alias("__id"))
-    jump = _next_breach(nodes, keys, cool_us).checkpoint()
-
-    node_cols = [*keys, "__t", "__id"]
-    first = (nodes.groupBy(*keys).agg(F.min(F.struct("__t", "__id")).alias("__f"))
-             .select(*keys, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id")))
-    # Alerts of a key are at least one cooldown apart, so a chain has at most
-    # min(breaches, span / cooldown + 1) links: that many rounds suffice.
-    bound = (nodes.groupBy(*keys)
-             .agg(F.least(F.count(F.lit(1)),
-                          F.floor((F.max("__t") - F.min("__t")) / F.lit(cool_us)) + 1).alias("__m"))
-             .agg(F.max("__m")).first()[0]) or 0
+    nodes = breaches.select(*keys, F.col(ts).alias("__ts"), epoch_micros(ts).alias("__t"),
+                            F.col(id_col).cast("long").alias("__id"))
+    # A breach at least one cooldown after the previous breach of its key
+    # always fires (the last alert is no later than that breach), so such
+    # breaches cut the key's timeline into independent segments.  A segment
+    # shorter than the cooldown alerts only at its start; only longer ones
+    # need the chain.
+    seg = (island_starts(nodes, keys, "__ts", (cool_us - 1) / 1_000_000, order=["__id"])
+           .withColumnRenamed("island_start", "__seg").drop("__ts"))
+    sk = [*keys, "__seg"]
+    stats = seg.groupBy(*sk).agg(F.min(F.struct("__t", "__id")).alias("__f"),
+                                 F.count(F.lit(1)).alias("__n"),
+                                 (F.max("__t") - F.min("__t")).alias("__span")).checkpoint()
+    starts = stats.select(*keys, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id"))
+    long_segs = stats.filter(F.col("__span") >= cool_us)
+    # chain links are at least one cooldown apart: at most min(n, span/cooldown + 1)
+    bound = long_segs.agg(F.max(F.least(F.col("__n"), F.floor(F.col("__span") / cool_us) + 1))).first()[0] or 0
     rounds = max(0, math.ceil(math.log2(bound))) if bound > 1 else 0
     if rounds > max_rounds:
         raise RuntimeError("cooldown chain longer than 2^max_rounds alerts")
-    chain = first.checkpoint()
-    for r in range(rounds):
-        # chain_{r+1} = chain_r + jump_r(chain_r): the next 2^r links of every chain
-        hop = (chain.join(jump, node_cols, "inner").filter(F.col("__jump").isNotNull())
-               .select(*keys, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id")))
-        chain = chain.unionByName(hop).checkpoint()
-        if r == rounds - 1:
-            break
-        # jump_{r+1}(b) = jump_r(jump_r(b))
-        j2 = jump.select(*[F.col(k).alias(f"__k2_{i}") for i, k in enumerate(keys)],
-                         F.col("__t").alias("__t2"), F.col("__id").alias("__id2"),
-                         F.col("__jump").alias("__jump2"))
-        cond = (F.col("__jump.__t") == F.col("__t2")) & (F.col("__jump.__id") == F.col("__id2"))
-        for i, k in enumerate(keys):
-            cond = cond & (F.col(k) == F.col(f"__k2_{i}"))
-        jump = (jump.join(j2, cond, "left")
-                .select(*keys, "__t", "__id", F.col("__jump2").alias("__jump"))
-                .checkpoint())
+    node_cols = [*sk, "__t", "__id"]
+    alerts = starts
+    if rounds:
+        in_long = seg.join(long_segs.select(*sk), sk, "left_semi")
+        jump = _next_breach(in_long, sk, cool_us).checkpoint()
+        chain = long_segs.select(*sk, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id")).checkpoint()
+        for r in range(rounds):
+            # chain_{r+1} = chain_r + jump_r(chain_r): the next 2^r links of every chain
+            hop = (chain.join(jump, node_cols, "inner").filter(F.col("__jump").isNotNull())
+                   .select(*sk, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id")))
+            chain = chain.unionByName(hop).checkpoint()
+            if r == rounds - 1:
+                break
+            # jump_{r+1}(b) = jump_r(jump_r(b))
+            j2 = jump.select(*[F.col(k).alias(f"__k2_{i}") for i, k in enumerate(sk)],
+                             F.col("__t").alias("__t2"), F.col("__id").alias("__id2"),
+                             F.col("__jump").alias("__jump2"))
+            cond = (F.col("__jump.__t") == F.col("__t2")) & (F.col("__jump.__id") == F.col("__id2"))
+            for i, k in enumerate(sk):
+                cond = cond & (F.col(k) == F.col(f"__k2_{i}"))
+            jump = (jump.join(j2, cond, "left")
+                    .select(*sk, "__t", "__id", F.col("__jump2").alias("__jump"))
+                    .checkpoint())
+        alerts = starts.unionByName(chain.drop("__seg")).distinct()
 
     marked = breaches.withColumn("__t", epoch_micros(ts)).withColumn("__id", F.col(id_col).cast("long"))
-    return marked.join(chain, node_cols, "left_semi").drop("__t", "__id")
+    return marked.join(alerts, [*keys, "__t", "__id"], "left_semi").drop("__t", "__id")
 
 
 # ---------------------------------------------------------------------------
