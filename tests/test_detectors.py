@@ -41,6 +41,13 @@ def test_cooldown_boundaries(spark):
     assert _cool(spark, rows) == [1, 3, 6, 7]
 
 
+def test_cooldown_segments(spark):
+    # spaced exactly one cooldown apart: every breach starts a segment and fires (no chain rounds)
+    assert _cool(spark, [("s", 120 * i, 400) for i in range(6)]) == list(range(6))
+    # spaced just under it: one long segment, alerts alternate
+    assert _cool(spark, [("s", 119.999999 * i, 400) for i in range(6)]) == [0, 2, 4]
+
+
 def _cool_model(rows, cooldown):
     last, out = {}, []
     for i, (k, t, a) in sorted(enumerate(rows), key=lambda x: (x[1][1], x[0])):
