@@ -85,7 +85,9 @@ def test_independent_consumers_and_lag(spark, tmp_path):
 def test_observed_counters(spark, tmp_path):
     os.makedirs(f"{tmp_path}/gps")
     with open(f"{tmp_path}/gps/a.json", "w") as f:
-        f.write('{"bus_id": "B1", "route_id": "R1"}\n{"bus_id": "B2", "route_id": "R9"}\n')
+        f.write('{"bus_id": "B1", "route_id": "R1", "timestamp": "2024-01-01T00:00:00Z"}\n'
+                '{"bus_id": "B2", "route_id": "R9", "timestamp": "2024-01-01T00:00:01Z"}\n'
+                '{"bus_id": "B3", "route_id": "R1", "timestamp": "not a time"}\n')
     routes = spark.createDataFrame([("R1", "x", "t", "06:00", "15")],
                                    "route_id string, route_name string, terminal string, "
                                    "scheduled_arrival_time string, frequency_min string")
