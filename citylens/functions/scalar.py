@@ -83,6 +83,21 @@ def iso_ms(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
 
 
+def fixed(x, decimals: int) -> Column:
+    """Number as text with ``decimals`` digits, no grouping, rounded half-even
+    on the exact binary value (Python's ``f"{x:.{n}f}"``; Java's ``%.nf``
+    would round half-up)."""
+    pattern = "0" + ("." + "0" * decimals if decimals else "")
+    return F.call_function("format_number", _c(x), F.lit(pattern))
+
+
+def py_round(x, decimals: int) -> Column:
+    """Python's ``round(x, n)`` on a double: half-even on the exact binary
+    value (``round(2.675, 2) == 2.67``), unlike ``round`` (half-up) and
+    ``bround`` (half-even on the shortest decimal text)."""
+    return fixed(x, decimals).cast("double")
+
+
 # -- advisories ---------------------------------------------------------------
 
 def advisory_level(avg_aqi, hazardous_above: float = 300.0) -> Column:
@@ -98,7 +113,7 @@ def advisory_text(zone_name, level, avg_aqi, schools, hospitals, population) ->
     return F.format_string(
         "Air quality in %s is %s. Rolling 10-min AQI = %s. %s schools and %s hospitals affected. "
         "Population at risk: %s.",
-        _c(zone_name), _c(level), F.format_number(_c(avg_aqi), 0),
+        _c(zone_name), _c(level), fixed(avg_aqi, 0),
         F.coalesce(_c(schools).cast("string"), F.lit("?")),
         F.coalesce(_c(hospitals).cast("string"), F.lit("?")),
         F.format_number(F.coalesce(_c(population), F.lit(0)), 0),

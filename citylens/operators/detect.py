@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, unit_xyz
-from ..functions.scalar import epoch_micros
+from ..functions.scalar import epoch_micros, fixed, py_round
 from .sequence import (chunk_window, exclusive_running_max, island_starts, micros, seconds,
                        with_halo)
 
@@ -329,9 +329,9 @@ def gridlock_incident(alerts: DataFrame, junction: str = "junction_id", zone: st
                       ts: str = "timestamp") -> DataFrame:
     """Consecutive-breach alerts in the common incident shape."""
     return alerts.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), F.col(junction).alias("entity_id"),
-                         F.col(zone).alias("zone"), F.round("avg_last_n", 1).alias("metric"),
-                         F.format_string("GRIDLOCK at %s zone %s — avg wait %.0fs for %d cycles", junction,
-                                         zone, "avg_last_n", "consecutive_readings").alias("message"),
+                         F.col(zone).alias("zone"), py_round("avg_last_n", 1).alias("metric"),
+                         F.format_string("GRIDLOCK at %s zone %s — avg wait %ss for %d cycles", junction,
+                                         zone, fixed("avg_last_n", 0), "consecutive_readings").alias("message"),
                          F.col(ts).alias("event_time"))
 
 
@@ -342,9 +342,10 @@ def bunching_incident(inc: DataFrame, route: str = "route_id", bus_1: str = "bus
     to 1 decimal; the message uses the unrounded distance)."""
     return inc.select(F.lit("BUS_BUNCHING").alias("incident_type"), F.col(route).alias("route_id"),
                       F.col(bus_1).alias("bus_1"), F.col(bus_2).alias("bus_2"),
-                      F.round(distance, 1).alias("metric"),
-                      F.format_string("BUNCHING on route %s: buses %s & %s within %.0fm for %.1f min",
-                                      route, bus_1, bus_2, distance, F.col(duration) / 60).alias("message"),
+                      py_round(distance, 1).alias("metric"),
+                      F.format_string("BUNCHING on route %s: buses %s & %s within %sm for %s min",
+                                      route, bus_1, bus_2, fixed(distance, 0),
+                                      fixed(F.col(duration) / 60, 1)).alias("message"),
                       F.col(ts).alias("event_time"))
 
 

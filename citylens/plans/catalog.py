@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import decode
 from ..functions.geo import haversine_m
-from ..functions.scalar import (advisory_level, advisory_text, bucket_label, epoch_seconds,
-                                fixed_sum, parse_iso_ts)
+from ..functions.scalar import (advisory_level, advisory_text, bucket_label, epoch_seconds, fixed,
+                                fixed_sum, parse_iso_ts, py_round)
 from ..operators import detect, enrich, quality, windows
 from ..session import prepare
 from . import mapping as M
@@ -221,9 +221,9 @@ def alerts_consecutive(spark, sf):
     g = detect.consecutive_breach(tr, "junction_id", "timestamp", "avg_wait_sec", WAIT_ABOVE,
                                   WAIT_N, WAIT_WITHIN, order=["event_id"])
     return g.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), "junction_id", "zone",
-                    F.round("avg_last_n", 1).alias("avg_wait_sec"), "consecutive_readings",
-                    F.format_string("GRIDLOCK at %s zone %s — avg wait %.0fs for %d cycles",
-                                    "junction_id", "zone", "avg_last_n",
+                    py_round("avg_last_n", 1).alias("avg_wait_sec"), "consecutive_readings",
+                    F.format_string("GRIDLOCK at %s zone %s — avg wait %ss for %d cycles",
+                                    "junction_id", "zone", fixed("avg_last_n", 0),
                                     "consecutive_readings").alias("message"),
                     F.col("timestamp").alias("event_time"), "event_id")
 

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import fixed, py_round
 from ..operators import enrich, windows
 from ..session import parallelism, prepare, scratch_path
 from ..sinks.writers import versioned_append
@@ -93,9 +94,9 @@ def stream_alerts_consecutive(spark, sf):
     g = stateful.consecutive_breach_stream(tr, "junction_id", "timestamp", "avg_wait_sec", C.WAIT_ABOVE,
                                            C.WAIT_N, C.WAIT_WITHIN, id_col="event_id")
     g = g.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), "junction_id", "zone",
-                 F.round("avg_last_n", 1).alias("avg_wait_sec"), "consecutive_readings",
-                 F.format_string("GRIDLOCK at %s zone %s — avg wait %.0fs for %d cycles", "junction_id",
-                                 "zone", "avg_last_n", "consecutive_readings").alias("message"),
+                 py_round("avg_last_n", 1).alias("avg_wait_sec"), "consecutive_readings",
+                 F.format_string("GRIDLOCK at %s zone %s — avg wait %ss for %d cycles", "junction_id",
+                                 "zone", fixed("avg_last_n", 0), "consecutive_readings").alias("message"),
                  F.col("timestamp").alias("event_time"), "event_id")
     return _ntz(run_to_table(spark, g, "stream_alerts_consecutive"), "event_time")
 

@@ -42,3 +42,13 @@ def test_parse_iso_variants(spark):
 def test_advisory_level_boundaries(spark):
     df = spark.createDataFrame([(300.0,), (300.1,)], "a double")
     assert [r[0] for r in df.select(advisory_level("a")).collect()] == ["UNHEALTHY", "HAZARDOUS"]
+
+
+def test_fixed_and_py_round_match_python(spark):
+    from citylens.functions import fixed, py_round
+    vals = [0.25, 0.35, 2.5, 3.5, 1234.5, 2.675, -0.4, 199.96, 1e6 + 0.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.select(fixed("x", 0).alias("a"), fixed("x", 1).alias("b"), py_round("x", 2).alias("c")).collect()
+    assert [r.a for r in got] == [f"{v:.0f}" for v in vals]
+    assert [r.b for r in got] == [f"{v:.1f}" for v in vals]
+    assert [r.c for r in got] == [round(v, 2) for v in vals]
