@@ -92,7 +92,8 @@ def retention_7d(spark, sf):
 
 def weekly_ward_report(spark, sf):
     w = ward_energy_15m(spark, sf)
-    return (w.groupBy(F.date_trunc("week", "window_start").alias("week_start"), "ward_id")
+    week = F.date_trunc("week", "window_start").cast("timestamp_ntz")
+    return (w.groupBy(week.alias("week_start"), "ward_id")
              .agg(fixed_sum("total_kwh_consumed", 2).alias("total_kwh"),
                   F.max("peak_voltage").alias("peak_voltage"),
                   F.count(F.lit(1)).alias("windows")))
@@ -100,7 +101,7 @@ def weekly_ward_report(spark, sf):
 
 def monthly_aqi_trend(spark, sf):
     aq = M.air_quality(_ev(spark, sf)).filter(F.col("aqi").isNotNull())
-    m = (aq.groupBy("zone", F.date_trunc("month", "timestamp").alias("month"))
+    m = (aq.groupBy("zone", F.date_trunc("month", "timestamp").cast("timestamp_ntz").alias("month"))
            .agg((F.sum(F.col("aqi").cast("long")) / F.count("aqi")).alias("avg_aqi"),
                 F.max("aqi").alias("max_aqi"), F.count(F.lit(1)).alias("readings")))
     # one row per zone and month: the window below sorts a handful of rows

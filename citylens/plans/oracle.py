@@ -114,7 +114,7 @@ _CHECKED = _with(M.RAW_FIELDS_SQL, M.ERRORS_SQL)
 
 DLQ_ERRORS = _CHECKED + """
 SELECT event_id, topic, error, error_pos FROM (
-  SELECT event_id, topic, unnest(errors) AS error, unnest(range(1, len(errors) + 1)) AS error_pos
+  SELECT event_id, topic, unnest(errors) AS error, CAST(unnest(range(1, len(errors) + 1)) AS INTEGER) AS error_pos
   FROM checked WHERE len(errors) > 0)"""
 
 DLQ_SPLIT = _CHECKED + """
