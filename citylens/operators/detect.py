@@ -25,6 +25,15 @@ def _seq(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have every key.  Keyed rules attribute state to an entity;
+    a message without its entity id is a data-quality error (the validator
+    dead-letters it), so the detectors ignore it."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
+
+
 # ---------------------------------------------------------------------------
 # T3: per-topic watermark = max event time seen so far - lateness
 # ---------------------------------------------------------------------------
@@ -70,7 +79,7 @@ def consecutive_breach(df: DataFrame, key: str | Sequence[str], ts: str, value:
     """
     span = seconds(within)
     keys = _seq(key)
-    h = with_halo(df, ts, span, chunk_s)
+    h = with_halo(keyed(df, keys), ts, span, chunk_s)
     w = chunk_window(keys, order)
     last_n = w.rowsBetween(-(n - 1), 0)
     # a missing reading counts as not above the threshold (it breaks the run)
@@ -151,7 +160,7 @@ def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition:
     """
     keys = _seq(key)
     cool_us = micros(cooldown)
-    breaches = df.filter(F.coalesce(condition, F.lit(False)))
+    breaches = keyed(df, keys).filter(F.coalesce(condition, F.lit(False)))
     nodes = breaches.select(*keys, F.col(ts).alias("__ts"), epoch_micros(ts).alias("__t"),
                             F.col(id_col).cast("long").alias("__id"))
     # A breach at least one cooldown after the previous breach of its key
@@ -245,7 +254,7 @@ def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon
     iy, oy = _offsets(y, cell, d + eps)
     iz, oz = _offsets(z, cell, d + eps)
     it = F.floor(t / F.lit(gap_us))
-    base = df.select(F.col(key).alias("__k"), F.col(entity).alias("__e"), F.col(ts).alias("__ts"),
+    base = keyed(df, [key, entity]).select(F.col(key).alias("__k"), F.col(entity).alias("__e"), F.col(ts).alias("__ts"),
                      F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), F.col(id_col).alias("__id"),
                      *[F.col(c).alias(f"__keep_{c}") for c in keep],
                      ix.alias("__ix"), iy.alias("__iy"), iz.alias("__iz"), it.alias("__it"),

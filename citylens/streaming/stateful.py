@@ -27,6 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.geo import EARTH_RADIUS_M
 from ..functions.scalar import epoch_micros
+from ..operators.detect import keyed
 from ..operators.sequence import micros
 
 
@@ -59,7 +60,7 @@ def cooldown_alerts_stream(df: DataFrame, key: str, ts: str, condition, cooldown
     of the last alert; timed out (dropped) once the watermark passes
     ``last + cooldown`` -- after that any breach fires anyway."""
     cool = micros(cooldown)
-    breaches = _with_keys(df.filter(F.coalesce(condition, F.lit(False))), ts, id_col)
+    breaches = _with_keys(keyed(df, [key]).filter(F.coalesce(condition, F.lit(False))), ts, id_col)
     schema = _out_schema(breaches)
     cols = schema.fieldNames()
 
@@ -93,7 +94,7 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
     last ``n-1`` readings (time, value); dropped once the watermark passes
     the newest of them by ``within``."""
     span = micros(within)
-    rows = _with_keys(df, ts, id_col)
+    rows = _with_keys(keyed(df, [key]), ts, id_col)
     schema = _out_schema(rows, [T.StructField("avg_last_n", T.DoubleType()),
                                 T.StructField("consecutive_readings", T.IntegerType())])
     cols = [f for f in rows.columns if f not in ("__tus", "__id")]
@@ -161,7 +162,7 @@ def bunching_stream(df: DataFrame, route: str = "route_id", bus: str = "bus_id",
     and expired clocks are dropped at the end of each micro-batch.
     """
     gap, dur = micros(max_gap), micros(duration)
-    rows = _with_keys(df.select(route, bus, ts, lat, lon, id_col), ts, id_col)
+    rows = _with_keys(keyed(df, [route, bus]).select(route, bus, ts, lat, lon, id_col), ts, id_col)
 
     def fn(k, pdfs, state: GroupState):
         if state.hasTimedOut:

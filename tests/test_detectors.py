@@ -234,3 +234,19 @@ def test_incident_job_drops_late_events_first(spark):
     assert sorted((r.incident_type, r.entity_id, r.metric) for r in inc) == [
         ("AQI_EMERGENCY", "AQ-1", 350.0), ("AQI_EMERGENCY", "AQ-2", 400.0)]
     assert all(r.message.startswith("HAZARDOUS AQI") for r in inc)
+
+
+def test_rows_without_key_are_ignored(spark):
+    rows = [(None, 0, 400), (None, 100, 400), ("a", 0, 400)]
+    assert _cool(spark, rows) == [2]
+    g = [(None, 0, 181), (None, 1, 181), (None, 2, 181), ("a", 0, 181), ("a", 1, 181), ("a", 2, 181)]
+    assert _consec(spark, g) == [5]
+
+
+def test_detectors_on_empty_input(spark):
+    empty = spark.createDataFrame([], "k string, ts timestamp_ntz, id long, v int, lat double, lon double, e string")
+    assert detect.cooldown_alerts(empty, "k", "ts", F.col("v") > 1, 60, id_col="id").count() == 0
+    assert detect.consecutive_breach(empty, "k", "ts", "v", 1, 3, 60).count() == 0
+    p = detect.proximity_pairs(empty, "k", "e", "ts", "lat", "lon", 100.0, 60, id_col="id")
+    assert p.count() == 0 and detect.proximity_incidents(p, "k", "e", 60, 60).count() == 0
+    assert detect.mark_late(empty, "k", "ts", "id", 30).count() == 0
