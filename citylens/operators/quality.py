@@ -2,14 +2,15 @@
 
 Every rule is a native predicate plus a native message expression; a
 message's errors are one ``array<string>`` built by
-``array_remove(array(coalesce(when(c1, m1), ''), ...), '')`` -- no lambda
-and compact generated code, so the whole validator is one projection inside
-whole-stage codegen: no Python per row, no shuffle.  Rules keep their declared order: the first
+``array_remove(array(coalesce(when(c1, m1), ''), ...), '')`` -- no lambda,
+so the whole validator is one projection inside whole-stage codegen: no
+Python per row, no shuffle.  Rules keep their declared order: the first
 error is the ``error_reason``.
 
 Mixed-topic input (one envelope stream carrying several topics) is validated
 in one pass: every field any rule reads is extracted by one ``from_json``
-into a union struct, and a CASE on the topic picks the rule list.  No per-topic branch, so the source is scanned once.
+into a union struct, and a CASE on the topic picks the rule list.  No
+per-topic branch, so the source is scanned once.
 """
 
 from __future__ import annotations
