@@ -245,7 +245,12 @@ SELECT b.event_id, a.aqi,
        epoch_us(b."timestamp") / 1000000.0 AS epoch_s
 FROM bus_gps b JOIN air_quality a ON a.event_id = b.event_id"""
 
+AQI_HISTORY = _with(M.AIR_QUALITY_SQL) + """
+SELECT sensor_id, zone, pm25, aqi, "timestamp", event_id, CAST("timestamp" AS DATE) AS date FROM air_quality"""
+
 ORACLE: dict[str, str] = {
+    "stream_ward_energy_upsert": WARD_ENERGY,
+    "stream_aqi_history": AQI_HISTORY,
     # streaming forms answer the same questions as their batch forms
     "stream_ward_energy": WARD_ENERGY,
     "stream_zone_advisory": ZONE_ADVISORY,

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import fixed, py_round
 from ..operators import enrich, windows
 from ..session import parallelism, prepare, scratch_path
-from ..sinks.writers import versioned_append
+from ..operators.reports import aqi_history
+from ..sinks.writers import start_parquet, upsert_partitions, versioned_append
 from ..sources.streams import event_time, table_stream
 from ..streaming import jobs, stateful
 from . import catalog as C
@@ -128,7 +129,46 @@ def stream_bunching_clock(spark, sf):
     return _ntz(run_to_table(spark, b, "stream_bunching_clock"), "event_time")
 
 
+def stream_ward_energy_upsert(spark, sf):
+    """Ward energy in update mode landed by the per-window upsert sink: the
+    Parquet folder (partitioned by ward and date) holds one current row per
+    window after every micro-batch -- read as is, no version collapse."""
+    ev = M.smart_meters(_events_stream(spark, sf)).withWatermark("timestamp", "45 minutes")
+    agg = windows.ward_energy(ev)
+    out, ck = scratch_path(spark, "stream_ward_energy_upsert"), scratch_path(spark, "stream_ward_energy_upsert-ck")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(parallelism(spark)))
+    try:
+        q = (agg.writeStream.outputMode("update").option("checkpointLocation", ck)
+             .trigger(availableNow=True)
+             .foreachBatch(upsert_partitions(out, ["ward_id", "window_start"], ["ward_id", "date"])).start())
+    finally:
+        spark.conf.set(key, before)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    res = spark.read.parquet(out).drop("batch_id")
+    return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
+
+
+def stream_aqi_history(spark, sf):
+    """Air-quality readings archived by the append sink, partitioned by zone
+    and date, then read back (partition columns from the folder names)."""
+    aq = M.air_quality(_events_stream(spark, sf)).select("sensor_id", "zone", "pm25", "aqi", "timestamp",
+                                                         "event_id")
+    out, ck = scratch_path(spark, "stream_aqi_history"), scratch_path(spark, "stream_aqi_history-ck")
+    q = start_parquet(aqi_history(aq), out, ck, ["zone", "date"], trigger="available_now")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    res = spark.read.parquet(out)
+    return _ntz(res, "timestamp").select("sensor_id", "zone", "pm25", "aqi", "timestamp", "event_id", "date")
+
+
 STREAM_QUERIES = {
+    "stream_ward_energy_upsert": stream_ward_energy_upsert,
+    "stream_aqi_history": stream_aqi_history,
     "stream_dlq_summary": stream_dlq_summary,
     "stream_bunching_clock": stream_bunching_clock,
     "stream_ward_energy": stream_ward_energy,

@@ -101,9 +101,13 @@ def upsert_partitions(path: str, keys: Sequence[str], partition_by: Sequence[str
                       version: str = "batch_id") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer keeping one row per ``keys`` (the newest
     version) in each partition the batch touches; other partitions are not
-    read or written.  The merged batch is checkpointed before the overwrite
-    (a path cannot be overwritten while it is read)."""
+    read or written.  The merged rows are clustered by partition (one file
+    per partition and batch: a partition holds one row per window, so this
+    is bounded) and checkpointed before the overwrite (a path cannot be
+    overwritten while it is read).  Empty batches write nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
         cur = batch.withColumn(version, F.lit(batch_id).cast("long"))
         merged = cur
@@ -115,7 +119,7 @@ def upsert_partitions(path: str, keys: Sequence[str], partition_by: Sequence[str
             touched = cur.select(*partition_by).distinct()
             old = old.join(touched, list(partition_by), "left_semi")
             merged = old.unionByName(cur.select(*old.columns))
-        merged = latest_version(merged, keys, version).checkpoint()
+        merged = latest_version(merged, keys, version).repartition(*partition_by).checkpoint()
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
     return write
