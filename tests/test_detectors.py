@@ -250,3 +250,31 @@ def test_detectors_on_empty_input(spark):
     p = detect.proximity_pairs(empty, "k", "e", "ts", "lat", "lon", 100.0, 60, id_col="id")
     assert p.count() == 0 and detect.proximity_incidents(p, "k", "e", 60, 60).count() == 0
     assert detect.mark_late(empty, "k", "ts", "id", 30).count() == 0
+
+
+def _pairs_brute(rows, dmax, gap):
+    import math
+
+    def hav(a, b, c, d):
+        p1, p2 = math.radians(a), math.radians(c)
+        x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
+        return 6371000.0 * 2 * math.atan2(math.sqrt(x), math.sqrt(1 - x))
+
+    return sorted((i, j) for i, a in enumerate(rows) for j, b in enumerate(rows)
+                  if a[0] == b[0] and a[1] < b[1] and abs(a[2] - b[2]) <= gap
+                  and hav(a[3], a[4], b[3], b[4]) <= dmax)
+
+
+def test_proximity_antimeridian_and_pole(spark):
+    rnd = random.Random(17)
+    rows = []
+    for _ in range(400):   # straddling the antimeridian
+        lon = rnd.uniform(179.99, 180.0) if rnd.random() < 0.5 else rnd.uniform(-180.0, -179.99)
+        rows.append(("R", f"B{rnd.randrange(20)}", rnd.randrange(0, 600), rnd.uniform(-0.005, 0.005), lon))
+    for _ in range(400):   # a few hundred metres from the north pole
+        rows.append(("P", f"B{rnd.randrange(20)}", rnd.randrange(0, 600), rnd.uniform(89.995, 90.0),
+                     rnd.uniform(-180.0, 180.0)))
+    got = sorted((r.id_1, r.id_2) for r in detect.proximity_pairs(
+        _bus(spark, rows), "route", "bus", "ts", "lat", "lon", 300.0, 60, id_col="id").collect())
+    want = _pairs_brute(rows, 300.0, 60)
+    assert len(want) > 50 and got == want
