@@ -190,9 +190,13 @@ def aqi_history_job(raw: DataFrame, out_parquet: str, checkpoint_root: str,
 
 
 def run_until_stopped(spark: SparkSession) -> None:
-    """Block until any query stops; re-raise its failure (the caller's
-    supervisor restarts the job, which resumes from the checkpoints)."""
-    spark.streams.awaitAnyTermination()
+    """Block while any query runs; a failed query's error is raised at once
+    (the caller's supervisor restarts the job, which resumes from the
+    checkpoints).  Queries that finish normally (``available_now``) do not
+    end the others."""
+    while spark.streams.active:
+        spark.streams.awaitAnyTermination()  # raises if the query failed
+        spark.streams.resetTerminated()
 
 
 # ------------------------------------------------------------------ independent consumers (T13)
