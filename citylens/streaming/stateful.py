@@ -72,11 +72,15 @@ def cooldown_alerts_stream(df: DataFrame, key: str, ts: str, condition, cooldown
         last = state.get[0] if state.exists else None
         if len(pdf) == 0:
             return
-        fire = np.zeros(len(pdf), dtype=bool)
-        for i, t in enumerate(pdf["__tus"].to_numpy()):
-            if last is None or t - last >= cool:
-                fire[i] = True
-                last = int(t)
+        t = pdf["__tus"].to_numpy(dtype="int64")
+        fire = np.zeros(len(t), dtype=bool)
+        # jump from alert to alert: the next one is the first breach at or
+        # after last + cooldown (rows are sorted by time, then id)
+        i = 0 if last is None else int(np.searchsorted(t, last + cool, side="left"))
+        while i < len(t):
+            fire[i] = True
+            last = int(t[i])
+            i = int(np.searchsorted(t, last + cool, side="left"))
         state.update((last,))
         _expire_at(state, last + cool)
         out = pdf.loc[fire, cols]
