@@ -111,9 +111,14 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
         if len(pdf) == 0:
             return
         prev_t, prev_v = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        m, k = len(prev_t), len(pdf)
         t = np.concatenate([np.array(prev_t, dtype="int64"), pdf["__tus"].to_numpy(dtype="int64")])
         v = np.concatenate([np.array(prev_v, dtype="float64"), pdf[value].to_numpy(dtype="float64")])
-        m = len(prev_t)
+        # merge kept readings and this batch in time order (a row may arrive
+        # a batch late, earlier than kept readings, within the watermark);
+        # ties keep arrival order
+        order = np.lexsort((np.arange(m + k), t))
+        t, v, src = t[order], v[order], order
         fire = np.zeros(len(t), dtype=bool)
         avg = np.full(len(t), np.nan)
         if len(t) >= n:
@@ -121,13 +126,13 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
             ok = (win > threshold).all(axis=1) & (t[: len(t) - n + 1] >= t[n - 1:] - span)
             fire[n - 1:] = ok
             avg[n - 1:] = win.mean(axis=1)
-        sel = fire[m:]
+        sel = fire & (src >= m)
         keep = max(0, len(t) - (n - 1))
         state.update(([int(x) for x in t[keep:]], [float(x) for x in v[keep:]]))
         _expire_at(state, int(t[-1]) + span)
         if sel.any():
-            out = pdf.loc[sel, cols].copy()
-            out["avg_last_n"] = avg[m:][sel]
+            out = pdf.iloc[src[sel] - m][cols].copy()
+            out["avg_last_n"] = avg[sel]
             out["consecutive_readings"] = n
             yield out
 

@@ -259,3 +259,26 @@ def test_bunching_clock_mode_matches_model(spark, tmp_path):
     q.awaitTermination()
     got = sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == _bunch_model(rows, 60, 120, 200.0)
+
+
+def test_gridlock_stream_orders_a_late_row_across_batches(spark, tmp_path):
+    import os
+    t0 = dt.datetime(2024, 1, 1)
+    os.makedirs(f"{tmp_path}/tr")
+    batches = [[(100, 1), (200, 2)], [(150, 3), (300, 4)]]   # 150 arrives one batch late
+    schema = "junction_id string, zone string, avg_wait_sec int, timestamp timestamp, event_id long"
+    for i, rows in enumerate(batches):
+        pdf = spark.createDataFrame([("J", "Z", 181, t0 + dt.timedelta(seconds=s), e) for s, e in rows],
+                                    schema).toPandas()
+        pdf["timestamp"] = pdf["timestamp"].dt.tz_localize("UTC")
+        f = f"{tmp_path}/tr/part-{i}.parquet"
+        pdf.to_parquet(f, index=False, coerce_timestamps="us")
+        os.utime(f, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    st = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/tr")
+    out = stateful.consecutive_breach_stream(st.withWatermark("timestamp", "10 minutes"), "junction_id",
+                                             "timestamp", "avg_wait_sec", 180, 3, 300)
+    q = out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ck") \
+        .trigger(availableNow=True).start(f"{tmp_path}/out")
+    q.awaitTermination()
+    # 150 has only one earlier reading (100): no alert; 300 sees 150, 200, 300: alert
+    assert sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [4]
