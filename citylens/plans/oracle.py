@@ -257,6 +257,7 @@ ORACLE: dict[str, str] = {
     "stream_alerts_cooldown": ALERTS_COOLDOWN,
     "stream_alerts_consecutive": ALERTS_CONSECUTIVE,
     "stream_enrich_lookup": ENRICH_LOOKUP,
+    "stream_enrich_unmatched": ENRICH_UNMATCHED,
     "ward_energy_15m": WARD_ENERGY,
     "zone_avg_10m": ZONE_AVG,
     "rolling_avg_slide": ROLLING_SLIDE,

@@ -110,6 +110,15 @@ def stream_enrich_lookup(spark, sf):
     return run_to_table(spark, j, "stream_enrich_lookup")
 
 
+def stream_enrich_unmatched(spark, sf):
+    """Orders whose customer is not in the dimension, as a stream-static
+    anti join (the unmatched output of the enrichment job)."""
+    prepare(spark)
+    orders = table_stream(spark, sf, "orders")
+    return run_to_table(spark, enrich.unmatched(orders, M.customer_dim(spark, sf), "o_custkey"),
+                        "stream_enrich_unmatched")
+
+
 def stream_dlq_summary(spark, sf):
     """Running per-topic DLQ counters (complete mode: every trigger
     rewrites the totals; the last version is the answer)."""
@@ -176,4 +185,5 @@ STREAM_QUERIES = {
     "stream_alerts_cooldown": stream_alerts_cooldown,
     "stream_alerts_consecutive": stream_alerts_consecutive,
     "stream_enrich_lookup": stream_enrich_lookup,
+    "stream_enrich_unmatched": stream_enrich_unmatched,
 }
