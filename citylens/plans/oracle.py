@@ -254,6 +254,7 @@ ORACLE: dict[str, str] = {
     # streaming forms answer the same questions as their batch forms
     "stream_ward_energy": WARD_ENERGY,
     "stream_zone_advisory": ZONE_ADVISORY,
+    "stream_rolling_avg_slide": ROLLING_SLIDE,
     "stream_alerts_cooldown": ALERTS_COOLDOWN,
     "stream_alerts_consecutive": ALERTS_CONSECUTIVE,
     "stream_enrich_lookup": ENRICH_LOOKUP,

@@ -79,6 +79,15 @@ def stream_zone_advisory(spark, sf):
     return _ntz(res, "window_start", "window_end")
 
 
+def stream_rolling_avg_slide(spark, sf):
+    """Sliding 10-minute AQI averages every 5 minutes on the stream (each
+    reading updates two windows)."""
+    aq = M.air_quality(_events_stream(spark, sf)).withWatermark("timestamp", "10 minutes")
+    agg = windows.zone_aqi(aq, every="10 minutes", slide="5 minutes")
+    res = run_to_table(spark, agg, "stream_rolling_avg_slide", "update", ["zone", "window_start"])
+    return _ntz(res, "window_start", "window_end")
+
+
 def stream_alerts_cooldown(spark, sf):
     aq = M.air_quality(_events_stream(spark, sf)).withWatermark("timestamp", "30 seconds")
     a = stateful.cooldown_alerts_stream(aq, "sensor_id", "timestamp", F.col("aqi") > C.AQI_ALERT_ABOVE,
@@ -182,6 +191,7 @@ STREAM_QUERIES = {
     "stream_bunching_clock": stream_bunching_clock,
     "stream_ward_energy": stream_ward_energy,
     "stream_zone_advisory": stream_zone_advisory,
+    "stream_rolling_avg_slide": stream_rolling_avg_slide,
     "stream_alerts_cooldown": stream_alerts_cooldown,
     "stream_alerts_consecutive": stream_alerts_consecutive,
     "stream_enrich_lookup": stream_enrich_lookup,
