@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_micros
@@ -129,7 +129,3 @@ def exclusive_running_max(df: DataFrame, keys: Sequence[str], order: str, value:
     d = d.join(carry, [*keys, "__blk"], "left")
     return (d.withColumn(out, F.greatest(F.col("__in_blk"), F.col("__carry")))
               .drop("__blk", "__in_blk", "__carry"))
-
-
-def node(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in cols])

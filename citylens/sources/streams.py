@@ -14,10 +14,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import stream_key
-
-TOPIC_PREFIX = "city."
-
 
 def kafka_options(bootstrap: str, topics: str | list[str], starting: str = "latest",
                   max_offsets_per_trigger: int | None = None, **extra: str) -> dict[str, str]:
@@ -103,8 +99,3 @@ def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFr
     """Parquet timestamps arrive as TIMESTAMP_NTZ, which watermarks reject;
     reinterpret them as UTC timestamps (session zone is pinned to UTC)."""
     return df.withColumn(out or col, F.col(col).cast("timestamp"))
-
-
-def keyed_by(stream: str) -> str:
-    """The message key of a logical stream (entity id; keeps per-key order)."""
-    return stream_key(stream)

@@ -14,6 +14,8 @@ def test_presentation_rounding_half_even(spark):
                                "total_kwh_consumed double, avg_power_factor double, peak_voltage double")
     r = reports.present_ward_energy(df).first()
     assert (r.total_kwh_consumed, r.avg_power_factor, r.peak_voltage) == (1.0, 0.8612, 230.2)
+    a = reports.present_advisory(spark.createDataFrame([(150.25,)], "rolling_avg_aqi double")).first()
+    assert a.rolling_avg_aqi == 150.2
 
 
 def test_top_k_and_export(spark, tmp_path):
