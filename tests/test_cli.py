@@ -27,3 +27,9 @@ def test_cli_dlq_and_ward_energy(spark, tmp_path):
               "--trigger", "available_now"])
     dl = sorted(json.loads(r.value)["original_topic"] for r in spark.read.json(f"{tmp_path}/dlq/dlq").collect())
     assert dl == ["air_quality", "bus_gps"]
+
+
+def test_cli_requires_a_source():
+    import pytest
+    with pytest.raises(SystemExit):
+        cli.main(["dlq", "--out", "/x", "--checkpoints", "/y"])
