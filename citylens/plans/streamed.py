@@ -11,6 +11,7 @@ batch answers agree on in-order input, so the batch oracles apply.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,20 +27,27 @@ from . import catalog as C
 from . import mapping as M
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Start queries with one state partition per task slot (a query's
+    state partitioning is fixed at its first start), then restore."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(parallelism(spark)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
                  keys: Sequence[str] | None = None) -> DataFrame:
     """Drain a streaming DataFrame into Parquet (versioned by micro-batch)
     and read it back; update-mode results are collapsed per ``keys``."""
     out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    # a query's state partitions are fixed at its first start: one per task slot
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(parallelism(spark)))
-    try:
+    with state_partitions(spark):
         q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck)
              .trigger(availableNow=True).foreachBatch(versioned_append(out)).start())
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -154,15 +162,10 @@ def stream_ward_energy_upsert(spark, sf):
     ev = M.smart_meters(_events_stream(spark, sf)).withWatermark("timestamp", "45 minutes")
     agg = windows.ward_energy(ev)
     out, ck = scratch_path(spark, "stream_ward_energy_upsert"), scratch_path(spark, "stream_ward_energy_upsert-ck")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(parallelism(spark)))
-    try:
+    with state_partitions(spark):
         q = (agg.writeStream.outputMode("update").option("checkpointLocation", ck)
              .trigger(availableNow=True)
              .foreachBatch(upsert_partitions(out, ["ward_id", "window_start"], ["ward_id", "date"])).start())
-    finally:
-        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
