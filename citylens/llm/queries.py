@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import licenses, reputation
 from .common import table
 
 
@@ -15,6 +16,21 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = reputation.judge(table(spark, sf_dir, "pages"), reputation.outcomes_from_labels(table(spark, sf_dir, "labels")))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.default_known(spark))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_two_fit
 
@@ -29,8 +45,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_url_reputation": op3_url_reputation,
+    "op5_license_scan": op5_license_scan,
+    "op7_html_extraction": op7_html_extraction,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_url_reputation": reputation.oracle(),
+    "op5_license_scan": licenses.oracle(),
+}
