@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import licenses, reputation
-from .common import table
+from .common import keep, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,46 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .imatch import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches and a replay: every document is loaded with the counts of
+    one tokenizer, every count is revised to those of the next, and all but the
+    first of documents with equal texts are deleted."""
+    import public_tokenizers
+
+    from .rollups import Rollup, signed, token_counts
+
+    old, new = "byte_bpe_50k", "byte_bpe_multi_50k"
+    versions = {old: public_tokenizers.path("byte_bpe_50k.json"), new: public_tokenizers.path("byte_bpe_multi_50k.tiktoken")}
+    counts = keep(token_counts(table(spark, sf_dir, "documents"), versions), "counts")
+    wide = counts.groupBy("doc_id", "source", "lang", "text_key").agg(
+        (F.count("*") / 2).cast("long").alias("rows"), F.max(F.when(F.col("tokenizer") == old, F.col("tokens"))).alias("was"),
+        F.max(F.when(F.col("tokenizer") == new, F.col("tokens"))).alias("now"))
+    wide = keep(wide.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))), "revised")
+    first = wide.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
+
+    def event(op, version, tokens, had=None, were=None):
+        none = F.lit(None)
+        return [F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer"), F.col(tokens).alias("tokens"),
+                *[(F.col(c) if had else none).cast("string").alias(f"old_{c}") for c in ("source", "lang")],
+                F.lit(had).cast("string").alias("old_tokenizer"), (F.col(were) if were else none).cast("long").alias("old_tokens")]
+
+    rollup = Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("load", signed(wide.select(*event("insert", old, "was"))))
+    revision = signed(wide.select(*event("revise", new, "now", old, "was")))
+    rollup.commit("revise", revision)
+    rollup.compact()
+    rollup.commit("revise", revision)                   # a replay: changes nothing
+    copies = wide.join(first, "text_key").where("doc_id <> first_id")
+    rollup.commit("copies", signed(copies.select(*event("delete", new, "now"))))
+    return rollup.totals()
+
+
 def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = reputation.judge(table(spark, sf_dir, "pages"), reputation.outcomes_from_labels(table(spark, sf_dir, "labels")))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -45,6 +87,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
+    "op4_token_counts": op4_token_counts,
     "op3_url_reputation": op3_url_reputation,
     "op5_license_scan": op5_license_scan,
     "op7_html_extraction": op7_html_extraction,

@@ -11,6 +11,7 @@ with other white space are encoded in one go.
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from collections.abc import Iterator, Sequence
@@ -99,18 +100,30 @@ def _byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def vocabulary(path: str | None = None) -> dict[bytes, int]:
+    """bytes -> id of a byte-level BPE whose ids are in merge order: a JSON file
+    of ``tokenizers`` or a ``.tiktoken`` file (default: the public one of 50k,
+    JSON form).  Special tokens are left out: their strings are ordinary text."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        if path.endswith(".tiktoken"):
+            return {base64.b64decode(t): int(i) for t, i in map(str.split, f)}
+        spec = json.load(f)
+    if spec["model"]["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+        raise ValueError(f"{path} is no byte-level BPE")
+    signs, special = _byte_of_sign(), {t["content"] for t in spec.get("added_tokens", [])}
+    return {bytes(map(signs.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
+
+
 class Encoder:
-    """Ids by a byte-level BPE in the JSON form of ``tokenizers`` whose ids are
-    in merge order; strings of special tokens are ordinary text."""
+    """Ids by a byte-level BPE given as bytes -> id."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 1_000_000):
         import tiktoken
 
-        spec = json.loads(tokenizer_json)
-        if spec["model"]["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
-            raise ValueError("a byte-level BPE file is needed")
-        signs, special = _byte_of_sign(), {t["content"] for t in spec.get("added_tokens", [])}
-        ranks = {bytes(map(signs.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"      # fixed value: the pre-tokenizer's
         self.bpe = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.feed = ranks[b"\n"]
@@ -161,22 +174,11 @@ def _without_first(lists) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]), flat.filter(pa.array(keep)))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(tokenizer_json: str) -> Encoder:
-    """One encoder per worker process and file."""
-    key = hash(tokenizer_json)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(tokenizer_json)
-    return _ENCODERS[key]
-
-
-def tokenizer_file(path: str | None = None) -> str:
-    """The JSON of a tokenizer file (default: the public byte-level BPE of 50k)."""
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.json")
-    with open(path, encoding="utf-8") as f:
-        return f.read()
+def encoder(name: str, ranks) -> Encoder:
+    """One encoder per worker process and name; ``ranks`` is a broadcast vocabulary."""
+    if name not in _ENCODERS:
+        _ENCODERS[name] = Encoder(ranks.value)
+    return _ENCODERS[name]

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from citylens.llm import packing as P
-from citylens.llm.tokens import Encoder, tokenizer_file
+from citylens.llm.tokens import Encoder, vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def test_ids_equal_the_tokenizer(reference):
     texts = ["", " ", "  ", " a", "a ", "a\nb", "a\n\nb", "\na", "a \nb", "it's 's 12a ,.", "<|endoftext|> x", "é ñ x", "a\tb", "a\r\nb",
              "x\x1cy", "日本 語 12٣", "\n", "😀 😀a​ b", "a b", "word " * 9000]
     texts += ["".join(rnd.choice("ab1,' \n\té's.日") for _ in range(rnd.randint(0, 30))) for _ in range(1500)]
-    e = Encoder(tokenizer_file(), limit=50)
+    e = Encoder(vocabulary(), limit=50)
     for _ in range(2):
         for t, ids in zip(texts, e.batch(texts), strict=True):
             assert ids.tolist() == reference(t), t
