@@ -73,6 +73,13 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import grades_from_labels, score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, grades_from_labels(docs, table(spark, sf_dir, "labels"))))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_two_fit
 
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_reputation": op3_url_reputation,
     "op5_license_scan": op5_license_scan,
     "op7_html_extraction": op7_html_extraction,
+    "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pii": op10_pii,
 }
