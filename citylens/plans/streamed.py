@@ -10,7 +10,7 @@ batch answers agree on in-order input, so the batch oracles apply.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,9 @@ from ..functions.scalar import fixed, py_round
 from ..operators import enrich, windows
 from ..session import parallelism, prepare, scratch_path
 from ..operators.reports import aqi_history
-from ..sinks.writers import start_parquet, upsert_partitions, versioned_append
-from ..sources.streams import event_time, table_stream
-from ..streaming import jobs, stateful
+from ..sinks.writers import path_exists, start_parquet, upsert_partitions, versioned_append
+from ..sources.streams import Replay, event_time, table_stream
+from ..streaming import stateful
 from . import catalog as C
 from . import mapping as M
 
@@ -40,21 +40,32 @@ def state_partitions(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def _drain(spark: SparkSession, df: DataFrame, checkpoint: str, mode: str, sink, feed: Iterable) -> int:
+    """Run a streaming DataFrame over all that is there (once per step of
+    ``feed``, state carried by the checkpoint); the number of input rows."""
+    rows = 0
+    for _ in feed:
+        with state_partitions(spark):
+            q = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).foreachBatch(sink).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        rows += sum(p.numInputRows for p in q.recentProgress)
+    return rows
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
-                 keys: Sequence[str] | None = None) -> DataFrame:
+                 keys: Sequence[str] | None = None, feed: Iterable = (0,)) -> DataFrame:
     """Drain a streaming DataFrame into Parquet (versioned by micro-batch)
-    and read it back; update-mode results are collapsed per ``keys``."""
+    and read it back; update-mode results are collapsed per ``keys``.  Only a
+    source without rows may leave no table; a table that cannot be read is an
+    error."""
     out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    with state_partitions(spark):
-        q = (df.writeStream.outputMode(mode).option("checkpointLocation", ck)
-             .trigger(availableNow=True).foreachBatch(versioned_append(out)).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    try:
-        res = spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - nothing was emitted
+    rows = _drain(spark, df, ck, mode, versioned_append(out), feed)
+    if not rows and not path_exists(spark, out):
         return spark.createDataFrame([], df.schema)
+    res = spark.read.parquet(out)
     if keys:
         res = windows.latest_version(res, list(keys), "batch_id")
     return res.drop("batch_id")
@@ -65,6 +76,17 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     return event_time(table_stream(spark, sf, "events"), "ts")
 
 
+#: files of a table replayed in one micro-batch
+REPLAY_FILES = 64
+
+
+def _events_replay(spark: SparkSession, sf: str) -> tuple[DataFrame, Iterable]:
+    """The events in event-time order, and the steps that feed them."""
+    prepare(spark)
+    r = Replay(spark, sf, "events", "ts", REPLAY_FILES)
+    return event_time(r.stream, "ts"), r.feed()
+
+
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
@@ -72,43 +94,48 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def stream_ward_energy(spark, sf):
-    ev = M.smart_meters(_events_stream(spark, sf)).withWatermark("timestamp", "45 minutes")
+    events, feed = _events_replay(spark, sf)
+    ev = M.smart_meters(events).withWatermark("timestamp", "45 minutes")
     agg = windows.ward_energy(ev)
-    res = run_to_table(spark, agg, "stream_ward_energy", "update", ["ward_id", "window_start"])
+    res = run_to_table(spark, agg, "stream_ward_energy", "update", ["ward_id", "window_start"], feed=feed)
     return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
 
 
 def stream_zone_advisory(spark, sf):
-    aq = M.air_quality(_events_stream(spark, sf))
-    adv = jobs.advisory_stream(spark, aq, M.zone_profile(spark), C.ADVISORY_ABOVE, decoded=True,
-                               view="aqi_stream_events")
-    res = run_to_table(spark, adv.drop("emitted_at"), "stream_zone_advisory", "update",
-                       ["zone", "window_start"])
-    return _ntz(res, "window_start", "window_end")
+    """Advisories from window averages kept in update mode: versions are
+    collapsed before the threshold, so a window whose average has fallen
+    below it since is not reported."""
+    events, feed = _events_replay(spark, sf)
+    aq = M.air_quality(events).withWatermark("timestamp", "10 minutes")
+    res = run_to_table(spark, windows.zone_aqi(aq), "stream_zone_advisory", "update", ["zone", "window_start"], feed=feed)
+    return C.advisories(_ntz(res, "window_start", "window_end"), M.zone_profile(spark))
 
 
 def stream_rolling_avg_slide(spark, sf):
     """Sliding 10-minute AQI averages every 5 minutes on the stream (each
     reading updates two windows)."""
-    aq = M.air_quality(_events_stream(spark, sf)).withWatermark("timestamp", "10 minutes")
+    events, feed = _events_replay(spark, sf)
+    aq = M.air_quality(events).withWatermark("timestamp", "10 minutes")
     agg = windows.zone_aqi(aq, every="10 minutes", slide="5 minutes")
-    res = run_to_table(spark, agg, "stream_rolling_avg_slide", "update", ["zone", "window_start"])
+    res = run_to_table(spark, agg, "stream_rolling_avg_slide", "update", ["zone", "window_start"], feed=feed)
     return _ntz(res, "window_start", "window_end")
 
 
 def stream_alerts_cooldown(spark, sf):
-    aq = M.air_quality(_events_stream(spark, sf)).withWatermark("timestamp", "30 seconds")
+    events, feed = _events_replay(spark, sf)
+    aq = M.air_quality(events).withWatermark("timestamp", "30 seconds")
     a = stateful.cooldown_alerts_stream(aq, "sensor_id", "timestamp", F.col("aqi") > C.AQI_ALERT_ABOVE,
                                         C.AQI_COOLDOWN, id_col="event_id")
     a = a.select(F.lit("AQI_EMERGENCY").alias("incident_type"), "sensor_id", "zone", "aqi", "pm25",
                  F.lit(C.AQI_ALERT_ABOVE).alias("threshold"),
                  F.format_string("HAZARDOUS AQI %d at sensor %s zone %s", "aqi", "sensor_id", "zone")
                  .alias("message"), F.col("timestamp").alias("event_time"), "event_id")
-    return _ntz(run_to_table(spark, a, "stream_alerts_cooldown"), "event_time")
+    return _ntz(run_to_table(spark, a, "stream_alerts_cooldown", feed=feed), "event_time")
 
 
 def stream_alerts_consecutive(spark, sf):
-    tr = M.traffic_signals(_events_stream(spark, sf)).withWatermark("timestamp", "30 seconds")
+    events, feed = _events_replay(spark, sf)
+    tr = M.traffic_signals(events).withWatermark("timestamp", "30 seconds")
     g = stateful.consecutive_breach_stream(tr, "junction_id", "timestamp", "avg_wait_sec", C.WAIT_ABOVE,
                                            C.WAIT_N, C.WAIT_WITHIN, id_col="event_id")
     g = g.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), "junction_id", "zone",
@@ -116,7 +143,7 @@ def stream_alerts_consecutive(spark, sf):
                  F.format_string("GRIDLOCK at %s zone %s — avg wait %ss for %d cycles", "junction_id",
                                  "zone", fixed("avg_last_n", 0), "consecutive_readings").alias("message"),
                  F.col("timestamp").alias("event_time"), "event_id")
-    return _ntz(run_to_table(spark, g, "stream_alerts_consecutive"), "event_time")
+    return _ntz(run_to_table(spark, g, "stream_alerts_consecutive", feed=feed), "event_time")
 
 
 def stream_enrich_lookup(spark, sf):
@@ -149,26 +176,22 @@ def stream_dlq_summary(spark, sf):
 def stream_bunching_clock(spark, sf):
     """Clock-mode bunching alerts per route (stateful; checked on rows --
     the clock rule has no set-based SQL form; see the tests' model)."""
-    bus = M.bus_gps(_events_stream(spark, sf)).withWatermark("timestamp", "30 minutes")
+    events, feed = _events_replay(spark, sf)
+    bus = M.bus_gps(events).withWatermark("timestamp", "30 minutes")
     b = stateful.bunching_stream(bus, max_distance_m=C.BUNCH_DISTANCE_M, max_gap=C.BUNCH_GAP,
                                  duration=C.BUNCH_MIN_DURATION)
-    return _ntz(run_to_table(spark, b, "stream_bunching_clock"), "event_time")
+    return _ntz(run_to_table(spark, b, "stream_bunching_clock", feed=feed), "event_time")
 
 
 def stream_ward_energy_upsert(spark, sf):
     """Ward energy in update mode landed by the per-window upsert sink: the
     Parquet folder (partitioned by ward and date) holds one current row per
     window after every micro-batch -- read as is, no version collapse."""
-    ev = M.smart_meters(_events_stream(spark, sf)).withWatermark("timestamp", "45 minutes")
+    events, feed = _events_replay(spark, sf)
+    ev = M.smart_meters(events).withWatermark("timestamp", "45 minutes")
     agg = windows.ward_energy(ev)
     out, ck = scratch_path(spark, "stream_ward_energy_upsert"), scratch_path(spark, "stream_ward_energy_upsert-ck")
-    with state_partitions(spark):
-        q = (agg.writeStream.outputMode("update").option("checkpointLocation", ck)
-             .trigger(availableNow=True)
-             .foreachBatch(upsert_partitions(out, ["ward_id", "window_start"], ["ward_id", "date"])).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _drain(spark, agg, ck, "update", upsert_partitions(out, ["ward_id", "window_start"], ["ward_id", "date"]), feed)
     res = spark.read.parquet(out).drop("batch_id")
     return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
 

@@ -65,7 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir`` (or the context's current checkpoint
-    dir).  Only when neither is set -- local tests -- a scratch folder is made.
+    dir).  Where neither is set, a local master (tests) gets a scratch folder;
+    on a cluster a machine-local folder would be lost to the other machines,
+    so that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -76,6 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         conf_dir = tempfile.mkdtemp(prefix="citylens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -15,12 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.codec import encode
-from ..operators.windows import latest_version
 
 
 def trigger_args(trigger: str | None) -> dict:
@@ -99,27 +98,47 @@ def versioned_append(path: str, partition_by: Sequence[str] = ()) -> Callable[[D
 
 def upsert_partitions(path: str, keys: Sequence[str], partition_by: Sequence[str],
                       version: str = "batch_id") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer keeping one row per ``keys`` (the newest
-    version) in each partition the batch touches; other partitions are not
-    read or written.  The merged rows are clustered by partition (one file
-    per partition and batch: a partition holds one row per window, so this
-    is bounded) and checkpointed before the overwrite (a path cannot be
-    overwritten while it is read).  Empty batches write nothing."""
+    """``foreachBatch`` writer keeping one row per ``keys`` in each partition
+    the batch touches: its rows replace stored rows of the same keys (whatever
+    their batch id, which restarts with a new checkpoint); other partitions are
+    not read or written.  The merged rows are clustered by partition (one file
+    per partition and batch: a partition holds one row per window, so this is
+    bounded) and checkpointed before the overwrite (a path cannot be
+    overwritten while it is read).  Empty batches write nothing.  A stored table
+    that cannot be read is an error: only a path that does not exist is the
+    first batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
         cur = batch.withColumn(version, F.lit(batch_id).cast("long"))
         merged = cur
-        try:
+        if path_exists(spark, path):
             old = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - first batch: nothing written yet
-            old = None
-        if old is not None:
             touched = cur.select(*partition_by).distinct()
-            old = old.join(touched, list(partition_by), "left_semi")
+            old = old.join(touched, list(partition_by), "left_semi").join(cur.select(*keys), list(keys), "left_anti")
             merged = old.unionByName(cur.select(*old.columns))
-        merged = latest_version(merged, keys, version).repartition(*partition_by).checkpoint()
+        merged = merged.repartition(*partition_by).checkpoint()
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
     return write
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Sub-folders and files of a folder, by name."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the last ``keep`` sub-folders, by name: readers of the
+    newest ones are never disturbed."""
+    for f in children(spark, path)[:-keep]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

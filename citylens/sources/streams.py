@@ -9,7 +9,7 @@ downstream operator sees the same columns either way.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,10 @@ def kafka_options(bootstrap: str, topics: str | list[str], starting: str = "late
     """Options of a Kafka source.  ``starting`` is ``latest`` / ``earliest``
     or a JSON offsets spec; ``startingTimestamp`` etc. pass through ``extra``.
     ``max_offsets_per_trigger`` bounds a micro-batch (and so the rows of one
-    key a stateful task sees at once)."""
+    key a stateful task sees at once).  Expired offsets stop the query, as Spark
+    does by default; pass ``failOnDataLoss="false"`` to go on without them."""
     subs = topics if isinstance(topics, str) else ",".join(topics)
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": subs, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": subs, "startingOffsets": starting}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update({k: str(v) for k, v in extra.items()})
@@ -48,8 +48,8 @@ def read_topic_files(spark: SparkSession, path: str, topic: str, stream: bool =
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """A folder of JSON-lines files as one topic, in the Kafka envelope.
 
-    ``offset`` is the line's position inside its file (files are the unit of
-    progress for a file source); ``partition`` is 0; ``key`` is NULL.
+    A text file has no offsets (files are the unit of progress), so
+    ``offset`` is NULL, as is ``key``; ``partition`` is 0.
     """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
@@ -81,18 +81,73 @@ def short_topic(col="topic") -> F.Column:
     return F.regexp_replace(c, r"^.*\.", "")
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema=None,
                  max_files_per_trigger: int | None = 64) -> DataFrame:
-    """One of the generated tables read as a file stream (the folder holds
-    several tables, so the file is picked with ``pathGlobFilter``).  At most
-    ``max_files_per_trigger`` files per micro-batch: a backfill over a large
-    archive proceeds in bounded batches (bounded state-operator input)."""
+    """A stored table read as a file stream: the folder of a table of many
+    part files, or (the stream source takes folders only) a single file picked
+    from its parent by name.  At most ``max_files_per_trigger`` files per
+    micro-batch, in the order of their modification times -- rules that depend
+    on event-time order replay the table with ``Replay``."""
+    path = table_path(sf_dir, name)
     if schema is None:
-        schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        schema = spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(sf_dir)
+    if is_folder(spark, path):
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+class Replay:
+    """A stored table replayed as a stream in event-time order.
+
+    Part files of a table are in no order, and a watermark (or a per-key clock)
+    that has seen a late file discards what an early one holds.  A table of up
+    to ``max_files`` files is one micro-batch, which needs no order.  A larger
+    one is cut into time slices of about that many files, written once into a
+    folder per slice; every ``feed`` adds the next slice to the stream's
+    folder, and the query runs over it before the next.  State and watermark
+    carry over through the query's checkpoint, so a batch stays bounded and
+    nothing arrives late.  Rows without an event time come first.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, ts: str = "ts", max_files: int = 64):
+        from ..session import scratch_path
+
+        self.spark, src = spark, spark.read.parquet(table_path(sf_dir, name))
+        self.slices = -(-len(src.inputFiles()) // max_files)
+        self.schema = src.schema
+        if self.slices <= 1:
+            self.slices = 1
+            self.stream = table_stream(spark, sf_dir, name, src.schema, None)
+            return
+        when = F.unix_micros(F.col(ts).cast("timestamp"))
+        cuts = src.select(when.cast("double").alias("t")).approxQuantile(
+            "t", [i / self.slices for i in range(1, self.slices)], 0.25 / self.slices)
+        part = F.coalesce(sum((F.when(when >= int(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0)), F.lit(0))
+        self.slices = len(set(cuts)) + 1
+        self.staged, self.live = scratch_path(spark, f"{name}-slices"), scratch_path(spark, f"{name}-live")
+        src.withColumn("__slice", part).write.partitionBy("__slice").parquet(self.staged)
+        spark.createDataFrame([], self.schema).write.mode("append").parquet(self.live)
+        self.stream = spark.readStream.schema(self.schema).parquet(self.live)
+
+    def feed(self) -> Iterator[int]:
+        """Before each step, the stream's folder holds one slice more."""
+        for i in range(self.slices):
+            if self.slices > 1:
+                (self.spark.read.schema(self.schema).parquet(f"{self.staged}/__slice={i}")
+                 .write.mode("append").parquet(self.live))
+            yield i
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:
