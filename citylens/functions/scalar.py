@@ -31,21 +31,35 @@ def round_half_even(x, digits: int) -> Column:
     return F.bround(_c(x), digits)
 
 
-def fixed_sum(x, scale: int = 2, precision: int = 18) -> Column:
-    """Exact, order-independent sum of a fixed-point measurement, as double.
+#: decimals a measurement is summed with: 16 digits before the point, 12 after
+EXACT = "decimal(28,12)"
+
+
+def fixed_sum(x) -> Column:
+    """Sum of a measurement as double, exact and independent of the order
+    wherever every value fits ``EXACT`` without loss.
 
     Double sums differ in the last bits between runs because partitions are
-    added in arrival order; summing the value as ``decimal(precision, scale)``
-    makes every re-run (and every engine) return the same number, which the
-    historical re-run of ward summaries requires.  ``scale`` is the number of
-    decimals the sensor reports.
+    added in arrival order; the decimal sum makes every re-run (and every
+    engine) return the same number.  If any value of the group is finer or
+    larger than the decimal holds (or is not finite), the group's sum is the
+    plain double sum: no value is rounded, dropped or an error.
     """
-    return F.sum(_c(x).cast(f"decimal({precision},{scale})")).cast("double")
+    v = _c(x).cast("double")
+    d = v.try_cast(EXACT)
+    exact = F.count_if(v.isNotNull() & ~F.coalesce(d.cast("double") == v, F.lit(False))) == 0
+    return F.when(exact, F.try_sum(d).cast("double")).otherwise(F.sum(v))
+
+
+def fixed_avg(x) -> Column:
+    """Mean by ``fixed_sum`` over the count."""
+    return fixed_sum(x) / F.count(_c(x))
 
 
-def fixed_avg(x, scale: int = 2, precision: int = 18) -> Column:
-    """Order-independent mean: exact decimal sum divided by the count."""
-    return fixed_sum(x, scale, precision) / F.count(_c(x))
+def number_text(x) -> Column:
+    """A number as a message prints it: whole ones without a decimal point."""
+    v = _c(x).cast("double")
+    return F.when((v == F.floor(v)) & (F.abs(v) < 1e15), v.cast("long").cast("string")).otherwise(v.cast("string"))
 
 
 # -- time ---------------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, unit_xyz
-from ..functions.scalar import epoch_micros, fixed, py_round
+from ..functions.scalar import epoch_micros, fixed, number_text, py_round
 from .sequence import (chunk_window, exclusive_running_max, island_starts, micros, seconds,
                        with_halo)
 
@@ -229,9 +229,12 @@ def _offsets(v: Column, cell: float, reach: float) -> tuple[Column, Column]:
 def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon: str,
                     max_distance_m: float = 200.0, max_gap="60 seconds", id_col: str = "event_id",
                     cell_factor: float = 4.0, keep: Sequence[str] = ()) -> DataFrame:
-    """All pairs of sightings of two *different* entities on the same key
-    (route) at most ``max_gap`` apart in time and ``max_distance_m`` apart
-    (haversine).  One row per unordered pair, ``entity_1 < entity_2``.
+    """Sightings that come within ``max_distance_m`` (haversine) of the latest
+    position of a *different* entity on the same key (route), that position
+    being at most ``max_gap`` old.  One row per sighting and other entity,
+    ``entity_1 < entity_2``: an entity that has moved on since is compared where
+    it is now, and two parked ones give one row per sighting, not one per pair
+    of sightings.
 
     Scale: a spatio-temporal grid join.  Each sighting has a home cell
     ``(key, x, y, z, t)``: earth-centred coordinates on a grid of side
@@ -254,10 +257,19 @@ def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon
     iy, oy = _offsets(y, cell, d + eps)
     iz, oz = _offsets(z, cell, d + eps)
     it = F.floor(t / F.lit(gap_us))
-    base = keyed(df, [key, entity]).select(F.col(key).alias("__k"), F.col(entity).alias("__e"), F.col(ts).alias("__ts"),
+    # until when a sighting is its entity's latest: the next one, if within the
+    # gap -- looked up per (key, entity, time chunk), the first rows of a chunk
+    # also closing the chunk before
+    span = 16 * gap_us
+    chunk = F.floor(t / F.lit(span))
+    ahead = F.array(F.struct(chunk.alias("c"), F.lit(False).alias("halo")), F.struct((chunk - 1).alias("c"), F.lit(True).alias("halo")))
+    placed = keyed(df, [key, entity]).withColumn("__at", F.explode(F.when(t - chunk * span <= gap_us, ahead).otherwise(F.slice(ahead, 1, 1))))
+    order = Window.partitionBy(key, entity, "__at.c").orderBy(t, id_col)
+    nxt = F.lead(F.struct(t.alias("t"), F.col(id_col).alias("id"))).over(order)
+    base = placed.withColumn("__next", nxt).where("not __at.halo").select(F.col(key).alias("__k"), F.col(entity).alias("__e"), F.col(ts).alias("__ts"),
                      F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), F.col(id_col).alias("__id"),
                      *[F.col(c).alias(f"__keep_{c}") for c in keep],
-                     ix.alias("__ix"), iy.alias("__iy"), iz.alias("__iz"), it.alias("__it"),
+                     ix.alias("__ix"), iy.alias("__iy"), iz.alias("__iz"), it.alias("__it"), F.col("__next"),
                      ox.alias("__ox"), oy.alias("__oy"), oz.alias("__oz"), t.alias("__tus"))
     cells = F.flatten(F.transform(F.col("__ox"), lambda a: F.flatten(F.transform(
         F.col("__oy"), lambda b: F.flatten(F.transform(
@@ -278,7 +290,8 @@ def proximity_pairs(df: DataFrame, key: str, entity: str, ts: str, lat: str, lon
     later = (F.col("q__tus") > F.col("p__tus")) | (
         (F.col("q__tus") == F.col("p__tus")) & (F.col("q__id") > F.col("p__id")))
     gap = F.col("q__tus") - F.col("p__tus")
-    j = (j.filter(later & (gap <= F.lit(gap_us)) & (F.col("p__e") != F.col("q__e")))
+    latest = F.col("p__next").isNull() | (F.struct(F.col("q__tus").alias("t"), F.col("q__id").alias("id")) < F.col("p__next"))
+    j = (j.filter(later & latest & (gap <= F.lit(gap_us)) & (F.col("p__e") != F.col("q__e")))
           .withColumn("distance_m", haversine_m("p__lat", "p__lon", "q__lat", "q__lon"))
           .filter(F.col("distance_m") <= d))
     first = F.col("p__e") < F.col("q__e")
@@ -321,48 +334,59 @@ def proximity_incidents(pairs: DataFrame, key: str, entity: str, min_duration="3
 # incident shapes (U1)
 # ---------------------------------------------------------------------------
 
-INCIDENT_COLUMNS = ["incident_type", "entity_id", "zone", "route_id", "bus_1", "bus_2", "metric",
-                    "message", "event_time"]
+#: the columns of the three incident shapes on one output (those of the other shapes are NULL)
+INCIDENT_TYPES = {
+    "incident_type": "string", "sensor_id": "string", "junction_id": "string", "zone": "string", "route_id": "string",
+    "bus_1": "string", "bus_2": "string", "aqi": "double", "pm25": "double", "threshold": "double", "avg_wait_sec": "double",
+    "consecutive_readings": "int", "distance_m": "double", "duration_sec": "double", "message": "string",
+    "event_time": "timestamp", "alert_time": "timestamp"}
+INCIDENT_COLUMNS = list(INCIDENT_TYPES)
 
 
-def aqi_incident(alerts: DataFrame, sensor: str = "sensor_id", zone: str = "zone", aqi: str = "aqi",
-                 ts: str = "timestamp") -> DataFrame:
-    """Cooldown alerts in the common incident shape."""
-    return alerts.select(F.lit("AQI_EMERGENCY").alias("incident_type"), F.col(sensor).alias("entity_id"),
-                         F.col(zone).alias("zone"), F.col(aqi).cast("double").alias("metric"),
-                         F.format_string("HAZARDOUS AQI %d at sensor %s zone %s", aqi, sensor, zone)
-                         .alias("message"), F.col(ts).alias("event_time"))
+def aqi_incident(alerts: DataFrame, threshold: float, sensor: str = "sensor_id", zone: str = "zone", aqi: str = "aqi",
+                 pm25: str = "pm25", ts: str = "timestamp") -> DataFrame:
+    """Cooldown alerts as incidents; ``alert_time`` is when the row is made."""
+    return alerts.select(F.lit("AQI_EMERGENCY").alias("incident_type"), F.col(sensor).alias("sensor_id"),
+                         F.col(zone).alias("zone"), F.col(aqi).cast("double").alias("aqi"), F.col(pm25).alias("pm25"),
+                         F.lit(float(threshold)).alias("threshold"),
+                         F.format_string("HAZARDOUS AQI %s at sensor %s zone %s", number_text(aqi), sensor, zone)
+                         .alias("message"), F.col(ts).alias("event_time"), F.current_timestamp().alias("alert_time"))
 
 
 def gridlock_incident(alerts: DataFrame, junction: str = "junction_id", zone: str = "zone",
                       ts: str = "timestamp") -> DataFrame:
-    """Consecutive-breach alerts in the common incident shape."""
-    return alerts.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), F.col(junction).alias("entity_id"),
-                         F.col(zone).alias("zone"), py_round("avg_last_n", 1).alias("metric"),
+    """Consecutive-breach alerts as incidents."""
+    return alerts.select(F.lit("TRAFFIC_GRIDLOCK").alias("incident_type"), F.col(junction).alias("junction_id"),
+                         F.col(zone).alias("zone"), py_round("avg_last_n", 1).alias("avg_wait_sec"), "consecutive_readings",
                          F.format_string("GRIDLOCK at %s zone %s — avg wait %ss for %d cycles", junction,
                                          zone, fixed("avg_last_n", 0), "consecutive_readings").alias("message"),
-                         F.col(ts).alias("event_time"))
+                         F.col(ts).alias("event_time"), F.current_timestamp().alias("alert_time"))
 
 
 def bunching_incident(inc: DataFrame, route: str = "route_id", bus_1: str = "bus_1", bus_2: str = "bus_2",
                       distance: str = "distance_m", duration: str = "duration_sec",
                       ts: str = "event_time") -> DataFrame:
-    """Bunching alerts (either mode) in the common incident shape (distance
-    to 1 decimal; the message uses the unrounded distance)."""
+    """Bunching alerts (either mode) as incidents: distance to 1 decimal,
+    duration to whole seconds; the message uses the unrounded values."""
     return inc.select(F.lit("BUS_BUNCHING").alias("incident_type"), F.col(route).alias("route_id"),
                       F.col(bus_1).alias("bus_1"), F.col(bus_2).alias("bus_2"),
-                      py_round(distance, 1).alias("metric"),
+                      py_round(distance, 1).alias("distance_m"), py_round(duration, 0).alias("duration_sec"),
                       F.format_string("BUNCHING on route %s: buses %s & %s within %sm for %s min",
                                       route, bus_1, bus_2, fixed(distance, 0),
                                       fixed(F.col(duration) / 60, 1)).alias("message"),
-                      F.col(ts).alias("event_time"))
+                      F.col(ts).alias("event_time"), F.current_timestamp().alias("alert_time"))
+
+
+def incident_shape(df: DataFrame) -> DataFrame:
+    """All incident columns, those that ``df`` lacks NULL."""
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in INCIDENT_TYPES.items()])
 
 
 def union_incidents(*frames: DataFrame) -> DataFrame:
-    """Several alert shapes on one output (missing columns become NULL)."""
-    out = frames[0]
+    """Several alert shapes on one output."""
+    out = incident_shape(frames[0])
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        out = out.unionByName(incident_shape(f))
     return out
 
 
@@ -374,12 +398,12 @@ def incidents(aq: DataFrame, traffic: DataFrame, bus: DataFrame, arrival: str, l
     per-stream late drop against the running watermark (``arrival`` = the
     arrival order, e.g. the offset), then the three detectors (bunching in
     continuous mode), in one incident shape."""
-    def kept(df: DataFrame) -> DataFrame:  # one stream = one topic
-        return drop_late(df.withColumn("__topic", F.lit(0)), "__topic", ts, arrival, lateness).drop("__topic")
+    def kept(df: DataFrame) -> DataFrame:  # one stream = one topic; a written table, so that the detectors do not redo the drop
+        return drop_late(df.withColumn("__topic", F.lit(0)), "__topic", ts, arrival, lateness).drop("__topic").checkpoint()
 
     aq, traffic, bus = kept(aq), kept(traffic), kept(bus)
     a = aqi_incident(cooldown_alerts(aq, "sensor_id", ts, F.col("aqi") > aqi_above, cooldown, id_col=arrival),
-                     ts=ts)
+                     aqi_above, ts=ts)
     g = gridlock_incident(consecutive_breach(traffic, "junction_id", ts, "avg_wait_sec", wait_above, n, within,
                                              order=[arrival]), ts=ts)
     pairs = proximity_pairs(bus, "route_id", "bus_id", ts, "lat", "lon", distance_m, gap, id_col=arrival)

@@ -70,6 +70,14 @@ def _dedupe(dim: DataFrame, on: list[str], order: str | None) -> DataFrame:
     return dim.groupBy(*on).agg(last.alias("__d")).select(*on, *[F.col(f"__d.{c}").alias(c) for c in rest])
 
 
+def last_row_wins(dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """One row per key of a dimension file read as a batch: the last in file
+    order.  The row numbers are written (a checkpoint), because a plan that
+    numbers rows cannot be part of a streaming query."""
+    numbered = dim.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    return _dedupe(numbered, list(on), "__row").drop("__row")
+
+
 def enrich(stream: DataFrame, dim: DataFrame, on: str | Sequence[str] = "route_id",
            how: str = "inner", dedupe_by: str | None = None,
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codec import is_json_object
+from ..functions.scalar import number_text
 
 # Fixed values of the validation contract.
 LAT_MIN, LAT_MAX = 12.88, 13.12
@@ -33,9 +34,9 @@ PF_MIN, PF_MAX = 0.0, 1.0
 
 # Field types per topic (what a validator reads).
 FIELD_TYPES = {
-    "air_quality": {"aqi": "int", "pm25": "double", "pm10": "double"},
+    "air_quality": {"aqi": "double", "pm25": "double", "pm10": "double"},
     "bus_gps": {"lat": "double", "lon": "double", "speed_kmh": "double"},
-    "traffic_signals": {"avg_wait_sec": "int", "vehicle_count": "int", "junction_id": "string"},
+    "traffic_signals": {"avg_wait_sec": "double", "vehicle_count": "double", "junction_id": "string"},
     "smart_meters": {"voltage": "double", "power_factor": "double", "meter_id": "string"},
 }
 
@@ -67,7 +68,7 @@ RULES: dict[str, list[Rule]] = {
         Rule("null_aqi", lambda g: g("aqi").isNull(), _msg("null_aqi")),
         Rule("aqi_out_of_range",
              lambda g: g("aqi").isNotNull() & ~g("aqi").between(AQI_MIN, AQI_MAX),
-             lambda g: F.concat(F.lit("aqi_out_of_range:"), g("aqi").cast("string"))),
+             lambda g: F.concat(F.lit("aqi_out_of_range:"), number_text(g("aqi")))),
         Rule("negative_pm25", lambda g: F.coalesce(g("pm25") < 0, F.lit(False)), _msg("negative_pm25")),
         Rule("negative_pm10", lambda g: F.coalesce(g("pm10") < 0, F.lit(False)), _msg("negative_pm10")),
     ],
@@ -168,13 +169,19 @@ def error_type(err) -> Column:
     return F.substring_index(c, ":", 1)
 
 
+def _some(errors: str) -> Column:
+    """The error list, NULL when empty: explodes to the same rows."""
+    return F.when(F.size(errors) > 0, F.col(errors))
+
+
 def explode_errors(df: DataFrame, keep: list[str]) -> DataFrame:
     """One row per (message, error) with the error's 1-based position.
 
-    No ``is_valid`` filter first: an empty error list explodes to no rows,
-    and a filter would be pushed below the validator by substituting the
-    whole rule expression into it (evaluating the rules twice per row)."""
-    return (df.select(*keep, F.posexplode("errors").alias("pos", "error"))
+    No ``is_valid`` filter first, and the generator's input is an expression,
+    not the attribute: from an attribute Catalyst infers ``size(errors) > 0``
+    and pushes it below the validator with the whole rule expression written
+    into it (one JSON parse per field and rule)."""
+    return (df.select(*keep, F.posexplode(_some("errors")).alias("pos", "error"))
               .withColumn("error_pos", F.col("pos") + 1).drop("pos"))
 
 
@@ -182,7 +189,7 @@ def error_distribution(df: DataFrame, topic_col: str = "topic", by_type: bool =
     """Count of each error per topic, most frequent first.  ``by_type``
     groups by the error type instead of the full text (full texts embed the
     offending value, so their number of groups grows with the data)."""
-    e = df.select(F.col(topic_col).alias("topic"), F.explode("errors").alias("error"))
+    e = df.select(F.col(topic_col).alias("topic"), F.explode(_some("errors")).alias("error"))
     if by_type:
         e = e.withColumn("error", error_type("error"))
     return e.groupBy("topic", "error").agg(F.count(F.lit(1)).alias("count")).orderBy(
@@ -204,6 +211,21 @@ def dlq_summary(df: DataFrame, topic_col: str = "topic") -> DataFrame:
                                  F.round(F.col("dlq") * 100.0 / F.col("total"), 1))))
 
 
+TOTAL = "TOTAL"
+
+
+def report_totals(counts: DataFrame, topics: list[str]) -> DataFrame:
+    """From (topic, valid, dlq) the report's totals: a row per topic -- also
+    of listed topics that sent nothing -- and one for all, with the rate of
+    dead letters in percent (NULL without messages)."""
+    listed = counts.sparkSession.createDataFrame([(t, 0, 0) for t in topics], "topic string, valid long, dlq long")
+    per = counts.select("topic", "valid", "dlq").unionByName(listed)
+    # one pass for topics and the grand total
+    both = per.select(F.explode(F.array(F.col("topic"), F.lit(TOTAL))).alias("topic"), "valid", "dlq")
+    rate = F.when(F.col("valid") + F.col("dlq") > 0, F.round(F.col("dlq") * 100.0 / (F.col("valid") + F.col("dlq")), 1))
+    return both.groupBy("topic").agg(F.sum("valid").alias("valid"), F.sum("dlq").alias("dlq")).withColumn("dlq_rate_pct", rate)
+
+
 def dlq_envelope(df: DataFrame, topic_col: str, original: Column, now: Column | None = None) -> DataFrame:
     """Dead-letter records: ``(original_topic, error_reason, all_errors,
     original_data, dlq_timestamp)`` for the invalid rows, keyed by topic."""

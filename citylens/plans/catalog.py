@@ -75,7 +75,7 @@ def zone_advisory(spark, sf):
 
 def downsample_6h(spark, sf):
     aq = M.air_quality(_ev(spark, sf))
-    return windows.downsample(aq, "timestamp", ["sensor_id"], "pm25", "6 hours", scale=2)
+    return windows.downsample(aq, "timestamp", ["sensor_id"], "pm25", "6 hours")
 
 
 def latest_per_sensor(spark, sf):
@@ -94,7 +94,7 @@ def weekly_ward_report(spark, sf):
     w = ward_energy_15m(spark, sf)
     week = F.date_trunc("week", "window_start").cast("timestamp_ntz")
     return (w.groupBy(week.alias("week_start"), "ward_id")
-             .agg(fixed_sum("total_kwh_consumed", 2).alias("total_kwh"),
+             .agg(fixed_sum("total_kwh_consumed").alias("total_kwh"),
                   F.max("peak_voltage").alias("peak_voltage"),
                   F.count(F.lit(1)).alias("windows")))
 
@@ -170,6 +170,31 @@ def dlq_summary(spark, sf):
     return quality.dlq_summary(_checked(spark, sf))
 
 
+def dlq_report_totals(spark, sf):
+    """The validator's report: per topic (listed topics without a message
+    included) and in total."""
+    s = quality.dlq_summary(_checked(spark, sf))
+    return quality.report_totals(s, [*quality.RULES, "parking"])
+
+
+def enrich_last_row_wins(spark, sf):
+    """Customers joined to a dimension with several rows per key (orders by
+    customer): the last row, by order key, wins."""
+    prepare(spark)
+    dim = M.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority")
+    return enrich.enrich(M.table(spark, sf, "customer").select("c_custkey", "c_name"), dim, "c_custkey", "inner", dedupe_by="o_orderkey")
+
+
+def fractional_readings(spark, sf):
+    """Boundary cases with fractional numbers: readings compared as sent."""
+    ev = _ev(spark, sf)
+    topic = F.when(F.col("event_id") % 2 == 0, "air_quality").otherwise("traffic_signals")
+    aqi = F.concat(F.lit('{"aqi": '), (F.lit(499) + (F.col("event_id") % 8) / 4).cast("string"), F.lit("}"))
+    wait = F.concat(F.lit('{"junction_id": "J", "avg_wait_sec": '), (F.lit(-1) + (F.col("event_id") % 8) / 4).cast("string"), F.lit("}"))
+    raw = ev.select("event_id", topic.alias("topic"), F.when(F.col("event_id") % 2 == 0, aqi).otherwise(wait).alias("payload"))
+    return quality.validate_payloads(raw, "topic", "payload").select("event_id", "is_valid", "error_reason")
+
+
 def dlq_error_distribution(spark, sf):
     return quality.error_distribution(_checked(spark, sf))
 
@@ -262,7 +287,8 @@ def incidents_union(spark, sf):
                             lateness="30 seconds", aqi_above=AQI_ALERT_ABOVE, cooldown=AQI_COOLDOWN,
                             wait_above=WAIT_ABOVE, n=WAIT_N, within=WAIT_WITHIN,
                             distance_m=BUNCH_DISTANCE_M, gap=BUNCH_GAP, island_gap=BUNCH_ISLAND_GAP,
-                            duration=BUNCH_MIN_DURATION)
+                            duration=BUNCH_MIN_DURATION).drop("alert_time").withColumn(
+        "event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 def incident_counts(spark, sf):
@@ -303,6 +329,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dlq_errors": dlq_errors,
     "dlq_split": dlq_split,
     "dlq_summary": dlq_summary,
+    "dlq_report_totals": dlq_report_totals,
+    "fractional_readings": fractional_readings,
+    "enrich_last_row_wins": enrich_last_row_wins,
     "dlq_error_distribution": dlq_error_distribution,
     "dlq_error_types": dlq_error_types,
     "dlq_top_errors": dlq_top_errors,

@@ -127,6 +127,25 @@ SELECT topic, COUNT(*) AS total, COUNT(*) FILTER (WHERE len(errors) = 0) AS vali
        round(COUNT(*) FILTER (WHERE len(errors) > 0) * 100.0 / COUNT(*), 1) AS dlq_rate_pct
 FROM checked GROUP BY topic"""
 
+DLQ_REPORT_TOTALS = _CHECKED + """,
+per AS (
+  SELECT topic, CASE WHEN len(errors) = 0 THEN 1 ELSE 0 END AS valid, CASE WHEN len(errors) > 0 THEN 1 ELSE 0 END AS dlq FROM checked
+  UNION ALL SELECT unnest(['air_quality', 'bus_gps', 'traffic_signals', 'smart_meters', 'parking']), 0, 0),
+both_rows AS (SELECT * FROM per UNION ALL SELECT 'TOTAL', valid, dlq FROM per)
+SELECT topic, CAST(SUM(valid) AS BIGINT) AS valid, CAST(SUM(dlq) AS BIGINT) AS dlq,
+       CASE WHEN SUM(valid) + SUM(dlq) > 0 THEN round(SUM(dlq) * 100.0 / (SUM(valid) + SUM(dlq)), 1) END AS dlq_rate_pct
+FROM both_rows GROUP BY topic"""
+
+FRACTIONAL_READINGS = """
+WITH r AS (SELECT event_id, event_id % 2 = 0 AS aq, 499 + (event_id % 8) / 4.0 AS aqi, -1 + (event_id % 8) / 4.0 AS wait FROM events)
+SELECT event_id, CASE WHEN aq THEN aqi <= 500 ELSE wait >= 0 END AS is_valid,
+       CASE WHEN aq AND aqi > 500 THEN 'aqi_out_of_range:' || CAST(aqi AS DOUBLE) WHEN NOT aq AND wait < 0 THEN 'negative_wait_sec' END AS error_reason
+FROM r"""
+
+ENRICH_LAST_ROW_WINS = """
+SELECT c_custkey, c_name, max(o_orderkey) AS o_orderkey, arg_max(o_orderpriority, o_orderkey) AS o_orderpriority
+FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2"""
+
 DLQ_DIST = _CHECKED + """
 SELECT topic, error, COUNT(*) AS count FROM (SELECT topic, unnest(errors) AS error FROM checked)
 GROUP BY topic, error"""
@@ -182,13 +201,23 @@ _HAV = """6371000.0 * 2 * atan2(sqrt(
     pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2)),
   sqrt(1 - (pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))))"""
 
-_PAIRS_CTE = f"""pairs AS (
-  SELECT p.route_id, p.bus_id AS bus_id_1, q.bus_id AS bus_id_2, p.event_id AS event_id_1,
-         q.event_id AS event_id_2, p."timestamp" AS ts_1, q."timestamp" AS ts_2,
-         greatest(p."timestamp", q."timestamp") AS pair_time, {_HAV} AS distance_m,
-         abs(epoch_us(p."timestamp") - epoch_us(q."timestamp")) / 1000000.0 AS gap_sec
-  FROM bus_gps p JOIN bus_gps q ON p.route_id = q.route_id AND p.bus_id < q.bus_id
-   AND abs(epoch_us(p."timestamp") - epoch_us(q."timestamp")) <= 1800000000)"""
+_PAIRS_CTE = f"""seen AS (
+  SELECT *, lead("timestamp") OVER s AS next_ts, lead(event_id) OVER s AS next_id
+  FROM bus_gps WINDOW s AS (PARTITION BY route_id, bus_id ORDER BY "timestamp", event_id)),
+near AS (
+  SELECT p.*, q.event_id AS l_event_id, q.bus_id AS l_bus_id, q."timestamp" AS l_ts, {_HAV} AS distance_m
+  FROM seen p JOIN seen q ON p.route_id = q.route_id AND p.bus_id <> q.bus_id
+   AND (p."timestamp" < q."timestamp" OR (p."timestamp" = q."timestamp" AND p.event_id < q.event_id))
+   AND epoch_us(q."timestamp") - epoch_us(p."timestamp") <= 1800000000
+   AND (p.next_ts IS NULL OR q."timestamp" < p.next_ts OR (q."timestamp" = p.next_ts AND q.event_id < p.next_id))),
+pairs AS (
+  SELECT route_id, least(bus_id, l_bus_id) AS bus_id_1, greatest(bus_id, l_bus_id) AS bus_id_2,
+         CASE WHEN bus_id < l_bus_id THEN event_id ELSE l_event_id END AS event_id_1,
+         CASE WHEN bus_id < l_bus_id THEN l_event_id ELSE event_id END AS event_id_2,
+         CASE WHEN bus_id < l_bus_id THEN "timestamp" ELSE l_ts END AS ts_1,
+         CASE WHEN bus_id < l_bus_id THEN l_ts ELSE "timestamp" END AS ts_2,
+         l_ts AS pair_time, distance_m, (epoch_us(l_ts) - epoch_us("timestamp")) / 1000000.0 AS gap_sec
+  FROM near)"""
 
 PROXIMITY_PAIRS = _with(M.BUS_GPS_SQL, _PAIRS_CTE) + f"""
 SELECT route_id, bus_id_1, bus_id_2, event_id_1, event_id_2, ts_1, ts_2, pair_time,
@@ -220,15 +249,17 @@ INCIDENTS_UNION = f"""
 WITH a AS ({ALERTS_COOLDOWN}),
 g AS ({ALERTS_CONSECUTIVE}),
 b AS ({PROXIMITY_INCIDENTS.replace("round(MIN(distance_m), 3) AS min_distance_m", "MIN(distance_m) AS min_distance_m")})
-SELECT incident_type, sensor_id AS entity_id, zone, CAST(aqi AS DOUBLE) AS metric, message, event_time,
-       NULL::VARCHAR AS route_id, NULL::VARCHAR AS bus_1, NULL::VARCHAR AS bus_2 FROM a
+SELECT incident_type, sensor_id, NULL::VARCHAR AS junction_id, zone, NULL::VARCHAR AS route_id, NULL::VARCHAR AS bus_1, NULL::VARCHAR AS bus_2,
+       CAST(aqi AS DOUBLE) AS aqi, pm25, CAST(threshold AS DOUBLE) AS threshold, NULL::DOUBLE AS avg_wait_sec, NULL::INTEGER AS consecutive_readings,
+       NULL::DOUBLE AS distance_m, NULL::DOUBLE AS duration_sec, message, event_time FROM a
 UNION ALL
-SELECT incident_type, junction_id, zone, avg_wait_sec, message, event_time, NULL, NULL, NULL FROM g
+SELECT incident_type, NULL, junction_id, zone, NULL, NULL, NULL, NULL, NULL, NULL, avg_wait_sec, consecutive_readings, NULL, NULL, message, event_time FROM g
 UNION ALL
-SELECT 'BUS_BUNCHING', NULL, NULL, round(min_distance_m, 1),
+SELECT 'BUS_BUNCHING', NULL, NULL, NULL, route_id, bus_id_1, bus_id_2, NULL, NULL, NULL, NULL, NULL,
+       round(min_distance_m, 1), CAST(printf('%.0f', duration_sec) AS DOUBLE),
        'BUNCHING on route ' || route_id || ': buses ' || bus_id_1 || ' & ' || bus_id_2 || ' within '
          || printf('%.0f', min_distance_m) || 'm for ' || printf('%.1f', duration_sec / 60) || ' min',
-       end_time, route_id, bus_id_1, bus_id_2 FROM b"""
+       end_time FROM b"""
 
 INCIDENT_COUNTS = f"""SELECT incident_type, COUNT(*) AS alerts FROM ({INCIDENTS_UNION}) GROUP BY 1"""
 
@@ -277,6 +308,9 @@ ORACLE: dict[str, str] = {
     "dlq_errors": DLQ_ERRORS,
     "dlq_split": DLQ_SPLIT,
     "dlq_summary": DLQ_SUMMARY,
+    "dlq_report_totals": DLQ_REPORT_TOTALS,
+    "fractional_readings": FRACTIONAL_READINGS,
+    "enrich_last_row_wins": ENRICH_LAST_ROW_WINS,
     "dlq_error_distribution": DLQ_DIST,
     "dlq_error_types": DLQ_TYPES,
     "dlq_replay": DLQ_REPLAY,

@@ -16,11 +16,11 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 # -- input streams (one JSON object per event) -------------------------------
 AIR_QUALITY = _struct(("sensor_id", S), ("zone", S), ("pm25", D), ("pm10", D),
-                      ("no2", D), ("aqi", I), ("timestamp", TS))
+                      ("no2", D), ("aqi", D), ("timestamp", TS))
 BUS_GPS = _struct(("bus_id", S), ("route_id", S), ("lat", D), ("lon", D),
                   ("speed_kmh", D), ("occupancy_pct", I), ("timestamp", TS))
 TRAFFIC_SIGNALS = _struct(("junction_id", S), ("zone", S), ("vehicle_count", I),
-                          ("avg_wait_sec", I), ("signal_phase", S), ("timestamp", TS))
+                          ("avg_wait_sec", D), ("signal_phase", S), ("timestamp", TS))
 SMART_METERS = _struct(("meter_id", S), ("ward_id", S), ("kwh_reading", D),
                        ("voltage", D), ("power_factor", D), ("timestamp", TS))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.codec import decode
@@ -22,6 +23,8 @@ from . import stateful
 # windows, watermarks and detectors need an event time: a message whose
 # timestamp is missing or unparsable is skipped
 EVENT_TIME = ("timestamp",)
+# an event exactly 30 s behind is kept: Spark drops what is not after the watermark
+LATENESS = "30 seconds 1 millisecond"
 
 
 def _ck(root: str, name: str) -> str:
@@ -65,15 +68,11 @@ def ward_energy_upsert_job(raw: DataFrame, out_parquet: str, checkpoint_root: st
 
 # ------------------------------------------------------------------ health advisory (E1)
 def advisory_stream(spark: SparkSession, raw: DataFrame, profile: DataFrame, threshold: float = 150.0,
-                    watermark: str = "10 minutes", decoded: bool = False,
-                    view: str = "aqi_stream") -> DataFrame:
-    """Air-quality stream -> 10-min average AQI per zone (SQL text over a
-    streaming view) -> left join with the zone profile -> above threshold,
-    with advisory level and text."""
+                    watermark: str = "10 minutes", decoded: bool = False) -> DataFrame:
+    """Air-quality stream -> 10-min average AQI per zone -> left join with the
+    zone profile -> above threshold, with advisory level and text."""
     ev = raw if decoded else decode(raw, AIR_QUALITY, require=EVENT_TIME)
-    ev = ev.filter(F.col("aqi").isNotNull()).withWatermark("timestamp", watermark)
-    ev.createOrReplaceTempView(view)
-    avg = windows.zone_aqi_sql(spark, view)
+    avg = windows.zone_aqi(ev.withWatermark("timestamp", watermark))
     j = enrich.enrich(avg, profile.drop("zone_id"), "zone", "left", max_broadcast_rows=100_000)
     j = j.filter(F.col("rolling_avg_aqi") > threshold).withColumn("zone_name", F.coalesce("zone_name", "zone"))
     lvl = advisory_level("rolling_avg_aqi")
@@ -98,9 +97,10 @@ def enrichment_job(raw: DataFrame, routes: DataFrame, out_json: str | None, unma
                    decoded: bool = False) -> list[StreamingQuery]:
     """GPS stream joined to the route table (stream-static, broadcast after a
     size check); matches go to the enriched topic keyed by route, the rest
-    to an unmatched output.  Joined / unmatched counts are observed metrics."""
+    to an unmatched output.  Of several dimension rows of a route the last
+    wins.  Joined / unmatched counts are observed metrics."""
     ev = raw if decoded else decode(raw, BUS_GPS, require=EVENT_TIME)
-    d = enrich.bounded_broadcast(routes)
+    d = enrich.bounded_broadcast(enrich.last_row_wins(routes, ["route_id"]))
     flagged = ev.join(d.withColumn("__hit", F.lit(True)), "route_id", "left")
     flagged = flagged.observe("enrichment", F.count_if(F.col("__hit").isNotNull()).alias("joined"),
                               F.count_if(F.col("__hit").isNull()).alias("no_match"))
@@ -119,21 +119,36 @@ def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_r
             trigger: str | None = "5 seconds", kafka: dict | None = None,
             topic_names: dict[str, str] | None = None) -> list[StreamingQuery]:
     """Validate a multi-topic envelope stream; invalid messages go to the
-    dead-letter output keyed by original topic; the per-topic error
-    distribution (counts by error and by message) is kept current in
-    ``report_path`` (complete mode, rewritten each trigger)."""
+    dead-letter output keyed by original topic.  A report is kept current
+    under ``report_path`` (``latest_report``): errors by topic and type, and
+    per topic and in total how many messages were valid.  Its state is a row
+    per topic and error type, whatever the messages hold."""
     from ..sources.streams import short_topic
     msgs = raw.withColumn("topic", short_topic("topic"))
     chk = quality.validate_payloads(msgs, "topic", "value", topics=topic_names)
     env = quality.dlq_envelope(chk, "topic", F.col("value").cast("string"))
     qs = [writers.start_keyed_json(env, "original_topic", _ck(checkpoint_root, "dlq"), "append",
                                    trigger, dlq_json, kafka)]
-    dist = (chk.select("topic", "is_valid", F.explode_outer("errors").alias("error"))
-            .groupBy("topic", F.coalesce("error", F.lit("")).alias("error"))
-            .agg(F.count(F.lit(1)).alias("count")))
+    # what a message counts as: one of its error types each, and valid or dead
+    types = F.transform("errors", lambda e: quality.error_type(e))
+    counted = F.when(F.size("errors") > 0, F.concat(types, F.array(F.lit(DEAD)))).otherwise(F.array(F.lit(VALID)))
+    dist = (chk.select("topic", F.explode(counted).alias("error"))
+            .groupBy("topic", "error").agg(F.count(F.lit(1)).alias("count")))
+    topics = sorted(topic_names or quality.RULES)
 
     def write_report(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(report_path)
+        batch = batch.cache()
+        try:
+            totals = quality.report_totals(batch.groupBy("topic").agg(
+                F.sum(F.when(F.col("error") == VALID, F.col("count")).otherwise(0)).alias("valid"),
+                F.sum(F.when(F.col("error") == DEAD, F.col("count")).otherwise(0)).alias("dlq")), topics)
+            folder = f"{report_path}/batch={batch_id:012d}"
+            totals.coalesce(1).write.mode("overwrite").parquet(f"{folder}/totals")
+            (batch.where(~F.col("error").isin(VALID, DEAD)).coalesce(1)
+             .write.mode("overwrite").parquet(f"{folder}/errors"))            # last: its mark makes the report current
+            writers.drop_old(batch.sparkSession, report_path, keep=3)
+        finally:
+            batch.unpersist()
 
     qs.append(dist.writeStream.outputMode("complete")
               .option("checkpointLocation", _ck(checkpoint_root, "dlq_report"))
@@ -141,28 +156,43 @@ def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_r
     return qs
 
 
+VALID, DEAD = "(valid)", "(dead)"
+
+
+def latest_report(spark: SparkSession, report_path: str) -> tuple[DataFrame, DataFrame]:
+    """(errors, totals) of the newest complete report."""
+    done = [f for f in writers.children(spark, report_path) if writers.path_exists(spark, f"{f}/errors/_SUCCESS")]
+    if not done:
+        raise FileNotFoundError(f"no report under {report_path}")
+    return spark.read.parquet(f"{done[-1]}/errors"), spark.read.parquet(f"{done[-1]}/totals")
+
+
 # ------------------------------------------------------------------ incidents (E3)
-def incidents_streams(aq: DataFrame, traffic: DataFrame, bus: DataFrame, lateness: str = "30 seconds",
+def incidents_streams(aq: DataFrame, traffic: DataFrame, bus: DataFrame, lateness: str = LATENESS,
                       aqi_above: int = 300, cooldown: str = "120 seconds", wait_above: float = 180,
                       n: int = 3, within: str = "300 seconds", distance_m: float = 200.0,
                       gap: str = "60 seconds", duration: str = "300 seconds") -> dict[str, DataFrame]:
-    """Three decoded streams -> the three stateful detectors, each already in
-    the common incident shape (``detect.INCIDENT_COLUMNS``; missing columns
-    NULL).  Spark runs one keyed-state operator per streaming query, so the
+    """Three decoded streams (with a long ``event_id`` that orders events of
+    equal time) -> the three stateful detectors, each already in the common
+    incident shape (``detect.INCIDENT_COLUMNS``; missing columns NULL).  Spark runs one keyed-state operator per streaming query, so the
     three are separate queries writing to one incident output."""
     a = detect.aqi_incident(stateful.cooldown_alerts_stream(
-        aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp", F.col("aqi") > aqi_above, cooldown))
+        aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp", F.col("aqi") > aqi_above, cooldown),
+        aqi_above)
     g = detect.gridlock_incident(stateful.consecutive_breach_stream(
         traffic.withWatermark("timestamp", lateness), "junction_id", "timestamp", "avg_wait_sec", wait_above,
         n, within))
     b = detect.bunching_incident(stateful.bunching_stream(
         bus.withWatermark("timestamp", lateness), max_distance_m=distance_m, max_gap=gap, duration=duration))
-    shape = detect.INCIDENT_COLUMNS
+    return {t: detect.incident_shape(df) for t, df in (("AQI_EMERGENCY", a), ("TRAFFIC_GRIDLOCK", g), ("BUS_BUNCHING", b))}
 
-    def fill(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in shape])
 
-    return {"AQI_EMERGENCY": fill(a), "TRAFFIC_GRIDLOCK": fill(g), "BUS_BUNCHING": fill(b)}
+def _ordered(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Decoded messages with an ``event_id`` from the envelope: the offset (the
+    messages of a key share a partition), or where the source has none, a hash
+    of the message."""
+    own = raw.withColumn("event_id", F.coalesce(F.col("offset"), F.xxhash64("value")))
+    return decode(own, schema, keep=("event_id",), require=EVENT_TIME)
 
 
 def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame, out_json: str | None,
@@ -170,9 +200,8 @@ def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame,
                   **kw) -> list[StreamingQuery]:
     """The three detectors to one incident output keyed by incident type
     (one Kafka topic, or one JSON folder per type)."""
-    streams = incidents_streams(decode(raw_aq, AIR_QUALITY, require=EVENT_TIME),
-                                decode(raw_traffic, TRAFFIC_SIGNALS, require=EVENT_TIME),
-                                decode(raw_bus, BUS_GPS, require=EVENT_TIME), **kw)
+    streams = incidents_streams(_ordered(raw_aq, AIR_QUALITY), _ordered(raw_traffic, TRAFFIC_SIGNALS),
+                                _ordered(raw_bus, BUS_GPS), **kw)
     return [writers.start_keyed_json(df, "incident_type", _ck(checkpoint_root, f"incidents_{t.lower()}"),
                                      "append", trigger, None if out_json is None else f"{out_json}/{t}", kafka)
             for t, df in streams.items()]

@@ -169,18 +169,19 @@ def test_proximity_pairs_match_brute_force(spark):
                      round(12.9 + rnd.random() * 0.01, 6), round(77.6 + rnd.random() * 0.01, 6)))
     got = sorted((r.id_1, r.id_2) for r in detect.proximity_pairs(
         _bus(spark, rows), "route", "bus", "ts", "lat", "lon", 300.0, 60, id_col="id").collect())
+    want = _pairs_brute(rows, 300.0, 60)
+    assert len(want) > 50 and got == want
+
+
+def test_proximity_is_to_the_latest_position(spark):
+    # A leaves the stop at 0 and is 1.1 km away at 30; B reaches the stop at 45
+    rows = [("R", "A", 0, 12.9, 77.6), ("R", "A", 30, 12.91, 77.6), ("R", "B", 45, 12.9, 77.6)]
+    assert detect.proximity_pairs(_bus(spark, rows), "route", "bus", "ts", "lat", "lon", 200.0, 60, id_col="id").count() == 0
 
-    def hav(a, b, c, d):
-        p1, p2 = math.radians(a), math.radians(c)
-        x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
-        return 6371000.0 * 2 * math.atan2(math.sqrt(x), math.sqrt(1 - x))
 
-    want = []
-    for i, a in enumerate(rows):
-        for j, b in enumerate(rows):
-            if a[0] == b[0] and a[1] < b[1] and abs(a[2] - b[2]) <= 60 and hav(a[3], a[4], b[3], b[4]) <= 300.0:
-                want.append((i, j))
-    assert got == sorted(want)
+def test_parked_buses_give_a_row_per_sighting(spark):
+    rows = [("R", b, t / 4, 12.9, 77.6) for t in range(480) for b in ("A", "B")]
+    assert detect.proximity_pairs(_bus(spark, rows), "route", "bus", "ts", "lat", "lon", 200.0, 60, id_col="id").count() == 959
 
 
 def test_proximity_incident_duration_limit(spark):
@@ -225,14 +226,15 @@ def test_incident_job_drops_late_events_first(spark):
         (1, "AQ-1", "N", 10, t(2000)),    # watermark -> 1970
         (2, "AQ-2", "N", 400, t(1900)),   # late (70 s behind the max): dropped, no alert
         (3, "AQ-2", "N", 400, t(1975)),   # within 30 s: kept, alert
-    ], "arrival long, sensor_id string, zone string, aqi int, timestamp timestamp_ntz")
+    ], "arrival long, sensor_id string, zone string, aqi int, timestamp timestamp_ntz").withColumn("pm25", F.lit(140.0))
     tr = spark.createDataFrame([], "arrival long, junction_id string, zone string, avg_wait_sec int, "
                                    "timestamp timestamp_ntz")
     bus = spark.createDataFrame([], "arrival long, route_id string, bus_id string, lat double, lon double, "
                                     "timestamp timestamp_ntz")
     inc = detect.incidents(aq, tr, bus, arrival="arrival", lateness=30).collect()
-    assert sorted((r.incident_type, r.entity_id, r.metric) for r in inc) == [
-        ("AQI_EMERGENCY", "AQ-1", 350.0), ("AQI_EMERGENCY", "AQ-2", 400.0)]
+    assert sorted((r.incident_type, r.sensor_id, r.aqi, r.pm25, r.threshold) for r in inc) == [
+        ("AQI_EMERGENCY", "AQ-1", 350.0, 140.0, 300.0), ("AQI_EMERGENCY", "AQ-2", 400.0, 140.0, 300.0)]
+    assert all(r.alert_time is not None for r in inc)
     assert all(r.message.startswith("HAZARDOUS AQI") for r in inc)
 
 
@@ -260,9 +262,14 @@ def _pairs_brute(rows, dmax, gap):
         x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
         return 6371000.0 * 2 * math.atan2(math.sqrt(x), math.sqrt(1 - x))
 
-    return sorted((i, j) for i, a in enumerate(rows) for j, b in enumerate(rows)
-                  if a[0] == b[0] and a[1] < b[1] and abs(a[2] - b[2]) <= gap
-                  and hav(a[3], a[4], b[3], b[4]) <= dmax)
+    # every sighting against the latest position of each other bus
+    last, want = {}, []
+    for i, (route, bus, t, la, lo) in sorted(enumerate(rows), key=lambda x: (x[1][2], x[0])):
+        for (r, other), j in last.items():
+            if r == route and other != bus and t - rows[j][2] <= gap and hav(la, lo, rows[j][3], rows[j][4]) <= dmax:
+                want.append((i, j) if bus < other else (j, i))
+        last[route, bus] = i
+    return sorted(want)
 
 
 def test_proximity_antimeridian_and_pole(spark):

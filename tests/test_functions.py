@@ -52,3 +52,27 @@ def test_fixed_and_py_round_match_python(spark):
     assert [r.a for r in got] == [f"{v:.0f}" for v in vals]
     assert [r.b for r in got] == [f"{v:.1f}" for v in vals]
     assert [r.c for r in got] == [round(v, 2) for v in vals]
+
+
+def test_sums_keep_every_digit(spark):
+    from citylens.functions.scalar import fixed_avg, fixed_sum, number_text
+
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(fixed_sum("v").alias("s"), fixed_avg("v").alias("m")).first()
+
+    assert total([0.004] * 10)["s"] == 0.04 and total([0.1] * 10)["s"] == 1.0
+    assert total([1e17, 1.5])["s"] == 1e17 + 1.5 and total([1e-14] * 4)["s"] == 4e-14       # finer or larger than the decimal: doubles
+    assert total([1.0, None, 2.0])["m"] == 1.5 and total([None])["s"] is None
+    assert [r[0] for r in spark.createDataFrame([(350.0,), (350.5,), (-0.5,), (None,)], "v double").select(number_text("v")).collect()] == ["350", "350.5", "-0.5", None]
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from citylens.session import checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {}, setCheckpointDir=lambda d: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=context, conf={}))

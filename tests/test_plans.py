@@ -50,3 +50,12 @@ def test_unbounded_dimension_is_not_force_broadcast(spark):
 def test_validator_runs_in_one_projection_without_shuffle(spark):
     p = _plan(C.dlq_split(spark, SF))
     assert "Exchange" not in p
+
+
+def test_error_queries_parse_each_payload_once(spark):
+    """No rule expression is pushed below the validator: one JSON extraction in the plan."""
+    from citylens.plans import catalog
+
+    for name in ("dlq_errors", "dlq_error_types", "dlq_error_distribution", "dlq_top_errors"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, name

@@ -100,6 +100,46 @@ def test_upsert_sink_keeps_one_row_per_window(spark, topics, tmp_path):
     assert _key(got.collect(), cols) == _key(want.collect(), cols)
 
 
+def test_upsert_partitions_keeps_new_rows_and_raises_on_read_errors(spark, tmp_path):
+    w = upsert_partitions(f"{tmp_path}/t", ["k", "w"], ["k"])
+    w(spark.createDataFrame([("a", 1, 10.0)], "k string, w int, v double"), 7)
+    w(spark.createDataFrame([("a", 1, 12.0)], "k string, w int, v double"), 0)    # a new checkpoint counts from 0 again
+    assert [r.v for r in spark.read.parquet(f"{tmp_path}/t").collect()] == [12.0]
+    bad = tmp_path / "bad"
+    (bad / "k=a").mkdir(parents=True)
+    (bad / "k=a" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        upsert_partitions(str(bad), ["k", "w"], ["k"])(spark.createDataFrame([("a", 1, 1.0)], "k string, w int, v double"), 1)
+    assert (bad / "k=a" / "part-0.parquet").read_bytes() == b"no parquet"
+
+
+def test_streams_over_unordered_part_files_match_batch(spark, tmp_path, monkeypatch):
+    """events as a folder of part files in no order, read in several batches."""
+    import shutil
+
+    from citylens.plans import catalog, streamed
+    src = "/root/testdata/sf0.001"
+    for t in ("orders", "customer", "nation", "region"):
+        shutil.copy(f"{src}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    (spark.read.parquet(f"{src}/events.parquet").withColumn("r", F.xxhash64("event_id"))
+     .repartitionByRange(8, "r").drop("r").write.parquet(f"{tmp_path}/events.parquet"))
+    monkeypatch.setattr(streamed, "REPLAY_FILES", 2)
+    sf = str(tmp_path)
+    for name in ("ward_energy", "zone_advisory", "rolling_avg_slide", "alerts_cooldown", "alerts_consecutive", "ward_energy_upsert", "dlq_summary"):
+        batch = {"ward_energy": "ward_energy_15m", "ward_energy_upsert": "ward_energy_15m"}.get(name, name)
+        want = catalog.QUERIES[batch](spark, src)
+        got = streamed.STREAM_QUERIES[f"stream_{name}"](spark, sf).select(*want.columns)
+        assert want.count() and sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_a_stream_that_cannot_read_its_table_is_an_error(spark, tmp_path):
+    from citylens.plans import streamed
+    (tmp_path / "events.parquet").mkdir()
+    (tmp_path / "events.parquet" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        streamed.STREAM_QUERIES["stream_ward_energy"](spark, str(tmp_path))
+
+
 def test_upsert_partitions_replay_is_idempotent(spark, tmp_path):
     w = upsert_partitions(f"{tmp_path}/t", ["k", "w"], ["k"])
     b1 = spark.createDataFrame([("a", 1, 10.0), ("b", 1, 5.0)], "k string, w int, v double")
@@ -135,8 +175,7 @@ def test_incidents_stream_cooldown_and_gridlock_match_batch(spark, topics, tmp_p
     bus = decode(_stream(spark, topics, "bus_gps"), BUS_GPS)
     streams = jobs.incidents_streams(aq.withColumn("event_id", F.lit(0).cast("long")),
                                 tr.withColumn("event_id", F.lit(0).cast("long")),
-                                bus.withColumn("event_id", F.lit(0).cast("long")),
-                                lateness="30 seconds", aqi_above=250, cooldown="2 days", wait_above=40,
+                                bus.withColumn("event_id", F.lit(0).cast("long")), aqi_above=250, cooldown="2 days", wait_above=40,
                                 within="3 days", distance_m=250.0, gap="30 minutes", duration="1 hour")
     for t, inc in streams.items():
         q = inc.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ck/{t}") \
@@ -148,13 +187,13 @@ def test_incidents_stream_cooldown_and_gridlock_match_batch(spark, topics, tmp_p
     want_a = detect.cooldown_alerts(b_aq.withColumn("rid", F.monotonically_increasing_id()), "sensor_id",
                                     "timestamp", F.col("aqi") > 250, "2 days", id_col="rid")
     got_a = got.filter("incident_type = 'AQI_EMERGENCY'")
-    assert sorted((r.entity_id, r.event_time) for r in got_a.collect()) == \
+    assert sorted((r.sensor_id, r.event_time) for r in got_a.collect()) == \
         sorted((r.sensor_id, r.timestamp) for r in want_a.collect())
     b_tr = _batch(spark, topics, "traffic_signals", TRAFFIC_SIGNALS).withColumn("rid", F.monotonically_increasing_id())
     want_g = detect.consecutive_breach(b_tr, "junction_id", "timestamp", "avg_wait_sec", 40, 3, "3 days",
                                        order=["rid"])
     got_g = got.filter("incident_type = 'TRAFFIC_GRIDLOCK'")
-    assert sorted((r.entity_id, r.event_time) for r in got_g.collect()) == \
+    assert sorted((r.junction_id, r.event_time) for r in got_g.collect()) == \
         sorted((r.junction_id, r.timestamp) for r in want_g.collect())
 
 
@@ -164,7 +203,7 @@ def test_enrichment_job_and_counters(spark, tmp_path):
     os.makedirs(f"{tmp_path}/gps")
     with open(f"{tmp_path}/routes.csv", "w") as f:
         f.write("route_id,route_name,terminal,scheduled_arrival_time,frequency_min\n"
-                "R001,Harbour Line,T1,06:00,15\nR002,Local,T2,06:15,20\n")
+                "R001,Old Line,T0,05:00,10\nR001,Harbour Line,T1,06:00,15\nR002,Local,T2,06:15,20\n")
     with open(f"{tmp_path}/gps/a.json", "w") as f:
         for i, r in enumerate(["R001", "R002", "R999", "R001"]):
             f.write(json.dumps({"bus_id": f"B{i}", "route_id": r, "lat": 12.9, "lon": 77.6, "speed_kmh": 10.0,
@@ -202,8 +241,12 @@ def test_dlq_job(spark, tmp_path):
     dl = sorted(json.loads(r.value)["error_reason"] for r in spark.read.json(f"{tmp_path}/dlq").collect())
     assert dl == ["aqi_out_of_range:501", "json_parse_error:payload is not a JSON object",
                   "json_parse_error:payload is not a JSON object", "null_aqi"]
-    rep = {(r.topic, r.error): r["count"] for r in spark.read.parquet(f"{tmp_path}/report").collect()}
-    assert rep[("air_quality", "negative_pm25")] == 1 and rep[("air_quality", "")] == 1
+    errors, totals = jobs.latest_report(spark, f"{tmp_path}/report")
+    assert {(r.topic, r.error): r["count"] for r in errors.collect()} == {
+        ("air_quality", "negative_pm25"): 1, ("air_quality", "aqi_out_of_range"): 1, ("air_quality", "json_parse_error"): 2,
+        ("air_quality", "null_aqi"): 1}
+    got = {r.topic: (r.valid, r.dlq, r.dlq_rate_pct) for r in totals.collect()}
+    assert got["air_quality"] == got["TOTAL"] == (1, 4, 80.0) and got["bus_gps"] == (0, 0, None)
 
 
 def _bunch_model(rows, gap, dur, dmax):
