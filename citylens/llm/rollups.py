@@ -41,7 +41,7 @@ def token_counts(docs: DataFrame, tokenizers: dict[str, str], id_col: str = "doc
 
     def run(batch):
         texts, k = texts_of(batch), len(ranks)
-        counts = [np.fromiter(map(len, encoder(v, r).batch(texts)), np.int64, len(texts)) for v, r in ranks.items()]
+        counts = [np.fromiter(map(len, encoder(v, r, k).batch(texts)), np.int64, len(texts)) for v, r in ranks.items()]
         out = {c: [x for x in batch.column(c).to_pylist() for _ in range(k)] for c in ("doc_id", "source", "lang", "text_key")}
         return out | {"tokenizer": list(ranks) * len(texts), "tokens": np.stack(counts, axis=1).ravel() if k else []}
 

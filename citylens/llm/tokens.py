@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 _WHOLE = re.compile(r"\s\s|[^\S \n]")
 #: signs of text coded at once (bounds the memory of a worker)
-CHARS = 8_000_000
+CHARS = 4_000_000
 
 
 def by_size(texts: Sequence[str], limit: int = CHARS) -> Iterator[tuple[int, int]]:
@@ -49,7 +49,7 @@ class Pieces:
     """Numbers distinct strings and holds a run of values for each; emptied
     when it exceeds ``limit`` strings (between batches only)."""
 
-    def __init__(self, encode, dtype, limit: int = 1_000_000):
+    def __init__(self, encode, dtype, limit: int = 250_000):
         self.encode, self.dtype, self.limit = encode, dtype, limit
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype)
@@ -175,10 +175,13 @@ def _without_first(lists) -> pa.ListArray:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+#: pieces that the encoders of a worker hold together
+PIECES = 400_000
 
 
-def encoder(name: str, ranks) -> Encoder:
-    """One encoder per worker process and name; ``ranks`` is a broadcast vocabulary."""
+def encoder(name: str, ranks, among: int = 1) -> Encoder:
+    """One encoder per worker process and name, one ``among`` several in use;
+    ``ranks`` is a broadcast vocabulary."""
     if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(ranks.value)
+        _ENCODERS[name] = Encoder(ranks.value, PIECES // among)
     return _ENCODERS[name]
