@@ -38,3 +38,12 @@ def unit_xyz(lat, lon, radius: float = EARTH_RADIUS_M) -> tuple[Column, Column,
 def in_box(lat, lon, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> Column:
     """Inclusive bounding-box predicate."""
     return _c(lat).between(lat_min, lat_max) & _c(lon).between(lon_min, lon_max)
+
+
+def haversine_m_np(lat1, lon1, lat2, lon2):
+    """``haversine_m`` over NumPy arrays (for the stateful stream operators)."""
+    import numpy as np
+
+    p1, q1, p2, q2 = (np.radians(np.asarray(x, dtype="float64")) for x in (lat1, lon1, lat2, lon2))
+    h = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin((q2 - q1) / 2) ** 2
+    return 2 * EARTH_RADIUS_M * np.arctan2(np.sqrt(h), np.sqrt(1 - h))

@@ -238,6 +238,29 @@ SELECT route_id, bus_id_1, bus_id_2, MIN(pair_time) AS start_time, MAX(pair_time
 FROM isl GROUP BY route_id, bus_id_1, bus_id_2, island
 HAVING epoch_us(MAX(pair_time)) - epoch_us(MIN(pair_time)) >= 3600000000"""
 
+STREAM_BUNCHING_CLOCK = _with(M.BUS_GPS_SQL, _PAIRS_CTE, f"""m AS (
+  SELECT route_id, bus_id_1, bus_id_2, pair_time, distance_m,
+         CASE WHEN ts_1 = pair_time AND (ts_2 < pair_time OR event_id_1 > event_id_2) THEN event_id_1 ELSE event_id_2 END AS event_id,
+         epoch_us(pair_time) AS t
+  FROM pairs WHERE distance_m <= {C.BUNCH_DISTANCE_M})""", """r AS (
+  SELECT *, row_number() OVER (PARTITION BY route_id, bus_id_1, bus_id_2 ORDER BY t, event_id) AS n FROM m)""", """jump AS (
+  SELECT a.route_id, a.bus_id_1, a.bus_id_2, a.n, min(b.n) AS nxt
+  FROM r a JOIN r b ON a.route_id = b.route_id AND a.bus_id_1 = b.bus_id_1 AND a.bus_id_2 = b.bus_id_2
+   AND b.n > a.n AND b.t >= a.t + 3600000000
+  GROUP BY 1, 2, 3, 4)""", """step AS (
+  SELECT j.route_id, j.bus_id_1, j.bus_id_2, j.n, j.nxt, b.t - a.t <= 7200000000 AS alert, b.t - a.t AS ran
+  FROM jump j JOIN r a USING (route_id, bus_id_1, bus_id_2, n)
+  JOIN r b ON b.route_id = j.route_id AND b.bus_id_1 = j.bus_id_1 AND b.bus_id_2 = j.bus_id_2 AND b.n = j.nxt)""", """chain AS (
+  SELECT route_id, bus_id_1, bus_id_2, 1::BIGINT AS n FROM r WHERE r.n = 1
+  UNION ALL
+  SELECT s.route_id, s.bus_id_1, s.bus_id_2, CASE WHEN s.alert THEN s.nxt + 1 ELSE s.nxt END
+  FROM chain c JOIN step s USING (route_id, bus_id_1, bus_id_2, n))""").replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT r.route_id, r.bus_id_1 AS bus_1, r.bus_id_2 AS bus_2, round(r.distance_m, 3) AS distance_m,
+       s.ran / 1000000.0 AS duration_sec, r.pair_time AS event_time, r.event_id
+FROM chain c JOIN step s USING (route_id, bus_id_1, bus_id_2, n)
+JOIN r ON r.route_id = s.route_id AND r.bus_id_1 = s.bus_id_1 AND r.bus_id_2 = s.bus_id_2 AND r.n = s.nxt
+WHERE s.alert"""
+
 LATE_EVENTS = f"""
 WITH e AS (SELECT event_id, event_type, ts - to_hours(CAST(event_id % {C.LATE_SHIFT_HOURS} AS INTEGER)) AS event_time
            FROM events),
@@ -322,6 +345,7 @@ ORACLE: dict[str, str] = {
     "proximity_pairs": PROXIMITY_PAIRS,
     "proximity_incidents": PROXIMITY_INCIDENTS,
     "late_events": LATE_EVENTS,
+    "stream_bunching_clock": STREAM_BUNCHING_CLOCK,
     "incidents_union": INCIDENTS_UNION,
     "incident_counts": INCIDENT_COUNTS,
     "domain_scalars": DOMAIN_SCALARS,

@@ -174,13 +174,13 @@ def stream_dlq_summary(spark, sf):
 
 
 def stream_bunching_clock(spark, sf):
-    """Clock-mode bunching alerts per route (stateful; checked on rows --
-    the clock rule has no set-based SQL form; see the tests' model)."""
+    """Clock-mode bunching alerts, a clock for each pair of buses."""
     events, feed = _events_replay(spark, sf)
     bus = M.bus_gps(events).withWatermark("timestamp", "30 minutes")
     b = stateful.bunching_stream(bus, max_distance_m=C.BUNCH_DISTANCE_M, max_gap=C.BUNCH_GAP,
                                  duration=C.BUNCH_MIN_DURATION)
-    return _ntz(run_to_table(spark, b, "stream_bunching_clock", feed=feed), "event_time")
+    res = run_to_table(spark, b, "stream_bunching_clock", feed=feed).withColumn("distance_m", F.round("distance_m", 3))
+    return _ntz(res, "event_time")
 
 
 def stream_ward_energy_upsert(spark, sf):

@@ -15,7 +15,6 @@ in-order input and are the ones to use for backfills.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.geo import EARTH_RADIUS_M
+from ..functions.geo import haversine_m_np
 from ..functions.scalar import epoch_micros
 from ..operators.detect import keyed
 from ..operators.sequence import micros
@@ -141,13 +140,6 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
 
 
 # --------------------------------------------------------------------- bunching (clock mode)
-def _hav(lat1, lon1, lat2, lon2) -> float:
-    p1, p2 = math.radians(lat1), math.radians(lat2)
-    a = (math.sin(math.radians(lat2 - lat1) / 2) ** 2
-         + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lon2 - lon1) / 2) ** 2)
-    return EARTH_RADIUS_M * 2 * math.atan2(math.sqrt(a), math.sqrt(1 - a))
-
-
 BUNCHING_OUT = T.StructType([
     T.StructField("route_id", T.StringType()), T.StructField("bus_1", T.StringType()),
     T.StructField("bus_2", T.StringType()), T.StructField("distance_m", T.DoubleType()),
@@ -156,19 +148,73 @@ BUNCHING_OUT = T.StructType([
 ])
 
 
+def _meetings(bus: np.ndarray, t: np.ndarray, lat: np.ndarray, lon: np.ndarray, first: int, gap: int,
+              max_distance_m: float, block: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Events from ``first`` on against the latest event of every other bus:
+    (event, other's event, distance) of those close in time and space.  Events
+    are in order; a running maximum per bus over the event numbers gives each
+    bus's latest event at any event."""
+    n, buses = len(bus), int(bus.max()) + 1
+    at, other, far = [], [], []
+    last = np.full(buses, -1)
+    for lo in range(0, n, block):
+        hi = min(n, lo + block)
+        seen = np.full((hi - lo + 1, buses), -1)
+        seen[0] = last
+        seen[np.arange(1, hi - lo + 1), bus[lo:hi]] = np.arange(lo, hi)
+        seen = np.maximum.accumulate(seen, axis=0)
+        last = seen[-1]
+        seen = seen[1:]
+        seen[np.arange(hi - lo), bus[lo:hi]] = -1                  # not with itself
+        i, b = np.nonzero(seen >= 0)
+        j = seen[i, b]
+        i = i + lo
+        ok = (i >= first) & (t[i] - t[j] <= gap)
+        i, j = i[ok], j[ok]
+        d = haversine_m_np(lat[i], lon[i], lat[j], lon[j])
+        at.append(i[d <= max_distance_m])
+        other.append(j[d <= max_distance_m])
+        far.append(d[d <= max_distance_m])
+    return np.concatenate(at), np.concatenate(other), np.concatenate(far)
+
+
+def _clock_alerts(times: np.ndarray, clock: int | None, duration: int) -> tuple[list[tuple[int, int]], int | None]:
+    """A pair's meetings against its clock: [(meeting, clock it ran from)] and
+    the clock left.  A meeting starts a clock that does not run; the first one
+    at least ``duration`` later alerts and stops it, or, beyond twice the
+    duration, starts it anew."""
+    alerts, k = [], 0
+    while k < len(times):
+        if clock is None:
+            clock, k = int(times[k]), k + 1
+        k += int(np.searchsorted(times[k:], clock + duration, side="left"))
+        if k >= len(times):
+            break
+        if times[k] - clock <= 2 * duration:
+            alerts.append((k, clock))
+            clock = None
+        else:
+            clock = int(times[k])
+        k += 1
+    return alerts, clock
+
+
 def bunching_stream(df: DataFrame, route: str = "route_id", bus: str = "bus_id", ts: str = "timestamp",
                     lat: str = "lat", lon: str = "lon", id_col: str = "event_id",
                     max_distance_m: float = 200.0, max_gap="60 seconds",
                     duration="300 seconds") -> DataFrame:
-    """Clock-mode bunching per route.
-
-    State per route: the latest position of each bus (in first-seen order)
-    and a clock per close pair.  For each event: update the bus; for every
-    other bus seen within ``max_gap`` and ``max_distance_m``, start the
-    pair's clock if absent (or older than ``2 * duration``: expired), else
-    alert when ``now - clock >= duration`` and clear the clock -- at most one
-    alert per event.  Positions older than the watermark minus ``max_gap``
-    and expired clocks are dropped at the end of each micro-batch.
+    """Clock-mode bunching: each pair of buses of a route has a clock of its own.
+
+    A pair meets when an event of one is within ``max_distance_m`` of the
+    other's latest position, at most ``max_gap`` old.  The rule of the clock is
+    ``_clock_alerts``'; pairs do not wait for each other, so one event can
+    alert for several (a rule that stops at an event's first alert would tie
+    the pairs of a route together and depend on the order of its buses).
+
+    State per route: the latest position of each bus and the running clocks;
+    positions older than the watermark less ``max_gap`` and clocks that would
+    start anew anyway are dropped.  Meetings are found by array operations over
+    a micro-batch of the route, alerts by jumps from clock to alert.
     """
     gap, dur = micros(max_gap), micros(duration)
     rows = _with_keys(keyed(df, [route, bus]).select(route, bus, ts, lat, lon, id_col), ts, id_col)
@@ -180,40 +226,35 @@ def bunching_stream(df: DataFrame, route: str = "route_id", bus: str = "bus_id",
         pdf = _sorted(pdfs)
         if len(pdf) == 0:
             return
-        if state.exists:
-            b_ids, b_t, b_lat, b_lon, p_keys, p_t = (list(x) for x in state.get)
-        else:
-            b_ids, b_t, b_lat, b_lon, p_keys, p_t = [], [], [], [], [], []
-        pos = {b: [t, la, lo] for b, t, la, lo in zip(b_ids, b_t, b_lat, b_lon)}
-        clocks = dict(zip(p_keys, p_t))
+        held = [list(x) for x in state.get] if state.exists else [[] for _ in range(6)]
+        known = pd.DataFrame(dict(zip(("b", "t", "la", "lo"), held[:4])))
+        fresh = pd.DataFrame({"b": pdf[bus].to_numpy(), "t": pdf["__tus"].to_numpy(), "la": pdf[lat].to_numpy(), "lo": pdf[lon].to_numpy()})
+        every = fresh if known.empty else pd.concat([known, fresh], ignore_index=True)
+        names, code = np.unique(every["b"].to_numpy(dtype=object).astype(str), return_inverse=True)
+        t = every["t"].to_numpy(dtype="int64")
+        first = len(known)
+        at, other, far = _meetings(code, t, every["la"].to_numpy(float), every["lo"].to_numpy(float), first, gap, max_distance_m)
+        one, two = np.minimum(code[at], code[other]), np.maximum(code[at], code[other])
+        order = np.lexsort((at, two, one))
+        at, far, one, two = at[order], far[order], one[order], two[order]
+        clocks = {tuple(p.split("\x1f")): c for p, c in zip(held[4], held[5])}
         out = []
-        for b, t, la, lo, eid, tsv in zip(pdf[bus], pdf["__tus"], pdf[lat], pdf[lon], pdf[id_col], pdf[ts]):
-            t = int(t)
-            pos[b] = [t, la, lo]          # keeps first-seen order for known buses
-            for o, (ot, ola, olo) in pos.items():
-                if o == b or abs(t - ot) > gap:
-                    continue
-                d = _hav(la, lo, ola, olo)
-                if d > max_distance_m:
-                    continue
-                pk = "\x1f".join(sorted((b, o)))
-                c = clocks.get(pk)
-                if c is None or t - c > 2 * dur:
-                    clocks[pk] = t
-                    continue
-                if t - c >= dur:
-                    del clocks[pk]
-                    out.append((k[0], b, o, round(d, 1), round((t - c) / 1e6, 0), tsv, int(eid)))
-                    break
-        # rows behind the watermark never arrive, so positions older than
-        # watermark - gap and clocks expired at the watermark are dead state
+        starts = np.flatnonzero(np.r_[True, (np.diff(one) != 0) | (np.diff(two) != 0)]) if len(at) else []
+        for s, e in zip(starts, [*starts[1:], len(at)]):
+            pair = (str(names[one[s]]), str(names[two[s]]))
+            alerts, left = _clock_alerts(t[at[s:e]], clocks.pop(pair, None), dur)
+            if left is not None:
+                clocks[pair] = left
+            for m, since in alerts:
+                row = int(at[s + m])
+                out.append((k[0], *pair, float(far[s + m]), (int(t[row]) - since) / 1e6, pdf[ts].iloc[row - first], int(pdf[id_col].iloc[row - first])))
         wm = state.getCurrentWatermarkMs() * 1000
-        pos = {b: v for b, v in pos.items() if v[0] >= wm - gap}
+        latest = every.drop_duplicates("b", keep="last")
+        latest = latest[latest["t"] >= wm - gap]
         clocks = {p: c for p, c in clocks.items() if wm - c <= 2 * dur}
-        newest = max([v[0] for v in pos.values()] + [int(pdf["__tus"].max())])
-        state.update((list(pos), [v[0] for v in pos.values()], [v[1] for v in pos.values()],
-                      [v[2] for v in pos.values()], list(clocks), list(clocks.values())))
-        _expire_at(state, newest + gap + 2 * dur)
+        state.update((latest["b"].astype(str).tolist(), [int(x) for x in latest["t"]], [float(x) for x in latest["la"]], [float(x) for x in latest["lo"]],
+                      ["\x1f".join(p) for p in clocks], list(clocks.values())))
+        _expire_at(state, int(t.max()) + gap + 2 * dur)
         if out:
             yield pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
 

@@ -7,6 +7,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from tests_pairs import pairs_brute
+
 from citylens.operators import detect
 from citylens.operators.sequence import island_starts
 
@@ -169,7 +171,7 @@ def test_proximity_pairs_match_brute_force(spark):
                      round(12.9 + rnd.random() * 0.01, 6), round(77.6 + rnd.random() * 0.01, 6)))
     got = sorted((r.id_1, r.id_2) for r in detect.proximity_pairs(
         _bus(spark, rows), "route", "bus", "ts", "lat", "lon", 300.0, 60, id_col="id").collect())
-    want = _pairs_brute(rows, 300.0, 60)
+    want = pairs_brute(rows, 300.0, 60)
     assert len(want) > 50 and got == want
 
 
@@ -254,24 +256,6 @@ def test_detectors_on_empty_input(spark):
     assert detect.mark_late(empty, "k", "ts", "id", 30).count() == 0
 
 
-def _pairs_brute(rows, dmax, gap):
-    import math
-
-    def hav(a, b, c, d):
-        p1, p2 = math.radians(a), math.radians(c)
-        x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
-        return 6371000.0 * 2 * math.atan2(math.sqrt(x), math.sqrt(1 - x))
-
-    # every sighting against the latest position of each other bus
-    last, want = {}, []
-    for i, (route, bus, t, la, lo) in sorted(enumerate(rows), key=lambda x: (x[1][2], x[0])):
-        for (r, other), j in last.items():
-            if r == route and other != bus and t - rows[j][2] <= gap and hav(la, lo, rows[j][3], rows[j][4]) <= dmax:
-                want.append((i, j) if bus < other else (j, i))
-        last[route, bus] = i
-    return sorted(want)
-
-
 def test_proximity_antimeridian_and_pole(spark):
     rnd = random.Random(17)
     rows = []
@@ -283,5 +267,5 @@ def test_proximity_antimeridian_and_pole(spark):
                      rnd.uniform(-180.0, 180.0)))
     got = sorted((r.id_1, r.id_2) for r in detect.proximity_pairs(
         _bus(spark, rows), "route", "bus", "ts", "lat", "lon", 300.0, 60, id_col="id").collect())
-    want = _pairs_brute(rows, 300.0, 60)
+    want = pairs_brute(rows, 300.0, 60)
     assert len(want) > 50 and got == want
