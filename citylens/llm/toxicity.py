@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -49,6 +50,8 @@ COUNT = 4
 TOXIC_FROM = 0.3
 #: strength of the pull of weights to zero
 RIDGE = 1e-4
+#: features a counting task holds before it passes its counts on
+_FLUSH = 200_000
 _WORD = re.compile(r"\w+")
 
 
@@ -173,17 +176,29 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, most: int =
     at = {g: i for i, g in enumerate(levels)}
     bad, total = sum(n for g, n in sizes.items() if g > levels[0]), sum(sizes.values())
 
-    def spell(batch):
-        out = {"doc_id": [], "grade": [], "feature": []}
-        for i, g, t in zip(batch.column("doc_id").to_pylist(), batch.column("grade").to_pylist(), texts_of(batch), strict=True):
-            own = set(features(t))
-            out["doc_id"] += [i] * len(own)
-            out["grade"] += [g] * len(own)
-            out["feature"] += own
-        return out
-
-    spelled = arrow_map(rows, spell, "doc_id long, grade int, feature string")
-    counted = spelled.groupBy("feature").agg(F.count("*").alias("n"), F.count(F.when(F.col("grade") > levels[0], 1)).alias("k"))
+    def spell(batches):
+        every, worse = Counter(), Counter()
+
+        def out():
+            names = list(every)
+            for at in range(0, len(names), 50_000):
+                some = names[at: at + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([every[f] for f in some]), pa.array([worse[f] for f in some])], names=["feature", "n", "k"])
+            every.clear()
+            worse.clear()
+
+        for batch in batches:
+            for g, t in zip(batch.column("grade").to_pylist(), texts_of(batch), strict=True):
+                own = set(features(t))
+                every.update(own)
+                if g > levels[0]:
+                    worse.update(own)
+                if len(every) > _FLUSH:
+                    yield from out()
+        yield from out()
+
+    spelled = rows.select("grade", "text").mapInArrow(spell, "feature string, n long, k long")
+    counted = spelled.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     # signed root of the likelihood ratio of k of n against the sample's share
     p, n, k = F.lit(bad / total), F.col("n").cast("double"), F.col("k").cast("double")
 
