@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.codec import decode
+from ..functions.codec import decode, encode
 from ..functions.geo import haversine_m
 from ..functions.scalar import (advisory_level, advisory_text, bucket_label, epoch_seconds, fixed,
                                 fixed_sum, parse_iso_ts, py_round)
 from ..operators import detect, enrich, quality, windows
+from ..operators.reports import keyed_order, present_ward_energy
 from ..session import prepare
 from . import mapping as M
 
@@ -230,6 +231,43 @@ def dlq_replay(spark, sf):
                       F.count_if(~F.col("is_valid")).alias("still_invalid")))
 
 
+def dlq_replay_repaired(spark, sf):
+    """Replay of the dead letters after a rule change (AQI is no longer
+    bounded): how many per topic are recovered, how many stay dead."""
+    chk = _checked(spark, sf)
+    env = quality.dlq_envelope(chk, "topic", F.col("payload"), now=F.col("timestamp"))
+    rules = {t: [r for r in rs if r.name != "aqi_out_of_range"] for t, rs in quality.RULES.items()}
+    again = quality.validate_payloads(env, "original_topic", "original_data", rules=rules)
+    return again.groupBy("original_topic", F.col("is_valid").alias("recovered")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def keyed_json_round_trip(spark, sf):
+    """Readings as keyed JSON messages, and what a consumer decodes from them."""
+    ev = _ev(spark, sf).select(F.col("event_type").alias("zone"), "event_id", "value")
+    msgs = encode(ev, "zone")
+    return decode(msgs, "zone STRING, event_id LONG, value DOUBLE", keep=("key",))
+
+
+def keyed_export_order(spark, sf):
+    """Readings in per-key order (one partition per key, by event time): the
+    position of each within its key's partition run."""
+    ev = _ev(spark, sf).select("user_id", "ts", "event_id")
+    out = keyed_order(ev, "user_id", "ts", 8)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return out.withColumn("position", F.row_number().over(w))
+
+
+def zone_avg_null_aqi(spark, sf):
+    """Zone averages where every tenth sensor reading is a fault (null AQI)."""
+    aq = M.air_quality(_ev(spark, sf))
+    return windows.zone_aqi(aq.withColumn("aqi", F.when(F.col("event_id") % 10 != 0, F.col("aqi"))))
+
+
+def presented_ward_energy(spark, sf):
+    """Ward summaries as shown: half-even rounding of kWh, factor, voltage."""
+    return present_ward_energy(ward_energy_15m(spark, sf))
+
+
 # ---------------------------------------------------------------- detectors
 def alerts_cooldown(spark, sf):
     aq = M.air_quality(_ev(spark, sf))
@@ -337,6 +375,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dlq_top_errors": dlq_top_errors,
     "dlq_envelope": dlq_envelope,
     "dlq_replay": dlq_replay,
+    "dlq_replay_repaired": dlq_replay_repaired,
+    "keyed_json_round_trip": keyed_json_round_trip,
+    "keyed_export_order": keyed_export_order,
+    "zone_avg_null_aqi": zone_avg_null_aqi,
+    "presented_ward_energy": presented_ward_energy,
     "alerts_cooldown": alerts_cooldown,
     "alerts_consecutive": alerts_consecutive,
     "proximity_pairs": proximity_pairs,

@@ -261,6 +261,31 @@ FROM chain c JOIN step s USING (route_id, bus_id_1, bus_id_2, n)
 JOIN r ON r.route_id = s.route_id AND r.bus_id_1 = s.bus_id_1 AND r.bus_id_2 = s.bus_id_2 AND r.n = s.nxt
 WHERE s.alert"""
 
+DLQ_REPLAY_REPAIRED = _CHECKED + """
+SELECT topic AS original_topic, len([x FOR x IN errors IF NOT starts_with(x, 'aqi_out_of_range')]) = 0 AS recovered, COUNT(*) AS messages
+FROM checked WHERE len(errors) > 0 GROUP BY 1, 2"""
+
+KEYED_JSON_ROUND_TRIP = "SELECT event_type AS key, event_type AS zone, event_id, value FROM events"
+
+KEYED_EXPORT_ORDER = """
+SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position FROM events"""
+
+ZONE_AVG_NULL_AQI = ZONE_AVG.replace("WHERE aqi IS NOT NULL", "WHERE aqi IS NOT NULL AND event_id % 10 <> 0")
+
+PRESENTED_WARD_ENERGY = f"""
+SELECT ward_id, window_start, window_end, CAST(round_even(CAST(total_kwh_consumed AS DECIMAL(28,12)), 3) AS DOUBLE) AS total_kwh_consumed,
+       CAST(round_even(CAST(avg_power_factor AS DECIMAL(28,17)), 4) AS DOUBLE) AS avg_power_factor,
+       CAST(round_even(CAST(peak_voltage AS DECIMAL(28,12)), 1) AS DOUBLE) AS peak_voltage, date
+FROM ({WARD_ENERGY})"""
+
+STREAM_WARD_ENERGY_FINAL = f"""
+SELECT * FROM ({WARD_ENERGY})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 45 MINUTE"""
+
+STREAM_ADVISORY_ARCHIVE = f"""
+SELECT *, CAST(window_start AS DATE) AS date FROM ({ZONE_ADVISORY})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
+
 LATE_EVENTS = f"""
 WITH e AS (SELECT event_id, event_type, ts - to_hours(CAST(event_id % {C.LATE_SHIFT_HOURS} AS INTEGER)) AS event_time
            FROM events),
@@ -345,6 +370,13 @@ ORACLE: dict[str, str] = {
     "proximity_pairs": PROXIMITY_PAIRS,
     "proximity_incidents": PROXIMITY_INCIDENTS,
     "late_events": LATE_EVENTS,
+    "dlq_replay_repaired": DLQ_REPLAY_REPAIRED,
+    "keyed_json_round_trip": KEYED_JSON_ROUND_TRIP,
+    "keyed_export_order": KEYED_EXPORT_ORDER,
+    "zone_avg_null_aqi": ZONE_AVG_NULL_AQI,
+    "presented_ward_energy": PRESENTED_WARD_ENERGY,
+    "stream_ward_energy_final": STREAM_WARD_ENERGY_FINAL,
+    "stream_advisory_archive": STREAM_ADVISORY_ARCHIVE,
     "stream_bunching_clock": STREAM_BUNCHING_CLOCK,
     "incidents_union": INCIDENTS_UNION,
     "incident_counts": INCIDENT_COUNTS,

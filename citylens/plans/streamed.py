@@ -210,7 +210,32 @@ def stream_aqi_history(spark, sf):
     return _ntz(res, "timestamp").select("sensor_id", "zone", "pm25", "aqi", "timestamp", "event_id", "date")
 
 
+def stream_ward_energy_final(spark, sf):
+    """Append mode: each window once, when the watermark has passed its end."""
+    events, feed = _events_replay(spark, sf)
+    ev = M.smart_meters(events).withWatermark("timestamp", "45 minutes")
+    res = run_to_table(spark, windows.ward_energy(ev), "stream_ward_energy_final", "append", feed=feed)
+    return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
+
+
+def stream_advisory_archive(spark, sf):
+    """Advisories of finished windows archived to Parquet by zone and date."""
+    events, feed = _events_replay(spark, sf)
+    aq = M.air_quality(events).withWatermark("timestamp", "10 minutes")
+    adv = C.advisories(windows.zone_aqi(aq), M.zone_profile(spark)).withColumn("date", F.to_date("window_start"))
+    out, ck = scratch_path(spark, "stream_advisory_archive"), scratch_path(spark, "stream_advisory_archive-ck")
+    for _ in feed:
+        with state_partitions(spark):
+            q = start_parquet(adv, out, ck, ["zone", "date"], trigger="available_now")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return _ntz(spark.read.schema(adv.schema).parquet(out), "window_start", "window_end").select(*adv.columns)
+
+
 STREAM_QUERIES = {
+    "stream_ward_energy_final": stream_ward_energy_final,
+    "stream_advisory_archive": stream_advisory_archive,
     "stream_ward_energy_upsert": stream_ward_energy_upsert,
     "stream_aqi_history": stream_aqi_history,
     "stream_dlq_summary": stream_dlq_summary,
