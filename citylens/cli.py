@@ -17,7 +17,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .session import prepare
+from .session import prepare, ship_package
 from .sinks.writers import kafka_sink_options
 from .sources.dims import route_schedule, zone_profile
 from .sources.streams import fan_in, read_kafka, read_topic_files
@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         p.error("one of --bootstrap / --files is required")
 
     spark = prepare(SparkSession.builder.appName(f"citylens-{a.job}").getOrCreate())
+    ship_package(spark)
     out, ck, trig = a.out.rstrip("/"), a.checkpoints.rstrip("/"), a.trigger
     if a.job == "ward-energy":
         jobs.ward_energy_job(_source(spark, a, "smart_meters"), f"{out}/parquet",

@@ -100,3 +100,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/citylens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Make this package importable on the executors: a zip of it under the
+    shared checkpoint folder, added with ``addPyFile``.  Job starts call it;
+    with ``--py-files`` or an installed package it is not needed."""
+    import io
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = scratch_path(spark, "package") + "/citylens.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(data.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(path)
+    return path

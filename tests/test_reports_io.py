@@ -99,3 +99,13 @@ def test_observed_counters(spark, tmp_path):
     obs = [p["observedMetrics"]["enrichment"] for p in qs[0].recentProgress
            if p.get("observedMetrics", {}).get("enrichment")]
     assert sum(int(o["joined"]) for o in obs) == 1 and sum(int(o["no_match"]) for o in obs) == 1
+
+
+def test_the_package_ships_to_the_executors(spark):
+    import zipfile
+    from urllib.parse import urlparse
+
+    from citylens.session import ship_package
+
+    names = zipfile.ZipFile(urlparse(ship_package(spark)).path).namelist()
+    assert {"citylens/__init__.py", "citylens/streaming/stateful.py"} <= set(names)
