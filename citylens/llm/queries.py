@@ -39,7 +39,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.count("*") / 2).cast("long").alias("rows"), F.max(F.when(F.col("tokenizer") == old, F.col("tokens"))).alias("was"),
         F.max(F.when(F.col("tokenizer") == new, F.col("tokens"))).alias("now"))
     wide = keep(wide.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))), "revised")
-    first = wide.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
+    first = keep(wide.groupBy("text_key").agg(F.min("doc_id").alias("first_id")), "first")     # a plain scan: the join below can split a hot text
 
     def event(op, version, tokens, had=None, were=None):
         none = F.lit(None)

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import keep, pick
 
 #: (verdict, host and path); the longest that fits wins
 RULES = (
@@ -122,11 +122,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]
     the worst counts."""
     urls = pick(pages, page_id=id_col, url=url_col).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labels = pick(outcomes, o_id="page_id", bad="bad").where("bad is not null").groupBy("o_id").agg(F.max(F.col("bad").cast("long")).alias("bad"))
-    hosts = (urls.join(labels, urls["page_id"] == labels["o_id"], "left").groupBy("host")
-             .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-             .withColumn("suffix", suffix_of(F.col("host"), suffixes))
-             .withColumn("domain", domain_of(F.col("host"), F.col("suffix"))))
-    known = host_posteriors(hosts).select(F.col("host").alias("h"), F.col("mean").alias("bad_share"), (F.col("mean") - z * F.col("sd")).alias("bad_bound"))
+    hosts = keep(urls.join(labels, urls["page_id"] == labels["o_id"], "left").groupBy("host")
+                 .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
+                 .withColumn("suffix", suffix_of(F.col("host"), suffixes))
+                 .withColumn("domain", domain_of(F.col("host"), F.col("suffix"))), "hosts")
+    # written, so that both sides of the last join are plain scans and a hot host can be split there
+    known = keep(host_posteriors(hosts).select(F.col("host").alias("h"), F.col("mean").alias("bad_share"),
+                                               (F.col("mean") - z * F.col("sd")).alias("bad_bound")), "reputation")
     host, path = F.col("host"), F.col("path")
     return urls.join(known, urls["host"] == known["h"], "left").select(
         "page_id", "host", "path", rule_of(host, path, rules, lambda r: r[1]).alias("rule"),

@@ -294,7 +294,8 @@ def near_duplicates(docs: DataFrame, tau: int = TAU, words: int = SHINGLE, id_co
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     name = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = named.select("fp", "root").join(name, "root").select("fp", F.col("root").alias("component_fp"), "component_id")
+    # written, so that both sides of the last join are plain scans: a fingerprint shared by a third of all rows can be split there
+    of_fp = keep(named.select("fp", "root").join(name, "root").select("fp", F.col("root").alias("component_fp"), "component_id"), "components")
     return fps.join(of_fp, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id", "component_fp")
 
 
