@@ -83,3 +83,25 @@ def unsigned_hex(col):
 
 def as_signed(x: np.ndarray) -> np.ndarray:
     return np.asarray(x, dtype=np.uint64).view(np.int64)
+
+
+_HELD: dict[str, object] = {}
+_USE = [""]
+
+
+def held(use: str, name: str, make):
+    """What a Python worker keeps between batches and tasks, made once.  Workers
+    outlive an operator, so only what belongs to the use at hand is kept:
+    another use drops it first."""
+    if use != _USE[0]:
+        release(use)
+    if name not in _HELD:
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def release(use: str = "") -> None:
+    """Drop what the worker keeps of other uses."""
+    if use != _USE[0]:
+        _HELD.clear()
+        _USE[0] = use

@@ -15,11 +15,14 @@ import base64
 import json
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import held
+
 _WHOLE = re.compile(r"\s\s|[^\S \n]")
 #: signs of text coded at once (bounds the memory of a worker)
 CHARS = 4_000_000
@@ -56,11 +59,14 @@ class Pieces:
         self.ends = np.zeros(1 << 12, np.int64)      # end of each string's run in flat
 
     def numbers(self, strings: list[str]) -> np.ndarray:
+        """The numbers of distinct strings."""
         if len(self.known) > self.limit:
             self.known = {}
         known = self.known
-        new = [s for s in strings if s not in known]
-        if new:
+        out = np.fromiter(map(known.get, strings, repeat(-1)), np.int64, len(strings))
+        unknown = np.flatnonzero(out < 0)
+        if len(unknown):
+            new = [strings[i] for i in unknown]
             n = len(known)
             values, counts = self.encode(new)
             base = int(self.ends[n - 1]) if n else 0
@@ -72,7 +78,8 @@ class Pieces:
             self.ends[n: n + len(new)] = ends
             self.flat[base: base + len(values)] = values
             known.update(zip(new, range(n, n + len(new)), strict=True))
-        return np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))
+            out[unknown] = np.arange(n, n + len(new))
+        return out
 
     def runs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start in flat, count) of the given strings."""
@@ -84,7 +91,7 @@ def coded(lists: pa.ListArray, table: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """(values, offsets): the values of all strings of each list, in order."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
     words = lists.flatten().dictionary_encode()
-    numbers = table.numbers(words.dictionary.to_pylist())
+    numbers = table.numbers(words.dictionary.to_numpy(zero_copy_only=False).tolist())
     starts, counts = table.runs(numbers)
     codes = words.indices.to_numpy()
     per = counts[codes]
@@ -174,7 +181,6 @@ def _without_first(lists) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]), flat.filter(pa.array(keep)))
 
 
-_ENCODERS: dict[str, Encoder] = {}
 #: pieces that the encoders of a worker hold together
 PIECES = 400_000
 
@@ -182,6 +188,4 @@ PIECES = 400_000
 def encoder(name: str, ranks, among: int = 1) -> Encoder:
     """One encoder per worker process and name, one ``among`` several in use;
     ``ranks`` is a broadcast vocabulary."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(ranks.value, PIECES // among)
-    return _ENCODERS[name]
+    return held("ids", name, lambda: Encoder(ranks.value, PIECES // among))
