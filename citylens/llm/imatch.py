@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 from xxhash import xxh32_intdigest, xxh64_intdigest
 
-from .common import keep, pick, texts_of
+from .common import held, keep, pick, texts_of
 from .tokens import Pieces, by_size, coded
 
 IDF_MIN = 1.5
@@ -108,13 +108,14 @@ class Lexicon:
         self.names = sorted(names)
         self.rates = rates
 
-    def prepare(self) -> None:
+    def prepare(self) -> Lexicon:
         """In the worker: numbers, hashes and subset bits of the terms."""
         self.number = {t: i for i, t in enumerate(self.names)}
         self.hashes = np.fromiter((xxh64_intdigest(t) for t in self.names), np.uint64, len(self.names))
         self.member = [np.fromiter((xxh64_intdigest(t, 1 + j) < r * 2**64 for t in self.names), bool, len(self.names))
                        for j, r in enumerate(self.rates)]
         self.table = Pieces(self._new, np.int64)
+        return self
 
     def _new(self, pieces):
         lists = [[self.number[t] for t in terms(p) if t in self.number] for p in pieces]
@@ -162,18 +163,6 @@ def hexed(signatures: np.ndarray) -> list[str]:
     return [r.tobytes().hex() for r in signatures.astype(">u4")]
 
 
-_LEXICONS: dict[str, Lexicon] = {}
-
-
-def _prepared(name: str, shared) -> Lexicon:
-    """The broadcast lexicon, made ready once per worker process."""
-    if name not in _LEXICONS:
-        _LEXICONS.clear()
-        shared.value.prepare()
-        _LEXICONS[name] = shared.value
-    return _LEXICONS[name]
-
-
 def _with_next(docs: DataFrame) -> DataFrame:
     """Rows (bucket, halo, doc_id, text) such that, sorted, each bucket holds a
     run of the documents in order of id and, as halo, the one that follows it."""
@@ -214,19 +203,19 @@ def fingerprint_edits(docs: DataFrame, words: Lexicon | None = None, id_col: str
     shared, name = docs.sparkSession.sparkContext.broadcast(words or lexicon(own)), uuid4().hex
 
     def run(batches):
-        book, held = _prepared(name, shared), None
+        book, last_row = held(f"lexicon-{name}", "", lambda: shared.value.prepare()), None
         for b in batches:
             texts = texts_of(b)
             rows = list(zip(b.column("bucket").to_pylist(), b.column("halo").to_pylist(), b.column("doc_id").to_pylist(), range(len(texts)), strict=True))
-            if held:                                    # the row before the batch, as row 0
-                texts.insert(0, held[1])
-                rows = [(held[0][0], False, held[0][2], 0), *((x, h, d, i + 1) for x, h, d, i in rows)]
+            if last_row:                                # the row before the batch, as row 0
+                texts.insert(0, last_row[1])
+                rows = [(last_row[0][0], False, last_row[0][2], 0), *((x, h, d, i + 1) for x, h, d, i in rows)]
             pairs, last = [], None
             for r in rows:
                 if last and last[0] == r[0]:
                     pairs.append((last[2], last[3], r[3]))
                 last = None if r[1] else r
-            held = (last, texts[last[3]]) if last else None
+            last_row = (last, texts[last[3]]) if last else None
             if not pairs:
                 continue
             ids, at, following = zip(*pairs, strict=True)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import arrow_map, pick, texts_of
+from .common import arrow_map, pick, release, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "card13", "ssn", "phone_local")
@@ -155,6 +155,7 @@ def _around(held, start, end):
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans): spans is an array of (kind, start, end, score, base)."""
     def run(batch):
+        release()
         return {"doc_id": batch.column("doc_id"),
                 "spans": [[dict(zip(("kind", "start", "end", "score", "base"), s, strict=True)) for s in find(t)] for t in texts_of(batch)]}
 
@@ -200,6 +201,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in the text replaced; null stays null."""
     @F.pandas_udf(StringType())
     def clean(texts: pd.Series) -> pd.Series:
+        release()
         return texts.map(lambda t: t if t is None else redacted(t))
 
     cols = docs.columns

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import arrow_map, as_signed, keep, pick, texts_of, unsigned_hex
+from .common import arrow_map, as_signed, keep, pick, release, texts_of, unsigned_hex
 from .components import components
 
 TAU = 3
@@ -61,6 +61,7 @@ def simhash(text: str, words: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): fp is the fingerprint as a signed long."""
     def run(batch):
+        release()
         fp = np.fromiter((simhash(t, words) for t in texts_of(batch)), np.uint64, batch.num_rows)
         return {"doc_id": batch.column("doc_id"), "fp": as_signed(fp)}
 
@@ -312,6 +313,7 @@ def one_of_each(docs: DataFrame, tau: int = TAU, words: int = SHINGLE, id_col: s
     key = row.select(F.struct(F.col(ids).isNull().alias("none"), F.col(ids).alias("id"), F.col("_row").alias("row")).alias("key"), F.col(texts).alias("text"))
 
     def run(batch):
+        release()
         fp = np.fromiter((simhash(t, words) for t in texts_of(batch)), np.uint64, batch.num_rows)
         return {"none": batch.column("none"), "id": batch.column("id"), "row": batch.column("row"), "fp": as_signed(fp)}
 

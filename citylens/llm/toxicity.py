@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import arrow_map, keep, pick, texts_of
+from .common import arrow_map, held, keep, pick, texts_of
 from .tokens import Pieces, by_size, coded
 
 #: labelled rows the model is fitted on, at most
@@ -221,16 +221,6 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, most: int =
     return fit(row, feature, often, np.array([at[r["grade"]] for r in got]), names, len(levels))
 
 
-_MODELS: dict[str, tuple[_Known, Model]] = {}
-
-
-def _ready(name: str, shared) -> tuple[_Known, Model]:
-    if name not in _MODELS:
-        _MODELS.clear()
-        _MODELS[name] = (_Known(shared.value.names), shared.value)
-    return _MODELS[name]
-
-
 def severity(model: Model, docs: DataFrame):
     """A pandas UDF: text -> struct(severity, p_toxic) by the model."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex
@@ -238,7 +228,7 @@ def severity(model: Model, docs: DataFrame):
 
     @F.pandas_udf(kind)
     def score(texts: pd.Series) -> pd.DataFrame:
-        known, own = _ready(name, shared)
+        known, own = held(f"toxicity-{name}", "", lambda: (_Known(shared.value.names), shared.value))
         above = own.above(*known.rows([t or "" for t in texts]), len(texts))
         return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0]})
 
