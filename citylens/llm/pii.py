@@ -98,7 +98,7 @@ def _confirmed(text: str):
     for s, e in _emails(text):
         yield "email", s, e
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(q) <= 3 and int(q or "0") <= 255 for q in (p.lstrip("0") for p in m[0].split("."))):
             yield "ip", m.start(), m.end()
     for m in _CARD.finditer(text):
         d = _digits(m[0])

@@ -42,6 +42,14 @@ def test_long_runs_stay_linear():
         P.find(t)
 
 
+def test_quads_of_very_many_zeros():
+    zeros = "0" * 5000                    # int() refuses texts of over 4,300 digits
+    for t in (f"{zeros}.0.0.0", f"ip 1.{zeros}255.{zeros}.7"):
+        assert ("ip", t.rindex(" ") + 1 if " " in t else 0, len(t)) in [s[:3] for s in P.find(t)]
+        assert P.redacted(t).endswith("[IP]")
+    assert P.find(f"{zeros}256.0.0.0") == []
+
+
 def test_method_adds_confirmed_spans_only():
     assert [s[0] for s in P.find("IBAN GB82 WEST 1234 5698 7654 32 please")] == ["iban"]
     assert P.find("code GB83 WEST 1234 5698 7654 32") == []
