@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, keep, pick, texts_of
-from .tokens import encoder, vocabulary
+from .tokens import added_tokens, encoder, vocabulary
 
 SIZE = 2048
 END = b"\0\0\0\0"
@@ -50,11 +50,11 @@ def cut(tokens: int, size: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """One row per piece with the CRC-32 of its ids (unsigned, little-endian 32-bit)."""
-    ranks = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer))
+    ranks, added = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer)), added_tokens(tokenizer)
 
     def run(batch):
         out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "salt")}
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(str(tokenizer), ranks).batch(texts_of(batch)), strict=True):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(str(tokenizer), ranks, added=added).batch(texts_of(batch)), strict=True):
             ids = ids.astype("<u4").tobytes() + END
             for k, (start, length) in enumerate(cut(len(ids) // 4, size)):
                 crc = zlib.crc32(ids[4 * start: 4 * (start + length)])

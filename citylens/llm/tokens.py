@@ -6,7 +6,9 @@ or line feed that stands alone between other signs.  A text without two white
 space signs in a row can therefore be cut there, and the ids of a piece depend
 on the piece only.  A batch of texts is split and coded by Arrow; only pieces
 not seen before are encoded, and kept in a bounded table per worker.  Texts
-with other white space are encoded in one go.
+with other white space are encoded in one go, and texts with added tokens of the
+vocabulary (``added_tokens``) are cut at them: each has its own id, and what
+lies between is encoded as a text of its own.
 """
 
 from __future__ import annotations
@@ -107,14 +109,30 @@ def _byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _default() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """string -> id of the tokens that a JSON file of ``tokenizers`` adds to its
+    model: wherever a text holds one it has that id.  A ``.tiktoken`` file has none."""
+    path = path or _default()
+    if path.endswith(".tiktoken"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if odd := [t["content"] for t in added if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]:
+        raise ValueError(f"{path}: added tokens that depend on the signs around them: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 def vocabulary(path: str | None = None) -> dict[bytes, int]:
     """bytes -> id of a byte-level BPE whose ids are in merge order: a JSON file
     of ``tokenizers`` or a ``.tiktoken`` file (default: the public one of 50k,
-    JSON form).  Special tokens are left out: their strings are ordinary text."""
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.json")
+    JSON form).  Special tokens are left out (see ``added_tokens``)."""
+    path = path or _default()
     with open(path, encoding="utf-8") as f:
         if path.endswith(".tiktoken"):
             return {base64.b64decode(t): int(i) for t, i in map(str.split, f)}
@@ -126,9 +144,10 @@ def vocabulary(path: str | None = None) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids by a byte-level BPE given as bytes -> id."""
+    """Ids by a byte-level BPE given as bytes -> id; ``added`` tokens, given as
+    string -> id, are ordinary text unless given."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 1_000_000, added: dict[str, int] | None = None):
         import tiktoken
 
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"      # fixed value: the pre-tokenizer's
@@ -137,6 +156,8 @@ class Encoder:
         self.leads = np.zeros(max(ranks.values()) + 1, bool)
         self.leads[[i for t, i in ranks.items() if t[:1] == b" "]] = True
         self.table = Pieces(self._new, np.uint32, limit)
+        self.added = added or {}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces: a piece has no space; its run begins with the one that
@@ -158,12 +179,17 @@ class Encoder:
         return gather(np.concatenate([p[0] for p in parts]), starts, counts), counts
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.bpe.encode_ordinary(text), np.uint32)
+        if not self.cut:
+            return np.array(self.bpe.encode_ordinary(text), np.uint32)
+        ids: list[int] = []
+        for i, part in enumerate(self.cut.split(text)):              # the odd ones are added tokens
+            ids += [self.added[part]] if i % 2 else self.bpe.encode_ordinary(part)
+        return np.array(ids, np.uint32)
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
         for a, b in by_size(texts):
-            odd = [not t or _WHOLE.search(t) is not None or t[-1] in " \n" for t in texts[a:b]]
+            odd = [not t or _WHOLE.search(t) is not None or t[-1] in " \n" or bool(self.cut and self.cut.search(t)) for t in texts[a:b]]
             lines = pa.array(["" if o else "\n" + t for o, t in zip(odd, texts[a:b], strict=True)], pa.large_string())
             split = pc.split_pattern(pc.replace_substring(lines, "\n", " \n"), " ")
             values, at = coded(_without_first(split), self.table)
@@ -185,7 +211,7 @@ def _without_first(lists) -> pa.ListArray:
 PIECES = 400_000
 
 
-def encoder(name: str, ranks, among: int = 1) -> Encoder:
+def encoder(name: str, ranks, among: int = 1, added: dict[str, int] | None = None) -> Encoder:
     """One encoder per worker process and name, one ``among`` several in use;
     ``ranks`` is a broadcast vocabulary."""
-    return held("ids", name, lambda: Encoder(ranks.value, PIECES // among))
+    return held("ids", name if not added else f"{name} {sorted(added.items())}", lambda: Encoder(ranks.value, PIECES // among, added))

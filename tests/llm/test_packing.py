@@ -29,6 +29,19 @@ def test_ids_equal_the_tokenizer(reference):
             assert ids.tolist() == reference(t), t
 
 
+def test_added_tokens_have_their_own_id(spark):
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))            # as the library comes
+    rnd = random.Random(3)
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|>b", "<|endoftext|><|endoftext|> x", "a\n<|endoftext|>\n\nb", "<|endoftext|", "plain text"]
+    texts += ["".join(rnd.choice(["<|endoftext|>", "<|", "a", " ", "\n", "word", "é"]) for _ in range(rnd.randint(0, 12))) for _ in range(500)]
+    want = Counter()
+    for i, t in enumerate(texts):
+        ids = np.array(default.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        want[(i, len(ids), zlib.crc32(ids.tobytes()))] += 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert Counter((r["doc_id"], r["length"], r["ids_crc32"]) for r in P.best_two_fit(docs).collect()) == want
+
+
 def first_fit_decreasing(lengths):
     bins = []
     for n in sorted(lengths, reverse=True):
