@@ -2,11 +2,12 @@
 
 A page is read once, tag by tag, into lines (one per block element).  Lines
 inside menus, headers, footers, side bars, notices, adverts, forms and reader
-comments weigh nothing; where the page marks its article (``article``,
-``main``) the lines outside weigh nothing either, and elsewhere letters inside
-links do not count.  The weights are summed over a sliding window of lines: the
-text starts where the sum surges and ends where it dives to zero.  The text
-between is kept whole.
+comments are dropped; a form or an element marked by class or id alone is not if
+it holds the article or most of the page's letters outside links.  Where the
+page marks its article (``article``, ``main``) the lines in it are the text.
+Elsewhere letters outside links are summed over a sliding window of lines: the
+text starts where the sum first surges, with the short lines right before, and
+ends where it dives to zero for good.  The lines between are kept whole.
 
 Defined results: a null page gives an empty text; text outside any tag is a
 line; unclosed and cut-off tags end with the page; repeated rows and rows
@@ -17,6 +18,7 @@ are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -42,6 +44,9 @@ _SIGNS = frozenset("ad ads advert adverts advertisement advertising banner spons
                    "alert popup modal overlay sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs header masthead "
                    "footer comment comments disqus respond replies reply share sharing social related recommended recommendations newsletter "
                    "subscribe subscription signup login search pagination pager toolbar skip".split())
+#: signs that no wrapper of an article has, and words that tell an article's header from the site's
+_READERS = frozenset("comment comments disqus respond replies reply related recommended recommendations".split())
+_OWN = frozenset("entry post article story content main page title headline".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 
 _OPEN = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|!--|[!?])")
@@ -83,31 +88,113 @@ def tokens(html: str):
         at = end
 
 
-def _marked(name: str, attributes: str) -> bool:
-    """Whether the element is known not to belong to an article."""
-    if name in _DROPPED:
-        return True
-    if not attributes or name in _SECTIONS and "role" not in attributes:
-        return False
+def _mark(name: str, attributes: str) -> str:
+    """How surely the element does not belong to an article: "" (it may), "hard",
+    "soft" (class, id or form: also wrappers of a whole page), "reader" (soft, of
+    reader comments or related pages), "header" (soft, nothing but a header) or
+    "title" (that of an article)."""
+    if not attributes:
+        return "soft" if name == "form" else "hard" if name in _DROPPED else ""
+    if name in _SECTIONS and "role" not in attributes:
+        return ""
+    signs, own = set(), False
     for key, *values in _ATTR.findall(attributes):
         key, value = key.lower(), next(filter(None, values), "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hard"
         if key == "role" and value.strip().lower() in _ROLES:
-            return True
+            return "hard"
         if key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
+            return "hard"
         if key in ("class", "id") and name not in _SECTIONS:
             for one in value.split():
                 words = _WORD.findall(_CAMEL.sub("-", one).lower())
                 if words and words[0] not in ("has", "with", "no") and not _SIGNS.isdisjoint(words):
-                    return True
-    return False
+                    signs.update(_SIGNS.intersection(words))
+                    own = own or not _OWN.isdisjoint(words)
+    if name == "header":
+        return "title" if signs == {"header"} and own else "hard"
+    if name in _DROPPED and name != "form":
+        return "hard"
+    if signs == {"header"} and name != "form":
+        return "title" if own else "header"
+    return "reader" if signs & _READERS else "soft" if signs or name == "form" else ""
+
+
+class _Page:
+    """Where the elements of a page end, and what they hold."""
+
+    def __init__(self, items):
+        self.items = items
+        self.ends: dict[int, int] = {}             # index of the opening tag -> of the closing one
+        self.mass = [0]                            # letters outside links before each item
+        self.at: dict[str, list[int]] = {"article": [], "main": [], "h1": []}
+        opened: dict[str, list[int]] = {}
+        in_link = 0
+        for i, (kind, value) in enumerate(items):
+            letters = 0
+            if kind == "text":
+                letters = 0 if in_link else len("".join((unescape(value) if "&" in value else value).split()))
+            else:
+                name = value if kind == "close" else value[0]
+                if name == "a":
+                    in_link = kind == "open"
+                if kind == "open":
+                    if name not in _VOID:
+                        opened.setdefault(name, []).append(i)
+                    if name in self.at:
+                        self.at[name].append(i)
+                elif opened.get(name):
+                    self.ends[opened[name].pop()] = i
+            self.mass.append(self.mass[-1] + letters)
+
+    def end(self, start: int, name: str) -> int:
+        """Where an element that is dropped from ``start`` on stops being dropped."""
+        if name not in _ENDED_BY_BLOCK:
+            return self.ends.get(start, len(self.items))
+        for i in range(start + 1, len(self.items)):
+            kind, value = self.items[i]
+            other = value if kind == "close" else value[0] if kind == "open" else "b"
+            if other not in _INLINE and other not in _RAW and (kind == "close" or name in ("p", "li") or other == name):
+                return i
+        return len(self.items)
+
+    def spared(self, start: int, name: str, mark: str, inside: bool, kept: int, article: bool) -> bool:
+        """Whether a marked element holds the article, or most of the page.
+        ``kept``: letters kept if all marked ones are dropped; ``article``: of an article."""
+        if mark == "hard" or mark == "header" and inside:
+            return mark == "header"
+        end = self.end(start, name)
+
+        def holds(what):
+            places = self.at[what]
+            i = bisect_left(places, start)
+            return i < len(places) and places[i] < end
+
+        if mark == "title":
+            return inside or holds("h1")
+        if holds("main"):
+            return True
+        mass = self.mass[end] - self.mass[start]
+        if mark == "reader" and (inside or not holds("h1")):
+            return False
+        return 2 * mass > self.mass[-1] or not article and mass > kept and holds("article")
 
 
 def lines(html: str) -> list[tuple[str, int, bool, bool]]:
     """(text, letters inside links, dropped, inside article or main) per block, in page order."""
     items = list(tokens(html))
+    marks = {i: m for i, (kind, value) in enumerate(items) if kind == "open" and value[0] not in _VOID and (m := _mark(*value))}
+    found = _lines(items, marks, None)
+    if all(m == "hard" for m in marks.values()):
+        return found
+    article = any(a and not d for _, _, d, a in found)
+    kept = sum(len("".join(t.split())) - n for t, n, d, a in found if not d and (a or not article))
+    page = _Page(items)
+    return _lines(items, marks, lambda i, name, inside: page.spared(i, name, marks[i], inside, kept, article))
+
+
+def _lines(items, marks: dict[int, str], spared) -> list[tuple[str, int, bool, bool]]:
     closes: dict[str, list[int]] = {}
     for i, (kind, value) in enumerate(items):
         if kind == "close":
@@ -144,7 +231,7 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
         if kind == "open":
             if skip:
                 depth += name == skip and name not in _VOID
-            elif name not in _VOID and _marked(name, value[1]) and not (name == "header" and inside):
+            elif i in marks and not (name == "header" and inside) and not (spared and spared(i, name, inside > 0)):
                 later = closes.get(name, ())
                 if name in _ENDED_BY_BLOCK or later and later[-1] > i:      # an element that never ends hides nothing
                     flush()
@@ -163,32 +250,31 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def kept(weights: list[int], threshold: int, window: int = WINDOW) -> list[bool]:
-    """Lines between a surge (the window sum exceeds the threshold, or half the
-    largest sum where that is less) and the next dive (it falls to zero)."""
+def span(weights: list[int], threshold: int, window: int = WINDOW) -> tuple[int, int]:
+    """The lines [from, to) between the first surge (the window sum exceeds the
+    threshold, or half the largest sum where that is less) and the last dive (it
+    falls to zero for good).  Lines with a weight right before the surge belong
+    to the text."""
     n = len(weights)
     sums = [0] * (n + 1)
     for i, w in enumerate(weights):
         sums[i + 1] = sums[i] + w
     blocks = [sums[min(n, i + window)] - sums[i] for i in range(n)]
     threshold = min(threshold, max(blocks, default=0) // 2)
-    out, on = [False] * n, False
-    for i, block in enumerate(blocks):
-        if not on and weights[i] and block > threshold:
-            on = True
-        elif on and not block:
-            on = False
-        out[i] = on and weights[i] > 0
-    return out
+    start = next((i for i, block in enumerate(blocks) if weights[i] and block > threshold), n)
+    if start == n:
+        return n, n
+    while start and weights[start - 1]:
+        start -= 1
+    return start, max(i for i, w in enumerate(weights) if w) + 1
 
 
 def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    found = lines(html or "")
-    article = any(a and not d for _, _, d, a in found)
-    weights = [0 if dropped or article and not inside else
-               len(text) if article else max(0, len("".join(text.split())) - links)
-               for text, links, dropped, inside in found]
-    return " ".join(t[0] for t, k in zip(found, kept(weights, 0 if article else surge, window), strict=True) if k)
+    found = [x for x in lines(html or "") if not x[2]]
+    if any(inside for *_, inside in found):
+        return " ".join(text for text, _, _, inside in found if inside)
+    start, end = span([max(0, len("".join(text.split())) - links) for text, links, *_ in found], surge, window)
+    return " ".join(x[0] for x in found[start:end])
 
 
 def extract(pages: DataFrame, window: int = WINDOW, surge: int = SURGE, id_col: str = "page_id", url_col: str = "url",

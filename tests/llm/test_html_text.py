@@ -41,6 +41,35 @@ def test_cases(page, want):
     assert H.main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    # wrappers that hold the article, or the page
+    (f"<nav>n</nav><div class='content-sidebar-wrap'><article><h1>T</h1><p>{LONG}</p></article><div class=sidebar>no</div></div>", f"T {LONG}"),
+    (f"<div class='page-with-sidebar'><main><p>{LONG}</p></main></div>", LONG),
+    (f"<form id=aspnetForm><div class=menu>no</div><h1>Title</h1><p>{LONG}</p><p>end</p></form>", f"Title {LONG} end"),
+    (f"<form><article><p>short</p></article></form><div class=ad>{LONG}</div>", "short"),
+    (f"<td class='left-sidebar-layout'><p>{LONG}</p></td>", LONG),
+    # what is no wrapper stays dropped
+    (f"<article>x</article><div class=comments><article>{LONG}</article></div><div class=related><article>no</article></div>", "x"),
+    (f"<p>{LONG}</p><div class=sidebar><article>teaser</article></div>", LONG),
+    (f"<p>{LONG}</p><div id=comments><article>{LONG}{LONG}</article></div>", LONG),
+    # headers of the article and of the site
+    (f"<div class='site-header'><h1>Site</h1></div><div class='entry-header'><h1>Title</h1></div><p>{LONG}</p>", f"Title {LONG}"),
+    ("<article><div class=header><h1>T</h1></div><p>b</p></article>", "T b"),
+    (f"<header class=post-header><h1>T</h1></header><p>{LONG}</p>", f"T {LONG}"),
+    # pages without a marked article: adverts inside, short ends, linked lines, short starts
+    (f"<p>{LONG}</p><div class=ad><p>1</p><p>2</p><p>3</p></div><p>Short.</p>", f"{LONG} Short."),
+    (f"<p>{LONG}</p><ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul><p>End.</p>", f"{LONG} one two three End."),
+    (f"<ul><li><a href=/>Home</a></li></ul><h1>T</h1><p>by x</p><p>today</p><p>a</p><p>b</p><p>{LONG}</p>", f"T by x today a b {LONG}"),
+])
+def test_nothing_else_is_dropped(page, want):
+    assert H.main_text(page) == want
+
+
+def test_marked_elements_stay_linear():
+    for one, other in (("<div class=ad>", "</div>"), ("<div class=ad>a", "</div>"), ("<p class=ad>x", ""), ("<td class=ad><h1 class=ad>x", "")):
+        H.main_text(one * 30_000 + other * 30_000)
+
+
 def test_broken_markup_stays_linear():
     for page in ("<" * 200_000, "<a title=\"" * 50_000, "<!--" * 50_000, "&" * 200_000, "<div>" * 50_000, "</p>" * 50_000, "<script>" * 20_000):
         H.main_text(page)
