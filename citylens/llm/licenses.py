@@ -1,6 +1,6 @@
 """Licence scan: canonical digests of entire texts, looked up in known ones.
 
-A text is made canonical -- A-Z lower-cased, copyright lines dropped, spellings
+A text is made canonical -- A-Z lower-cased, lines that only state a copyright dropped, spellings
 that licence matching guidelines call equivalent made one, signs other than
 letters and digits turned to single spaces -- and its SHA-256 is joined with
 those of known licences and licence notices made canonical the same way.  The
@@ -19,7 +19,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,19 @@ SPELLINGS = (
     ("favour", "favor"), ("behaviour", "behavior"), ("whilst", "while"), ("wilful", "willful"), ("fulfil ", "fulfill "), ("per cent", "percent"),
     ("https://", "http://"), ("&", " and "), ("copyright holder", "copyright owner"),
 )
-#: a line that only states a copyright
+#: what follows "copyright" in running text, so that a line which begins with it is no notice of a name
+_RUNNING = ("holders?|owners?|ownership|notices?|laws?|licen[cs]es?|statements?|permissions?|interests?|disclaimers?|treaty|treaties|protections?|"
+            "acts?|claims?|status|works?|rights?|infringements?|doctrines?|exceptions?|restrictions?|limitations?|assignments?|terms?|material|"
+            "information|headers?|lines?|and|or|on|in|of|to|is|are|was|were|be|been|the|this|that|these|those|a|an|any|all|as|at|for|from|under|with|"
+            "within|which|who|may|shall|must|can|will|would|if|it|its|has|have|had|not|your|you|we|our|their|each|such|other|only|except|but|than")
+_YEAR = "[\\[<{(]?(?:(?:19|20)[0-9]{2}|19yy|yyyy|year\\b)"
+_GROUP = "(?:authors|contributors|developers|foundation|project|team|regents|university|inc|ltd|llc|gmbh|corp|corporation|company)\\b"
+#: a line that only states a copyright (of lower-cased text): by a mark, a year or a name
+COPYRIGHT_NOTICE = (r"(?m)^[ \t*#/;-]*(?:©|all rights reserved|copyright[ \t:,]*(?:\(c\)|©|&copy;)|"
+                    rf"(?:copyright|\(c\)|&copy;)(?:[ \t:,]|copyright\b|by\b)*{_YEAR}|"
+                    rf"copyright(?::|[ \t]+by\b)?[ \t]+(?!by\b)(?:(?!(?:{_RUNNING})\b)[^\s(\[<{{]|the[ \t][^\n,;]*{_GROUP}(?:[ .]*$|[^\n]*all rights reserved))|"
+                    rf"\(c\)[ \t]+(?!(?:{_RUNNING})\b)[^\n;]*{_GROUP}[ .]*$)[^\n]*$")
+#: the line dropped by the SQL answer: any that begins so
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 #: signs that separate words (line feeds are kept until the lines are told apart)
 SIGNS = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\\x{A0}©®«»‐‑‒–—―‘’“”•…™]+"
@@ -43,7 +56,7 @@ SIGNS = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\\x{A0}©®«»
 
 def canonical(text: Column) -> Column:
     """Canonical form with its line feeds."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_NOTICE, "")
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
     return F.regexp_replace(out, SIGNS, " ")
@@ -52,6 +65,9 @@ def canonical(text: Column) -> Column:
 def digest(canonical_text: Column) -> Column:
     """SHA-256 of a canonical text with single spaces; null if nothing is left."""
     line = F.trim(F.regexp_replace(canonical_text, "[ \\n]+", " "))
+    for one, other in SPELLINGS:
+        if " " in one.strip():                          # its words may stand on two lines
+            line = F.replace(line, F.lit(one), F.lit(other))
     return F.when(line != "", F.sha2(line, 256))
 
 
@@ -61,8 +77,33 @@ def known_digests(known: DataFrame, id_col: str = "license_id", text_col: str =
     return own.where("digest is not null").groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("license_id"))
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of entire licences as files hold them: those of
+    ``license_texts`` and of ``KNOWN``, with and without title and appendix."""
+    out = set(KNOWN.items())
+    for name, titles in TITLES.items():
+        bodies = {KNOWN[name], re.sub(r"(?m)^[0-9]\. ", "", KNOWN[name])}          # numbered, or with signs as bullets
+        if name == "BSD-3-Clause":
+            regents = _text("BSD")
+            bodies |= {regents, re.sub(r"(?m)^[0-9]\. ", "", regents)}
+        out.update((name, f"{t}\n\n{b}") for t in ("", *titles) for b in bodies)
+    for name, (license_id, titles) in FILES.items():
+        text = _text(name)
+        found = [text[at:] for m in [re.match(r"(?:\s*\S[^\n]*\n){%d}" % titles, text)] for at in (0, m.end())]
+        for body in found:
+            ends = [m.start() for m in _APPENDIX.finditer(body)] + [m.end() for m in re.finditer("END OF TERMS AND CONDITIONS", body)]
+            for part in {body, *(body[:e] for e in ends)}:
+                out.update((license_id, _ADDRESS.sub(a, part)) for a in _ADDRESSES)
+                out.add((license_id, part))
+    return sorted(out)
+
+
+def _text(name: str) -> str:
+    return resources.files(__package__).joinpath("license_texts", f"{name}.txt").read_text("utf-8")
+
+
 def default_known(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(KNOWN.items()), "license_id string, text string")
+    return spark.createDataFrame(whole_texts(), "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,3 +189,26 @@ KNOWN = {
            "OTHER DEALINGS IN THE SOFTWARE.",
     "MIT notice": "Released under the MIT License.",
 }
+#: fixed values: title lines that files put before a text of ``KNOWN``
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD", "BSD 0-Clause License", "Free Public License 1.0.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License',
+                     "Simplified BSD License", "BSD License", "The BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License',
+                     "New BSD License", "Modified BSD License", "Revised BSD License", "BSD License", "The BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "MIT/X11 License", "Expat License"),
+}
+#: fixed values: file of ``license_texts`` -> its licence, and how many title lines it begins with
+FILES = {
+    "Apache-2.0": ("Apache-2.0", 3), "Artistic": ("Artistic-1.0-Perl", 1), "CC0-1.0": ("CC0-1.0", 1), "GFDL-1.2": ("GFDL-1.2", 2), "GFDL-1.3": ("GFDL-1.3", 2),
+    "GPL-1": ("GPL-1.0", 2), "GPL-2": ("GPL-2.0", 2), "GPL-3": ("GPL-3.0", 2), "LGPL-2": ("LGPL-2.0", 2), "LGPL-2.1": ("LGPL-2.1", 2),
+    "LGPL-3": ("LGPL-3.0", 2), "MPL-1.1": ("MPL-1.1", 2), "MPL-2.0": ("MPL-2.0", 1),
+}
+_APPENDIX = re.compile(r"(?m)^[ \t]*(?:END OF TERMS AND CONDITIONS|(?:APPENDIX: )?How to apply the Apache|(?:Appendix: )?How to Apply These Terms|"
+                       r"ADDENDUM: How to use|Exhibit A - Source|EXHIBIT A -Mozilla)")
+#: addresses that the texts of the Free Software Foundation have had
+_ADDRESS = re.compile(r"51 Franklin St(?:reet)?, Fifth Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA")
+_ADDRESSES = ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+              "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA",
+              "675 Mass Ave, Cambridge, MA 02139, USA")

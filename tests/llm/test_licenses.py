@@ -37,3 +37,33 @@ def test_entries_with_equal_digests_are_all_named(spark):
     known = spark.createDataFrame([("b", "Some Licence."), ("a", "some license"), ("c", "")], "license_id string, text string")
     docs = spark.createDataFrame([(1, "SOME LICENSE!")], "doc_id long, text string")
     assert L.scan(docs, known).first()["license_id"] == "a,b"
+
+
+def test_usual_files_are_known(spark):
+    import textwrap
+
+    mit, bsd = L.KNOWN["MIT"], L.KNOWN["BSD-3-Clause"]
+    files = {"MIT": [f"MIT License\n\nCopyright (c) 2020 Some One\n\n{mit}", f"The MIT License (MIT)\n\nCopyright Acme Labs\n\n{mit}"],
+             "BSD-3-Clause": [f"BSD 3-Clause License\n\nCopyright (c) 2019, X\nAll rights reserved.\n\n{bsd}", L._text("BSD"),
+                              "Copyright The Foo Authors. \n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")]}
+    for width in range(30, 100, 5):           # wherever the lines break, also before "copyright holders" and "copyright notice"
+        files["MIT"].append("Copyright 2021 X\n" + textwrap.fill(mit, width))
+        files["BSD-3-Clause"].append(textwrap.fill(bsd, width))
+        files.setdefault("Apache-2.0", []).append(textwrap.fill(L._text("Apache-2.0").split("   APPENDIX")[0], width))
+    for name, (license_id, _) in L.FILES.items():
+        files.setdefault(license_id, []).append(L._text(name))
+    files["Apache-2.0"].append(L._text("Apache-2.0").replace("[yyyy] [name of copyright owner]", "2022 Some One"))
+    files["GPL-2.0"] += [L._text("GPL-2").replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"),
+                         L._text("GPL-2").split("            How to Apply")[0]]
+    rows = [(i, t, want) for i, (want, t) in enumerate((k, t) for k, v in files.items() for t in v)]
+    docs = spark.createDataFrame([*rows, (-1, mit + " But not here.", None), (-2, "MIT License", None)], "doc_id long, text string, want string")
+    got = {r["doc_id"]: r["license_id"] for r in L.scan(docs, L.default_known(spark)).collect()}
+    assert got == {-1: None, -2: None} | {i: want for i, _, want in rows}
+
+
+def test_copyright_notices():
+    notices = ["copyright (c) 2020 x", "copyright 1999-2003 x", "copyright: x y", "copyright by x", "(c) 2011 x", "© x", "copyright [yyyy] [name]", "copyright <year> x",
+               " * copyright the go authors. all rights reserved.", "copyright acme labs", "(c) acme inc.", "all rights reserved.", "copyright the go authors"]
+    texts = ["copyright holders be liable for any claim", "copyright notice, this list of conditions", "copyright owner or by an individual", "copyright law: that is",
+             "(c) you must retain, in the source form", "copyright, patent, trademark", "copyright on the program", "copyrighted by x", "copyright the software, and"]
+    assert [bool(re.search(L.COPYRIGHT_NOTICE, x)) for x in notices + texts] == [True] * len(notices) + [False] * len(texts)
