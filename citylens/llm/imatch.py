@@ -12,7 +12,13 @@ The lexicon is broadcast.  Its size is bounded: every document holds each term
 once, so at most ``mean distinct terms * exp(IDF_MAX)`` terms reach the band;
 the counted size is checked against ``LEXICON_MOST`` all the same.
 
-Defined results: a null text is empty; a text without lexicon terms is
+The terms of a text that holds a large part of the rows, or of its near copies,
+leave the band with it.  A text of ``TERMS_LEAST`` distinct terms or more that has
+less than a quarter of them in the lexicon is therefore signed over all its
+distinct terms, the same way; where one of two texts is, their likeness is that
+of both signed so.
+
+Defined results: a null text is empty; a shorter text without lexicon terms is
 fingerprinted by the whole text (so equal texts are always equal); with a null
 id a row comes first in the order; rows of equal id follow each other by text;
 after the last row comes the first; an empty table gives an empty one; further
@@ -43,6 +49,10 @@ IDF_MAX = math.log(500)
 #: chance of a term to be in each lexicon subset
 RATES = (1.0, *(2.0 ** -(1 + j // 3) for j in range(33)))
 LEXICON_MOST = 4_000_000
+#: distinct terms from which a text with few in the lexicon is signed over all of them
+TERMS_LEAST = 6
+#: terms outside the lexicon that a worker holds
+_OTHERS = 50_000
 #: terms a counting task holds before it passes its counts on
 _FLUSH = 400_000
 _TERM = re.compile(r"\w+")
@@ -115,18 +125,36 @@ class Lexicon:
         self.member = [np.fromiter((xxh64_intdigest(t, 1 + j) < r * 2**64 for t in self.names), bool, len(self.names))
                        for j, r in enumerate(self.rates)]
         self.table = Pieces(self._new, np.int64)
+        self.others: dict[str, tuple[int, int]] = {}
         return self
 
+    def over_all(self, text: str) -> np.ndarray:
+        """Signatures over all distinct terms of a text."""
+        own = sorted(set(terms(text)))
+        if len(self.others) > _OTHERS:
+            self.others = {}
+        for t in own:
+            if t not in self.others:
+                self.others[t] = (xxh64_intdigest(t), sum((xxh64_intdigest(t, 1 + j) < r * 2**64) << j for j, r in enumerate(self.rates)))
+        hashes, bits = (np.fromiter((self.others[t][k] for t in own), np.uint64, len(own)) for k in (0, 1))
+        out = np.zeros(len(self.rates), np.uint32)
+        for j in range(len(self.rates)):
+            if data := hashes[(bits >> np.uint64(j)) & np.uint64(1) == 1].tobytes():
+                out[j] = xxh32_intdigest(data, j) or 1
+        return out
+
     def _new(self, pieces):
         lists = [[self.number[t] for t in terms(p) if t in self.number] for p in pieces]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((n for x in lists for n in x), np.int64, int(counts.sum())), counts
 
-    def signatures(self, texts: list[str]) -> np.ndarray:
-        """(texts, subsets) of unsigned 32-bit hashes; 0: no term in the subset."""
-        out = np.zeros((len(texts), len(self.rates)), np.uint32)
+    def signatures(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(texts, subsets) of unsigned 32-bit hashes, 0: no term in the subset;
+        and which texts are signed over all their terms."""
+        out, over_all = np.zeros((len(texts), len(self.rates)), np.uint32), np.zeros(len(texts), bool)
         for a, b in by_size(texts):
-            values, offsets = coded(_words(texts[a:b]), self.table)
+            words = _words(texts[a:b])
+            values, offsets = coded(words, self.table)
             row, term = _distinct(values, offsets, max(1, len(self.names)))
             for j, member in enumerate(self.member):
                 inside = member[term]
@@ -137,9 +165,20 @@ class Lexicon:
                     if end > start:
                         out[a + i, j] = xxh32_intdigest(data[start:end], j) or 1
                     start = end
-            for i in np.flatnonzero(np.bincount(row, minlength=b - a) == 0):
+            known = np.bincount(row, minlength=b - a)
+            for i in np.flatnonzero(4 * known < np.diff(words.offsets.to_numpy())):
+                if (distinct := len(set(terms(texts[a + i])))) >= TERMS_LEAST and 4 * known[i] < distinct:
+                    out[a + i], over_all[a + i] = self.over_all(texts[a + i]), True
+            for i in np.flatnonzero((known == 0) & ~over_all[a:b]):
                 whole = texts[a + i].encode("utf-8", "surrogatepass")
                 out[a + i] = [xxh32_intdigest(whole, 1000 + j) or 1 for j in range(len(self.rates))]
+        return out, over_all
+
+    def alike(self, texts: list[str], mine, others: list[str], theirs) -> np.ndarray:
+        """Likeness of texts and others, given what ``signatures`` gave for each."""
+        out = likeness(mine[0], theirs[0])
+        for i in np.flatnonzero(mine[1] != theirs[1]):
+            out[i] = likeness(*(s[0][i: i + 1] if s[1][i] else self.over_all(t[i])[None] for t, s in ((texts, mine), (others, theirs))))[0]
         return out
 
 
@@ -222,11 +261,13 @@ def fingerprint_edits(docs: DataFrame, words: Lexicon | None = None, id_col: str
             half = [len(texts[i]) // 2 for i in at]
             edited = [texts[i][: len(texts[i]) - h] + texts[j][:h] for i, j, h in zip(at, following, half, strict=True)]
             all_own, changed = book.signatures(texts), book.signatures(edited)
-            mine, next_one = all_own[list(at)], all_own[list(following)]
+            mine, next_one = (tuple(x[list(i)] for x in all_own) for i in (at, following))
+            own_texts, next_texts = [texts[i] for i in at], [texts[i] for i in following]
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array([len(texts[i]) for i in at], pa.int64()),
                 pa.array([hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited]),
-                pa.array(hexed(mine)), pa.array(hexed(changed)), pa.array(likeness(mine, changed)), pa.array(likeness(mine, next_one))],
+                pa.array(hexed(mine[0])), pa.array(hexed(changed[0])),
+                pa.array(book.alike(own_texts, mine, edited, changed)), pa.array(book.alike(own_texts, mine, next_texts, next_one))],
                 names=[c.split()[0] for c in _OUT.split(", ")])
 
     return _with_next(own).mapInArrow(run, _OUT)

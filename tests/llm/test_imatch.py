@@ -65,3 +65,20 @@ def test_small_tables(spark):
     got = M.fingerprint_edits(same).collect()
     assert len(got) == 5 and {r["near_next"] for r in got} == {1.0} and len({r["fingerprint"] for r in got}) == 1
     assert M.fingerprint_edits(one.limit(0)).count() == 0
+
+
+def test_near_copies_of_a_text_that_holds_a_third_of_the_rows(spark):
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    hot = rnd.sample([f"h{i}" for i in range(500)], 80)
+
+    def copy():
+        return " ".join(x if k != at else f"edit{rnd.randrange(10**6)}" for at in [rnd.randrange(80)] for k, x in enumerate(hot))
+
+    rows = [(i, " ".join(hot)) for i in range(100)] + [(100 + i, copy()) for i in range(50)] + [(200 + i, " ".join(rnd.choices(words, k=80))) for i in range(300)]
+    got = {r["doc_id"]: r for r in M.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) and len({got[i]["fingerprint"] for i in range(100)}) == 1
+    assert all(got[i]["near_next"] == 1.0 for i in range(99)) and all(got[i]["near_edited"] > 0.1 for i in range(99))
+    near = [got[i]["near_next"] for i in range(99, 149)]            # one or two words of 80 differ
+    assert min(near) > 0.3 and max(near) < 1.0
+    assert np.mean([got[i]["near_next"] for i in range(200, 499)]) < 0.2 and got[149]["near_next"] < 0.2 < np.mean(near)
