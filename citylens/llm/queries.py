@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import licenses, reputation
+from . import collocations, licenses, reputation
 from .common import keep, table
 
 
@@ -104,6 +104,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import classify
 
@@ -122,10 +128,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pii": op10_pii,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_quality_classifier": op13_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {
     "op3_url_reputation": reputation.oracle(),
     "op5_license_scan": licenses.oracle(),
+    "op12_phrase_collocations": collocations.oracle(),
 }
