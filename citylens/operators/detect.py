@@ -9,7 +9,6 @@ key's history is ever gathered into one task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -97,117 +96,122 @@ def consecutive_breach(df: DataFrame, key: str | Sequence[str], ts: str, value:
 # T7: threshold alert with cooldown
 # ---------------------------------------------------------------------------
 
-def _next_breach(nodes: DataFrame, key: list[str], cool_us: int) -> DataFrame:
-    """For each breach node ``(key, __t, __id)`` the first breach of the same
-    key at or after ``__t + cooldown`` (the next alert if this one fires).
-
-    The target always falls in the next cooldown-sized bucket, so an as-of
-    lookup inside ``(key, bucket)`` answers it; targets whose bucket has no
-    later breach take the first breach of the next non-empty bucket (an
-    as-of over one summary row per bucket)."""
-    n = nodes.withColumn("__b", F.floor(F.col("__t") / cool_us))
-    node_s = F.struct("__t", "__id")
-    data = n.select(*key, "__b", F.col("__t").alias("__s"), F.lit(1).alias("__kind"),
-                    node_s.alias("__hit"), F.lit(None).cast("struct<__t:long,__id:long>").alias("__src"))
-    probe = n.select(*key, (F.col("__b") + 1).alias("__b"), (F.col("__t") + cool_us).alias("__s"),
-                     F.lit(0).alias("__kind"),
-                     F.lit(None).cast("struct<__t:long,__id:long>").alias("__hit"), node_s.alias("__src"))
-    u = data.unionByName(probe)
-    w = (Window.partitionBy(*key, "__b")
-         .orderBy(F.desc("__s"), F.desc("__kind"), F.desc("__hit"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    in_bucket = (u.withColumn("__nxt", F.last("__hit", ignorenulls=True).over(w))
-                   .filter(F.col("__kind") == 0)
-                   .select(*key, F.col("__b").alias("__pb"), "__src", "__nxt"))
-
-    firsts = n.groupBy(*key, "__b").agg(F.min(node_s).alias("__first"))
-    miss = in_bucket.filter(F.col("__nxt").isNull())
-    s_rows = firsts.select(*key, "__b", F.lit(1).alias("__kind"), "__first",
-                           F.lit(None).cast("struct<__t:long,__id:long>").alias("__src"))
-    p_rows = miss.select(*key, (F.col("__pb") + 1).alias("__b"), F.lit(0).alias("__kind"),
-                         F.lit(None).cast("struct<__t:long,__id:long>").alias("__first"), "__src")
-    w2 = (Window.partitionBy(*key).orderBy(F.desc("__b"), F.desc("__kind"))
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    later = (s_rows.unionByName(p_rows)
-             .withColumn("__nxt2", F.last("__first", ignorenulls=True).over(w2))
-             .filter(F.col("__kind") == 0).select(*key, "__src", "__nxt2"))
-    out = (in_bucket.join(later, [*key, "__src"], "left")
-           .select(*key, F.col("__src.__t").alias("__t"), F.col("__src.__id").alias("__id"),
-                   F.coalesce("__nxt", "__nxt2").alias("__jump")))
-    return out
+def _groups(batches, key: str, chunk: str):
+    """(batch, from, to, key, chunk) of the runs of one (key, chunk) in sorted batches."""
+    import numpy as np
+
+    for b in batches:
+        k, c = np.array(b.column(key).to_pylist(), object), b.column(chunk).to_numpy(zero_copy_only=False)
+        heads = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])) if b.num_rows else []
+        for s, e in zip(heads, [*heads[1:], b.num_rows]):
+            yield b, int(s), int(e), k[s], int(c[s])
+
+
+def _chunk_steps(t, start: int, cool: int):
+    """A chunk of breaches as a step function: from which time on a first alert
+    leads to which last alert of the chunk (arrays; equal steps are one)."""
+    import numpy as np
+
+    n = len(t)
+    nxt = np.maximum(np.searchsorted(t, t + cool, side="left"), np.arange(1, n + 1))
+    last = np.where(nxt < n, np.minimum(nxt, n - 1), np.arange(n))
+    while True:
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    # an alert of an earlier chunk suppresses less than one cooldown of this one
+    first = min(n, int(np.searchsorted(t, start + cool, side="left")) + 1)
+    out = t[last[:first]]
+    keep = np.append(out[1:] != out[:-1], True)
+    return t[:first][keep], out[keep]
 
 
 def cooldown_alerts(df: DataFrame, key: str | Sequence[str], ts: str, condition: Column,
-                    cooldown="120 seconds", id_col: str = "event_id",
-                    max_rounds: int = 64) -> DataFrame:
+                    cooldown="120 seconds", id_col: str = "event_id", chunk_s: float | None = None) -> DataFrame:
     """Rows where ``condition`` holds and no alert of the same key fired in
     the preceding ``cooldown`` (an alert fires when ``now - last >=
     cooldown``; a suppressed breach does not restart the clock).  NULL
-    condition = no breach.
-
-    The alerts of a key form the chain ``first breach, next(first), ...``
-    where ``next(b)`` is the first breach at or after ``b + cooldown``.
-    Breaches a full cooldown after their predecessor always fire and split
-    the chain into independent segments (found with the chunked
-    gaps-and-islands scan); segments shorter than the cooldown alert at
-    their start only.
-    ``next`` is found by an as-of lookup per cooldown bucket; the chain is
-    then followed by pointer doubling: round ``r`` extends the known prefix
-    of every chain by ``2^r`` links with one join, so ``log2`` of the
-    longest possible chain (bounded up front by breaches and time span per
-    key) rounds suffice and no key is ever handled by a single task.  Each
-    round is checkpointed to the shared checkpoint folder.
+    condition = no breach; an event without a time is none either.
+
+    A key's timeline is cut into chunks of several cooldowns.  What a chunk
+    does with the last alert before it is a step function (``_chunk_steps``)
+    with few steps, as chains of alerts soon meet whatever their first one.
+    Each (key, chunk) gives its steps; a pass over the steps of a key, chunk by
+    chunk, gives the last alert before each chunk; then each (key, chunk)
+    jumps from alert to alert by itself.  So a hot key is spread over its
+    chunks, and only its steps are taken one after the other, streamed.
     """
-    keys = _seq(key)
-    cool_us = micros(cooldown)
-    breaches = keyed(df, keys).filter(F.coalesce(condition, F.lit(False)))
-    nodes = breaches.select(*keys, F.col(ts).alias("__ts"), epoch_micros(ts).alias("__t"),
-                            F.col(id_col).cast("long").alias("__id"))
-    # A breach at least one cooldown after the previous breach of its key
-    # always fires (the last alert is no later than that breach), so such
-    # breaches cut the key's timeline into independent segments.  A segment
-    # shorter than the cooldown alerts only at its start; only longer ones
-    # need the chain.
-    seg = (island_starts(nodes, keys, "__ts", (cool_us - 1) / 1_000_000, order=["__id"])
-           .withColumnRenamed("island_start", "__seg").drop("__ts"))
-    sk = [*keys, "__seg"]
-    stats = seg.groupBy(*sk).agg(F.min(F.struct("__t", "__id")).alias("__f"),
-                                 F.count(F.lit(1)).alias("__n"),
-                                 (F.max("__t") - F.min("__t")).alias("__span")).checkpoint()
-    starts = stats.select(*keys, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id"))
-    long_segs = stats.filter(F.col("__span") >= cool_us)
-    # chain links are at least one cooldown apart: at most min(n, span/cooldown + 1)
-    bound = long_segs.agg(F.max(F.least(F.col("__n"), F.floor(F.col("__span") / cool_us) + 1))).first()[0] or 0
-    rounds = max(0, math.ceil(math.log2(bound))) if bound > 1 else 0
-    if rounds > max_rounds:
-        raise RuntimeError("cooldown chain longer than 2^max_rounds alerts")
-    node_cols = [*sk, "__t", "__id"]
-    alerts = starts
-    if rounds:
-        in_long = seg.join(long_segs.select(*sk), sk, "left_semi")
-        jump = _next_breach(in_long, sk, cool_us).checkpoint()
-        chain = long_segs.select(*sk, F.col("__f.__t").alias("__t"), F.col("__f.__id").alias("__id")).checkpoint()
-        for r in range(rounds):
-            # chain_{r+1} = chain_r + jump_r(chain_r): the next 2^r links of every chain
-            hop = (chain.join(jump, node_cols, "inner").filter(F.col("__jump").isNotNull())
-                   .select(*sk, F.col("__jump.__t").alias("__t"), F.col("__jump.__id").alias("__id")))
-            chain = chain.unionByName(hop).checkpoint()
-            if r == rounds - 1:
-                break
-            # jump_{r+1}(b) = jump_r(jump_r(b))
-            j2 = jump.select(*[F.col(k).alias(f"__k2_{i}") for i, k in enumerate(sk)],
-                             F.col("__t").alias("__t2"), F.col("__id").alias("__id2"),
-                             F.col("__jump").alias("__jump2"))
-            cond = (F.col("__jump.__t") == F.col("__t2")) & (F.col("__jump.__id") == F.col("__id2"))
-            for i, k in enumerate(sk):
-                cond = cond & (F.col(k) == F.col(f"__k2_{i}"))
-            jump = (jump.join(j2, cond, "left")
-                    .select(*sk, "__t", "__id", F.col("__jump2").alias("__jump"))
-                    .checkpoint())
-        alerts = starts.unionByName(chain.drop("__seg")).distinct()
-
-    marked = breaches.withColumn("__t", epoch_micros(ts)).withColumn("__id", F.col(id_col).cast("long"))
-    return marked.join(alerts, [*keys, "__t", "__id"], "left_semi").drop("__t", "__id")
+    keys, cool = _seq(key), micros(cooldown)
+    span = micros(chunk_s or max(16 * seconds(cooldown), 3600.0))
+    if span < cool:
+        raise ValueError("a chunk must be at least the cooldown")
+    cols = df.columns
+    breaches = keyed(df, [*keys, ts]).filter(F.coalesce(condition, F.lit(False))).withColumn("__t", epoch_micros(ts)).select(
+        "*", F.col(id_col).cast("long").alias("__id"), F.floor(F.col("__t") / F.lit(span)).cast("long").alias("__chunk"),
+        F.to_json(F.struct(*keys)).alias("__key"))
+
+    def steps(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def row(at, parts):
+            starts, outs = _chunk_steps(np.concatenate(parts), at[1] * span, cool)
+            return pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]]), pa.array([starts.tolist()], pa.list_(pa.int64())),
+                                               pa.array([outs.tolist()], pa.list_(pa.int64()))], names=["__key", "__chunk", "starts", "outs"])
+
+        at, parts = None, []
+        for b, s, e, k, c in _groups(batches, "__key", "__chunk"):
+            if at is not None and at != (k, c):
+                yield row(at, parts)
+                parts = []
+            at = (k, c)
+            parts.append(b.column("__t").slice(s, e - s).to_numpy(zero_copy_only=False))
+        if at is not None:
+            yield row(at, parts)
+
+    def carry(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at, last = None, None
+        for b in batches:
+            k, c, befores = b.column("__key").to_pylist(), b.column("__chunk"), []
+            for i, (starts, outs) in enumerate(zip(b.column("starts").to_pylist(), b.column("outs").to_pylist(), strict=True)):
+                if k[i] != at:
+                    at, last = k[i], None
+                befores.append(last)
+                j = 0 if last is None else int(np.searchsorted(starts, last + cool, side="left"))
+                if j < len(starts):
+                    last = outs[j]
+            yield pa.RecordBatch.from_arrays([b.column("__key"), c, pa.array(befores, pa.int64())], names=["__key", "__chunk", "__last"])
+
+    def fire(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at, last, batch, mask = None, None, None, None
+        for b, s, e, k, c in _groups(batches, "__key", "__chunk"):
+            if b is not batch:
+                if batch is not None and mask.any():
+                    yield batch.filter(pa.array(mask)).select(cols)
+                batch, mask = b, np.zeros(b.num_rows, bool)
+            if (k, c) != at:
+                at, last = (k, c), b.column("__last")[s].as_py()
+            t = b.column("__t").slice(s, e - s).to_numpy(zero_copy_only=False)
+            i = 0 if last is None else int(np.searchsorted(t, last + cool, side="left"))
+            while i < len(t):
+                mask[s + i], last = True, int(t[i])
+                i = max(i + 1, int(np.searchsorted(t, last + cool, side="left")))
+        if batch is not None and mask.any():
+            yield batch.filter(pa.array(mask)).select(cols)
+
+    place = ["__key", "__chunk"]
+    parts = breaches.select(*place, "__t").repartition(*place).sortWithinPartitions(*place, "__t")
+    stepped = parts.mapInArrow(steps, "__key string, __chunk long, starts array<long>, outs array<long>")
+    before = stepped.repartition("__key").sortWithinPartitions(*place).mapInArrow(carry, "__key string, __chunk long, __last long")
+    ready = breaches.join(before, place).repartition(*place).sortWithinPartitions(*place, "__t", "__id")
+    return ready.mapInArrow(fire, df.schema)
 
 
 # ---------------------------------------------------------------------------
@@ -396,12 +400,27 @@ def incidents(aq: DataFrame, traffic: DataFrame, bus: DataFrame, arrival: str, l
               island_gap="60 seconds", duration="300 seconds", ts: str = "timestamp") -> DataFrame:
     """The incident job as a batch (backfill) run over three decoded streams:
     per-stream late drop against the running watermark (``arrival`` = the
-    arrival order, e.g. the offset), then the three detectors (bunching in
-    continuous mode), in one incident shape."""
-    def kept(df: DataFrame) -> DataFrame:  # one stream = one topic; a written table, so that the detectors do not redo the drop
-        return drop_late(df.withColumn("__topic", F.lit(0)), "__topic", ts, arrival, lateness).drop("__topic").checkpoint()
-
-    aq, traffic, bus = kept(aq), kept(traffic), kept(bus)
+    arrival order, e.g. the offset; it identifies an event of its stream), then
+    the three detectors (bunching in continuous mode), in one incident shape.
+
+    One pass over (stream, time, arrival) of all three finds the late events,
+    a small table that is written; the detectors read the streams without
+    them."""
+    from ..session import scratch_path
+
+    streams = [aq, traffic, bus]
+    every = None
+    for i, df in enumerate(streams):
+        one = df.select(F.lit(i).alias("__stream"), F.col(ts).alias("__ts"), F.col(arrival).cast("long").alias("__arrival"))
+        every = one if every is None else every.unionByName(one)
+    late = mark_late(every, "__stream", "__ts", "__arrival", lateness).where("is_late").select("__stream", "__arrival")
+    path = scratch_path(aq.sparkSession, "late")
+    late.write.parquet(path)
+    late = aq.sparkSession.read.schema(late.schema).parquet(path)
+    if not late.isEmpty():
+        streams = [df.join(late.where(F.col("__stream") == i), F.col(arrival).cast("long") == F.col("__arrival"), "left_anti")
+                   for i, df in enumerate(streams)]
+    aq, traffic, bus = streams
     a = aqi_incident(cooldown_alerts(aq, "sensor_id", ts, F.col("aqi") > aqi_above, cooldown, id_col=arrival),
                      aqi_above, ts=ts)
     g = gridlock_incident(consecutive_breach(traffic, "junction_id", ts, "avg_wait_sec", wait_above, n, within,

@@ -70,12 +70,22 @@ def _dedupe(dim: DataFrame, on: list[str], order: str | None) -> DataFrame:
     return dim.groupBy(*on).agg(last.alias("__d")).select(*on, *[F.col(f"__d.{c}").alias(c) for c in rest])
 
 
+def file_order(df: DataFrame) -> Column:
+    """The place of each row among the files ``df`` is read from: path, block,
+    row within the block.  Spark packs the blocks of several files into tasks
+    by size, so row numbers of the plan alone say nothing of the order of files;
+    within a block rows are read in order."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def last_row_wins(dim: DataFrame, on: Sequence[str]) -> DataFrame:
-    """One row per key of a dimension file read as a batch: the last in file
-    order.  The row numbers are written (a checkpoint), because a plan that
-    numbers rows cannot be part of a streaming query."""
-    numbered = dim.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
-    return _dedupe(numbered, list(on), "__row").drop("__row")
+    """One row per key of a dimension read as a batch: the last in the order of
+    its files (by path) and of their rows; a dimension that is not read from
+    files has the order of its rows.  The places are written (a checkpoint),
+    because a plan that numbers rows cannot be part of a streaming query."""
+    place = file_order(dim) if dim.inputFiles() else F.monotonically_increasing_id()
+    return _dedupe(dim.withColumn("__row", place).checkpoint(), list(on), "__row").drop("__row")
 
 
 def enrich(stream: DataFrame, dim: DataFrame, on: str | Sequence[str] = "route_id",

@@ -226,6 +226,51 @@ def report_totals(counts: DataFrame, topics: list[str]) -> DataFrame:
     return both.groupBy("topic").agg(F.sum("valid").alias("valid"), F.sum("dlq").alias("dlq")).withColumn("dlq_rate_pct", rate)
 
 
+VALID, DEAD = "(valid)", "(dead)"
+
+
+def counted_as(errors: str = "errors") -> Column:
+    """What a message counts as: each of its errors by type, and valid or dead once."""
+    types = F.transform(errors, lambda e: error_type(e))
+    return F.when(F.size(errors) > 0, F.concat(types, F.array(F.lit(DEAD)))).otherwise(F.array(F.lit(VALID)))
+
+
+def windowed_counts(checked: DataFrame, ts: str = "timestamp", every: str = "5 minutes", topic_col: str = "topic") -> DataFrame:
+    """(window_start, window_end, topic, error, count) of validated messages by
+    event time.  On a stream with a watermark the rows of a window are final
+    together, when the watermark passes its end; the state is a row per open
+    window, topic and error type, whatever the messages hold."""
+    e = checked.select(ts, F.col(topic_col).alias("topic"), F.explode(counted_as()).alias("error"))
+    return (e.groupBy(F.window(ts, every).alias("w"), "topic", "error").agg(F.count(F.lit(1)).alias("count"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "topic", "error", "count"))
+
+
+def windowed_errors(counts: DataFrame) -> DataFrame:
+    """The error distribution of each window: errors by topic and type."""
+    return counts.where(~F.col("error").isin(VALID, DEAD))
+
+
+def windowed_report(counts: DataFrame, topics: list[str]) -> DataFrame:
+    """Per window in which a message arrived: a row for each topic -- listed
+    topics that sent nothing included -- and one for all, with messages, valid,
+    dead and the rate of dead letters in percent (NULL without messages).
+
+    Listed topics come in as zero rows made from rows of the window itself
+    (at most two for each of its topics), so nothing is joined."""
+    counts, n = counts.where(F.col("error").isin(VALID, DEAD)), F.col("count")
+    own = F.struct(F.col("topic").alias("topic"), F.when(F.col("error") == VALID, n).otherwise(0).alias("valid"),
+                   F.when(F.col("error") == DEAD, n).otherwise(0).alias("dlq"))
+    everyone = F.struct(F.lit(TOTAL).alias("topic"), own["valid"].alias("valid"), own["dlq"].alias("dlq"))
+    listed = [F.struct(F.lit(t).alias("topic"), F.lit(0).cast("long").alias("valid"), F.lit(0).cast("long").alias("dlq")) for t in topics]
+    kind = "array<struct<topic:string,valid:long,dlq:long>>"
+    rows = counts.select("window_start", "window_end", F.explode(F.array(own, everyone, *listed).cast(kind)).alias("r"))
+    total = F.col("valid") + F.col("dlq")
+    return (rows.groupBy("window_start", "window_end", F.col("r.topic").alias("topic"))
+            .agg(F.sum("r.valid").alias("valid"), F.sum("r.dlq").alias("dlq"))
+            .select("window_start", "window_end", "topic", total.alias("total"), "valid", "dlq",
+                    F.when(total > 0, F.round(F.col("dlq") * 100.0 / total, 1)).alias("dlq_rate_pct")))
+
+
 def dlq_envelope(df: DataFrame, topic_col: str, original: Column, now: Column | None = None) -> DataFrame:
     """Dead-letter records: ``(original_topic, error_reason, all_errors,
     original_data, dlq_timestamp)`` for the invalid rows, keyed by topic."""

@@ -129,3 +129,31 @@ def exclusive_running_max(df: DataFrame, keys: Sequence[str], order: str, value:
     d = d.join(carry, [*keys, "__blk"], "left")
     return (d.withColumn(out, F.greatest(F.col("__in_blk"), F.col("__carry")))
               .drop("__blk", "__in_blk", "__carry"))
+
+
+def keyed_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position", parts: int | None = None) -> DataFrame:
+    """``row_number()`` of each row within its key by ``order`` (ascending, nulls
+    first), without a task that holds a key.
+
+    The rows are dealt into ranges of ``order`` of equal size -- whatever their
+    keys, so a key with a third of all rows lies in many ranges -- and written
+    with the number of their range.  A row's position is its place within
+    (key, range) plus the rows of the key in earlier ranges: a prefix sum over
+    one count per key and range.
+    """
+    from ..session import parallelism, scratch_path
+
+    spark = df.sparkSession
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
+    path = scratch_path(spark, "ranges")
+    df.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    counts = dealt.groupBy(*keys, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__range").alias("__r"),
+                           F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = dealt.withColumn("__place", F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order)))
+    same = F.col("__range") == F.col("__r")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return inside.join(before, same).select(*df.columns, (F.col("__before") + F.col("__place")).cast("long").alias(out))

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import decode, encode
 from ..functions.geo import haversine_m
-from ..functions.scalar import (advisory_level, advisory_text, bucket_label, epoch_seconds, fixed,
+from ..functions.scalar import (advisory_level, advisory_text, aqi_from_pm25, bucket_label, epoch_seconds, fixed,
                                 fixed_sum, parse_iso_ts, py_round)
 from ..operators import detect, enrich, quality, windows
-from ..operators.reports import keyed_order, present_ward_energy
-from ..session import prepare
+from ..operators.reports import present_ward_energy
+from ..operators.sequence import keyed_position
+from ..session import prepare, scratch_path
+from ..sources.dims import read_dimension
 from . import mapping as M
 
 # Parameters of the mapped detectors (events are ~4 min apart per event type
@@ -36,6 +38,8 @@ LATE_SHIFT_HOURS = 7             # event time = ts - (event_id % 7) hours
 LATENESS = "2 hours"
 ADVISORY_ABOVE = 150.0
 RETENTION_AS_OF = "2024-01-31 00:00:00"
+REPORT_EVERY = "5 minutes"
+REPORT_TOPICS = [*quality.RULES, "parking"]
 
 
 def _ev(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,15 +191,40 @@ def enrich_last_row_wins(spark, sf):
 
 
 def fractional_readings(spark, sf):
-    """Boundary cases with fractional numbers: readings compared as sent."""
+    """Readings with fractions (eight times the value as AQI, the value less 20
+    as waiting time), compared as sent."""
     ev = _ev(spark, sf)
     topic = F.when(F.col("event_id") % 2 == 0, "air_quality").otherwise("traffic_signals")
-    aqi = F.concat(F.lit('{"aqi": '), (F.lit(499) + (F.col("event_id") % 8) / 4).cast("string"), F.lit("}"))
-    wait = F.concat(F.lit('{"junction_id": "J", "avg_wait_sec": '), (F.lit(-1) + (F.col("event_id") % 8) / 4).cast("string"), F.lit("}"))
+    aqi = F.concat(F.lit('{"aqi": '), (F.col("value") * 8).cast("string"), F.lit("}"))
+    wait = F.concat(F.lit('{"junction_id": "J", "avg_wait_sec": '), (F.col("value") - 20).cast("string"), F.lit("}"))
     raw = ev.select("event_id", topic.alias("topic"), F.when(F.col("event_id") % 2 == 0, aqi).otherwise(wait).alias("payload"))
     return quality.validate_payloads(raw, "topic", "payload").select("event_id", "is_valid", "error_reason")
 
 
+def dlq_report_5m(spark, sf):
+    """The validator's report per 5 minutes of event time: per topic (listed
+    topics without a message included) and in total."""
+    counts = quality.windowed_counts(_checked(spark, sf), "timestamp", REPORT_EVERY)
+    return quality.windowed_report(counts, REPORT_TOPICS)
+
+
+def dlq_errors_5m(spark, sf):
+    """The error distribution per 5 minutes of event time."""
+    return quality.windowed_errors(quality.windowed_counts(_checked(spark, sf), "timestamp", REPORT_EVERY))
+
+
+def enrich_last_file_row_wins(spark, sf):
+    """Customers joined to a dimension that lies in several CSV files of
+    different sizes (orders by customer, in order of the order key): of the rows of a key
+    the last one of the last file wins."""
+    prepare(spark)
+    path = scratch_path(spark, "dimension")
+    orders = M.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority")
+    orders.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").write.option("header", "true").csv(path)
+    dim = read_dimension(spark, path, orders.schema)
+    return enrich.enrich(M.table(spark, sf, "customer").select("c_custkey", "c_name"), enrich.last_row_wins(dim, ["c_custkey"]), "c_custkey", "inner")
+
+
 def dlq_error_distribution(spark, sf):
     return quality.error_distribution(_checked(spark, sf))
 
@@ -249,12 +278,10 @@ def keyed_json_round_trip(spark, sf):
 
 
 def keyed_export_order(spark, sf):
-    """Readings in per-key order (one partition per key, by event time): the
-    position of each within its key's partition run."""
+    """Readings in per-key order (by event time): the position of each among
+    the readings of its key."""
     ev = _ev(spark, sf).select("user_id", "ts", "event_id")
-    out = keyed_order(ev, "user_id", "ts", 8)
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return out.withColumn("position", F.row_number().over(w))
+    return keyed_position(ev, ["user_id"], ["ts", "event_id"])
 
 
 def zone_avg_null_aqi(spark, sf):
@@ -336,10 +363,10 @@ def incident_counts(spark, sf):
 # ---------------------------------------------------------------- scalar functions
 def domain_scalars(spark, sf):
     ev = _ev(spark, sf)
-    bus = M.bus_gps(ev)
+    bus = M.bus_gps(ev, "value")
     iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return bus.join(M.air_quality(ev).select("event_id", "aqi"), "event_id").select(
-        "event_id", "aqi",
+    return bus.select(
+        "event_id", aqi_from_pm25(F.col("value")).alias("aqi"),
         bucket_label("timestamp", 900).alias("bucket_15m"),
         F.to_date("timestamp").alias("event_date"),
         parse_iso_ts(iso).cast("timestamp_ntz").alias("parsed_ts"),
@@ -388,4 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incidents_union": incidents_union,
     "incident_counts": incident_counts,
     "domain_scalars": domain_scalars,
+    "dlq_report_5m": dlq_report_5m,
+    "dlq_errors_5m": dlq_errors_5m,
+    "enrich_last_file_row_wins": enrich_last_file_row_wins,
 }

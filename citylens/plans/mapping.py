@@ -78,14 +78,14 @@ TRAFFIC_SQL = """traffic AS (
 
 
 # -- bus GPS: route = event_type, 12 buses, positions on a ~80 m lattice -----------
-def bus_gps(ev: DataFrame) -> DataFrame:
+def bus_gps(ev: DataFrame, *keep) -> DataFrame:
     return ev.select(
         F.concat(F.lit("BUS-"), F.lpad((F.col("user_id") % 12).cast("string"), 2, "0")).alias("bus_id"),
         F.col("event_type").alias("route_id"),
         ((F.lit(129500) + (F.col("event_id") % 11) * 7).cast("double") / 10000).alias("lat"),
         ((F.lit(776000) + (F.col("event_id") % 13) * 7).cast("double") / 10000).alias("lon"),
         F.col("ts").alias("timestamp"),
-        "event_id")
+        "event_id", *keep)
 
 
 BUS_GPS_SQL = """bus_gps AS (

@@ -136,10 +136,30 @@ SELECT topic, CAST(SUM(valid) AS BIGINT) AS valid, CAST(SUM(dlq) AS BIGINT) AS d
        CASE WHEN SUM(valid) + SUM(dlq) > 0 THEN round(SUM(dlq) * 100.0 / (SUM(valid) + SUM(dlq)), 1) END AS dlq_rate_pct
 FROM both_rows GROUP BY topic"""
 
+_TB5 = "time_bucket(INTERVAL '5 minutes', \"timestamp\")"
+
+DLQ_REPORT_5M = _CHECKED + f""",
+per AS (
+  SELECT {_TB5} AS window_start, topic, CASE WHEN len(errors) = 0 THEN 1 ELSE 0 END AS valid, CASE WHEN len(errors) > 0 THEN 1 ELSE 0 END AS dlq FROM checked),
+rows_ AS (
+  SELECT * FROM per
+  UNION ALL SELECT window_start, 'TOTAL', valid, dlq FROM per
+  UNION ALL SELECT DISTINCT window_start, unnest(['air_quality', 'bus_gps', 'traffic_signals', 'smart_meters', 'parking']), 0, 0 FROM per)
+SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, topic, CAST(SUM(valid) + SUM(dlq) AS BIGINT) AS total,
+       CAST(SUM(valid) AS BIGINT) AS valid, CAST(SUM(dlq) AS BIGINT) AS dlq,
+       CASE WHEN SUM(valid) + SUM(dlq) > 0 THEN round(SUM(dlq) * 100.0 / (SUM(valid) + SUM(dlq)), 1) END AS dlq_rate_pct
+FROM rows_ GROUP BY window_start, topic"""
+
+DLQ_ERRORS_5M = _CHECKED + f"""
+SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, topic, split_part(error, ':', 1) AS error, COUNT(*) AS count
+FROM (SELECT {_TB5} AS window_start, topic, unnest(errors) AS error FROM checked) GROUP BY 1, 2, 3, 4"""
+
 FRACTIONAL_READINGS = """
-WITH r AS (SELECT event_id, event_id % 2 = 0 AS aq, 499 + (event_id % 8) / 4.0 AS aqi, -1 + (event_id % 8) / 4.0 AS wait FROM events)
-SELECT event_id, CASE WHEN aq THEN aqi <= 500 ELSE wait >= 0 END AS is_valid,
-       CASE WHEN aq AND aqi > 500 THEN 'aqi_out_of_range:' || CAST(aqi AS DOUBLE) WHEN NOT aq AND wait < 0 THEN 'negative_wait_sec' END AS error_reason
+WITH r AS (SELECT event_id, event_id % 2 = 0 AS aq, value * 8 AS aqi, value - 20 AS wait FROM events)
+SELECT event_id, CASE WHEN aq THEN aqi BETWEEN 0 AND 500 ELSE wait >= 0 END AS is_valid,
+       CASE WHEN aq AND NOT aqi BETWEEN 0 AND 500
+              THEN 'aqi_out_of_range:' || CASE WHEN aqi = floor(aqi) THEN CAST(CAST(aqi AS BIGINT) AS VARCHAR) ELSE CAST(aqi AS VARCHAR) END
+            WHEN NOT aq AND wait < 0 THEN 'negative_wait_sec' END AS error_reason
 FROM r"""
 
 ENRICH_LAST_ROW_WINS = """
@@ -327,7 +347,22 @@ FROM bus_gps b JOIN air_quality a ON a.event_id = b.event_id"""
 AQI_HISTORY = _with(M.AIR_QUALITY_SQL) + """
 SELECT sensor_id, zone, pm25, aqi, "timestamp", event_id, CAST("timestamp" AS DATE) AS date FROM air_quality"""
 
+WARD_ENERGY_TWO_SINKS = f"""
+SELECT 'records' AS sink, * FROM ({WARD_ENERGY}) UNION ALL SELECT 'versions', * FROM ({WARD_ENERGY})"""
+
+STREAM_ADVISORY_ARCHIVE_ALL = f"""SELECT *, CAST(window_start AS DATE) AS date FROM ({ZONE_ADVISORY})"""
+
 ORACLE: dict[str, str] = {
+    "dlq_report_5m": DLQ_REPORT_5M,
+    "dlq_errors_5m": DLQ_ERRORS_5M,
+    "enrich_last_file_row_wins": ENRICH_LAST_ROW_WINS,
+    "stream_dlq_report_5m": DLQ_REPORT_5M,
+    "stream_dlq_errors_5m": DLQ_ERRORS_5M,
+    "stream_ward_energy_flushed": WARD_ENERGY,
+    "stream_late_events": LATE_EVENTS,
+    "stream_ward_energy_two_sinks": WARD_ENERGY_TWO_SINKS,
+    "stream_weekly_ward_report": WEEKLY,
+    "stream_advisory_archive_flushed": STREAM_ADVISORY_ARCHIVE_ALL,
     "stream_ward_energy_upsert": WARD_ENERGY,
     "stream_aqi_history": AQI_HISTORY,
     # streaming forms answer the same questions as their batch forms

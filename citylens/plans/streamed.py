@@ -17,12 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed, py_round
-from ..operators import enrich, windows
-from ..session import parallelism, prepare, scratch_path
+from ..operators import enrich, quality, windows
 from ..operators.reports import aqi_history
+from ..session import RECOMMENDED_CONF, parallelism, prepare, scratch_path
+from ..sinks.committed import CommittedTable, into_tables
 from ..sinks.writers import path_exists, start_parquet, upsert_partitions, versioned_append
-from ..sources.streams import Replay, event_time, table_stream
-from ..streaming import stateful
+from ..sources.streams import Flush, Replay, event_time, last_event_micros, table_stream
+from ..streaming import jobs, stateful
+from ..streaming.bunching import bunching_chained
+from ..streaming.incremental import WeeklyReport
 from . import catalog as C
 from . import mapping as M
 
@@ -30,39 +33,55 @@ from . import mapping as M
 @contextmanager
 def state_partitions(spark: SparkSession):
     """Start queries with one state partition per task slot (a query's
-    state partitioning is fixed at its first start), then restore."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(parallelism(spark)))
+    state partitioning is fixed at its first start) and with state in RocksDB
+    (which chained keyed state needs), then restore."""
+    keys = {"spark.sql.shuffle.partitions": str(parallelism(spark)),
+            "spark.sql.streaming.stateStore.providerClass": RECOMMENDED_CONF["spark.sql.streaming.stateStore.providerClass"]}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def _drain(spark: SparkSession, df: DataFrame, checkpoint: str, mode: str, sink, feed: Iterable) -> int:
+def _drain(spark: SparkSession, df: DataFrame, checkpoint: str, mode: str, sink, feed: Iterable, flush=None) -> int:
     """Run a streaming DataFrame over all that is there (once per step of
-    ``feed``, state carried by the checkpoint); the number of input rows."""
-    rows = 0
-    for _ in feed:
+    ``feed``, state carried by the checkpoint); the number of input rows.
+    ``flush``: (Flush, window length, watermark delay): afterwards the windows still
+    open are emitted."""
+    rows, seen = 0, None
+
+    def run():
         with state_partitions(spark):
             q = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).foreachBatch(sink).start())
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        return q
+
+    for _ in feed:
+        q = run()
         rows += sum(p.numInputRows for p in q.recentProgress)
+        if flush:
+            seen = max(filter(None, [seen, last_event_micros(q, flush[2])]), default=None)
+    if flush and seen is not None:
+        flush[0].mark(seen, *flush[1:])
+        run()
     return rows
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "append",
-                 keys: Sequence[str] | None = None, feed: Iterable = (0,)) -> DataFrame:
+                 keys: Sequence[str] | None = None, feed: Iterable = (0,), flush=None) -> DataFrame:
     """Drain a streaming DataFrame into Parquet (versioned by micro-batch)
     and read it back; update-mode results are collapsed per ``keys``.  Only a
     source without rows may leave no table; a table that cannot be read is an
     error."""
     out, ck = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    rows = _drain(spark, df, ck, mode, versioned_append(out), feed)
+    rows = _drain(spark, df, ck, mode, versioned_append(out), feed, flush)
     if not rows and not path_exists(spark, out):
         return spark.createDataFrame([], df.schema)
     res = spark.read.parquet(out)
@@ -80,10 +99,11 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 REPLAY_FILES = 64
 
 
-def _events_replay(spark: SparkSession, sf: str) -> tuple[DataFrame, Iterable]:
-    """The events in event-time order, and the steps that feed them."""
+def _events_replay(spark: SparkSession, sf: str, order: str = "ts", least: int = 1) -> tuple[DataFrame, Iterable]:
+    """The events in event-time order (or in that of another column), and the
+    steps that feed them, at least so many."""
     prepare(spark)
-    r = Replay(spark, sf, "events", "ts", REPLAY_FILES)
+    r = Replay(spark, sf, "events", order, REPLAY_FILES, least=least)
     return event_time(r.stream, "ts"), r.feed()
 
 
@@ -166,7 +186,6 @@ def stream_enrich_unmatched(spark, sf):
 def stream_dlq_summary(spark, sf):
     """Running per-topic DLQ counters (complete mode: every trigger
     rewrites the totals; the last version is the answer)."""
-    from ..operators import quality
     raw = M.raw_mixed(_events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
     chk = quality.validate_payloads(raw, "topic", "payload")
     summ = quality.dlq_summary(chk)
@@ -174,11 +193,11 @@ def stream_dlq_summary(spark, sf):
 
 
 def stream_bunching_clock(spark, sf):
-    """Clock-mode bunching alerts, a clock for each pair of buses."""
+    """Clock-mode bunching alerts, a clock for each pair of buses: three keyed
+    states in a row (bus, place, pair)."""
     events, feed = _events_replay(spark, sf)
     bus = M.bus_gps(events).withWatermark("timestamp", "30 minutes")
-    b = stateful.bunching_stream(bus, max_distance_m=C.BUNCH_DISTANCE_M, max_gap=C.BUNCH_GAP,
-                                 duration=C.BUNCH_MIN_DURATION)
+    b = bunching_chained(bus, max_distance_m=C.BUNCH_DISTANCE_M, max_gap=C.BUNCH_GAP, duration=C.BUNCH_MIN_DURATION)
     res = run_to_table(spark, b, "stream_bunching_clock", feed=feed).withColumn("distance_m", F.round("distance_m", 3))
     return _ntz(res, "event_time")
 
@@ -218,22 +237,117 @@ def stream_ward_energy_final(spark, sf):
     return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
 
 
+def _advisory_archive(spark, sf, flushed: bool) -> DataFrame:
+    events, feed = _events_replay(spark, sf)
+    aq, flush = M.air_quality(events), None
+    if flushed:
+        flush = (Flush(spark, scratch_path(spark, "advisory-flush")), "10 minutes", "10 minutes")
+        timed = flush[0].watermark(aq, "10 minutes")
+    else:
+        timed = aq.withWatermark("timestamp", "10 minutes")
+    adv = C.advisories(windows.zone_aqi(timed), M.zone_profile(spark)).withColumn("date", F.to_date("window_start"))
+    table = CommittedTable(spark, scratch_path(spark, "stream_advisory_archive"), adv.schema, ["zone", "date"])
+    _drain(spark, adv, scratch_path(spark, "stream_advisory_archive-ck"), "append",
+           into_tables("advisories", {"archive": (table, lambda b, i: b)}), feed, flush)
+    table.compact()
+    return _ntz(table.read(), "window_start", "window_end")
+
+
 def stream_advisory_archive(spark, sf):
-    """Advisories of finished windows archived to Parquet by zone and date."""
+    """Advisories of finished windows archived to Parquet by zone and date, one
+    file per partition after compaction."""
+    return _advisory_archive(spark, sf, False)
+
+
+def stream_advisory_archive_flushed(spark, sf):
+    """The archive of a stream that was stopped: its last windows included."""
+    return _advisory_archive(spark, sf, True)
+
+
+def stream_ward_energy_flushed(spark, sf):
+    """Append mode with a flush at the end: every window once."""
     events, feed = _events_replay(spark, sf)
-    aq = M.air_quality(events).withWatermark("timestamp", "10 minutes")
-    adv = C.advisories(windows.zone_aqi(aq), M.zone_profile(spark)).withColumn("date", F.to_date("window_start"))
-    out, ck = scratch_path(spark, "stream_advisory_archive"), scratch_path(spark, "stream_advisory_archive-ck")
+    flush = Flush(spark, scratch_path(spark, "ward-energy-flush"))
+    agg = windows.ward_energy(flush.watermark(M.smart_meters(events), "45 minutes"))
+    res = run_to_table(spark, agg, "stream_ward_energy_flushed", "append", feed=feed, flush=(flush, "15 minutes", "45 minutes"))
+    return _ntz(res, "window_start", "window_end").select(*C.ward_energy_15m(spark, sf).columns)
+
+
+def _report_windows(spark, sf, shape, name: str) -> DataFrame:
+    events, feed = _events_replay(spark, sf)
+    flush = Flush(spark, scratch_path(spark, f"{name}-flush"))
+    raw = flush.watermark(M.raw_mixed(events), "30 seconds")
+    counts = quality.windowed_counts(quality.validate_payloads(raw, "topic", "payload"), "timestamp", C.REPORT_EVERY)
+    kind = shape(spark.createDataFrame([], counts.schema)).schema
+    table = CommittedTable(spark, scratch_path(spark, name), kind)
+    _drain(spark, counts, scratch_path(spark, f"{name}-ck"), "append", into_tables("report", {"report": (table, lambda b, i: shape(b))}),
+           feed, (flush, C.REPORT_EVERY, "30 seconds"))
+    return _ntz(table.read(), "window_start", "window_end")
+
+
+def stream_dlq_report_5m(spark, sf):
+    """The validator's report for each 5 minutes, written when the watermark
+    has passed them; the last ones when the stream stops."""
+    return _report_windows(spark, sf, lambda b: quality.windowed_report(b, C.REPORT_TOPICS), "stream_dlq_report_5m")
+
+
+def stream_dlq_errors_5m(spark, sf):
+    """Errors by topic and type for each 5 minutes, in the same way."""
+    return _report_windows(spark, sf, quality.windowed_errors, "stream_dlq_errors_5m")
+
+
+def stream_late_events(spark, sf):
+    """The exact late cut on a stream: events arrive by id, in several
+    micro-batches; those behind their topic's running watermark are the second output."""
+    events, feed = _events_replay(spark, sf, "event_id", least=4)
+    ev = events.select("event_id", "event_type", (F.col("ts") - F.make_dt_interval(
+        hours=(F.col("event_id") % C.LATE_SHIFT_HOURS).cast("int"))).alias("event_time"))
+    marked = stateful.mark_late_stream(ev, "event_type", "event_time", "event_id", C.LATENESS)
+    kept, late = (CommittedTable(spark, scratch_path(spark, f"stream_{n}_events"), ev.schema) for n in ("kept", "late"))
+    _drain(spark, marked, scratch_path(spark, "stream_late_events-ck"), "append", into_tables("cut", {
+        "kept": (kept, lambda b, i: b.where(~F.col("is_late")).select(*ev.columns)),
+        "late": (late, lambda b, i: b.where("is_late").select(*ev.columns))}), feed)
+    return _ntz(late.read(), "event_time")
+
+
+def stream_ward_energy_two_sinks(spark, sf):
+    """Ward energy from one state into two tables, each version once: keyed
+    JSON records and Parquet by ward and date; the newest version of each window in both."""
+    events, feed = _events_replay(spark, sf, least=2)
+    out, root = scratch_path(spark, "ward-energy-once"), scratch_path(spark, "ward-energy-once-ck")
     for _ in feed:
         with state_partitions(spark):
-            q = start_parquet(adv, out, ck, ["zone", "date"], trigger="available_now")
+            q = jobs.ward_energy_once_job(M.smart_meters(events), out, root, trigger="available_now", decoded=True)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return _ntz(spark.read.schema(adv.schema).parquet(out), "window_start", "window_end").select(*adv.columns)
+    records, versions = jobs.ward_energy_tables(spark, out)
+    kind = versions.schema
+    back = records.read().select(F.from_json("value", kind).alias("v"), F.col("batch_id").alias("b")).select("v.*", "b").drop("batch_id").withColumnRenamed("b", "batch_id")
+    newest = [windows.latest_version(d, ["ward_id", "window_start"], "batch_id").drop("batch_id").select(F.lit(n).alias("sink"), "*")
+              for n, d in (("records", back), ("versions", versions.read()))]
+    return _ntz(newest[0].unionByName(newest[1]), "window_start", "window_end")
+
+
+def stream_weekly_ward_report(spark, sf):
+    """The weekly report kept current from update-mode windows by signed
+    differences, over several micro-batches."""
+    events, feed = _events_replay(spark, sf, "event_id", least=3)
+    agg = windows.ward_energy(M.smart_meters(events))
+    report = WeeklyReport(spark, scratch_path(spark, "weekly"))
+    _drain(spark, agg, scratch_path(spark, "weekly-ck"), "update", report.write, feed)
+    report.fold()
+    return _ntz(report.read(), "week_start")
 
 
 STREAM_QUERIES = {
+    "stream_dlq_report_5m": stream_dlq_report_5m,
+    "stream_dlq_errors_5m": stream_dlq_errors_5m,
+    "stream_ward_energy_flushed": stream_ward_energy_flushed,
+    "stream_late_events": stream_late_events,
+    "stream_ward_energy_two_sinks": stream_ward_energy_two_sinks,
+    "stream_weekly_ward_report": stream_weekly_ward_report,
+    "stream_advisory_archive_flushed": stream_advisory_archive_flushed,
     "stream_ward_energy_final": stream_ward_energy_final,
     "stream_advisory_archive": stream_advisory_archive,
     "stream_ward_energy_upsert": stream_ward_energy_upsert,

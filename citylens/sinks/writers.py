@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.codec import encode
+from ..session import scratch_path
 
 
 def trigger_args(trigger: str | None) -> dict:
     """``"5 seconds"`` -> processing time; ``"available_now"`` -> drain what
     is there and stop (tests, backfills); ``None`` -> as fast as possible."""
     if trigger is None:
-        return {}
+        return {"processingTime": "0 seconds"}
     if trigger in ("available_now", "availableNow"):
         return {"availableNow": True}
     if trigger == "once":
@@ -103,8 +104,9 @@ def upsert_partitions(path: str, keys: Sequence[str], partition_by: Sequence[str
     their batch id, which restarts with a new checkpoint); other partitions are
     not read or written.  The merged rows are clustered by partition (one file
     per partition and batch: a partition holds one row per window, so this is
-    bounded) and checkpointed before the overwrite (a path cannot be
-    overwritten while it is read).  Empty batches write nothing.  A stored table
+    bounded) and staged in a folder of the shared checkpoint folder before the
+    overwrite (a path cannot be overwritten while it is read); the folder is
+    deleted after it.  Empty batches write nothing.  A stored table
     that cannot be read is an error: only a path that does not exist is the
     first batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -115,15 +117,34 @@ def upsert_partitions(path: str, keys: Sequence[str], partition_by: Sequence[str
         merged = cur
         if path_exists(spark, path):
             old = spark.read.parquet(path)
-            touched = cur.select(*partition_by).distinct()
-            old = old.join(touched, list(partition_by), "left_semi").join(cur.select(*keys), list(keys), "left_anti")
+            old = _matching(old, cur.select(*partition_by).distinct(), partition_by, "left_semi")
+            old = _matching(old, cur, keys, "left_anti")
             merged = old.unionByName(cur.select(*old.columns))
-        merged = merged.repartition(*partition_by).checkpoint()
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
+        staged = scratch_path(spark, "upsert")
+        merged.write.parquet(staged)
+        try:
+            (spark.read.schema(merged.schema).parquet(staged).repartition(*partition_by)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_by).parquet(path))
+        finally:
+            delete(spark, staged)
     return write
 
 
+def _matching(rows: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join where a null key equals a null key."""
+    twin = other.select(*[F.col(c).alias(f"__o_{c}") for c in on])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
+    return rows.join(twin, same, how)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -140,5 +161,4 @@ def drop_old(spark: SparkSession, path: str, keep: int) -> None:
     """Delete all but the last ``keep`` sub-folders, by name: readers of the
     newest ones are never disturbed."""
     for f in children(spark, path)[:-keep]:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        delete(spark, f)

@@ -16,8 +16,12 @@ from ..functions.codec import decode
 from ..functions.scalar import advisory_level, advisory_text
 from ..operators import detect, enrich, quality, windows
 from ..schemas import AIR_QUALITY, BUS_GPS, SMART_METERS, TRAFFIC_SIGNALS
+from ..sources.streams import Flush, last_event_micros
+from ..session import RECOMMENDED_CONF
 from ..sinks import writers
+from ..sinks.committed import CommittedTable, into_tables
 from . import stateful
+from .bunching import bunching_chained
 
 
 # windows, watermarks and detectors need an event time: a message whose
@@ -35,13 +39,15 @@ def _ck(root: str, name: str) -> str:
 def ward_energy_job(raw: DataFrame, out_parquet: str, out_json: str | None, checkpoint_root: str,
                     watermark: str = "45 minutes", every: str = "15 minutes",
                     trigger: str | None = "5 seconds", kafka: dict | None = None,
-                    decoded: bool = False) -> list[StreamingQuery]:
+                    decoded: bool = False, flush: Flush | None = None) -> list[StreamingQuery]:
     """Smart-meter envelope stream -> 15-min energy per ward, to a keyed
     JSON/Kafka sink in update mode and to Parquet partitioned by
     ``ward_id, date`` in append mode (finalised windows only).  Two queries,
-    two state copies: their output modes differ."""
+    two state copies: their output modes differ.  With ``flush`` the windows
+    still open can be emitted at the end (``stop_flushed``)."""
     ev = raw if decoded else decode(raw, SMART_METERS, require=EVENT_TIME)
-    agg = windows.ward_energy(ev.withWatermark("timestamp", watermark), every=every)
+    timed = flush.watermark(ev, watermark) if flush else ev.withWatermark("timestamp", watermark)
+    agg = windows.ward_energy(timed, every=every)
     qs = []
     if out_json is not None or kafka is not None:
         qs.append(writers.start_keyed_json(agg, "ward_id", _ck(checkpoint_root, "ward_energy_kafka"),
@@ -66,6 +72,46 @@ def ward_energy_upsert_job(raw: DataFrame, out_parquet: str, checkpoint_root: st
             .start())
 
 
+def stop_flushed(queries: list[StreamingQuery], flush: Flush, every: str = "15 minutes", delay: str = "45 minutes",
+                 slide: str | None = None) -> None:
+    """Stop running queries once what has arrived is processed and their open
+    windows are emitted.  Queries without an event yet have none."""
+    for q in queries:
+        q.processAllAvailable()
+    seen = [x for x in (last_event_micros(q, delay) for q in queries) if x is not None]
+    if seen:
+        flush.mark(max(seen), every, delay, slide)
+        for q in queries:
+            q.processAllAvailable()
+    for q in queries:
+        q.stop()
+
+
+def ward_energy_once_job(raw: DataFrame, out: str, checkpoint_root: str, watermark: str = "45 minutes", every: str = "15 minutes",
+                         trigger: str | None = "5 seconds", decoded: bool = False, query: str = "ward_energy") -> StreamingQuery:
+    """Ward energy with one state for both outputs: every version of a window
+    goes once into a table of keyed JSON records and once into a Parquet
+    table by ward and date (``ward_energy_tables``), also when the
+    job is killed between the two and restarted."""
+    ev = raw if decoded else decode(raw, SMART_METERS, require=EVENT_TIME)
+    agg = windows.ward_energy(ev.withWatermark("timestamp", watermark), every=every)
+    records, versions = ward_energy_tables(raw.sparkSession, out)
+    return (agg.writeStream.outputMode("update").option("checkpointLocation", _ck(checkpoint_root, "ward_energy_once"))
+            .trigger(**writers.trigger_args(trigger))
+            .foreachBatch(into_tables(query, {
+                "records": (records, lambda b, i: writers.keyed_json(b, "ward_id").withColumn("batch_id", F.lit(i).cast("long"))),
+                "versions": (versions, lambda b, i: b.withColumn("batch_id", F.lit(i).cast("long")))}))
+            .start())
+
+
+def ward_energy_tables(spark: SparkSession, out: str) -> tuple[CommittedTable, CommittedTable]:
+    """The tables (keyed JSON records, versions) of ``ward_energy_once_job``."""
+    version = T.StructType.fromDDL("ward_id string, window_start timestamp, window_end timestamp, total_kwh_consumed double, "
+                                   "avg_power_factor double, peak_voltage double, date date, batch_id long")
+    return (CommittedTable(spark, f"{out}/records", T.StructType.fromDDL("key string, value string, batch_id long"), fmt="json"),
+            CommittedTable(spark, f"{out}/versions", version, ["ward_id", "date"]))
+
+
 # ------------------------------------------------------------------ health advisory (E1)
 def advisory_stream(spark: SparkSession, raw: DataFrame, profile: DataFrame, threshold: float = 150.0,
                     watermark: str = "10 minutes", decoded: bool = False) -> DataFrame:
@@ -117,22 +163,23 @@ def enrichment_job(raw: DataFrame, routes: DataFrame, out_json: str | None, unma
 # ------------------------------------------------------------------ dead-letter validator
 def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_root: str,
             trigger: str | None = "5 seconds", kafka: dict | None = None,
-            topic_names: dict[str, str] | None = None) -> list[StreamingQuery]:
+            topic_names: dict[str, str] | None = None, every: str | None = None,
+            watermark: str = "30 seconds") -> list[StreamingQuery]:
     """Validate a multi-topic envelope stream; invalid messages go to the
     dead-letter output keyed by original topic.  A report is kept current
     under ``report_path`` (``latest_report``): errors by topic and type, and
     per topic and in total how many messages were valid.  Its state is a row
-    per topic and error type, whatever the messages hold."""
+    per topic and error type, whatever the messages hold.  With ``every`` (a
+    duration) a report is also made for each window of that length
+    (``window_reports``), when the watermark over the messages' times has
+    passed its end."""
     from ..sources.streams import short_topic
     msgs = raw.withColumn("topic", short_topic("topic"))
     chk = quality.validate_payloads(msgs, "topic", "value", topics=topic_names)
     env = quality.dlq_envelope(chk, "topic", F.col("value").cast("string"))
     qs = [writers.start_keyed_json(env, "original_topic", _ck(checkpoint_root, "dlq"), "append",
                                    trigger, dlq_json, kafka)]
-    # what a message counts as: one of its error types each, and valid or dead
-    types = F.transform("errors", lambda e: quality.error_type(e))
-    counted = F.when(F.size("errors") > 0, F.concat(types, F.array(F.lit(DEAD)))).otherwise(F.array(F.lit(VALID)))
-    dist = (chk.select("topic", F.explode(counted).alias("error"))
+    dist = (chk.select("topic", F.explode(quality.counted_as()).alias("error"))
             .groupBy("topic", "error").agg(F.count(F.lit(1)).alias("count")))
     topics = sorted(topic_names or quality.RULES)
 
@@ -140,11 +187,11 @@ def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_r
         batch = batch.cache()
         try:
             totals = quality.report_totals(batch.groupBy("topic").agg(
-                F.sum(F.when(F.col("error") == VALID, F.col("count")).otherwise(0)).alias("valid"),
-                F.sum(F.when(F.col("error") == DEAD, F.col("count")).otherwise(0)).alias("dlq")), topics)
+                F.sum(F.when(F.col("error") == quality.VALID, F.col("count")).otherwise(0)).alias("valid"),
+                F.sum(F.when(F.col("error") == quality.DEAD, F.col("count")).otherwise(0)).alias("dlq")), topics)
             folder = f"{report_path}/batch={batch_id:012d}"
             totals.coalesce(1).write.mode("overwrite").parquet(f"{folder}/totals")
-            (batch.where(~F.col("error").isin(VALID, DEAD)).coalesce(1)
+            (batch.where(~F.col("error").isin(quality.VALID, quality.DEAD)).coalesce(1)
              .write.mode("overwrite").parquet(f"{folder}/errors"))            # last: its mark makes the report current
             writers.drop_old(batch.sparkSession, report_path, keep=3)
         finally:
@@ -153,10 +200,24 @@ def dlq_job(raw: DataFrame, dlq_json: str | None, report_path: str, checkpoint_r
     qs.append(dist.writeStream.outputMode("complete")
               .option("checkpointLocation", _ck(checkpoint_root, "dlq_report"))
               .trigger(**writers.trigger_args(trigger)).foreachBatch(write_report).start())
+    if every is not None:
+        timed = quality.validate_payloads(msgs.withWatermark("timestamp", watermark), "topic", "value", topics=topic_names)
+        counts = quality.windowed_counts(timed, "timestamp", every)
+        tables = window_reports(raw.sparkSession, report_path)
+        qs.append(counts.writeStream.outputMode("append").option("checkpointLocation", _ck(checkpoint_root, "dlq_windows"))
+                  .trigger(**writers.trigger_args(trigger))
+                  .foreachBatch(into_tables("windows", {
+                      "totals": (tables[0], lambda b, i: quality.windowed_report(b, topics)),
+                      "errors": (tables[1], lambda b, i: quality.windowed_errors(b))}))
+                  .start())
     return qs
 
 
-VALID, DEAD = "(valid)", "(dead)"
+def window_reports(spark: SparkSession, report_path: str) -> tuple[CommittedTable, CommittedTable]:
+    """The tables (totals, errors) of the reports per window."""
+    window = "window_start timestamp, window_end timestamp, topic string"
+    kinds = {"totals": f"{window}, total long, valid long, dlq long, dlq_rate_pct double", "errors": f"{window}, error string, count long"}
+    return tuple(CommittedTable(spark, f"{report_path}-windows/{k}", T.StructType.fromDDL(v)) for k, v in kinds.items())
 
 
 def latest_report(spark: SparkSession, report_path: str) -> tuple[DataFrame, DataFrame]:
@@ -174,15 +235,16 @@ def incidents_streams(aq: DataFrame, traffic: DataFrame, bus: DataFrame, latenes
                       gap: str = "60 seconds", duration: str = "300 seconds") -> dict[str, DataFrame]:
     """Three decoded streams (with a long ``event_id`` that orders events of
     equal time) -> the three stateful detectors, each already in the common
-    incident shape (``detect.INCIDENT_COLUMNS``; missing columns NULL).  Spark runs one keyed-state operator per streaming query, so the
-    three are separate queries writing to one incident output."""
+    incident shape (``detect.INCIDENT_COLUMNS``; missing columns NULL): three
+    queries writing to one incident output.  Bunching runs on chained keyed
+    states, which need RocksDB as state store (``incidents_job`` sets it)."""
     a = detect.aqi_incident(stateful.cooldown_alerts_stream(
         aq.withWatermark("timestamp", lateness), "sensor_id", "timestamp", F.col("aqi") > aqi_above, cooldown),
         aqi_above)
     g = detect.gridlock_incident(stateful.consecutive_breach_stream(
         traffic.withWatermark("timestamp", lateness), "junction_id", "timestamp", "avg_wait_sec", wait_above,
         n, within))
-    b = detect.bunching_incident(stateful.bunching_stream(
+    b = detect.bunching_incident(bunching_chained(
         bus.withWatermark("timestamp", lateness), max_distance_m=distance_m, max_gap=gap, duration=duration))
     return {t: detect.incident_shape(df) for t, df in (("AQI_EMERGENCY", a), ("TRAFFIC_GRIDLOCK", g), ("BUS_BUNCHING", b))}
 
@@ -200,6 +262,8 @@ def incidents_job(raw_aq: DataFrame, raw_traffic: DataFrame, raw_bus: DataFrame,
                   **kw) -> list[StreamingQuery]:
     """The three detectors to one incident output keyed by incident type
     (one Kafka topic, or one JSON folder per type)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    raw_aq.sparkSession.conf.set(key, RECOMMENDED_CONF[key])
     streams = incidents_streams(_ordered(raw_aq, AIR_QUALITY), _ordered(raw_traffic, TRAFFIC_SIGNALS),
                                 _ordered(raw_bus, BUS_GPS), **kw)
     return [writers.start_keyed_json(df, "incident_type", _ck(checkpoint_root, f"incidents_{t.lower()}"),

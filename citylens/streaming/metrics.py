@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,17 +52,21 @@ def lag_report(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFr
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps every progress event (and the observed metrics inside it) of
-    the session's queries; ``spark.streams.addListener(rec)``."""
+    """Keeps the last ``keep`` progress events (and the observed metrics inside
+    them) of the session's queries, and the number of rows of all;
+    ``spark.streams.addListener(rec)``."""
 
-    def __init__(self) -> None:
-        self.events: list[dict] = []
+    def __init__(self, keep: int = 1000) -> None:
+        self.events: deque[dict] = deque(maxlen=keep)
+        self.rows = 0
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
-        self.events.append(json.loads(event.progress.json))
+        p = json.loads(event.progress.json)
+        self.events.append(p)
+        self.rows += int(p.get("numInputRows") or 0)
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -70,7 +75,7 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
     def observed(self, name: str) -> list[dict]:
-        """Values of one ``df.observe(name, ...)`` metric set, per batch."""
+        """Values of one ``df.observe(name, ...)`` metric set, per kept batch."""
         out = []
         for e in self.events:
             m = (e.get("observedMetrics") or {}).get(name)
@@ -79,4 +84,4 @@ class ProgressRecorder(StreamingQueryListener):
         return out
 
     def rows_processed(self) -> int:
-        return sum(int(e.get("numInputRows") or 0) for e in self.events)
+        return self.rows
