@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import drop_kept, keep
 
 _LINK = "a long, b long"
+#: links of a file that a round writes, about
+_FILE_ROWS = 1 << 20
 
 
 def _local_forest(batches):
@@ -58,16 +60,17 @@ def components(links: DataFrame) -> DataFrame:
     Repeated and mirrored links are fine; an empty table gives an empty one."""
     pairs = links.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = keep(pairs.mapInArrow(_local_forest, _LINK).distinct(), "cc")
+    def written(df):
+        """The table, and its number of rows and a sum over them, counted by the job that writes it."""
+        seen = Observation()
+        out = keep(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")), "cc")
+        return out, (seen.get["n"], seen.get["s"])
 
-    def state(df):
-        r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        return r["n"], r["s"]
-
-    seen = state(now)
+    now, seen = written(pairs.mapInArrow(_local_forest, _LINK).distinct())
     while seen[0]:
-        nxt = keep(_star(_star(now, small=False), small=True), "cc")
-        got = state(nxt)
+        # a round has no more rows than the one before: a small one in few files
+        step = _star(_star(now, small=False), small=True)
+        nxt, got = written(step.coalesce(1 + seen[0] // _FILE_ROWS))
         drop_kept(now)
         now = nxt
         if got == seen:
