@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from ..operators.enrich import bounded_broadcast
 from .common import arrow_map, as_signed, keep, pick, release, texts_of, unsigned_hex
 from .components import components
 
@@ -323,7 +324,10 @@ def one_of_each(docs: DataFrame, tau: int = TAU, words: int = SHINGLE, id_col: s
     first = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
              .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first")))
     chosen = keep(first.select(F.col("first.id").alias("k_id"), F.col("first.row").alias("k_row")), "chosen")
-    kept = row.join(chosen, F.col(ids).eqNullSafe(F.col("k_id")) & (F.col("_row") == F.col("k_row")), "left_semi")
+    # what goes is a small part of the rows: they are looked up in it, and only shuffled if it is large
+    gone = keep(fps.join(chosen, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("row") == F.col("k_row")), "left_anti")
+                .select(F.col("id").alias("g_id"), F.col("row").alias("g_row")).distinct(), "gone")
+    kept = row.join(bounded_broadcast(gone), F.col(ids).eqNullSafe(F.col("g_id")) & (F.col("_row") == F.col("g_row")), "left_anti")
     twice = (fps.join(chosen, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("row") == F.col("k_row")), "left_semi")
              .groupBy("id", "row").count().where("count > 1"))
     if not twice.isEmpty():
