@@ -213,11 +213,12 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, most: int =
     def code(batch):
         row, feature, often = known.rows(texts_of(batch))
         ends = np.cumsum(np.bincount(row, minlength=batch.num_rows))[:-1]
-        return {"grade": batch.column("grade"), "features": [x.tolist() for x in np.split(feature, ends)], "often": [x.tolist() for x in np.split(often, ends)]}
+        return {"grade": batch.column("grade"), "features": [x.astype("<i4").tobytes() for x in np.split(feature, ends)],
+                "often": [x.astype("i1").tobytes() for x in np.split(often, ends)]}
 
-    got = arrow_map(rows, code, "grade int, features array<int>, often array<int>").collect()       # at most ``sample`` short rows
-    row = np.repeat(np.arange(len(got)), [len(r["features"]) for r in got])
-    feature, often = (np.fromiter((x for r in got for x in r[c]), np.int64, len(row)) for c in ("features", "often"))
+    got = arrow_map(rows, code, "grade int, features binary, often binary").collect()       # at most ``sample`` short rows
+    row = np.repeat(np.arange(len(got)), [len(r["often"]) for r in got])
+    feature, often = (np.frombuffer(b"".join(r[c] for r in got), kind).astype(np.int64) for c, kind in (("features", "<i4"), ("often", "i1")))
     return fit(row, feature, often, np.array([at[r["grade"]] for r in got]), names, len(levels))
 
 
