@@ -2,12 +2,24 @@
 
 A page is read once, tag by tag, into lines (one per block element).  Lines
 inside menus, headers, footers, side bars, notices, adverts, forms and reader
-comments are dropped; a form or an element marked by class or id alone is not if
-it holds the article or most of the page's letters outside links.  Where the
+comments are dropped: by element, by role, or by a class or id whose name says
+so -- as a whole or as its head noun (``post-comments``, ``sidebar-wrap``; not
+``share-price`` or ``related-work``).  Headings and elements within a line are
+never judged by class or id inside an article, and headings never by id.  An id counts only on a
+container whose own heading does not read the same (site generators make ids
+from headings), and inside an article only if the container holds reader
+comments or mostly links.  A form or a marked container is not dropped if it
+holds the article or most of the page's letters outside links.  Where the
 page marks its article (``article``, ``main``) the lines in it are the text.
 Elsewhere letters outside links are summed over a sliding window of lines: the
 text starts where the sum first surges, with the short lines right before, and
-ends where it dives to zero for good.  The lines between are kept whole.
+dives where no line of the next ``DIVE`` has a letter outside links; what comes
+after a dive belongs to the text only if the sum surges again, and then so does
+all between.  Lines at the end that only state a copyright go.
+
+What is lost: on a page without a marked article, short lines after a long list
+of links, and a short article whose lines never surge above half of the
+largest window elsewhere.
 
 Defined results: a null page gives an empty text; text outside any tag is a
 line; unclosed and cut-off tags end with the page; repeated rows and rows
@@ -29,14 +41,21 @@ from .common import arrow_map, pick
 WINDOW = 3
 #: weight a window must exceed for a surge on a page without a marked article
 SURGE = 80
+#: lines without a letter outside links that make a dive
+DIVE = 6
 
 # fixed values: element names of the HTML standard
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter output progress q rp rt ruby s "
-                    "samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big button cite code data del dfn em font i img ins kbd label mark meter output progress q rp rt ruby s "
+                    "samp small span strike strong sub sup time tt u var wbr "
+                    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+                    "mtable mtd mtext mtr munder munderover semantics".split())
 _RAW = frozenset("script style textarea title xmp".split())
-_DROPPED = frozenset("nav footer aside form button select option datalist dialog menu noscript template iframe object svg math canvas audio video "
-                     "map head header".split())
+_DROPPED = frozenset("nav footer aside form select option datalist dialog menu noscript template iframe object svg canvas audio video "
+                     "map head header annotation annotation-xml".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: blocks of running text, in which a button is a word among others
+_RUNNING = frozenset(("p", "li", "dd", "dt", "td", "th", "blockquote", "figcaption", "pre", *_HEADINGS))
 _ENDED_BY_BLOCK = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd", "li", "td", "th", "tr", "option"))
 _SECTIONS = frozenset(("html", "body", "main", "article"))
 #: words of class and id names, and roles, that mark what is not the article
@@ -44,6 +63,11 @@ _SIGNS = frozenset("ad ads advert adverts advertisement advertising banner spons
                    "alert popup modal overlay sidebar aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs header masthead "
                    "footer comment comments disqus respond replies reply share sharing social related recommended recommendations newsletter "
                    "subscribe subscription signup login search pagination pager toolbar skip".split())
+#: words of a name that say nothing of what is in the element
+_HOLDERS = frozenset("wrap wrapper container box area section block list inner outer item items link links bar panel form group row col column slot unit "
+                     "button buttons icon icons top bottom left right main primary secondary previous next layout x px post posts article articles entry "
+                     "entries stories reading content holder region zone space placeholder mobile desktop title".split())
+_COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b)[^\n]{0,150}(?:19|20)[0-9]{2}|all rights reserved", re.IGNORECASE)
 #: signs that no wrapper of an article has, and words that tell an article's header from the site's
 _READERS = frozenset("comment comments disqus respond replies reply related recommended recommendations".split())
 _OWN = frozenset("entry post article story content main page title headline".split())
@@ -88,37 +112,58 @@ def tokens(html: str):
         at = end
 
 
+def _sign(one: str) -> tuple[str, list[str]]:
+    """The sign that a class or id name is, or has as its head noun (else ""), and its words."""
+    words = _WORD.findall(_CAMEL.sub("-", one).lower())
+    head = len(words)
+    while head > 1 and words[head - 1] in _HOLDERS:
+        head -= 1
+    noun = words[head - 1] if head else ""
+    if noun not in _SIGNS or head > 1 and words[head - 2] in ("has", "with", "no", "without"):
+        return "", words
+    return noun, words
+
+
 def _mark(name: str, attributes: str) -> str:
     """How surely the element does not belong to an article: "" (it may), "hard",
     "soft" (class, id or form: also wrappers of a whole page), "reader" (soft, of
-    reader comments or related pages), "header" (soft, nothing but a header) or
-    "title" (that of an article)."""
+    reader comments or related pages), "header" (soft, nothing but a header),
+    "title" (that of an article), "inline" (a class on a heading or within a line) or "button"; with "#" where only an id says so."""
+    if name == "button":
+        return "button"
     if not attributes:
         return "soft" if name == "form" else "hard" if name in _DROPPED else ""
     if name in _SECTIONS and "role" not in attributes:
         return ""
-    signs, own = set(), False
+    by = {"class": set(), "id": set()}
+    own = False
     for key, *values in _ATTR.findall(attributes):
         key, value = key.lower(), next(filter(None, values), "")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" and name not in _INLINE:
             return "hard"
         if key == "role" and value.strip().lower() in _ROLES:
             return "hard"
         if key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
             return "hard"
-        if key in ("class", "id") and name not in _SECTIONS:
+        if key in by and name not in _SECTIONS:
             for one in value.split():
-                words = _WORD.findall(_CAMEL.sub("-", one).lower())
-                if words and words[0] not in ("has", "with", "no") and not _SIGNS.isdisjoint(words):
-                    signs.update(_SIGNS.intersection(words))
+                sign, words = _sign(one)
+                if sign:
+                    by[key].add(sign)
                     own = own or not _OWN.isdisjoint(words)
+    if name in _HEADINGS or name in _INLINE:
+        return "inline" if by["class"] else ""
+    signs = by["class"] or by["id"]
     if name == "header":
         return "title" if signs == {"header"} and own else "hard"
     if name in _DROPPED and name != "form":
         return "hard"
+    some = "" if by["class"] or not by["id"] or name == "form" else "#"
+    if some and name in _RUNNING:
+        return ""
     if signs == {"header"} and name != "form":
-        return "title" if own else "header"
-    return "reader" if signs & _READERS else "soft" if signs or name == "form" else ""
+        return "title" if own else "header" + some
+    return ("reader" if signs & _READERS else "soft" if signs or name == "form" else "") + some
 
 
 class _Page:
@@ -128,13 +173,14 @@ class _Page:
         self.items = items
         self.ends: dict[int, int] = {}             # index of the opening tag -> of the closing one
         self.mass = [0]                            # letters outside links before each item
+        self.every = [0]                           # and all letters
         self.at: dict[str, list[int]] = {"article": [], "main": [], "h1": []}
         opened: dict[str, list[int]] = {}
         in_link = 0
         for i, (kind, value) in enumerate(items):
             letters = 0
             if kind == "text":
-                letters = 0 if in_link else len("".join((unescape(value) if "&" in value else value).split()))
+                letters = len("".join((unescape(value) if "&" in value else value).split()))
             else:
                 name = value if kind == "close" else value[0]
                 if name == "a":
@@ -146,7 +192,8 @@ class _Page:
                         self.at[name].append(i)
                 elif opened.get(name):
                     self.ends[opened[name].pop()] = i
-            self.mass.append(self.mass[-1] + letters)
+            self.mass.append(self.mass[-1] + (0 if in_link and kind == "text" else letters))
+            self.every.append(self.every[-1] + letters)
 
     def end(self, start: int, name: str) -> int:
         """Where an element that is dropped from ``start`` on stops being dropped."""
@@ -159,12 +206,33 @@ class _Page:
                 return i
         return len(self.items)
 
+    def named_after_heading(self, start: int, end: int) -> bool:
+        """Whether the first heading of an element reads like its id."""
+        own = next((next(filter(None, v), "") for k, *v in _ATTR.findall(self.items[start][1][1]) if k.lower() == "id"), "")
+        for i in range(start + 1, min(end, start + 40)):
+            kind, value = self.items[i]
+            if kind == "open" and value[0] in _HEADINGS:
+                stop = min(self.ends.get(i, i + 20), i + 20)
+                text = "".join(unescape(v) for k, v in self.items[i + 1: stop] if k == "text")
+                return _WORD.findall(text.lower()) == _WORD.findall(own.lower())
+            if kind == "text" and value.strip():
+                return False
+        return False
+
     def spared(self, start: int, name: str, mark: str, inside: bool, kept: int, article: bool) -> bool:
         """Whether a marked element holds the article, or most of the page.
         ``kept``: letters kept if all marked ones are dropped; ``article``: of an article."""
+        if mark == "inline":
+            return inside
+        only_id, mark = mark.endswith("#"), mark.rstrip("#")
         if mark == "hard" or mark == "header" and inside:
             return mark == "header"
         end = self.end(start, name)
+        if only_id:
+            if self.named_after_heading(start, end):
+                return True
+            if inside and mark != "reader" and 2 * (self.mass[end] - self.mass[start]) >= self.every[end] - self.every[start]:
+                return True                         # less than half of it is links
 
         def holds(what):
             places = self.at[what]
@@ -186,7 +254,7 @@ def lines(html: str) -> list[tuple[str, int, bool, bool]]:
     items = list(tokens(html))
     marks = {i: m for i, (kind, value) in enumerate(items) if kind == "open" and value[0] not in _VOID and (m := _mark(*value))}
     found = _lines(items, marks, None)
-    if all(m == "hard" for m in marks.values()):
+    if all(m in ("hard", "button") for m in marks.values()):
         return found
     article = any(a and not d for _, _, d, a in found)
     kept = sum(len("".join(t.split())) - n for t, n, d, a in found if not d and (a or not article))
@@ -203,6 +271,7 @@ def _lines(items, marks: dict[int, str], spared) -> list[tuple[str, int, bool, b
     texts: list[str] = []
     links = inside = in_link = 0
     skip, depth = "", 0                            # the dropped element we are in
+    running = False                                # in a block of running text
 
     def flush():
         nonlocal links
@@ -225,13 +294,15 @@ def _lines(items, marks: dict[int, str], spared) -> list[tuple[str, int, bool, b
         if name in _RAW:
             continue
         if name not in _INLINE:
+            running = kind == "open" and (name in _RUNNING or running and name in _VOID)
             flush()
             if skip in _ENDED_BY_BLOCK and (kind == "open" and (skip in ("p", "li") or name == skip) or kind == "close" and name != skip):
                 skip, depth = "", 0
         if kind == "open":
             if skip:
                 depth += name == skip and name not in _VOID
-            elif i in marks and not (name == "header" and inside) and not (spared and spared(i, name, inside > 0)):
+            elif i in marks and not (name == "header" and inside) and not (
+                    inside and running if marks[i] == "button" else inside and marks[i] == "inline" or spared and spared(i, name, inside > 0)):
                 later = closes.get(name, ())
                 if name in _ENDED_BY_BLOCK or later and later[-1] > i:      # an element that never ends hides nothing
                     flush()
@@ -250,11 +321,11 @@ def _lines(items, marks: dict[int, str], spared) -> list[tuple[str, int, bool, b
     return out
 
 
-def span(weights: list[int], threshold: int, window: int = WINDOW) -> tuple[int, int]:
+def span(weights: list[int], threshold: int, window: int = WINDOW, dive: int = DIVE) -> tuple[int, int]:
     """The lines [from, to) between the first surge (the window sum exceeds the
-    threshold, or half the largest sum where that is less) and the last dive (it
-    falls to zero for good).  Lines with a weight right before the surge belong
-    to the text."""
+    threshold, or half the largest sum where that is less) and the last dive
+    (``dive`` lines without weight).  Lines with a weight right before the surge
+    belong to the text; after a dive it goes on only where the sum surges again."""
     n = len(weights)
     sums = [0] * (n + 1)
     for i, w in enumerate(weights):
@@ -266,7 +337,11 @@ def span(weights: list[int], threshold: int, window: int = WINDOW) -> tuple[int,
         return n, n
     while start and weights[start - 1]:
         start -= 1
-    return start, max(i for i, w in enumerate(weights) if w) + 1
+    end = start
+    for i in range(start, n):
+        if weights[i] and (i - end < dive or blocks[i] > threshold):
+            end = i + 1
+    return start, end
 
 
 def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
@@ -274,6 +349,8 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     if any(inside for *_, inside in found):
         return " ".join(text for text, _, _, inside in found if inside)
     start, end = span([max(0, len("".join(text.split())) - links) for text, links, *_ in found], surge, window)
+    while end - start > 1 and len(found[end - 1][0]) < 200 and _COPYRIGHT.match(found[end - 1][0]):
+        end -= 1
     return " ".join(x[0] for x in found[start:end])
 
 

@@ -65,6 +65,77 @@ def test_nothing_else_is_dropped(page, want):
     assert H.main_text(page) == want
 
 
+A = "<article>{}</article>"
+
+
+@pytest.mark.parametrize("inner,want", [
+    # names made from headings, names with another head noun, elements within a line
+    ('<h2 id="how-to-search">How to search</h2><p>a</p>', "How to search a"),
+    ('<h2 id="comments">Comments</h2><p>a</p>', "Comments a"),
+    ('<h2 id="login">Login</h2><p>a</p>', "Login a"),
+    ('<h3 class="menu">Menu of the day</h3><p>a</p>', "Menu of the day a"),
+    ('<section id="related-work"><h2>Related work</h2><p>a</p></section><p>b</p>', "Related work a b"),
+    ('<section id="comments"><h2>Comments</h2><p>What the text says of comments.</p></section>', "Comments What the text says of comments."),
+    ('<section id="search"><p>How a search is made, at some length.</p></section>', "How a search is made, at some length."),
+    ('<div id="search"><h2><a href="#search">#</a> Search</h2><p>a</p></div>', "# Search a"),
+    ('<p>One <span class="search-hit">word</span> kept</p>', "One word kept"),
+    ('<p>One <span class="share">word</span> kept</p>', "One word kept"),
+    ('<p>One <em class="ad">word</em>, <code id="nav">nav</code></p>', "One word, nav"),
+    ('<p class="share-price">Up 3</p>', "Up 3"),
+    ('<p class="alert-fatigue-study">x</p>', "x"),
+    ('<div class="search-theory"><p>x</p></div>', "x"),
+    ('<div class="social-history"><p>x</p></div>', "x"),
+    ('<ul class="menu-of-the-week"><li>soup</li></ul>', "soup"),
+    ('<table class="share-table"><tr><td>1</td><td>2</td></tr></table>', "1 2"),
+    ('<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p>', "Let x=2."),
+    ('<p>so <math><semantics><mrow><mi>y</mi></mrow><annotation encoding="t">\\y</annotation></semantics></math> on</p>', "so y on"),
+    ('<p>Press <button type=button>Save</button> now</p>', "Press Save now"),
+    ('<p><button>Save</button> stores it</p><ul><li><button>Undo</button> takes it back</li></ul>', "Save stores it Undo takes it back"),
+    ('<p>Term<span aria-hidden="true">*</span> x</p>', "Term* x"),
+    # what is still no article
+    ('<div class="comments"><p>no</p></div><p>a</p>', "a"),
+    ('<div id="comments"><p>no</p></div><p>a</p>', "a"),
+    ('<div id="share"><a href=1>one</a> <a href=2>two</a></div><p>a</p>', "a"),
+    ('<div class="share-buttons"><button>Post</button></div><button>Copy</button><p>a</p>', "a"),
+    ('<div class="related-articles"><p>no</p></div><p>a</p>', "a"),
+    ('<div class="ad-slot"><p>no</p></div><div class="sidebar-left"><p>no</p></div><p>a</p>', "a"),
+    ('<div class="newsletter-signup"><p>no</p></div><div class="cookieBanner">no</div><p>a</p>', "a"),
+    ('<p class="ad">no</p><p>all of it</p>', "all of it"),
+    ('<ul class="social-links"><li><a href=1>x</a></ul><p>a</p>', "a"),
+    ('<nav id="toc"><a href=1>x</a></nav><aside>no</aside><form>no</form><p>a</p>', "a"),
+])
+def test_inside_an_article(inner, want):
+    assert H.main_text(A.format(inner)) == want
+    assert H.main_text(f"<div class=nav><a href=/>Home</a></div><main>{inner}</main><footer>f</footer>") == want
+
+
+_LINKS = "".join(f"<p><a href={i}>Linked line number {i}</a></p>" for i in range(20))
+
+
+@pytest.mark.parametrize("page,want", [
+    # the dive: a long list of links ends the text, unless it surges again
+    (f"<p>{LONG}</p>{_LINKS}<p>Copyright 2020 Acme. All rights reserved.</p>", LONG),
+    (f"<p>{LONG}</p>{_LINKS}<p>Some short words.</p>", LONG),
+    (f"<p>{LONG}</p>{_LINKS}<p>{LONG}</p><p>End.</p>", f"{LONG} {' '.join(f'Linked line number {i}' for i in range(20))} {LONG} End."),
+    (f"<p>{LONG}</p><p>End.</p><p>Copyright 2020 Acme. All rights reserved.</p>", f"{LONG} End."),
+    (f"<p>{LONG}</p><p>© 2021 A</p><p>All rights reserved.</p>", LONG),
+    (f"<p>{LONG}</p><p>Copyright law of 1976 is what this sentence is about, and more words follow so that nobody takes it for a notice, however "
+     f"short of patience one may be with a text like this one is, or however many words there are in it.</p>", None),
+    (f"<h2 id=login>Login</h2><p>{LONG}</p><section id=related-work><h2>Related work</h2><p>{LONG}</p></section>", f"Login {LONG} Related work {LONG}"),
+    (f"<p>{LONG}</p><div id=comments><p>no</p></div><div id=footer>no</div>", LONG),
+])
+def test_dives(page, want):
+    got = H.main_text(page)
+    assert got == want if want else got.endswith("in it.")
+
+
+def test_span_of_weights():
+    assert H.span([0, 5, 90, 3, 0, 0, 4], 80) == (1, 7)
+    assert H.span([90, 0, 0, 0, 0, 0, 0, 10, 0], 80) == (0, 1)
+    assert H.span([90] + [0] * 9 + [10, 90, 1], 80) == (0, 13)
+    assert H.span([], 80) == (0, 0) and H.span([0, 0], 80) == (2, 2)
+
+
 def test_marked_elements_stay_linear():
     for one, other in (("<div class=ad>", "</div>"), ("<div class=ad>a", "</div>"), ("<p class=ad>x", ""), ("<td class=ad><h1 class=ad>x", "")):
         H.main_text(one * 30_000 + other * 30_000)
