@@ -27,7 +27,9 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches and a replay: every document is loaded with the counts of
     one tokenizer, every count is revised to those of the next, and all but the
-    first of documents with equal texts are deleted."""
+    first of the rows with equal texts are deleted (first by id, rows without
+    id last, then by source, language and number of the row: repeated rows
+    and rows without id are copies like any other)."""
     import public_tokenizers
 
     from .rollups import Rollup, signed, token_counts
@@ -39,7 +41,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.count("*") / 2).cast("long").alias("rows"), F.max(F.when(F.col("tokenizer") == old, F.col("tokens"))).alias("was"),
         F.max(F.when(F.col("tokenizer") == new, F.col("tokens"))).alias("now"))
     wide = keep(wide.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))), "revised")
-    first = keep(wide.groupBy("text_key").agg(F.min("doc_id").alias("first_id")), "first")     # a plain scan: the join below can split a hot text
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang", "row")       # of no two rows of a text the same
+    first = keep(wide.groupBy("text_key").agg(F.min(place).alias("first")), "first")      # a plain scan: the join below can split a hot text
 
     def event(op, version, tokens, had=None, were=None):
         none = F.lit(None)
@@ -53,7 +56,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("revise", revision)
     rollup.compact()
     rollup.commit("revise", revision)                   # a replay: changes nothing
-    copies = wide.join(first, "text_key").where("doc_id <> first_id")
+    copies = wide.join(first, "text_key").where(~place.eqNullSafe(F.col("first")))
     rollup.commit("copies", signed(copies.select(*event("delete", new, "now"))))
     return rollup.totals()
 

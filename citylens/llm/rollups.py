@@ -8,7 +8,8 @@ of all rows shrinks to a row per task) and stored under its id; it counts from
 the moment Spark's writer puts its ``_SUCCESS`` mark.  Committing an id again
 changes nothing, and a batch that broke off is written over: replays after a
 lost driver or executor are safe.  ``compact`` folds committed batches into one
-snapshot that remembers their ids.
+snapshot, adds their ids to the snapshot's table of ids and deletes what is folded:
+the driver sees the batches since the last snapshot, never all ids.
 
 Defined results: a null source, language or version is a key of its own; null
 counts are 0; an event of unknown kind is an error; totals of no documents and
@@ -27,7 +28,6 @@ from .tokens import encoder, vocabulary
 
 KEYS = ("source", "lang", "tokenizer")
 _SUMS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-_SNAPSHOT = _SUMS + ", batches array<string>"
 
 
 def token_counts(docs: DataFrame, tokenizers: dict[str, str], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -85,35 +85,43 @@ class Rollup:
         names = [s.getPath().getName() for s in self._fs.listStatus(root)]
         return sorted(n.removeprefix("id=") for n in names if self._fs.exists(self._path(f"{self.path}/{kind}/{n}/_SUCCESS")))
 
-    def _snapshot(self) -> DataFrame | None:
-        done = self._committed("snapshots")
-        return self.spark.read.schema(_SNAPSHOT).parquet(f"{self.path}/snapshots/{done[-1]}") if done else None
-
-    def _open(self) -> tuple[DataFrame | None, list[str], list[str]]:
-        """The latest snapshot, the batches in it, and those committed beside it."""
+    def _snapshot(self) -> str | None:
+        """Folder of the latest snapshot (``sums`` and ``ids``; done when the sums are written)."""
+        root = self._path(f"{self.path}/snapshots")
+        names = sorted((x.getPath().getName() for x in self._fs.listStatus(root)), reverse=True) if self._fs.exists(root) else []
+        done = (f"{self.path}/snapshots/{n}" for n in names if self._fs.exists(self._path(f"{self.path}/snapshots/{n}/sums/_SUCCESS")))
+        return next(done, None)
+
+    def _ids(self, snapshot: str | None) -> DataFrame:
+        return self.spark.read.schema("id string").parquet(f"{snapshot}/ids") if snapshot else self.spark.createDataFrame([], "id string")
+
+    def _beside(self, snapshot: str | None) -> list[str]:
+        """Committed batches that the snapshot does not hold (those it holds are
+        deleted, but for a compaction that broke off)."""
+        found = self._committed("batches")
+        held = {r["id"] for r in self._ids(snapshot).where(F.col("id").isin(found)).collect()} if snapshot and found else set()
+        return [b for b in found if b not in held]
+
+    def batches(self) -> DataFrame:
+        """(id) of all committed batches."""
         snapshot = self._snapshot()
-        inside = snapshot.select(F.explode("batches")).distinct().collect() if snapshot is not None else []
-        held = sorted(r[0] for r in inside)
-        return snapshot, held, [b for b in self._committed("batches") if b not in set(held)]
-
-    def batches(self) -> list[str]:
-        """Ids of all committed batches."""
-        _, held, beside = self._open()
-        return sorted([*held, *beside])
+        return self._ids(snapshot).unionByName(self.spark.createDataFrame([(b,) for b in self._beside(snapshot)], "id string"))
 
     def commit(self, batch_id: str, rows: DataFrame) -> bool:
         """Adds a batch of signed rows; False if the id has been committed before."""
         if not batch_id or "/" in batch_id or batch_id.startswith((".", "_")):
             raise ValueError(f"no batch id: {batch_id!r}")
-        if batch_id in self.batches():
+        snapshot = self._snapshot()
+        if batch_id in self._committed("batches") or not self._ids(snapshot).where(F.col("id") == batch_id).isEmpty():
             return False
         summed(rows).write.mode("overwrite").parquet(f"{self.path}/batches/id={batch_id}")
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches."""
-        snapshot, _, beside = self._open()
-        parts = [] if snapshot is None else [snapshot.where("n_docs is not null").select(*KEYS, "n_docs", "n_tokens")]
+        snapshot = self._snapshot()
+        beside = self._beside(snapshot)
+        parts = [] if snapshot is None else [self.spark.read.schema(_SUMS).parquet(f"{snapshot}/sums")]
         if beside:
             parts.append(self.spark.read.schema(_SUMS).parquet(*[f"{self.path}/batches/id={b}" for b in beside]))
         out = parts[0] if parts else self.spark.createDataFrame([], _SUMS)
@@ -122,12 +130,16 @@ class Rollup:
         return summed(out)
 
     def compact(self) -> None:
-        """Folds all committed batches into a new snapshot."""
-        done, snapshots = self.batches(), self._committed("snapshots")
-        ids = F.array(*[F.lit(b) for b in done]).cast("array<string>")
-        # a row without sums carries the ids, so that totals of nothing keep them too
-        marker = self.spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in KEYS], F.lit(None).cast("long").alias("n_docs"),
-                                            F.lit(None).cast("long").alias("n_tokens"), ids.alias("batches"))
-        body = self.totals().withColumn("batches", F.lit(None).cast("array<string>"))
-        number = int(snapshots[-1]) + 1 if snapshots else 1
-        body.unionByName(marker).write.mode("overwrite").parquet(f"{self.path}/snapshots/{number:012d}")
+        """Folds all committed batches into a new snapshot and deletes them, and
+        all snapshots but the one before (totals that are being read come from it)."""
+        old = self._snapshot()
+        beside = self._beside(old)
+        number = int(old.rsplit("/", 1)[1]) + 1 if old else 1
+        new = f"{self.path}/snapshots/{number:012d}"
+        self.batches().write.mode("overwrite").parquet(f"{new}/ids")
+        self.totals().write.mode("overwrite").parquet(f"{new}/sums")
+        for b in beside:
+            self._fs.delete(self._path(f"{self.path}/batches/id={b}"), True)
+        for x in self._fs.listStatus(self._path(f"{self.path}/snapshots")):
+            if int(x.getPath().getName()) < number - 1:
+                self._fs.delete(x.getPath(), True)
