@@ -1,6 +1,6 @@
 """Licence scan: canonical digests of entire texts, looked up in known ones.
 
-A text is made canonical -- A-Z lower-cased, lines that only state a copyright dropped, spellings
+A text is made canonical -- lower-cased, lines that only state a copyright dropped, spellings
 that licence matching guidelines call equivalent made one, signs other than
 letters and digits turned to single spaces -- and its SHA-256 is joined with
 those of known licences and licence notices made canonical the same way.  The
@@ -25,7 +25,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import keep, pick
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: fixed values: spellings that count as the same, replaced in this order
@@ -48,8 +48,6 @@ COPYRIGHT_NOTICE = (r"(?m)^[ \t*#/;-]*(?:©|all rights reserved|copyright[ \t:,]
                     rf"(?:copyright|\(c\)|&copy;)(?:[ \t:,]|copyright\b|by\b)*{_YEAR}|"
                     rf"copyright(?::|[ \t]+by\b)?[ \t]+(?!by\b)(?:(?!(?:{_RUNNING})\b)[^\s(\[<{{]|the[ \t][^\n,;]*{_GROUP}(?:[ .]*$|[^\n]*all rights reserved))|"
                     rf"\(c\)[ \t]+(?!(?:{_RUNNING})\b)[^\n;]*{_GROUP}[ .]*$)[^\n]*$")
-#: the line dropped by the SQL answer: any that begins so
-COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 #: signs that separate words (line feeds are kept until the lines are told apart)
 SIGNS = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\\x{A0}©®«»‐‑‒–—―‘’“”•…™]+"
 
@@ -62,19 +60,28 @@ def canonical(text: Column) -> Column:
     return F.regexp_replace(out, SIGNS, " ")
 
 
-def digest(canonical_text: Column) -> Column:
-    """SHA-256 of a canonical text with single spaces; null if nothing is left."""
+def line_of(canonical_text: Column) -> Column:
+    """A canonical text in one line with single spaces."""
     line = F.trim(F.regexp_replace(canonical_text, "[ \\n]+", " "))
     for one, other in SPELLINGS:
         if " " in one.strip():                          # its words may stand on two lines
             line = F.replace(line, F.lit(one), F.lit(other))
+    return line
+
+
+def digest(canonical_text: Column) -> Column:
+    """SHA-256 of a canonical text in one line; null if nothing is left."""
+    line = line_of(canonical_text)
     return F.when(line != "", F.sha2(line, 256))
 
 
 def known_digests(known: DataFrame, id_col: str = "license_id", text_col: str = "text") -> DataFrame:
-    """(digest, license_id) of known texts; entries with equal digests share a row."""
-    own = pick(known, license_id=id_col, text=text_col).select("license_id", digest(canonical(F.col("text"))).alias("digest"))
-    return own.where("digest is not null").groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("license_id"))
+    """(digest, license_id, lengths) of known texts; entries with equal digests
+    share a row; ``lengths``: of their canonical lines."""
+    c = canonical(F.col("text"))
+    own = pick(known, license_id=id_col, text=text_col).select("license_id", digest(c).alias("digest"), F.length(line_of(c)).alias("length"))
+    return own.where("digest is not null").groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("license_id"),
+                                                                 F.collect_set("length").alias("lengths"))
 
 
 def whole_texts() -> list[tuple[str, str]]:
@@ -109,15 +116,21 @@ def default_known(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest, license_id, notices): the licence that the entire text
     is (else null), and those that lines of it are (sorted, comma-joined)."""
-    table = known_digests(known)
+    table = keep(known_digests(known), "licenses")
+    # a line can only equal a known text of its length: other lines need no digest
+    lengths = sorted(r[0] for r in table.select(F.explode("lengths")).distinct().collect())      # at most as many as the longest known text has signs
     own = pick(docs, doc_id=id_col, text=text_col).select("doc_id", canonical(F.col("text")).alias("c"))
-    key = F.xxhash64("c").alias("row_key")              # rows equal in id and canonical text have equal notices
-    whole = own.select("doc_id", key, digest(F.col("c")).alias("digest"))
-    lines = own.select("doc_id", key, F.explode(F.array_distinct(F.transform(F.split("c", "\n"), digest))).alias("line"))
-    notices = (lines.join(table, lines["line"] == table["digest"]).groupBy("doc_id", "row_key")
+    plain = F.transform(F.split("c", "\n"), line_of)
+    lines = F.transform(F.filter(plain, lambda x: F.length(x).isin(lengths)), lambda x: F.sha2(x, 256))
+    # written once: the canonical text is long to make, what is left of it is short
+    rows = keep(own.select("doc_id", F.xxhash64("c").alias("row_key"), digest(F.col("c")).alias("digest"),
+                           F.array_distinct(lines).alias("lines")), "canonical")        # rows equal in id and canonical text have equal notices
+    table = table.select("digest", "license_id")
+    found = rows.select("doc_id", "row_key", F.explode("lines").alias("line"))
+    notices = (found.join(table, found["line"] == table["digest"]).groupBy("doc_id", "row_key")
                .agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
                .select(F.col("doc_id").alias("n_id"), F.col("row_key").alias("n_key"), "notices"))
-    return (whole.join(table, "digest", "left")
+    return (rows.drop("lines").join(table, "digest", "left")
             .join(notices, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("row_key") == F.col("n_key")), "left")
             .select("doc_id", "digest", "license_id", F.coalesce("notices", F.lit("")).alias("notices")))
 
@@ -127,14 +140,30 @@ def oracle(known: dict[str, str] | None = None) -> str:
     def quoted(s):
         return "'" + s.replace("'", "''") + "'"
 
+    def notice(x):
+        """``COPYRIGHT_NOTICE`` for one line, without looking ahead."""
+        start = "^[ \\t*#/;-]*"
+        rest = f"regexp_extract({x}, '{start}copyright(?::|[ \\t]+by\\b)?[ \\t]+(.*)$', 1)"
+        after = f"regexp_extract({x}, '{start}\\(c\\)[ \\t]+(.*)$', 1)"
+        has = lambda text, pattern: f"regexp_matches({text}, '{pattern}')"
+        return "(" + " OR ".join([
+            has(x, f"{start}(?:©|all rights reserved|copyright[ \\t:,]*(?:\\(c\\)|©|&copy;))"),
+            has(x, f"{start}(?:copyright|\\(c\\)|&copy;)(?:[ \\t:,]|copyright\\b|by\\b)*{_YEAR}"),
+            f"({has(rest, '^[^ ' + chr(92) + 't(' + chr(92) + '[<{]')} AND NOT {has(rest, f'^(?:by|{_RUNNING})' + chr(92) + 'b')})",
+            has(rest, f"^the[ \\t][^,;]*{_GROUP}(?:[ .]*$|.*all rights reserved)"),
+            f"({has(after, f'^[^;]*{_GROUP}[ .]*$')} AND NOT {has(after, f'^(?:{_RUNNING})' + chr(92) + 'b')})"]) + ")"
+
     def canon(x):
-        out = f"regexp_replace(lower(coalesce({x}, '')), '{COPYRIGHT_LINE}', '', 'g')"
+        out = f"array_to_string(list_transform(string_split(lower(coalesce({x}, '')), chr(10)), lambda l: CASE WHEN {notice('l')} THEN '' ELSE l END), chr(10))"
         for one, other in SPELLINGS:
             out = f"replace({out}, '{one}', '{other}')"
         return f"regexp_replace({out}, '{SIGNS}', ' ', 'g')"
 
     def dig(x):
         line = f"trim(regexp_replace({x}, '[ \\n]+', ' ', 'g'), ' ')"
+        for one, other in SPELLINGS:
+            if " " in one.strip():
+                line = f"replace({line}, '{one}', '{other}')"
         return f"CASE WHEN {line} <> '' THEN sha256({line}) END"
 
     values = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in sorted((known or KNOWN).items()))

@@ -67,3 +67,24 @@ def test_copyright_notices():
     texts = ["copyright holders be liable for any claim", "copyright notice, this list of conditions", "copyright owner or by an individual", "copyright law: that is",
              "(c) you must retain, in the source form", "copyright, patent, trademark", "copyright on the program", "copyrighted by x", "copyright the software, and"]
     assert [bool(re.search(L.COPYRIGHT_NOTICE, x)) for x in notices + texts] == [True] * len(notices) + [False] * len(texts)
+
+
+def test_sql_answer_has_the_same_rule(spark, tmp_path):
+    """Copyright lines, spellings over two lines, running text that begins like a notice."""
+    import duckdb
+
+    mit = L.KNOWN["MIT"]
+    heads = ["Copyright (c) 2020 X", "copyright 2020, X", "(C) 1999 by Y", "© Z", "All Rights Reserved", "Copyright: Jane Doe", "Copyright by Jane", "copyright by by x",
+             "Copyright the Foo Authors.", "Copyright the holder of it", "COPYRIGHT HOLDERS BE LIABLE", "copyright and related rights", "copyright [yyyy] name",
+             "(c) the Apache Software Foundation", "(c) a claim", "(c) and other", "* Copyright  (c)  me", "# copyright <year> x", "copyright", "copyright ", "no copyright 2020",
+             "Copyright the University of X, all rights reserved", "copyright notices and", "Copyright noticed", "(c)", "&copy; 2001", "copyright of x", "copyright\tQ"]
+    rows = [(i, f"{h}\n{mit}\n  {h}") for i, h in enumerate(heads)] + [(100, mit.replace("copyright holders", "copyright\nholders")), (101, None), (102, "a\n\nReleased under the MIT License.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    known = spark.createDataFrame(list(L.KNOWN.items()), "license_id string, text string")
+    cols = ["doc_id", "digest", "license_id", "notices"]
+    want = sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({L.oracle()})").fetchall())
+    got = sorted(tuple(r) for r in L.scan(df, known).select(*cols).collect())
+    assert got == want and 10 < sum(r[2] == "MIT" for r in got) < len(heads)
