@@ -54,7 +54,7 @@ def test_each_stage_against_brute_force(spark, docs):
 
     rows = two.collect()
     three = C.decontaminate_stage(spark, two, SF)
-    search = D.Search(D._blocks(two, bench, "text", "item_id", None, D.RANK)[0])
+    search = D.Search(next(D._blocks(two, bench, "text", "item_id", None, D.RANK)))
 
     def leaked(text):
         codes = [search.coder.number.get(w, -1) for w in D.words(text)]
