@@ -50,8 +50,11 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value",
 
 
 def encode(df: DataFrame, key: str | None, ignore_null_fields: bool = True) -> DataFrame:
-    """Keyed JSON envelope ``(key, value)`` of every row: ``to_json(struct(*))``."""
-    opts = {} if ignore_null_fields else {"ignoreNullFields": "false"}
+    """Keyed JSON envelope ``(key, value)`` of every row: ``to_json(struct(*))``;
+    times keep their microseconds."""
+    opts = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    if not ignore_null_fields:
+        opts["ignoreNullFields"] = "false"
     value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), opts)
     key_col = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(key_col.alias("key"), value.alias("value"))

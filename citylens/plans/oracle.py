@@ -352,7 +352,59 @@ SELECT 'records' AS sink, * FROM ({WARD_ENERGY}) UNION ALL SELECT 'versions', *
 
 STREAM_ADVISORY_ARCHIVE_ALL = f"""SELECT *, CAST(window_start AS DATE) AS date FROM ({ZONE_ADVISORY})"""
 
+WARD_ENERGY_LIVE = f"""
+SELECT 'json' AS sink, * FROM ({WARD_ENERGY}) UNION ALL SELECT 'parquet', * FROM ({WARD_ENERGY})"""
+
+_ROUTED = M.BUS_GPS_SQL.replace("event_type AS route_id", "'R-' || CAST(user_id % 30 AS VARCHAR) AS route_id")
+
+BUS_ENRICHED = _with(_ROUTED, """routes AS (
+  SELECT 'R-' || CAST(s_nationkey AS VARCHAR) AS route_id, arg_max(s_name, s_suppkey) AS route_name, max(s_suppkey) AS k
+  FROM supplier GROUP BY 1)""") + """
+SELECT CASE WHEN r.k IS NULL THEN 'unmatched' ELSE 'enriched' END AS sink, b.route_id AS key, b.bus_id, b.route_id, b.lat, b.lon,
+       b."timestamp", r.route_name, 'T-' || CAST(r.k AS VARCHAR) AS terminal, CAST(r.k % 60 AS VARCHAR) AS frequency_min
+FROM bus_gps b LEFT JOIN routes r ON b.route_id = r.route_id"""
+
+ENRICHMENT_COUNTERS = f"""
+SELECT COUNT(*) AS events, COUNT(*) FILTER (WHERE sink = 'enriched') AS joined, COUNT(*) FILTER (WHERE sink = 'unmatched') AS no_match
+FROM ({BUS_ENRICHED})"""
+
+DIMENSION_VIEW = _with(_ROUTED) + """
+SELECT b.route_id, 'T-' || CAST(s.s_suppkey AS VARCHAR) AS terminal, CAST(s.s_suppkey % 60 AS INTEGER) AS frequency_min, b.positions, b.buses
+FROM supplier s JOIN (SELECT route_id, COUNT(*) AS positions, COUNT(DISTINCT bus_id) AS buses FROM bus_gps GROUP BY 1) b
+  ON b.route_id = 'R-' || CAST(s.s_nationkey AS VARCHAR)"""
+
+INCIDENT_SINK = f"""
+WITH a AS ({ALERTS_COOLDOWN}),
+g AS ({ALERTS_CONSECUTIVE}),
+b AS ({STREAM_BUNCHING_CLOCK.replace("round(r.distance_m, 3) AS distance_m", "r.distance_m")})
+SELECT incident_type AS key, incident_type, sensor_id, NULL::VARCHAR AS junction_id, zone, NULL::VARCHAR AS route_id, NULL::VARCHAR AS bus_1,
+       NULL::VARCHAR AS bus_2, CAST(aqi AS DOUBLE) AS aqi, pm25, CAST(threshold AS DOUBLE) AS threshold, NULL::DOUBLE AS avg_wait_sec,
+       NULL::INTEGER AS consecutive_readings, NULL::DOUBLE AS distance_m, NULL::DOUBLE AS duration_sec, message, event_time, TRUE AS stamped FROM a
+UNION ALL
+SELECT incident_type, incident_type, NULL, junction_id, zone, NULL, NULL, NULL, NULL, NULL, NULL, avg_wait_sec, consecutive_readings, NULL, NULL,
+       message, event_time, TRUE FROM g
+UNION ALL
+SELECT 'BUS_BUNCHING', 'BUS_BUNCHING', NULL, NULL, NULL, route_id, bus_1, bus_2, NULL, NULL, NULL, NULL, NULL,
+       round(distance_m, 1), CAST(printf('%.0f', duration_sec) AS DOUBLE),
+       'BUNCHING on route ' || route_id || ': buses ' || bus_1 || ' & ' || bus_2 || ' within '
+         || printf('%.0f', distance_m) || 'm for ' || printf('%.1f', duration_sec / 60) || ' min', event_time, TRUE FROM b"""
+
+CONSUMERS = """
+SELECT c.consumer, e.event_type AS zone, COUNT(*) AS messages FROM events e, (VALUES ('fast'), ('slow')) AS c(consumer) GROUP BY 1, 2"""
+
+REPORT_EXPORTS = f"""
+SELECT f.format, w.* FROM ({WEEKLY}) w, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)"""
+
 ORACLE: dict[str, str] = {
+    # jobs on archived topics, read back from their sinks
+    "stream_dlq_sink": DLQ_ENVELOPE,
+    "stream_bus_enriched": BUS_ENRICHED,
+    "stream_enrichment_counters": ENRICHMENT_COUNTERS,
+    "dimension_view": DIMENSION_VIEW,
+    "stream_incident_sink": INCIDENT_SINK,
+    "stream_ward_energy_live": WARD_ENERGY_LIVE,
+    "stream_independent_consumers": CONSUMERS,
+    "report_exports": REPORT_EXPORTS,
     "dlq_report_5m": DLQ_REPORT_5M,
     "dlq_errors_5m": DLQ_ERRORS_5M,
     "enrich_last_file_row_wins": ENRICH_LAST_ROW_WINS,

@@ -155,7 +155,8 @@ class Replay:
                  max_rows: int = REPLAY_ROWS, least: int = 1):
         from ..session import scratch_path
 
-        self.spark, src = spark, spark.read.parquet(table_path(sf_dir, name))
+        self.spark, self.source = spark, table_path(sf_dir, name)
+        src = spark.read.parquet(self.source)
         self.slices = max(least, -(-len(src.inputFiles()) // max_files), -(-src.count() // max_rows))
         self.schema = src.schema
         if self.slices <= 1:
@@ -173,6 +174,15 @@ class Replay:
         spark.createDataFrame([], self.schema).write.mode("append").parquet(self.live)
         self.stream = spark.readStream.schema(self.schema).parquet(self.live)
 
+    def slice(self, i: int) -> DataFrame:
+        """The rows of one step, as a batch."""
+        from ..sinks.writers import path_exists
+
+        if self.slices <= 1:
+            return self.spark.read.schema(self.schema).parquet(self.source)
+        path = f"{self.staged}/__slice={i}"
+        return self.spark.read.schema(self.schema).parquet(path) if path_exists(self.spark, path) else self.spark.createDataFrame([], self.schema)
+
     def feed(self) -> Iterator[int]:
         """Before each step, the stream's folder holds one slice more."""
         from ..sinks.writers import path_exists

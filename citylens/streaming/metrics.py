@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections import deque
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -59,6 +60,8 @@ class ProgressRecorder(StreamingQueryListener):
     def __init__(self, keep: int = 1000) -> None:
         self.events: deque[dict] = deque(maxlen=keep)
         self.rows = 0
+        self._by_run: dict[str | None, int] = {}
+        self._ended: dict[str, Event] = {}
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -66,22 +69,34 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = json.loads(event.progress.json)
         self.events.append(p)
-        self.rows += int(p.get("numInputRows") or 0)
+        n = int(p.get("numInputRows") or 0)
+        self.rows += n
+        run = p.get("runId")
+        self._by_run[run] = self._by_run.get(run, 0) + n
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
+        self._ended.setdefault(str(event.runId), Event()).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until all progress of a query that has ended is here (it arrives
+        behind the query, in order)."""
+        if not self._ended.setdefault(str(query.runId), Event()).wait(seconds):
+            raise TimeoutError(f"no end of query run {query.runId} after {seconds} s")
 
-    def observed(self, name: str) -> list[dict]:
-        """Values of one ``df.observe(name, ...)`` metric set, per kept batch."""
+    def observed(self, name: str, run: str | None = None) -> list[dict]:
+        """Values of one ``df.observe(name, ...)`` metric set, per kept batch
+        (of one run of a query)."""
         out = []
         for e in self.events:
+            if run is not None and e.get("runId") != run:
+                continue
             m = (e.get("observedMetrics") or {}).get(name)
             if m is not None:
                 out.append(m)
         return out
 
-    def rows_processed(self) -> int:
-        return self.rows
+    def rows_processed(self, run: str | None = None) -> int:
+        return self.rows if run is None else self._by_run.get(run, 0)
