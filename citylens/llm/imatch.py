@@ -8,19 +8,23 @@ lexicon (the classic signature), the others keep a term with probability 1/2,
 the likeness of two is the share of equal ones among those not empty on both
 sides.  Small subsets tell long texts apart by degree, large ones short texts.
 
-The lexicon is broadcast.  Its size is bounded: every document holds each term
-once, so at most ``mean distinct terms * exp(IDF_MAX)`` terms reach the band;
-the counted size is checked against ``LEXICON_MOST`` all the same.
+The lexicon is broadcast up to ``LEXICON_MOST`` terms.  Every document holds each
+term once, so at most ``mean distinct terms * exp(IDF_MAX)`` terms reach the band,
+which rarely is more.  Beyond it the lexicon stays a table: the distinct terms of
+each text are joined with it, with the same fingerprints.
 
 The terms of a text that holds a large part of the rows, or of its near copies,
-leave the band with it.  A text of ``TERMS_LEAST`` distinct terms or more that has
-less than a quarter of them in the lexicon is therefore signed over all its
-distinct terms, the same way; where one of two texts is, their likeness is that
-of both signed so.
-
-Defined results: a null text is empty; a shorter text without lexicon terms is
-fingerprinted by the whole text (so equal texts are always equal); with a null
-id a row comes first in the order; rows of equal id follow each other by text;
+leave the band with it.  A text that has less than a quarter of its distinct terms
+in the lexicon is therefore signed over all of them, the same way; where one of
+two texts is, their likeness is that of both signed so.
+
+Rows are dealt into equal ranges of (id, hash of the text, place), so rows without
+an id or of one id are spread like others; of each range only the first and the last
+row meet those of the next.
+
+Defined results: a null text is empty; a text without any term is fingerprinted
+by the whole text (so equal texts are always equal); with a null id a row comes
+first in the order; rows of equal id follow each other by the hash of their text;
 after the last row comes the first; an empty table gives an empty one; further
 columns are ignored.
 """
@@ -33,12 +37,13 @@ import re
 from uuid import uuid4
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 from xxhash import xxh32_intdigest, xxh64_intdigest
 
 from .common import held, keep, pick, texts_of
@@ -49,14 +54,13 @@ IDF_MAX = math.log(500)
 #: chance of a term to be in each lexicon subset
 RATES = (1.0, *(2.0 ** -(1 + j // 3) for j in range(33)))
 LEXICON_MOST = 4_000_000
-#: distinct terms from which a text with few in the lexicon is signed over all of them
-TERMS_LEAST = 6
+#: bytes of text in a range of rows
+RANGE_BYTES = 64 << 20
 #: terms outside the lexicon that a worker holds
 _OTHERS = 50_000
 #: terms a counting task holds before it passes its counts on
 _FLUSH = 400_000
 _TERM = re.compile(r"\w+")
-_LOW = -(2**63)
 
 
 def terms(text: str) -> list[str]:
@@ -130,7 +134,10 @@ class Lexicon:
 
     def over_all(self, text: str) -> np.ndarray:
         """Signatures over all distinct terms of a text."""
-        own = sorted(set(terms(text)))
+        return self.over(sorted(set(terms(text))))
+
+    def over(self, own: list[str]) -> np.ndarray:
+        """Signatures over terms, which come sorted and once each."""
         if len(self.others) > _OTHERS:
             self.others = {}
         for t in own:
@@ -167,11 +174,23 @@ class Lexicon:
                     start = end
             known = np.bincount(row, minlength=b - a)
             for i in np.flatnonzero(4 * known < np.diff(words.offsets.to_numpy())):
-                if (distinct := len(set(terms(texts[a + i])))) >= TERMS_LEAST and 4 * known[i] < distinct:
-                    out[a + i], over_all[a + i] = self.over_all(texts[a + i]), True
+                if 4 * known[i] < len(own := sorted(set(terms(texts[a + i])))):
+                    out[a + i], over_all[a + i] = self.over(own), True
             for i in np.flatnonzero((known == 0) & ~over_all[a:b]):
-                whole = texts[a + i].encode("utf-8", "surrogatepass")
-                out[a + i] = [xxh32_intdigest(whole, 1000 + j) or 1 for j in range(len(self.rates))]
+                out[a + i] = self.whole(texts[a + i])
+        return out, over_all
+
+    def whole(self, text: str) -> list[int]:
+        data = text.encode("utf-8", "surrogatepass")
+        return [xxh32_intdigest(data, 1000 + j) or 1 for j in range(len(self.rates))]
+
+    def signed(self, texts: list[str], known: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """``signatures``, given the terms of each text that are in the lexicon."""
+        out, over_all = np.zeros((len(texts), len(self.rates)), np.uint32), np.zeros(len(texts), bool)
+        for i, (text, inside) in enumerate(zip(texts, known, strict=True)):
+            own = set(terms(text))
+            over_all[i] = 4 * len(inside) < len(own)
+            out[i] = self.over(sorted(own if over_all[i] else inside)) if own else self.whole(text)
         return out, over_all
 
     def alike(self, texts: list[str], mine, others: list[str], theirs) -> np.ndarray:
@@ -182,14 +201,17 @@ class Lexicon:
         return out
 
 
-def lexicon(docs: DataFrame, idf_min: float = IDF_MIN, idf_max: float = IDF_MAX, text_col: str = "text") -> Lexicon:
-    """The terms whose idf, ln(documents / df), is in the band."""
+def band(docs: DataFrame, idf_min: float = IDF_MIN, idf_max: float = IDF_MAX, text_col: str = "text") -> DataFrame:
+    """(term) whose idf, ln(documents / df), is in the band; written."""
     n = docs.count()
     most, least = n * math.exp(-idf_min), n * math.exp(-idf_max)
-    band = keep(document_frequencies(docs, text_col).where(F.col("df").between(least, most)).select("term"), "lexicon")
-    if (size := band.count()) > LEXICON_MOST:
-        raise ValueError(f"{size} terms in the band: choose a smaller idf_max")
-    return Lexicon([r["term"] for r in band.toLocalIterator()])
+    return keep(document_frequencies(docs, text_col).where(F.col("df").between(least, most)).select("term"), "lexicon")
+
+
+def lexicon(docs: DataFrame, idf_min: float = IDF_MIN, idf_max: float = IDF_MAX, text_col: str = "text") -> Lexicon | DataFrame:
+    """The terms of the band, as a table if they are more than ``LEXICON_MOST``."""
+    found = band(docs, idf_min, idf_max, text_col)
+    return Lexicon([r["term"] for r in found.toLocalIterator()]) if found.count() <= LEXICON_MOST else found
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,76 +220,139 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b) & used).sum(axis=1) / np.maximum(1, used.sum(axis=1))
 
 
+def _packed(signatures: np.ndarray) -> list[bytes]:
+    return [r.tobytes() for r in signatures.astype(">u4")]
+
+
 def hexed(signatures: np.ndarray) -> list[str]:
-    return [r.tobytes().hex() for r in signatures.astype(">u4")]
+    return [r.hex() for r in _packed(signatures)]
 
 
-def _with_next(docs: DataFrame) -> DataFrame:
-    """Rows (bucket, halo, doc_id, text) such that, sorted, each bucket holds a
-    run of the documents in order of id and, as halo, the one that follows it."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id"), F.lit(_LOW))
-    steps = 4 * parts
-    cuts = docs.select(key.alias("k")).approxQuantile("k", [i / steps for i in range(1, steps)], 1 / (4 * steps))
-    bounds = np.unique(np.array(cuts, np.float64).astype(np.int64))
+def _in_order(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in equal ranges of the order, each sorted.  Rows that are
+    the same in id and text are told apart by their place alone."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    placed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.monotonically_increasing_id().alias("row"))
+    return placed.repartitionByRange(parts, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row").select("doc_id", "text")
 
-    @F.pandas_udf(LongType())
-    def bucket(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, k.to_numpy(), side="right"))
 
-    firsts = {r["b"]: r["k"] for r in docs.select(key.alias("k")).groupBy(bucket("k").alias("b")).agg(F.min("k").alias("k")).collect()}   # a row per bucket
-    order = sorted(firsts)
-    before = {b: order[i - 1] for i, b in enumerate(order)}
+def _consecutive(docs: DataFrame, each, schema: str) -> DataFrame:
+    """``each`` over runs of the rows in order: a list of (doc_id, text) gives a
+    dict of columns with a row for all but the last.  The first and the last row
+    of every range are kept aside and run over afterwards, two per range."""
+    fields = to_arrow_schema(_parse_datatype_string(schema))
+    names, kinds = fields.names, fields.types
 
-    @F.pandas_udf(ArrayType(LongType()))
-    def buckets(k: pd.Series) -> pd.Series:
-        """The bucket, and for the first document of one also the bucket before, as -1 - bucket."""
-        own = np.searchsorted(bounds, k.to_numpy(), side="right").tolist()
-        return pd.Series([[b, -1 - before[b]] if firsts[b] == x else [b] for b, x in zip(own, k.tolist(), strict=True)])
+    def out(run):
+        found = each(run)
+        empty = [None] * (len(run) - 1)
+        return pa.RecordBatch.from_arrays([*(pa.array(found[n]) for n in names), pa.array(empty, pa.int64()), pa.array(empty, pa.int64()),
+                                           pa.array(empty, pa.string())], names=[*names, "edge", "edge_id", "edge_text"])
 
-    rows = docs.select(F.explode(buckets(key)).alias("b"), "doc_id", "text")
-    halo = F.col("b") < 0
-    return (rows.select(F.when(halo, -1 - F.col("b")).otherwise(F.col("b")).alias("bucket"), halo.alias("halo"), "doc_id", "text")
-            .repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", "doc_id", "text"))
+    def aside(edge, row):
+        return pa.RecordBatch.from_arrays([*(pa.array([None], k) for k in kinds), pa.array([edge], pa.int64()), pa.array([row[0]], pa.int64()),
+                                           pa.array([row[1]], pa.string())], names=[*names, "edge", "edge_id", "edge_text"])
 
+    def within(batches):
+        part, last = TaskContext.get().partitionId(), None
+        for b in batches:
+            rows = list(zip(b.column("doc_id").to_pylist(), texts_of(b), strict=True))
+            if not rows:
+                continue
+            if last is None:
+                yield aside(2 * part, rows[0])
+            run = rows if last is None else [last, *rows]
+            if len(run) > 1:
+                yield out(run)
+            last = rows[-1]
+        if last is not None:
+            yield aside(2 * part + 1, last)
+
+    def between(batches):
+        first = last = None
+        for b in batches:
+            for edge, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("edge", "edge_id", "edge_text")), strict=True):
+                if edge % 2:
+                    last = (doc_id, text)
+                elif first is None:
+                    first = (doc_id, text)
+                else:
+                    yield out([last, (doc_id, text)])
+        if last is not None:
+            yield out([last, first])
 
-_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    kind = f"{schema}, edge long, edge_id long, edge_text string"
+    done = keep(_in_order(docs).mapInArrow(within, kind), "consecutive")
+    edges = done.where("edge is not null").coalesce(1).sortWithinPartitions("edge")
+    return done.where("edge is null").select(*names).unionByName(edges.mapInArrow(between, kind).select(*names))
 
 
-def fingerprint_edits(docs: DataFrame, words: Lexicon | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document against its edited text -- the last half of the code points
-    replaced by the first as many of the next document's -- and against the next."""
-    own = pick(docs, doc_id=id_col, text=text_col)
-    shared, name = docs.sparkSession.sparkContext.broadcast(words or lexicon(own)), uuid4().hex
+def _edited(text: str, following: str) -> str:
+    half = len(text) // 2
+    return text[: len(text) - half] + following[:half]
 
-    def run(batches):
-        book, last_row = held(f"lexicon-{name}", "", lambda: shared.value.prepare()), None
+
+_SIGNED = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+
+
+def _columns(book: Lexicon, ids, texts, edited, following, mine, changed, next_one) -> dict:
+    return {"doc_id": pa.array(ids, pa.int64()), "n_chars": [len(t) for t in texts],
+            "edited_sha256": [hashlib.sha256(e.encode("utf-8", "surrogatepass")).digest() for e in edited],
+            "fingerprint": _packed(mine[0]), "edited_fingerprint": _packed(changed[0]),
+            "near_edited": book.alike(texts, mine, edited, changed), "near_next": book.alike(texts, mine, following, next_one)}
+
+
+def _by_broadcast(own: DataFrame, words: Lexicon) -> DataFrame:
+    shared, name = own.sparkSession.sparkContext.broadcast(words), uuid4().hex
+
+    def each(run):
+        book = held(f"lexicon-{name}", "", lambda: shared.value.prepare())
+        ids, texts = ([r[k] for r in run] for k in (0, 1))
+        edited = [_edited(a, b) for a, b in zip(texts, texts[1:])]
+        every, changed = book.signatures(texts), book.signatures(edited)
+        mine, next_one = tuple(x[:-1] for x in every), tuple(x[1:] for x in every)
+        return _columns(book, ids[:-1], texts[:-1], edited, texts[1:], mine, changed, next_one)
+
+    return _consecutive(own, each, _SIGNED)
+
+
+def _by_join(own: DataFrame, words: DataFrame) -> DataFrame:
+    """The same with a lexicon that is a table of any size."""
+    roles = ("text", "edited", "following")
+
+    def each(run):
+        texts = [r[1] for r in run]
+        return {"uid": [uuid4().hex for _ in run[1:]], "doc_id": pa.array([r[0] for r in run[:-1]], pa.int64()), "text": texts[:-1],
+                "edited": [_edited(a, b) for a, b in zip(texts, texts[1:])], "following": texts[1:]}
+
+    def spell(batches):
         for b in batches:
-            texts = texts_of(b)
-            rows = list(zip(b.column("bucket").to_pylist(), b.column("halo").to_pylist(), b.column("doc_id").to_pylist(), range(len(texts)), strict=True))
-            if last_row:                                # the row before the batch, as row 0
-                texts.insert(0, last_row[1])
-                rows = [(last_row[0][0], False, last_row[0][2], 0), *((x, h, d, i + 1) for x, h, d, i in rows)]
-            pairs, last = [], None
-            for r in rows:
-                if last and last[0] == r[0]:
-                    pairs.append((last[2], last[3], r[3]))
-                last = None if r[1] else r
-            last_row = (last, texts[last[3]]) if last else None
-            if not pairs:
-                continue
-            ids, at, following = zip(*pairs, strict=True)
-            half = [len(texts[i]) // 2 for i in at]
-            edited = [texts[i][: len(texts[i]) - h] + texts[j][:h] for i, j, h in zip(at, following, half, strict=True)]
-            all_own, changed = book.signatures(texts), book.signatures(edited)
-            mine, next_one = (tuple(x[list(i)] for x in all_own) for i in (at, following))
-            own_texts, next_texts = [texts[i] for i in at], [texts[i] for i in following]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([len(texts[i]) for i in at], pa.int64()),
-                pa.array([hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited]),
-                pa.array(hexed(mine[0])), pa.array(hexed(changed[0])),
-                pa.array(book.alike(own_texts, mine, edited, changed)), pa.array(book.alike(own_texts, mine, next_texts, next_one))],
-                names=[c.split()[0] for c in _OUT.split(", ")])
-
-    return _with_next(own).mapInArrow(run, _OUT)
+            for uid, role, text in zip(b.column("uid").to_pylist(), b.column("role").to_pylist(), texts_of(b), strict=True):
+                if found := list(set(terms(text))):
+                    yield pa.RecordBatch.from_arrays([pa.array([uid] * len(found)), pa.array([role] * len(found)), pa.array(found)], names=["uid", "role", "term"])
+
+    def sign(batches):
+        book = held("lexicon-joined", "", lambda: Lexicon([]).prepare())
+        for b in batches:
+            ids, sides = b.column("doc_id").to_pylist(), [texts_of(b, r) for r in roles]
+            signed = [book.signed(side, [k or [] for k in b.column(f"in_{r}").to_pylist()]) for r, side in zip(roles, sides, strict=True)]
+            found = _columns(book, ids, *sides, *signed)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], names=list(found))
+
+    rows = keep(_consecutive(own, each, "uid string, doc_id long, text string, edited string, following string"), "neighbours")
+    sides = rows.select("uid", F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("text")) for r in roles])).alias("s")).select("uid", "s.*")
+    inside = sides.mapInArrow(spell, "uid string, role string, term string").join(words.select("term"), "term", "left_semi")
+    known = inside.groupBy("uid").agg(*[F.collect_list(F.when(F.col("role") == r, F.col("term"))).alias(f"in_{r}") for r in roles])
+    return rows.join(known, "uid", "left").drop("uid").mapInArrow(sign, _SIGNED)
+
+
+def fingerprint_edits(docs: DataFrame, words: Lexicon | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each document against its edited text -- the last half of the code points
+    replaced by the first as many of the next document's -- and against the next.
+    ``words``: the lexicon, broadcast, or as a table (term) of any size."""
+    own = pick(docs, doc_id=id_col, text=text_col)
+    words = lexicon(own) if words is None else words
+    found = _by_broadcast(own, words) if isinstance(words, Lexicon) else _by_join(own, words)
+    return found.select("doc_id", "n_chars", *[F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
+                        "near_edited", "near_next")
