@@ -4,7 +4,10 @@ A document is its token ids and a closing id 0; one longer than a sequence is
 cut into full pieces, the first of which may be shorter.  Bins are planned on
 the histogram of piece lengths -- at most one number per possible length, so
 the plan is global yet bounded -- and pieces find their bin by the rank of the
-piece among those of its length.
+piece among those of its length.  A task numbers its own pieces of each length as
+it cuts them; a prefix sum over the counts of (length, task) makes these ranks
+global.  So no group of rows is sorted or gathered, however many share a length,
+an id or a text.
 
 Plan, over counts: open a bin with the longest piece left, add the longest that
 still fits, again and again; if a gap remains, take the bin's smallest piece
@@ -24,19 +27,19 @@ from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from .common import arrow_map, keep, pick, texts_of
 from .tokens import added_tokens, encoder, vocabulary
 
 SIZE = 2048
 END = b"\0\0\0\0"
-#: groups a length is split into for ranking, so that a length shared by a
-#: third of all rows is ranked by many tasks
-SALTS = 256
-
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt int"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
 def cut(tokens: int, size: int) -> list[tuple[int, int]]:
@@ -49,20 +52,24 @@ def cut(tokens: int, size: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """One row per piece with the CRC-32 of its ids (unsigned, little-endian 32-bit)."""
+    """One row per piece with the CRC-32 of its ids (unsigned, little-endian 32-bit),
+    the task that cut it and its number (from 0) among that task's of its length."""
     ranks, added = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer)), added_tokens(tokenizer)
+    target = to_arrow_schema(_parse_datatype_string(_PIECES))
 
-    def run(batch):
-        out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "salt")}
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(str(tokenizer), ranks, added=added).batch(texts_of(batch)), strict=True):
-            ids = ids.astype("<u4").tobytes() + END
-            for k, (start, length) in enumerate(cut(len(ids) // 4, size)):
-                crc = zlib.crc32(ids[4 * start: 4 * (start + length)])
-                for name, v in zip(out, (doc_id, k, start, length, crc, zlib.crc32(b"%d %d" % (doc_id or 0, k), crc) % SALTS), strict=True):
-                    out[name].append(v)
-        return out
+    def run(batches):
+        task, so_far = TaskContext.get().partitionId(), [0] * (size + 1)
+        for batch in batches:
+            rows = []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(str(tokenizer), ranks, added=added).batch(texts_of(batch)), strict=True):
+                ids = ids.astype("<u4").tobytes() + END
+                for k, (start, length) in enumerate(cut(len(ids) // 4, size)):
+                    rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start: 4 * (start + length)]), task, so_far[length]))
+                    so_far[length] += 1
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), target.types, strict=True)], schema=target)
 
-    return arrow_map(pick(docs, doc_id=id_col, text=text_col), run, _PIECES)
+    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(run, _PIECES)
 
 
 def plan_bins(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, list[int]]]:
@@ -134,16 +141,14 @@ def places(plan: list[tuple[int, list[int]]]) -> dict[str, np.ndarray]:
 
 def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (``pieces``, written)."""
-    cells = keep(parts.groupBy("length", "salt").agg(F.count("*").alias("n")), "cells")   # at most size * SALTS rows
-    counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    cells = keep(parts.groupBy("length", "task").agg(F.count("*").alias("n")), "cells")
+    counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}    # a row per length
     runs = places(plan_bins(counts, size))
     key = runs["length"] << 44 | runs["rank"]
     shared = parts.sparkSession.sparkContext.broadcast((key, runs))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = (parts.withColumn("nth", F.row_number().over(own)).join(F.broadcast(offsets), ["length", "salt"])
-              .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") - 1 + F.col("before")).alias("rank")))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)     # a row per task
+    offsets = cells.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    ranked = parts.join(offsets, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("before")).alias("rank"))
 
     def run(batch):
         keys, at = shared.value

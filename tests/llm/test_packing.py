@@ -106,3 +106,14 @@ def test_cut():
 
 def test_empty_table(spark):
     assert P.best_two_fit(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_many_rows_of_one_id_and_text(spark):
+    """No rows are told apart by id or text: places are still all different."""
+    docs = spark.range(3000).selectExpr("cast(null as long) doc_id", "case when id < 2000 then 'the same words' else concat('word ', id) end text").repartition(5)
+    got = P.best_two_fit(docs, 64).toPandas()
+    assert len(got) == 3000 and not got.duplicated(["sequence_id", "offset"]).any()
+    by = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    assert (by["offset"].min() == 0).all() and (by["length"].sum() <= 64).all()
+    assert all((g["offset"].to_numpy()[1:] == (g["offset"] + g["length"]).to_numpy()[:-1]).all() for _, g in by)
+    assert got["sequence_id"].nunique() <= -(-int(got["length"].sum()) // 64) + 1
