@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -72,6 +74,7 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array) else out[f.name].cast(f.type)
                      for f in target], schema=target)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -105,3 +108,14 @@ def release(use: str = "") -> None:
     if use != _USE[0]:
         _HELD.clear()
         _USE[0] = use
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker waits for its next task
+    with all that its allocators keep, beside the others of its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of the GNU library only
+    if trim is not None:
+        trim(0)
