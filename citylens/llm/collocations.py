@@ -14,8 +14,9 @@ one contains is dropped if the longer one is at least ``SHARE`` percent as frequ
    transducer of the parts is composed with the one that holds the counts.  A part is asked
    once per asking range, however many candidates have it.  A pair is asked with the
    weight of the most frequent candidate that ends in it.
-4. Each range scores its candidates and keeps its best ``TOP``; those of all
-   ranges are ranked per language.
+4. Each range scores its candidates and keeps its best ``TOP``; ``FAN`` ranges
+   of a language are ranked together, then ``FAN`` of those results, until one
+   is left: no task ranks more than ``FAN * TOP`` rows of a language.
 
 The number of ranges follows the bytes of all texts, so a task's share stays the same
 at any size, and a prefix is two words long, so a frequent word or language is spread
@@ -44,6 +45,8 @@ SHARE = 50
 TOP = 2000
 #: bytes of text whose phrases are summed in one group
 RANGE_BYTES = 1 << 25
+#: ranges whose best candidates are ranked in one task
+FAN = 256
 #: words of a shard that are sorted together, about; different words among them; words coded at once
 _TOKENS = 3_000_000
 _WORDS = 1 << 20
@@ -172,7 +175,7 @@ def _floor(a: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
 
 
 def scored(rows: DataFrame, share: int = SHARE, top: int = TOP) -> DataFrame:
-    """(lang, phrase, a, l, r, score): each range's best candidates."""
+    """(lang, range, phrase, a, l, r, score): each range's best candidates."""
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, parts = {OWN: T.empty(), INSIDE: T.empty()}, T.Adding()
         for b in batches:
@@ -206,10 +209,22 @@ def scored(rows: DataFrame, share: int = SHARE, top: int = TOP) -> DataFrame:
         best = sorted(zip((-score[order]).tolist(), (-a[order]).tolist(), phrase, order.tolist(), strict=True))[:top]
         at = np.array([x[3] for x in best], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()] * len(at), pa.string()), pa.array([x[2].decode() for x in best], pa.string()),
-             *[pa.array(v[at], pa.int64()) for v in (a, l, r, score)]], names=["lang", "phrase", "a", "l", "r", "score"])
+            [pa.array([key[0].as_py()] * len(at), pa.string()), pa.array([key[1].as_py()] * len(at), pa.int32()), pa.array([x[2].decode() for x in best], pa.string()),
+             *[pa.array(v[at], pa.int64()) for v in (a, l, r, score)]], names=["lang", "range", "phrase", "a", "l", "r", "score"])
 
-    return rows.groupBy("lang", "range").applyInArrow(run, "lang string, phrase string, a long, l long, r long, score long")
+    return rows.groupBy("lang", "range").applyInArrow(run, "lang string, range int, phrase string, a long, l long, r long, score long")
+
+
+def ranked(best: DataFrame, ranges: int, top: int = TOP, fan: int = FAN) -> DataFrame:
+    """The best ``top`` rows of each language with their ``rank``, from those of
+    its ranges, ``fan`` ranges at a time."""
+    while True:
+        ranges = -(-ranges // fan)
+        order = Window.partitionBy("lang", "range").orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = (best.withColumn("range", F.expr(f"int(range div {fan})")).withColumn("rank", F.row_number().over(order).cast("long"))
+                .where(F.col("rank") <= top))
+        if ranges <= 1:
+            return best.drop("range")
 
 
 def ranges_of(docs: DataFrame, text_col: str = "text", range_bytes: int = RANGE_BYTES) -> int:
@@ -219,17 +234,15 @@ def ranges_of(docs: DataFrame, text_col: str = "text", range_bytes: int = RANGE_
 
 
 def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP, lang_col: str = "lang", text_col: str = "text",
-                 range_bytes: int = RANGE_BYTES) -> DataFrame:
+                 range_bytes: int = RANGE_BYTES, fan: int = FAN) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best ``top`` candidates of
     each language; a, l, r: occurrences of the phrase, of the first and of the
     second part of its worst cut; n: of all words of the language."""
     ranges = ranges_of(docs, text_col, range_bytes)
     sums = keep(summed(shards(docs, ranges, lang_col, text_col), ranges, least), "phrase-sums")
     n = sums.where(F.col("kind") == OWN).groupBy("lang").agg(F.sum("n").alias("n"))
-    best = scored(answered(sums.drop("n")), share, top)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return ranked.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    best = ranked(scored(answered(sums.drop("n")), share, top), ranges, top, fan)
+    return best.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def oracle() -> str:

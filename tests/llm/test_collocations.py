@@ -71,7 +71,9 @@ def test_against_brute_force(spark, seed, monkeypatch):
 def test_parameters_and_edges(spark):
     rows = some_rows(3, 120)
     df = spark.createDataFrame([(lang, t) for lang, t in rows], "lang string, text string")
-    assert rows_of(C.collocations(df, least=3, share=80, top=7, range_bytes=2000)) == brute(rows, 3, 80, 7)
+    assert C.ranges_of(df, range_bytes=2000) > 4       # ranked in more than two steps
+    for fan in (2, 256):
+        assert rows_of(C.collocations(df, least=3, share=80, top=7, range_bytes=2000, fan=fan)) == brute(rows, 3, 80, 7)
     assert C.collocations(df.limit(0)).count() == 0
     alone = spark.createDataFrame([(None, None), ("en", "...")], "lang string, text string")
     assert C.collocations(alone).count() == 0
