@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import parallelism
 from . import transducers as T
 from .common import keep, pick, release
 
@@ -45,6 +46,8 @@ SHARE = 50
 TOP = 2000
 #: bytes of text whose phrases are summed in one group
 RANGE_BYTES = 1 << 25
+#: shuffle partitions for each range: languages of one range seldom meet in a task
+SLOTS = 8
 #: ranges whose best candidates are ranked in one task
 FAN = 256
 #: words of a shard that are sorted together, about; different words among them; words coded at once
@@ -135,7 +138,8 @@ def summed(parts: DataFrame, ranges: int, least: int = LEAST) -> DataFrame:
         rows += [(lang, to, r, ASKED, T.to_bytes(part), None) for to, part in _parts(own, ranges)]
         yield from _rows(rows, ["lang", "range", "asked_by", "kind", "counts", "n"], [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()])
 
-    return parts.groupBy("lang", "range").applyInArrow(run, _ROWS)
+    slots = max(parallelism(parts.sparkSession), SLOTS * ranges)       # with the input, whatever the session's number
+    return parts.repartition(slots, "lang", "range").groupBy("lang", "range").applyInArrow(run, _ROWS)
 
 
 def answered(rows: DataFrame) -> DataFrame:
