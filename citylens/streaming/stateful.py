@@ -1,11 +1,12 @@
 """Stateful incident detectors for Structured Streaming.
 
 Each detector keeps per-key state in Spark's state store through
-``applyInPandasWithState`` (Arrow batches, one call per key per micro-batch)
-with an event-time timeout, so state for a key is dropped once the watermark
-makes it irrelevant.  Rows of one micro-batch are processed in (event time,
+``applyInPandasWithState`` with an event-time timeout, so state for a key is
+dropped once the watermark makes it irrelevant.  Where keys are many (sensors,
+junctions) a call takes all keys of one of ``BUCKETS`` groups by array
+operations: calls follow the buckets, not the keys.  Rows of one micro-batch are processed in (event time,
 id) order; across micro-batches, rows behind the watermark are dropped by
-Spark.  The work per call is bounded by the rows of one key in one
+Spark.  The work per call is bounded by the rows of one key (or bucket) in one
 micro-batch (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), never by
 the key's history.
 
@@ -48,7 +49,7 @@ def _expire_at(state: GroupState, micros_ts: int) -> None:
 
 
 def _out_schema(df: DataFrame, extra: Sequence[T.StructField] = ()) -> T.StructType:
-    fields = [f for f in df.schema.fields if f.name not in ("__tus", "__id")]
+    fields = [f for f in df.schema.fields if f.name not in ("__tus", "__id", "__bucket")]
     return T.StructType(fields + list(extra))
 
 
@@ -88,14 +89,44 @@ def mark_late_stream(df: DataFrame, topic: str | Sequence[str], ts: str, arrival
     return marked.withColumn("watermark", F.timestamp_micros("__wm")).select(*df.columns, "watermark", "is_late")
 
 
+#: groups the keys of a detector are dealt into: a call of Python takes all keys of one
+BUCKETS = 256
+
+
+def _dealt(df: DataFrame, key: str, ts: str, id_col: str, buckets: int) -> DataFrame:
+    """Rows that have a key, with their time, id and the bucket of the key."""
+    return _with_keys(keyed(df, [key]), ts, id_col).withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
 # --------------------------------------------------------------------- cooldown
+def _cooldown_fires(code: np.ndarray, t: np.ndarray, last: np.ndarray, known: np.ndarray, cool: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which rows, sorted by (key number, time), fire; and the keys' last alerts
+    after them (``last`` where ``known``).  All keys jump from alert to alert
+    together: the next one is the first breach at or after last + cooldown."""
+    fire, last, known = np.zeros(len(t), bool), last.copy(), known.copy()
+    times = np.unique(t)
+    steps = len(times) + 1
+    place = code * steps + np.searchsorted(times, t)
+    after = np.maximum(np.searchsorted(place, code * steps + np.searchsorted(times, t + cool)), np.arange(1, len(t) + 1))
+    keys = np.unique(code)
+    ends = np.searchsorted(code, keys, side="right")
+    at = np.where(known[keys], np.searchsorted(place, keys * steps + np.searchsorted(times, last[keys] + cool)), np.searchsorted(code, keys))
+    while len(at):
+        live = at < ends
+        at, ends = at[live], ends[live]
+        fire[at] = True
+        last[code[at]], known[code[at]] = t[at], True
+        at = after[at]
+    return fire, last, known
+
+
 def cooldown_alerts_stream(df: DataFrame, key: str, ts: str, condition, cooldown="120 seconds",
-                           id_col: str = "event_id") -> DataFrame:
-    """Streaming twin of ``detect.cooldown_alerts``.  State per key: the time
-    of the last alert; timed out (dropped) once the watermark passes
+                           id_col: str = "event_id", buckets: int = BUCKETS) -> DataFrame:
+    """Streaming twin of ``detect.cooldown_alerts``.  State per bucket of keys: the
+    time of the last alert of each key, dropped once the watermark passes
     ``last + cooldown`` -- after that any breach fires anyway."""
     cool = micros(cooldown)
-    breaches = _with_keys(keyed(df, [key]).filter(F.coalesce(condition, F.lit(False))), ts, id_col)
+    breaches = _dealt(df.filter(F.coalesce(condition, F.lit(False))), key, ts, id_col, buckets)
     schema = _out_schema(breaches)
     cols = schema.fieldNames()
 
@@ -104,39 +135,40 @@ def cooldown_alerts_stream(df: DataFrame, key: str, ts: str, condition, cooldown
             state.remove()
             return
         pdf = _sorted(pdfs)
-        last = state.get[0] if state.exists else None
         if len(pdf) == 0:
             return
-        t = pdf["__tus"].to_numpy(dtype="int64")
-        fire = np.zeros(len(t), dtype=bool)
-        # jump from alert to alert: the next one is the first breach at or
-        # after last + cooldown (rows are sorted by time, then id)
-        i = 0 if last is None else int(np.searchsorted(t, last + cool, side="left"))
-        while i < len(t):
-            fire[i] = True
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + cool, side="left"))
-        state.update((last,))
-        _expire_at(state, last + cool)
+        held = state.get if state.exists else ([], [])
+        code, names = pd.factorize(pd.Series([*held[0], *pdf[key]], dtype=object))
+        m = len(held[0])
+        last, known = np.zeros(len(names), np.int64), np.arange(len(names)) < m
+        last[:m] = held[1]
+        own = code[m:]
+        order = np.argsort(own, kind="stable")
+        pdf, own = pdf.iloc[order], own[order]
+        fire, last, known = _cooldown_fires(own, pdf["__tus"].to_numpy(dtype="int64"), last, known, cool)
+        kept = np.flatnonzero(known & (last + cool > state.getCurrentWatermarkMs() * 1000))
+        state.update(([names[i] for i in kept], [int(x) for x in last[kept]]))
+        _expire_at(state, int(last[known].max()) + cool)
         out = pdf.loc[fire, cols]
         if len(out):
             yield out
 
-    return breaches.groupBy(key).applyInPandasWithState(
-        fn, schema, "last_alert long", "append", GroupStateTimeout.EventTimeTimeout)
+    kind = df.schema[key].dataType.simpleString()
+    return breaches.groupBy("__bucket").applyInPandasWithState(
+        fn, schema, f"keys array<{kind}>, last_alert array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --------------------------------------------------------------------- consecutive
 def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, threshold: float,
-                              n: int = 3, within="300 seconds", id_col: str = "event_id") -> DataFrame:
-    """Streaming twin of ``detect.consecutive_breach``.  State per key: the
-    last ``n-1`` readings (time, value); dropped once the watermark passes
-    the newest of them by ``within``."""
+                              n: int = 3, within="300 seconds", id_col: str = "event_id", buckets: int = BUCKETS) -> DataFrame:
+    """Streaming twin of ``detect.consecutive_breach``.  State per bucket of keys:
+    the last ``n-1`` readings (time, value) of each key; dropped once the
+    watermark passes them by ``within``."""
     span = micros(within)
-    rows = _with_keys(keyed(df, [key]), ts, id_col)
+    rows = _dealt(df, key, ts, id_col, buckets)
     schema = _out_schema(rows, [T.StructField("avg_last_n", T.DoubleType()),
                                 T.StructField("consecutive_readings", T.IntegerType())])
-    cols = [f for f in rows.columns if f not in ("__tus", "__id")]
+    cols = [f for f in rows.columns if not f.startswith("__")]
 
     def fn(k, pdfs, state: GroupState):
         if state.hasTimedOut:
@@ -145,34 +177,37 @@ def consecutive_breach_stream(df: DataFrame, key: str, ts: str, value: str, thre
         pdf = _sorted(pdfs)
         if len(pdf) == 0:
             return
-        prev_t, prev_v = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        m, k = len(prev_t), len(pdf)
-        t = np.concatenate([np.array(prev_t, dtype="int64"), pdf["__tus"].to_numpy(dtype="int64")])
-        v = np.concatenate([np.array(prev_v, dtype="float64"), pdf[value].to_numpy(dtype="float64")])
-        # merge kept readings and this batch in time order (a row may arrive
+        held = state.get if state.exists else ([], [], [])
+        m = len(held[0])
+        code, names = pd.factorize(pd.Series([*held[0], *pdf[key]], dtype=object))
+        t = np.concatenate([np.array(held[1], dtype="int64"), pdf["__tus"].to_numpy(dtype="int64")])
+        v = np.concatenate([np.array(held[2], dtype="float64"), pdf[value].to_numpy(dtype="float64")])
+        # merge kept readings and this batch by key and time (a row may arrive
         # a batch late, earlier than kept readings, within the watermark);
         # ties keep arrival order
-        order = np.lexsort((np.arange(m + k), t))
-        t, v, src = t[order], v[order], order
+        src = np.lexsort((np.arange(len(t)), t, code))
+        code, t, v = code[src], t[src], v[src]
         fire = np.zeros(len(t), dtype=bool)
         avg = np.full(len(t), np.nan)
         if len(t) >= n:
             win = np.lib.stride_tricks.sliding_window_view(v, n)
-            ok = (win > threshold).all(axis=1) & (t[: len(t) - n + 1] >= t[n - 1:] - span)
-            fire[n - 1:] = ok
+            first = slice(0, len(t) - n + 1)
+            fire[n - 1:] = (win > threshold).all(axis=1) & (code[first] == code[n - 1:]) & (t[first] >= t[n - 1:] - span)
             avg[n - 1:] = win.mean(axis=1)
         sel = fire & (src >= m)
-        keep = max(0, len(t) - (n - 1))
-        state.update(([int(x) for x in t[keep:]], [float(x) for x in v[keep:]]))
-        _expire_at(state, int(t[-1]) + span)
+        from_end = np.searchsorted(code, code, side="right") - np.arange(len(code))
+        keep = np.flatnonzero((from_end < n) & (t >= state.getCurrentWatermarkMs() * 1000 - span))
+        state.update(([names[i] for i in code[keep]], [int(x) for x in t[keep]], [float(x) for x in v[keep]]))
+        _expire_at(state, int(t.max()) + span)
         if sel.any():
             out = pdf.iloc[src[sel] - m][cols].copy()
             out["avg_last_n"] = avg[sel]
             out["consecutive_readings"] = n
             yield out
 
-    return rows.groupBy(key).applyInPandasWithState(
-        fn, schema, "ts array<long>, v array<double>", "append", GroupStateTimeout.EventTimeTimeout)
+    kind = df.schema[key].dataType.simpleString()
+    return rows.groupBy("__bucket").applyInPandasWithState(
+        fn, schema, f"keys array<{kind}>, ts array<long>, v array<double>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --------------------------------------------------------------------- bunching (clock mode)

@@ -418,3 +418,30 @@ def test_chained_bunching_matches_the_model(spark, tmp_path, factor):
     assert q.exception() is None
     got = sorted((r.route_id, r.bus_1, r.bus_2, r.event_id) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert len(got) > 5 and got == _bunch_model(rows, 60, 120, 200.0)
+
+
+# ---- many keys in few calls --------------------------------------------------------------------------------------
+
+def test_detectors_take_all_keys_of_a_bucket_at_once(spark, tmp_path):
+    from citylens.operators import detect
+    from citylens.streaming import stateful
+
+    rnd = random.Random(29)
+    rows = sorted(((f"S{rnd.randrange(60)}", T0 + dt.timedelta(seconds=rnd.randrange(4000)), float(rnd.randrange(100)), i) for i in range(3000)),
+                  key=lambda r: (r[1], r[3]))
+    schema = "sensor string, timestamp timestamp, value double, event_id long"
+    cuts = [rows[b * 600:(b + 1) * 600] for b in range(5)]
+    every = spark.createDataFrame(rows, schema)
+    high = F.col("value") > 40
+    for name, stream, batch in [
+            ("cool", lambda d: stateful.cooldown_alerts_stream(d, "sensor", "timestamp", high, 120, buckets=3),
+             detect.cooldown_alerts(every, "sensor", "timestamp", high, 120)),
+            ("run", lambda d: stateful.consecutive_breach_stream(d, "sensor", "timestamp", "value", 40, 3, 300, buckets=3),
+             detect.consecutive_breach(every, "sensor", "timestamp", "value", 40, 3, 300, order=["event_id"]))]:
+        st = parts(spark, f"{tmp_path}/{name}", schema, cuts).withWatermark("timestamp", "30 seconds")
+        q = (stream(st).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/{name}-ck")
+             .trigger(availableNow=True).start(f"{tmp_path}/{name}-out"))
+        q.awaitTermination()
+        assert q.exception() is None
+        got = sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/{name}-out").collect())
+        assert len(got) > 100 and got == sorted(r.event_id for r in batch.collect())
