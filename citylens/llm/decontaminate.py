@@ -5,8 +5,10 @@ every whole text, weighted by TF-IDF over the words of the benchmark (words it
 lacks add nothing to a product with an item); document frequencies are counted
 over all texts.  A randomised SVD gives the latent space: each task multiplies
 its passages with a random matrix and back, and the sums meet in a tree of
-bounded groups.  The space is fitted on the items and on the passages of about
-``SAMPLE`` documents (chosen by text hash); every passage is searched.
+bounded groups.  The space is fitted on the items and on all passages of all
+documents, and every passage is searched.  The counts and the sums share one
+reading of the texts: their benchmark words are written once as numbers (a few
+bytes a word) and deleted when the space is fitted.
 
 Passages whose cosine with an item reaches ``COSINE`` are candidates; passages
 without a single answer word of any item cannot be the best ones of a leak and
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import held, pick, release, texts_of
+from .common import drop_kept, held, keep, pick, release, texts_of
 from .tokens import Pieces, by_size, gather
 
 WINDOW = 32
@@ -51,12 +53,11 @@ COSINE = 0.5
 ORDERED = 0.7
 #: least share of the answer's words there (without an answer: of the item's rarest words)
 ANSWERED = 0.6
-#: documents whose passages the latent space is fitted on, about
-SAMPLE = 20_000
 #: items held at once
 BLOCK = 4096
 _WORD = re.compile(r"\w+")
-_TOKENS = 100_000
+#: words, and cells, taken at once: their rows of the space stay in a core's cache
+_TOKENS, _CELLS = 1024, 4096
 #: ASCII signs that no word holds
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 
@@ -157,24 +158,69 @@ def _windows(sums: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 # ---- statistics over all passages --------------------------------------------------------
 
-def _batches(batches, coder):
-    release("passages")
+_CODED = "words binary, counts binary"
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Slices of an array as binary values."""
+    at = np.ascontiguousarray(ends * values.itemsize, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _numbers(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The reverse: (values, ends)."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    size = np.dtype(kind).itemsize
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[at[0]: at[-1]].view(kind) if data is not None else np.zeros(0, kind)
+    return values, ((at - at[0]) // size).astype(np.int64)
+
+
+def coded(docs: DataFrame, items: Items) -> DataFrame:
+    """A row per text: the numbers of its benchmark words in order, and how many
+    of them each of its cells has."""
+    kind = np.uint16 if len(items.vocabulary) < 1 << 16 else np.uint32
+
+    def run(batches):
+        release("passages")
+        coder = _Coder(items.vocabulary)
+        for b in batches:
+            texts = texts_of(b)
+            for i, j in by_size(texts, 6_000_000):
+                values, offsets = coder(texts[i:j])
+                text, _, cell = cells(offsets)
+                at = np.flatnonzero(values >= 0)
+                counts = np.bincount(cell[at], minlength=len(text)).astype(np.uint8)       # at most STRIDE
+                words_to = np.searchsorted(at, offsets - offsets[0])
+                cells_to = np.searchsorted(text, np.arange(j - i + 1))
+                yield pa.RecordBatch.from_arrays([_binary(values[at].astype(kind), words_to), _binary(counts, cells_to)], names=["words", "counts"])
+
+    return docs.mapInArrow(run, _CODED)
+
+
+def _batches(batches, items: Items):
+    """(numbers of benchmark words, the cell of each, the text of each cell)."""
+    kind = np.uint16 if len(items.vocabulary) < 1 << 16 else np.uint32
     for b in batches:
-        texts = texts_of(b)
-        for i, j in by_size(texts, 6_000_000):
-            values, offsets = coder(texts[i:j])
-            text, starts, cell = cells(offsets)
-            at = np.flatnonzero(values >= 0)
-            yield values[at], cell[at], text
+        values, words_to = _numbers(b.column("words"), kind)
+        counts, cells_to = _numbers(b.column("counts"), np.uint8)
+        lo = 0
+        while lo < b.num_rows:                                     # as many texts as have about so many cells
+            hi = max(lo + 1, int(np.searchsorted(cells_to, cells_to[lo] + _CELLS, side="right")) - 1)
+            own = counts[cells_to[lo]: cells_to[hi]]
+            yield (values[words_to[lo]: words_to[hi]].astype(np.int64), np.repeat(np.arange(len(own)), own),
+                   np.repeat(np.arange(hi - lo), np.diff(cells_to[lo: hi + 1])))
+            lo = hi
 
 
 def passage_frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray]:
-    """Number of cells of all texts, and in how many each benchmark word is."""
+    """Number of cells of all texts (or ``coded`` ones), and in how many each benchmark word is."""
     d = len(items.vocabulary)
+    passages = docs if "counts" in docs.columns else coded(docs, items)
 
     def run(batches):
-        coder, total = _Coder(items.vocabulary), np.zeros(d + 1, np.int64)
-        for values, cell, text in _batches(batches, coder):
+        total = np.zeros(d + 1, np.int64)
+        for values, cell, text in _batches(batches, items):
             again = np.zeros(len(values), bool)                    # the word has been in its cell before
             for k in range(1, STRIDE):
                 again[k:] |= (values[k:] == values[:-k]) & (cell[k:] == cell[:-k])
@@ -184,26 +230,29 @@ def passage_frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["i", "n"])
 
     out = np.zeros(d + 1, np.int64)
-    for r in docs.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():     # a row per benchmark word
+    for r in passages.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():     # a row per benchmark word
         out[r["i"]] = r["n"]
     return int(out[d]), out[:d]
 
 
 def _gram_times(docs: DataFrame, items: Items, probe: np.ndarray) -> np.ndarray:
-    """A'A.probe for the matrix A of all passages: word by rank, summed in a tree."""
+    """A'A.probe for the matrix A of all passages of the texts (or ``coded``
+    ones): word by rank, summed in a tree."""
     rows, rank = probe.shape
-    shared = docs.sparkSession.sparkContext.broadcast(probe.astype(np.float32))
+    passages = docs if "counts" in docs.columns else coded(docs, items)
+    shared = passages.sparkSession.sparkContext.broadcast(probe.astype(np.float32))
     chunk = max(1, 65_536 // rank)
-    fan = max(2, math.isqrt(max(4, docs.rdd.getNumPartitions())))
+    fan = max(2, math.isqrt(max(4, passages.rdd.getNumPartitions())))
     schema = "chunk int, branch int, sums binary"
 
     def run(batches):
         from pyspark import TaskContext
 
-        coder, total = _Coder(items.vocabulary), np.zeros((rows, rank), np.float64)
+        release("gram")
+        total = np.zeros((rows, rank), np.float64)
         branch = TaskContext.get().partitionId() % fan
         weighted = shared.value * items.idf[:, None].astype(np.float32)
-        for values, cell, text in _batches(batches, coder):
+        for values, cell, text in _batches(batches, items):
             z = _windows(_cell_sums(values, cell, len(text), weighted), text)      # passages by rank
             back = z.copy()                                                # a word is in the window of its cell and of the one before
             same = np.flatnonzero(text[1:] == text[:-1]) + 1
@@ -222,7 +271,7 @@ def _gram_times(docs: DataFrame, items: Items, probe: np.ndarray) -> np.ndarray:
         total = sum(np.frombuffer(s.as_py(), np.float64) for s in group.column("sums"))
         return pa.table({"chunk": group.column("chunk")[:1], "branch": pa.array([0], pa.int32()), "sums": pa.array([total.tobytes()])})
 
-    parts = docs.mapInArrow(run, schema).groupBy("chunk", "branch").applyInArrow(added, schema)
+    parts = passages.mapInArrow(run, schema).groupBy("chunk", "branch").applyInArrow(added, schema)
     out = np.zeros((rows, rank))
     for r in parts.groupBy("chunk").applyInArrow(added, schema).collect():             # word by rank numbers together
         got = np.frombuffer(r["sums"], np.float64).reshape(-1, rank)
@@ -244,10 +293,10 @@ def _items_times(items: Items, probe: np.ndarray) -> np.ndarray:
     def times(rows, cols, n, matrix):
         """Sparse product: rows in order; a few thousand entries at a time."""
         out = np.zeros((n, matrix.shape[1]))
-        for a in range(0, len(rows), _TOKENS // 5):
-            r = rows[a: a + _TOKENS // 5]
+        for a in range(0, len(rows), _TOKENS):
+            r = rows[a: a + _TOKENS]
             first = np.flatnonzero(np.diff(r, prepend=-1))
-            out[r[first]] += np.add.reduceat(matrix[cols[0][a: a + _TOKENS // 5]] * cols[1][a: a + _TOKENS // 5, None], first, axis=0)
+            out[r[first]] += np.add.reduceat(matrix[cols[0][a: a + _TOKENS]] * cols[1][a: a + _TOKENS, None], first, axis=0)
         return out
 
     z = times(item, (word, weight), len(sizes), probe)
@@ -255,16 +304,22 @@ def _items_times(items: Items, probe: np.ndarray) -> np.ndarray:
     return times(word[by], (item[by], weight[by]), d, z)
 
 
-def fit_space(docs: DataFrame, items: Items, rank: int = RANK, sample: int = SAMPLE, seed: int = 11) -> Items:
-    """Fills in idf, latent space and items' places from ``docs`` (column text)."""
+def fit_space(docs: DataFrame, items: Items, rank: int = RANK, sample: int | None = None, seed: int = 11) -> Items:
+    """Fills in idf, latent space and items' places from ``docs`` (column text).
+    The space is fitted on all of them; with ``sample`` (to measure what that
+    changes) on the passages of about so many, chosen by text hash."""
     d = len(items.vocabulary)
-    n, df = passage_frequencies(docs, items)
+    passages = keep(coded(docs, items), "passages")
+    n, df = passage_frequencies(passages, items)
     items.idf = np.log((n + 1) / (df + 1)) + 0.1
     rank = min(rank, d)
     probe = np.random.default_rng(seed).standard_normal((d, rank))
-    every = max(1, -(-docs.count() // sample))
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)      # equal texts are chosen together
-    corpus = _gram_times(chosen, items, probe)
+    if sample is None:
+        corpus = _gram_times(passages, items, probe)
+    else:
+        every = max(1, -(-docs.count() // sample))
+        corpus = _gram_times(docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), items, probe)      # equal texts are chosen together
+    drop_kept(passages)
     # items weigh as much as all passages together: the space must hold both
     own = _items_times(items, probe)
     y = corpus + math.sqrt((corpus ** 2).sum() / max(1e-12, (own ** 2).sum())) * own
@@ -365,7 +420,7 @@ class Search:
         return [[(self.items.ids[it], *v) for it, v in sorted(f.items())] for f in found]
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, answer_col: str | None, rank: int, sample: int = SAMPLE):
+def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, answer_col: str | None, rank: int, sample: int | None = None):
     """The benchmark in fitted blocks, one after the other."""
     cols = {"item_id": item_col, "text": "text"} | ({"answer": answer_col} if answer_col else {})
     rows = []
@@ -396,7 +451,7 @@ def _leaks_udf(docs: DataFrame, items: Items, limits: tuple[float, float, float]
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           answer_col: str | None = None, rank: int = RANK, cosine: float = COSINE, ordered: float = ORDERED, answered: float = ANSWERED,
-          sample: int = SAMPLE) -> DataFrame:
+          sample: int | None = None) -> DataFrame:
     """(doc_id, item_id, cosine, ordered, answered): a row for each document and
     benchmark item that leaked into it."""
     own, out, run = pick(docs, doc_id=id_col, text=text_col), None, uuid4().hex

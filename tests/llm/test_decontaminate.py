@@ -90,6 +90,24 @@ def test_space_holds_the_leading_directions(spark):
     assert np.allclose(D._gram_times(docs.select("text"), it, probe), a.T @ (a @ probe), rtol=1e-3, atol=1e-2)
 
 
+def test_space_is_fitted_on_every_text(spark, monkeypatch):
+    items, *_ = corpus(6)
+    rnd = random.Random(8)
+    known = sorted({w for t in items for w in t})
+    rows = [(" ".join(rnd.choice(known) for _ in range(6)),) for _ in range(25_000)]        # more than the 20,000 once taken
+    it, seen = D.items_of([(k, " ".join(t), None) for k, t in enumerate(items)]), []
+    whole = D._gram_times
+    monkeypatch.setattr(D, "_gram_times", lambda docs, items, probe: seen.append((probe, whole(docs, items, probe))) or seen[0][1])
+    D.fit_space(spark.createDataFrame(rows, "text string").repartition(4), it, rank=8)
+    number = {w: i for i, w in enumerate(it.vocabulary)}
+    a = np.zeros((len(rows), len(number)))
+    for r, (t,) in enumerate(rows):
+        for w in D.words(t):
+            a[r, number[w]] += it.idf[number[w]]
+    probe, got = seen[0]
+    assert np.allclose(got, a.T @ (a @ probe), rtol=1e-3, atol=0.1)
+
+
 def test_answers_and_edge_rows(spark):
     text = "the quick brown fox jumps over the lazy dog near a calm river bank today"
     bench = spark.createDataFrame([(1, text, "river bank"), (2, text, "snowy peak"), (3, None, None), (4, "", "x"), (5, "...", None)], "item_id long, text string, answer string")
