@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from citylens.llm import simhash as S
@@ -112,3 +113,9 @@ def test_one_of_each_keeps_columns_ties_and_null_ids(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(docs).count() == 0 and S.one_of_each(docs).count() == 0
+
+
+def test_links_of_crowded_buckets_are_not_broadcast(spark):
+    fps = spark.range(300).select(F.xxhash64("id").alias("fp"))
+    plan = S._hub_links(fps, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
