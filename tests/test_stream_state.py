@@ -445,3 +445,14 @@ def test_detectors_take_all_keys_of_a_bucket_at_once(spark, tmp_path):
         assert q.exception() is None
         got = sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/{name}-out").collect())
         assert len(got) > 100 and got == sorted(r.event_id for r in batch.collect())
+
+
+def test_rows_travel_between_bunching_states_by_group(spark):
+    import pyarrow as pa
+
+    from citylens.streaming.bunching import _packed
+
+    rows = spark.range(2000, numPartitions=2).selectExpr("id", "cast(id as string) AS bus", "cast(id % 5 as int) AS __bucket")
+    got = _packed(rows).collect()
+    assert len(got) == 10 and sorted(x for r in got for x in pa.ipc.open_stream(r["pack"]).read_pandas()["id"]) == list(range(2000))
+    assert all((pa.ipc.open_stream(r["pack"]).read_pandas()["id"] % 5 == r["__bucket"]).all() for r in got)
