@@ -304,21 +304,15 @@ def _items_times(items: Items, probe: np.ndarray) -> np.ndarray:
     return times(word[by], (item[by], weight[by]), d, z)
 
 
-def fit_space(docs: DataFrame, items: Items, rank: int = RANK, sample: int | None = None, seed: int = 11) -> Items:
-    """Fills in idf, latent space and items' places from ``docs`` (column text).
-    The space is fitted on all of them; with ``sample`` (to measure what that
-    changes) on the passages of about so many, chosen by text hash."""
+def fit_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 11) -> Items:
+    """Fills in idf, latent space and items' places from all passages of ``docs`` (column text)."""
     d = len(items.vocabulary)
     passages = keep(coded(docs, items), "passages")
     n, df = passage_frequencies(passages, items)
     items.idf = np.log((n + 1) / (df + 1)) + 0.1
     rank = min(rank, d)
     probe = np.random.default_rng(seed).standard_normal((d, rank))
-    if sample is None:
-        corpus = _gram_times(passages, items, probe)
-    else:
-        every = max(1, -(-docs.count() // sample))
-        corpus = _gram_times(docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0), items, probe)      # equal texts are chosen together
+    corpus = _gram_times(passages, items, probe)
     drop_kept(passages)
     # items weigh as much as all passages together: the space must hold both
     own = _items_times(items, probe)
@@ -421,17 +415,21 @@ class Search:
 
 
 def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, answer_col: str | None, rank: int, sample: int | None = None):
-    """The benchmark in fitted blocks, one after the other."""
+    """The benchmark in blocks fitted on all texts, one after the other; with
+    ``sample`` (to measure what that changes) on about so many, chosen by hash."""
     cols = {"item_id": item_col, "text": "text"} | ({"answer": answer_col} if answer_col else {})
     rows = []
     texts = pick(docs, text=text_col)
+    if sample is not None:
+        every = max(1, -(-texts.count() // sample))
+        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)      # equal texts are chosen together
     for r in pick(benchmark, **cols).orderBy("item_id", "text").toLocalIterator():
         rows.append((r["item_id"], r["text"], r["answer"] if answer_col else None))
         if len(rows) == BLOCK:
-            yield fit_space(texts, items_of(rows), rank, sample)
+            yield fit_space(texts, items_of(rows), rank)
             rows = []
     if any(words(t or "") for _, t, _ in rows):
-        yield fit_space(texts, items_of(rows), rank, sample)
+        yield fit_space(texts, items_of(rows), rank)
 
 
 _LEAK = StructType([StructField("item_id", LongType()), StructField("cosine", DoubleType()), StructField("ordered", DoubleType()),

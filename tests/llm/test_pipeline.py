@@ -2,10 +2,12 @@
 near duplicates by all pairs, leaks by every item around every passage, personal
 data by the written patterns, packing by its contents."""
 
+import inspect
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from citylens.llm import decontaminate as D
@@ -104,3 +106,15 @@ def test_odd_rows_pass_through(spark):
     for _, stage in C.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_leaks_are_sought_in_a_space_of_all_documents(spark, docs, monkeypatch):
+    """More documents than the 20,000 the space was once fitted on; the step itself takes no sample."""
+    many = docs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(-(-21_000 // docs.count()))))) \
+        .withColumn("text", F.concat_ws(" ", "text", F.col("copy").cast("string"))).select(docs.columns)
+    seen, counts, gram = [], D.passage_frequencies, D._gram_times
+    monkeypatch.setattr(D, "passage_frequencies", lambda d, items: seen.append(d.count()) or counts(d, items))
+    monkeypatch.setattr(D, "_gram_times", lambda d, items, probe: seen.append(d.count()) or gram(d, items, probe))
+    C.decontaminate_stage(spark, many, SF)
+    assert many.count() > 20_000 and seen == [many.count()] * 2
+    assert "sample" not in inspect.signature(D.fit_space).parameters
