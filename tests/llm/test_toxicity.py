@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from citylens.llm import toxicity as T
 
@@ -57,3 +58,41 @@ def test_sample_is_bounded(spark):
     docs = spark.createDataFrame([(i, "t") for i in range(50)], "doc_id long, text string")
     grades = spark.createDataFrame([(i, 0) for i in range(50)], "doc_id long, grade int")
     assert T.labelled_sample(docs, grades, sample=10).count() == 10
+
+
+def test_model_is_fitted_on_every_labelled_row(spark):
+    """A word that only labelled texts beyond the 20,000 of least id hash have is learned."""
+    n = 21_000
+    ids = [r["id"] for r in spark.range(n).orderBy(F.xxhash64("id"), "id").collect()]
+    late = {i for i in ids[20_000:] if i % 2}
+    rows = [(i, "vile gremlord you idiot" if i in late else "you idiot fool" if i % 5 == 0 else "a fine day out") for i in ids]
+    docs = spark.createDataFrame([*rows, (n, "gremlord")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(t != "a fine day out")) for i, t in rows], "doc_id long, toxic int")
+    model = T.train(docs, T.grades_from_labels(docs, labels))
+    assert {"gremlord", "vile", "fool"} <= set(model.names)
+    assert T.score(docs, model).where(F.col("doc_id") == n).first()["toxic"]
+
+
+def test_fit_over_blocks_against_all_rows_at_once(spark, monkeypatch):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    grades, seen = T.grades_from_labels(docs, labels), []
+    monkeypatch.setattr(T, "BLOCK", 500)
+    whole = T._blocks
+    monkeypatch.setattr(T, "_blocks", lambda rows, n: seen.append(whole(rows, n)) or seen[0].map(lambda b: b))
+    monkeypatch.setattr(T, "drop_kept", lambda df: None)
+    model = T.train(docs, grades)
+    parts = seen[0].collect()
+    assert len(parts) > 4 and sum(len(p[3]) for p in parts) == labels.where("toxic is not null").join(docs, "doc_id").select("doc_id").distinct().count()
+    firsts = np.cumsum([0] + [len(p[3]) for p in parts[:-1]])
+    row = np.concatenate([p[0] + a for p, a in zip(parts, firsts, strict=True)])
+    feature, often, grade = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+    one = T.fit(row, feature, often, grade, model.names, 3)
+    assert np.abs(one.weights - model.weights).max() < 0.02 and np.abs(one.thresholds - model.thresholds).max() < 0.05
+    # counts of features as the texts have them
+    texts = {r["doc_id"]: (r["grade"], r["graded_text"] or "") for r in grades.collect()}
+    bad = sum(g > 0 for g, _ in texts.values()) / len(texts)
+    for name in model.names[::97]:
+        had = [g > 0 for g, t in texts.values() if name in T.features(t)]
+        n, k = len(had), sum(had)
+        part = lambda a, b: a * math.log(a / b) if a else 0.0
+        assert math.sqrt(2 * (part(k, n * bad) + part(n - k, n * (1 - bad)))) >= T.EVIDENCE - 1e-9
