@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import drop_kept, held, keep, pick, release, texts_of
+from .common import drop_kept, held, keep, pick, release, slices, texts_of
 from .tokens import Pieces, by_size, gather
 
 WINDOW = 32
@@ -184,7 +184,7 @@ def coded(docs: DataFrame, items: Items) -> DataFrame:
     def run(batches):
         release("passages")
         coder = _Coder(items.vocabulary)
-        for b in batches:
+        for b in slices(batches, 1024):
             texts = texts_of(b)
             for i, j in by_size(texts, 6_000_000):
                 values, offsets = coder(texts[i:j])

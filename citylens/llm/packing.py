@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from .common import arrow_map, keep, pick, texts_of
+from .common import arrow_map, keep, pick, slices, texts_of
 from .tokens import added_tokens, encoder, vocabulary
 
 SIZE = 2048
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, id_c
 
     def run(batches):
         task, so_far = TaskContext.get().partitionId(), [0] * (size + 1)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(str(tokenizer), ranks, added=added).batch(texts_of(batch)), strict=True):
                 ids = ids.astype("<u4").tobytes() + END

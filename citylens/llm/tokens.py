@@ -29,6 +29,9 @@ _WHOLE = re.compile(r"\s\s|[^\S \n]")
 #: signs of text coded at once (bounds the memory of a worker)
 CHARS = 4_000_000
 
+#: signs of text cut into pieces at once by an encoder (its arrays are many times the text)
+SPLIT = 1_000_000
+
 
 def by_size(texts: Sequence[str], limit: int = CHARS) -> Iterator[tuple[int, int]]:
     """Runs [from, to) of texts of at most ``limit`` signs together, or of one text."""
@@ -188,7 +191,7 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
-        for a, b in by_size(texts):
+        for a, b in by_size(texts, SPLIT):
             odd = [not t or _WHOLE.search(t) is not None or t[-1] in " \n" or bool(self.cut and self.cut.search(t)) for t in texts[a:b]]
             lines = pa.array(["" if o else "\n" + t for o, t in zip(odd, texts[a:b], strict=True)], pa.large_string())
             split = pc.split_pattern(pc.replace_substring(lines, "\n", " \n"), " ")

@@ -9,8 +9,8 @@ The model shares one weight per feature across the ordered thresholds:
 outputs the expected grade ``sum_k P(grade > k)``.
 
 The classifier is fitted on all labelled rows: their feature numbers are held in
-blocks of ``BLOCK`` rows, and every step of the fit sums loss and slopes over the
-blocks in a tree.  The driver sees one number per feature and step.
+blocks of ``ROWS`` rows, ``BLOCK`` rows to a task, and every step of the fit sums
+loss and slopes over the blocks in a tree.  The driver sees one number per feature and step.
 
 Defined results: a null text is empty and scores as a text without features;
 rows repeated or without id are scored each; labels without a document or a
@@ -25,6 +25,7 @@ import math
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from itertools import islice
 from uuid import uuid4
 
 import numpy as np
@@ -36,11 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
-from .common import arrow_map, drop_kept, held, keep, pick, release, texts_of
+from .common import arrow_map, drop_kept, held, keep, pick, release, slices, texts_of
 from .tokens import Pieces, by_size, coded
 
-#: labelled rows of a block of the fit
+#: labelled rows of a task of the fit, and of the blocks it takes one after the other
 BLOCK = 65_536
+ROWS = 512
 #: features kept, and the least evidence (signed root of the likelihood ratio) for each
 FEATURES = 4_000
 EVIDENCE = 4.0
@@ -212,10 +214,10 @@ class _Counts:
 
 
 def _blocks(rows: DataFrame, n: int):
-    """An RDD of (row, feature, often, grade) arrays of about ``BLOCK`` rows each."""
+    """An RDD of (row, feature, often, grade) arrays of ``ROWS`` rows each, about
+    ``BLOCK`` rows to a partition: a step holds one block's arrays, not a task's."""
     def block(part):
-        got = [(r["grade"], r["features"], r["often"]) for r in part]
-        if got:
+        while got := [(r["grade"], r["features"], r["often"]) for r in islice(part, ROWS)]:
             yield (np.repeat(np.arange(len(got), dtype=np.int32), [len(o) for *_, o in got]), np.frombuffer(b"".join(f for _, f, _ in got), "<i4"),
                    np.frombuffer(b"".join(o for *_, o in got), "i1"), np.array([g for g, *_ in got], np.int32))
 
@@ -241,7 +243,7 @@ def train(docs: DataFrame, grades: DataFrame, sample: int | None = None, most: i
     def spell(batches):
         release("spell")
         counts = _Counts()
-        for batch in batches:
+        for batch in slices(batches, 1024):
             worse, texts = batch.column("grade").to_numpy() > levels[0], texts_of(batch)
             for i, j in by_size(texts, 1_000_000):
                 counts.add(texts[i:j], worse[i:j])
@@ -269,7 +271,7 @@ def train(docs: DataFrame, grades: DataFrame, sample: int | None = None, most: i
         return {"grade": [at[g] for g in batch.column("grade").to_pylist()], "features": [x.astype("<i4").tobytes() for x in np.split(feature, ends)],
                 "often": [x.astype("i1").tobytes() for x in np.split(often, ends)]}
 
-    numbers = keep(arrow_map(rows.select("grade", "text"), code, "grade int, features binary, often binary"), "numbers", tidy=True)
+    numbers = keep(arrow_map(rows.select("grade", "text"), code, "grade int, features binary, often binary", 1024), "numbers", tidy=True)
     blocks = _blocks(numbers, total)
     model = fit_sums(lambda z: blocks.map(lambda b: _sums(*b, z, d)).treeReduce(np.add), np.array([sizes[g] for g in levels]), names)
     blocks.unpersist()
@@ -285,7 +287,8 @@ def severity(model: Model, docs: DataFrame):
     @F.pandas_udf(kind)
     def score(texts: pd.Series) -> pd.DataFrame:
         known, own = held(f"toxicity-{name}", "", lambda: (_Known(shared.value.names), shared.value))
-        above = own.above(*known.rows([t or "" for t in texts]), len(texts))
+        signs = [t or "" for t in texts]
+        above = np.concatenate([np.zeros((0, len(own.thresholds))), *(own.above(*known.rows(signs[a:b]), b - a) for a, b in by_size(signs))])
         return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0]})
 
     return score

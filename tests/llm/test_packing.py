@@ -117,3 +117,27 @@ def test_many_rows_of_one_id_and_text(spark):
     assert (by["offset"].min() == 0).all() and (by["length"].sum() <= 64).all()
     assert all((g["offset"].to_numpy()[1:] == (g["offset"] + g["length"]).to_numpy()[:-1]).all() for _, g in by)
     assert got["sequence_id"].nunique() <= -(-int(got["length"].sum()) // 64) + 1
+
+
+def test_a_worker_encodes_a_slice_of_a_batch(spark, monkeypatch):
+    """However many rows come together, their texts and pieces are held for a few hundred at a time."""
+    class Narrow:
+        def batch(self, texts):
+            assert len(texts) <= 512
+            return [np.zeros(len(t), np.uint32) for t in texts]
+
+    monkeypatch.setattr(P, "encoder", lambda *a, **k: Narrow())
+    docs = spark.range(3000).selectExpr("id doc_id", "repeat('a', cast(id % 7 as int)) text").coalesce(1)
+    got = P.pieces(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3000)) and all(r["length"] == r["doc_id"] % 7 + 1 for r in got)
+    assert Counter(r["nth"] for r in got if r["length"] == 3) == Counter(range(429))             # numbered across slices
+
+
+def test_an_encoder_splits_few_signs_at_once(monkeypatch, reference):
+    from citylens.llm import tokens
+
+    seen, split = [], tokens.coded
+    monkeypatch.setattr(tokens, "coded", lambda lists, table: seen.append(len(lists.flatten())) or split(lists, table))
+    texts = [f"word{i} and some others\n" + "more of it " * 40 + "." for i in range(6000)]          # 2.8 million signs
+    assert [ids.tolist() for ids in Encoder(vocabulary()).batch(texts)][::500] == [reference(t) for t in texts[::500]]
+    assert len(seen) > 2 and max(seen) < 300_000

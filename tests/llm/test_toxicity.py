@@ -96,3 +96,16 @@ def test_fit_over_blocks_against_all_rows_at_once(spark, monkeypatch):
         n, k = len(had), sum(had)
         part = lambda a, b: a * math.log(a / b) if a else 0.0
         assert math.sqrt(2 * (part(k, n * bad) + part(n - k, n * (1 - bad)))) >= T.EVIDENCE - 1e-9
+
+
+def test_a_task_of_the_fit_holds_few_rows_at_once(spark):
+    """A task's rows come in blocks of ROWS, so neither side of the worker's pipe holds them all."""
+    n = 3 * T.ROWS + 7
+    rows = spark.range(n).repartition(3).selectExpr("cast(id % 3 as int) grade", "unhex(repeat('01000000', cast(id % 5 as int))) features", "unhex(repeat('02', cast(id % 5 as int))) often")
+    blocks = T._blocks(rows, n)
+    got = blocks.collect()
+    assert blocks.getNumPartitions() == 1 and [len(g) for *_, g in got] == [T.ROWS] * 3 + [7]
+    for row, feature, often, grade in got:
+        assert len(row) == len(feature) == len(often) and row.max() < len(grade) and set(feature) == {1} and set(often) == {2}
+    assert sum(len(f) for _, f, _, _ in got) == sum(i % 5 for i in range(n)) and sum(g.sum() for *_, g in got) == sum(i % 3 for i in range(n))
+    blocks.unpersist()
